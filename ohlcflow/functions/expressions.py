@@ -22,7 +22,7 @@ def _c(col) -> Column:
 
 def parse_date(col, fmt: str = DATE_FORMAT) -> Column:
     """Strict date parse; anything that is not ``fmt`` becomes NULL."""
-    return F.try_to_date(_c(col).cast("string"), F.lit(fmt))
+    return F.try_to_date(_c(col).cast("string"), fmt)
 
 
 def parse_double(col) -> Column:

@@ -26,6 +26,8 @@ CHECK_NAMES = [
     "missing_symbols",
     "low_row_count",
 ]
+# The three checks of the orchestration gate.
+GATE_CHECKS = ["null_symbols", "negative_prices", "duplicates"]
 # ---------------------------------------------------------------------------
 
 

@@ -24,8 +24,15 @@ from .operators import marts as M
 from .operators import quality as DQ
 from .operators import signals as S
 from .operators import views as V
+from .plans.pipeline import run_pipeline
 from .plans.silver import to_silver
+from .plans.storage import scratch_path
+from .schemas import BAR_FIELDS
+from .sources.csv import scan_csv
 from .sources.fixtures import bars_from_ticks, dirty_bars
+from .sources.messages import decode_messages, encode_messages
+from .sources.tables import read_table
+from .streaming.ingest import message_stream, run_ingest
 
 # Expected symbols used by the quality keys: one present, one absent.
 DQ_EXPECTED = ["S00", "ZZZ"]
@@ -183,6 +190,67 @@ def q_missing_symbols_not_in(spark, sf_dir):
     return DQ.missing_symbols(dirty_silver(spark, sf_dir), DQ_EXPECTED, null_aware=True)
 
 
+def q_encode_messages(spark, sf_dir):
+    return encode_messages(clean_bars(spark, sf_dir))
+
+
+def q_decode_messages(spark, sf_dir):
+    return C.cast_schema(decode_messages(encode_messages(clean_bars(spark, sf_dir))))
+
+
+def _typed_bars(df: DataFrame) -> DataFrame:
+    return C.cast_schema(df).select(*BAR_FIELDS)
+
+
+# CSV header variants written by the scan_csv key: capitalised with an extra
+# column, and lower case in another column order.
+CSV_VARIANT_A = ["Date", "Open", "High", "Low", "Close", "Volume", "OpenInt"]
+CSV_VARIANT_B = ["close", "date", "open", "high", "low", "volume"]
+
+
+def write_price_csvs(bars: DataFrame, root: str) -> None:
+    """Write bars as ``symbol=<s>/*.csv`` files with two header variants."""
+    first_half = F.col("symbol") < F.lit("S25")
+    a = bars.filter(first_half).select(
+        *[F.col(c.lower()).alias(c) for c in CSV_VARIANT_A[:-1]],
+        F.lit(0).alias("OpenInt"), "symbol",
+    )
+    b = bars.filter(~first_half).select(*CSV_VARIANT_B, "symbol")
+    for i, part in enumerate((a, b)):
+        part.write.mode("overwrite" if i == 0 else "append").option("header", True).partitionBy(
+            "symbol"
+        ).csv(root)
+
+
+def q_scan_csv(spark, sf_dir):
+    root = scratch_path(spark, "price-csv")
+    write_price_csvs(clean_bars(spark, sf_dir), root)
+    return _typed_bars(scan_csv(spark, root))
+
+
+def q_ingest_stream(spark, sf_dir):
+    src = scratch_path(spark, "messages")
+    encode_messages(clean_bars(spark, sf_dir)).write.text(src)
+    bronze = run_ingest(
+        spark,
+        message_stream(spark, "files", src, max_per_trigger=2),
+        scratch_path(spark, "bronze"),
+        scratch_path(spark, "bronze-ckpt"),
+    )
+    return _typed_bars(bronze)
+
+
+def q_written_stock_summary(spark, sf_dir):
+    """Layered job on the clean bars as raw strings; gold read back."""
+    raw = clean_bars(spark, sf_dir).select(*[F.col(c).cast("string") for c in BAR_FIELDS])
+    res = run_pipeline(
+        spark, raw, scratch_path(spark, "layers"), expected_symbols=["S00"],
+        gate_checks=DQ.GATE_CHECKS,
+    )
+    schema = res.schemas["stock_summary"]
+    return read_table(spark, res.paths["stock_summary"], schema).drop("_processed_at")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cast_schema": q_cast_schema,
     "filter_valid": q_filter_valid,
@@ -211,6 +279,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_low_rows": q_dq_low_rows,
     "missing_symbols": q_missing_symbols,
     "missing_symbols_not_in": q_missing_symbols_not_in,
+    "encode_messages": q_encode_messages,
+    "decode_messages": q_decode_messages,
+    "scan_csv": q_scan_csv,
+    "ingest_stream": q_ingest_stream,
+    "written_stock_summary": q_written_stock_summary,
 }
 
 
@@ -446,6 +519,15 @@ FROM vw_summary GROUP BY symbol ORDER BY symbol""",
     "missing_symbols": _with(*_SD)
     + f"""SELECT expected_symbol FROM {_EXPECTED_SQL} e
 WHERE NOT EXISTS (SELECT 1 FROM silver_d s WHERE s.symbol = e.expected_symbol)""",
+    "encode_messages": _with(*_C)
+    + """SELECT cast(to_json({'symbol': symbol, 'date': cast(date AS varchar),
+       'open': cast(open AS varchar), 'high': cast(high AS varchar),
+       'low': cast(low AS varchar), 'close': cast(close AS varchar),
+       'volume': cast(volume AS varchar)}) AS varchar) AS value FROM clean_bars""",
+    "decode_messages": _with(*_C) + "SELECT * FROM clean_bars",
+    "scan_csv": _with(*_C) + "SELECT * FROM clean_bars",
+    "ingest_stream": _with(*_C) + "SELECT * FROM clean_bars",
+    "written_stock_summary": _with(*_SC, CTE_SUMMARY) + "SELECT * FROM summary",
     "missing_symbols_not_in": _with(*_SD)
     + f"""SELECT expected_symbol FROM {_EXPECTED_SQL} e
 WHERE expected_symbol NOT IN (SELECT DISTINCT symbol FROM silver_d)""",

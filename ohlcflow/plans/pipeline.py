@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.marts import stock_summary, top_movers, volume_analysis
@@ -39,7 +38,7 @@ class PipelineResult:
 
 def _write_observed(df: DataFrame, name: str, path: str, counts: dict, **kw) -> None:
     obs = Observation(name)
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
+    write_table(df, path, observation=obs, **kw)
     counts[name] = int(obs.get["rows"])
 
 

@@ -76,7 +76,10 @@ def dirty_bars(bars: DataFrame) -> DataFrame:
     def when_k(n: int, bad: Column, good: str) -> Column:
         return F.when(F.col("_k") == n, bad).otherwise(F.col(good)).alias(good)
 
-    defective = raw.select(
+    # k = 0 rows carry no defect and are emitted twice (the exact duplicate),
+    # in the same pass: no second scan/aggregation of the bars.
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("_k") == 0, 2).otherwise(1)))
+    return raw.select("*", copies.alias("_copy")).select(
         when_k(3, F.lit(None).cast("string"), "symbol"),
         when_k(4, F.lit(BAD_DATE), "date"),
         when_k(1, F.concat(F.lit("-"), F.col("open")), "open"),
@@ -85,7 +88,3 @@ def dirty_bars(bars: DataFrame) -> DataFrame:
         when_k(6, F.lit(BAD_NUMBER), "close"),
         when_k(5, F.lit(""), "volume"),
     )
-    duplicates = raw.filter(F.col("_k") == 0).select(
-        "symbol", "date", "open", "high", "low", "close", "volume"
-    )
-    return defective.unionByName(duplicates)

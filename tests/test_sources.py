@@ -1,0 +1,60 @@
+import os
+
+from ohlcflow.operators.clean import cast_schema
+from ohlcflow.plans.storage import scratch_path
+from ohlcflow.sources.csv import scan_csv
+from ohlcflow.sources.messages import decode_messages, encode_messages, message_rejects
+
+
+def _write(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_csv_headers_by_name(spark):
+    root = scratch_path(spark, "csv-test")
+    _write(f"{root}/symbol=AAA/a.csv", ["Date,Open,High,Low,Close,Volume,OpenInt",
+                                        "2020-01-02,1,2,0.5,1.5,100,0",
+                                        "2020-01-03,1,2,0.5,,100,0"])
+    _write(f"{root}/symbol=007/b.csv", ["close,date,open,high,low", "1.5,2020-01-02,1,2,0.5"])
+    _write(f"{root}/symbol=CCC/c.csv", ["Date,date,Open,open,High,Low,Close,Volume",
+                                        "2020-01-02,x,1,9,2,0.5,1.5,7"])
+    got = sorted(tuple(r) for r in scan_csv(spark, root).collect())
+    assert got == [
+        ("007", "2020-01-02", "1", "2", "0.5", "1.5", "0"),
+        ("AAA", "2020-01-02", "1", "2", "0.5", "1.5", "100"),
+        ("AAA", "2020-01-03", "1", "2", "0.5", None, "100"),
+        ("CCC", "2020-01-02", "1", "2", "0.5", "1.5", "7"),
+    ]
+
+
+def test_csv_symbol_map_and_missing_file(spark):
+    root = scratch_path(spark, "csv-map")
+    _write(f"{root}/aapl.us.txt", ["Date,Open,High,Low,Close,Volume,OpenInt", "2020-01-05,1,2,0.5,1.5,10,0"])
+    df = scan_csv(spark, symbol_files={"AAPL": f"{root}/aapl.us.txt", "TSLA": f"{root}/missing.txt"})
+    assert [tuple(r) for r in df.collect()] == [("AAPL", "2020-01-05", "1", "2", "0.5", "1.5", "10")]
+    none = scan_csv(spark, symbol_files={"TSLA": f"{root}/missing.txt"})
+    assert none.count() == 0
+
+
+def test_messages(spark, sample_bars):
+    enc = encode_messages(cast_schema(sample_bars))
+    first = enc.first()["value"]
+    assert first.startswith('{"symbol":') and '"volume":' in first
+    back = cast_schema(decode_messages(enc))
+    assert back.exceptAll(cast_schema(sample_bars)).count() == 0
+    raw = spark.createDataFrame(
+        [
+            ('{"symbol":"A","date":"2020-01-02","open":"1","high":"2","low":"1","close":"1","volume":"5"}',),
+            ('{"symbol":"B","date":"2020-01-02","open":"1"}',),
+            ('{"symbol":"C","date":"2020-01-02","open":"1","high":"2","low":"1","close":"1","volume":5,"x":1}',),
+            ("not json",),
+        ],
+        "value string",
+    )
+    dec = {r["symbol"]: r for r in decode_messages(raw).collect()}
+    assert set(dec) == {"A", "B", "C"}
+    assert dec["B"]["close"] is None and dec["C"]["volume"] == "5"
+    assert [r["value"] for r in message_rejects(raw).collect()] == ["not json"]
+    assert decode_messages(raw, max_messages=2).count() == 2

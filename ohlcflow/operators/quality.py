@@ -94,7 +94,9 @@ def dq_report(
         F.sum("neg").alias("negative_prices"),
         F.sum("hl").alias("high_lt_low"),
         F.sum("dup_groups").alias("duplicates"),
-        (F.lit(len(expected)) - F.sum(_expected_weight(expected))).alias("missing_symbols"),
+        (F.lit(len(expected)) - F.coalesce(F.sum(_expected_weight(expected)), F.lit(0))).alias(
+            "missing_symbols"
+        ),
         F.count_if(F.col("rows") < min_rows).alias("low_row_count"),
     )
     rows = F.inline(

@@ -16,10 +16,18 @@ def _for_symbol(df: DataFrame, symbol: str | None) -> DataFrame:
     return df if symbol is None else df.filter(F.col("symbol") == F.lit(symbol))
 
 
+def _series_input(df: DataFrame, symbol: str | None, ordered: bool) -> DataFrame:
+    """(symbol, date, close), range-partitioned by symbol when the output is
+    ordered: the one exchange then serves both the per-symbol window and the
+    final ``ORDER BY symbol, date`` (no second shuffle for the sort)."""
+    out = _for_symbol(df, symbol).select("symbol", "date", "close")
+    return out.repartitionByRange("symbol") if ordered else out
+
+
 def sma(df: DataFrame, window: int, symbol: str | None = None, ordered: bool = True) -> DataFrame:
     """(symbol, date, close, ma_{n}d) for every symbol, or one when given."""
     col = ma_column(window)
-    out = add_moving_averages(_for_symbol(df, symbol).select("symbol", "date", "close"), [window])
+    out = add_moving_averages(_series_input(df, symbol, ordered), [window])
     out = out.select("symbol", "date", "close", col)
     return out.orderBy("symbol", "date") if ordered else out
 
@@ -34,7 +42,7 @@ def crossover(
     whenever (symbol, date) is unique and non-NULL, without its extra shuffles.
     """
     f, s = ma_column(fast), ma_column(slow)
-    out = add_moving_averages(_for_symbol(df, symbol).select("symbol", "date", "close"), [fast, slow])
+    out = add_moving_averages(_series_input(df, symbol, ordered), [fast, slow])
     out = out.select("symbol", "date", "close", f, s, crossover_signal(f, s).alias("crossover_signal"))
     return out.orderBy("symbol", "date") if ordered else out
 

@@ -10,7 +10,7 @@ Group size: after deduplication on (symbol, date) a symbol has at most one
 row per calendar day, so a window partition is bounded by the length of the
 date range, not by the size of the data set; more data means more symbols,
 i.e. more partitions. For inputs that are not unique on (symbol, date), use
-:func:`ohlcflow.plans.skew.segmented_rolling_avg`, which splits a hot
+:func:`ohlcflow.plans.skew.segmented_trailing_avg` (``segmented=True``), which splits a hot
 symbol into row blocks with halo rows and gives identical results.
 """
 
@@ -48,9 +48,25 @@ def add_price_spike_flag(df: DataFrame, max_pct: float = MAX_PRICE_SPIKE) -> Dat
 
 
 def add_moving_averages(
-    df: DataFrame, windows: Sequence[int] = MA_WINDOWS, value: str = "close"
+    df: DataFrame,
+    windows: Sequence[int] = MA_WINDOWS,
+    value: str = "close",
+    segmented: bool = False,
+    block_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``ma_{n}d = round(avg(value) over the n-row frame, 4)`` per window."""
+    """Add ``ma_{n}d = round(avg(value) over the n-row frame, 4)`` per window.
+
+    ``segmented=True`` evaluates the same frames with the block + halo plan
+    of :mod:`ohlcflow.plans.skew` (for series too large for one task).
+    """
+    if segmented:
+        from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg
+
+        raw = {f"_raw_{n}": (value, n) for n in windows}
+        out = segmented_trailing_avg(df, raw, block_rows=block_rows or DEFAULT_BLOCK_ROWS)
+        return out.withColumns(
+            {ma_column(n): F.round(F.col(f"_raw_{n}"), 4) for n in windows}
+        ).drop(*raw)
     return df.withColumns(
         {ma_column(n): F.round(F.avg(value).over(series_window(n)), 4) for n in windows}
     )
@@ -64,13 +80,24 @@ def add_volume_spike_flag(
     df: DataFrame,
     window: int = VOLUME_WINDOW,
     multiplier: float = VOLUME_SPIKE_MULTIPLIER,
+    segmented: bool = False,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """``avg_30d_volume`` (unrounded) and ``volume_spike = volume > 2 * avg``.
 
     The frame includes the current row, so with volume >= 0 the first two
-    rows of a series can never spike.
+    rows of a series can never spike. ``segmented`` as in
+    :func:`add_moving_averages`.
     """
     avg_col = f"avg_{window}d_volume"
-    return df.withColumn(avg_col, F.avg("volume").over(series_window(window))).withColumn(
+    if segmented:
+        from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg
+
+        df = segmented_trailing_avg(
+            df, {avg_col: ("volume", window)}, block_rows=block_rows or DEFAULT_BLOCK_ROWS
+        )
+    else:
+        df = df.withColumn(avg_col, F.avg("volume").over(series_window(window)))
+    return df.withColumn(
         "volume_spike", strictly_above("volume", F.col(avg_col) * F.lit(multiplier))
     )

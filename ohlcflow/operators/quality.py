@@ -41,9 +41,15 @@ class QualityGateError(Exception):
         super().__init__(f"DQ checks failed: {detail}")
 
 
-def non_positive_price() -> Column:
-    """Any price <= 0 (SQL three-valued: a NULL price alone does not count)."""
-    return (F.col("open") <= 0) | (F.col("high") <= 0) | (F.col("low") <= 0) | (F.col("close") <= 0)
+def non_positive_price(columns: Sequence[str] = ("open", "high", "low", "close")) -> Column:
+    """Any of ``columns`` <= 0 (SQL three-valued: a NULL alone does not count).
+
+    The orchestration gate's variant tests ``("open", "close")`` only.
+    """
+    cond = None
+    for c in columns:
+        cond = (F.col(c) <= 0) if cond is None else (cond | (F.col(c) <= 0))
+    return cond
 
 
 def _expected_weight(expected: Sequence[str | None]) -> Column:
@@ -64,21 +70,26 @@ def dq_report(
     min_rows: int = MIN_ROWS_PER_SYMBOL,
     passed: str = DQ_PASSED,
     failed: str = DQ_FAILED,
+    price_columns: Sequence[str] = ("open", "high", "low", "close"),
 ) -> DataFrame:
     """Seven rows ``(check_name, fail_count, status)``.
 
     * null_symbols / null_dates: rows with a NULL symbol / date;
-    * negative_prices: rows with any price <= 0; high_lt_low: rows with high < low;
+    * negative_prices: rows with any of ``price_columns`` <= 0;
+      high_lt_low: rows with high < low;
     * duplicates: (symbol, date) groups with more than one row (NULLs group);
     * missing_symbols: entries of ``expected_symbols`` with no row in silver,
       NOT EXISTS semantics (a NULL symbol in silver matches nothing and hides
       nothing);
     * low_row_count: symbol groups (NULL symbol included) with < ``min_rows`` rows.
+
+    ``passed`` / ``failed`` name the status words (the SQL file uses
+    PASSED/FAILED, the runner PASS/FAIL).
     """
     expected = list(expected_symbols or [])
     per_key = silver.groupBy("symbol", "date").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(non_positive_price()).alias("neg"),
+        F.count_if(non_positive_price(price_columns)).alias("neg"),
         F.count_if(F.col("high") < F.col("low")).alias("hl"),
     )
     per_symbol = per_key.groupBy("symbol").agg(

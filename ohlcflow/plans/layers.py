@@ -51,7 +51,7 @@ def write_silver(silver: DataFrame, path: str, fmt: str = "parquet", counts: dic
     )
 
 
-def run_pipeline(
+def run_layers(
     spark: SparkSession,
     bronze: DataFrame,
     out_root: str,
@@ -108,3 +108,39 @@ def register_sql_layer(
     )
     views = register_views(tables["stock_summary"], tables["top_movers"], tables["volume_analysis"])
     return {**tables, **views}
+
+
+def run_chain(
+    spark: SparkSession,
+    out_root: str,
+    csv_path: str | None = None,
+    symbol_files: dict[str, str] | None = None,
+    expected_symbols: Sequence[str] = EXPECTED_SYMBOLS,
+    gate_checks: Sequence[str] | None = None,
+    max_files_per_trigger: int | None = None,
+    fmt: str = "parquet",
+) -> tuple[PipelineResult, dict[str, DataFrame]]:
+    """The whole chain in the reference's task order.
+
+    produce (price CSVs -> JSON messages, written as files) -> consume
+    (Structured Streaming -> bronze) -> silver -> quality gate -> gold -> SQL
+    layer. Every step is a Spark job on the executors; the driver only
+    coordinates. Returns the layer result and the registered tables/views.
+    """
+    from ..sources.csv import scan_csv
+    from ..sources.messages import encode_messages
+    from ..streaming.ingest import message_stream, run_ingest
+
+    root = out_root.rstrip("/")
+    messages = f"{root}/messages"
+    encode_messages(scan_csv(spark, csv_path, symbol_files)).write.mode("overwrite").text(messages)
+    bronze = run_ingest(
+        spark,
+        message_stream(spark, "files", messages, max_per_trigger=max_files_per_trigger),
+        f"{root}/bronze/stock_prices",
+        f"{root}/_checkpoints/bronze",
+        rejects_path=f"{root}/bronze/rejects",
+        fmt=fmt,
+    )
+    result = run_layers(spark, bronze, root, expected_symbols, gate_checks, fmt=fmt)
+    return result, register_sql_layer(spark, result, fmt)

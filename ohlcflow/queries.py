@@ -25,7 +25,7 @@ from .operators import marts as M
 from .operators import quality as DQ
 from .operators import signals as S
 from .operators import views as V
-from .plans.pipeline import run_pipeline
+from .plans.layers import run_layers
 from .plans.silver import to_silver
 from .plans.storage import path_exists, scratch_path
 from .schemas import BAR_FIELDS, TYPED_BAR_SCHEMA
@@ -136,6 +136,23 @@ def q_volume_spike(spark, sf_dir):
     )
 
 
+# Block size for the segmented keys: small enough that every series of the
+# test tables is split into several blocks with halos.
+SEGMENT_ROWS = 100
+
+
+def q_moving_average_segmented(spark, sf_dir):
+    return FE.add_moving_averages(
+        clean_bars(spark, sf_dir), [7, 30, 90], segmented=True, block_rows=SEGMENT_ROWS
+    ).select(*BAR_KEY, "close", "ma_7d", "ma_30d", "ma_90d")
+
+
+def q_volume_spike_segmented(spark, sf_dir):
+    return FE.add_volume_spike_flag(
+        clean_bars(spark, sf_dir), segmented=True, block_rows=SEGMENT_ROWS
+    ).select(*BAR_KEY, "volume", "avg_30d_volume", "volume_spike")
+
+
 def q_stock_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
@@ -261,7 +278,7 @@ def q_ingest_stream(spark, sf_dir):
 def q_written_stock_summary(spark, sf_dir):
     """Layered job on the clean bars as raw strings; gold read back."""
     raw = clean_bars(spark, sf_dir).select(*[F.col(c).cast("string") for c in BAR_FIELDS])
-    res = run_pipeline(
+    res = run_layers(
         spark, raw, scratch_path(spark, "layers"), expected_symbols=["S00"],
         gate_checks=DQ.GATE_CHECKS,
     )
@@ -279,6 +296,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_spike": q_price_spike,
     "moving_average": q_moving_average,
     "volume_spike": q_volume_spike,
+    "moving_average_segmented": q_moving_average_segmented,
+    "volume_spike_segmented": q_volume_spike_segmented,
     "stock_summary": q_stock_summary,
     "top_movers": q_top_movers,
     "volume_analysis": q_volume_analysis,
@@ -471,6 +490,11 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT symbol, date, volume, avg_30d_volume, "
     "coalesce(volume > avg_30d_volume * 2, false) AS volume_spike FROM volume_all",
     "stock_summary": _with(*_SC, CTE_SUMMARY) + "SELECT * FROM summary",
+    "moving_average_segmented": _with(*_SC, CTE_SUMMARY)
+    + "SELECT symbol, date, close, ma_7d, ma_30d, ma_90d FROM summary",
+    "volume_spike_segmented": _with(*_SC, CTE_VOLUME_ALL)
+    + "SELECT symbol, date, volume, avg_30d_volume, "
+    "coalesce(volume > avg_30d_volume * 2, false) AS volume_spike FROM volume_all",
     "top_movers": _with(*_SC, CTE_MOVERS) + "SELECT * FROM movers",
     "volume_analysis": _with(*_SC, CTE_VOLUME) + "SELECT * FROM volume_an",
     "vw_stock_summary": _with(*_SC, CTE_SUMMARY, CTE_VW_SUMMARY) + "SELECT * FROM vw_summary",

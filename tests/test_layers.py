@@ -1,0 +1,72 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from ohlcflow import queries as Q
+from ohlcflow.operators.quality import QualityGateError
+from ohlcflow.plans.layers import register_sql_layer, run_layers
+from ohlcflow.plans.storage import scratch_path
+from ohlcflow.schemas import BAR_FIELDS
+
+
+def _raw(spark):
+    return Q.clean_bars(spark, SF_SMALL).select(*[F.col(c).cast("string") for c in BAR_FIELDS])
+
+
+def test_layers_written_and_consistent(spark):
+    root = scratch_path(spark, "layers-test")
+    res = run_layers(spark, _raw(spark), root, expected_symbols=["S00", "S49"], min_rows=1)
+    assert res.counts["silver"] == 5854 == res.counts["stock_summary"]
+    assert res.counts["volume_analysis"] == 176
+    assert all(v == 0 for v in res.quality.values())
+    assert os.path.isdir(res.paths["silver"] + "/symbol=S00")
+    views = register_sql_layer(spark, res)
+    silver = views["stock_prices_silver"]
+    assert silver.filter(F.col("symbol").isNull()).count() == 0
+    assert silver.filter("open <= 0 OR high <= 0 OR low <= 0 OR close <= 0").count() == 0
+    assert silver.groupBy("symbol", "date").count().filter("count > 1").count() == 0
+    assert {"ma_7d", "ma_30d", "ma_90d", "_processed_at"} <= set(views["stock_summary"].columns)
+    assert spark.sql("SELECT count(*) AS n FROM vw_top_movers WHERE rank > 5").first()["n"] == 0
+    # the symbol filter on the partition column prunes partitions
+    plan = spark.sql("SELECT * FROM stock_summary WHERE symbol = 'S07'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan
+
+
+def test_gate_blocks_gold(spark):
+    root = scratch_path(spark, "layers-gate")
+    dirty = Q.raw_dirty_bars(spark, SF_SMALL)
+    with pytest.raises(QualityGateError) as e:
+        run_layers(spark, dirty, root, expected_symbols=["S00"])
+    assert "null_symbols" in e.value.failed
+    assert not os.path.exists(root + "/gold")
+
+
+def test_chain_from_csv(spark):
+    from ohlcflow.plans.layers import run_chain
+    from ohlcflow.queries import write_price_csvs
+
+    csv_root = scratch_path(spark, "chain-csv")
+    bars = Q.clean_bars(spark, SF_SMALL)
+    write_price_csvs(bars, csv_root)
+    res, views = run_chain(spark, scratch_path(spark, "chain"), csv_path=csv_root,
+                           expected_symbols=["S00"], gate_checks=["null_symbols", "duplicates"],
+                           max_files_per_trigger=1)
+    assert res.counts["silver"] == 5854
+    root = res.paths["silver"].replace("/silver/stock_prices", "")
+    n_files = len([f for f in os.listdir(root + "/messages") if f.startswith("part-")])
+    bronze = spark.read.parquet(root + "/bronze/stock_prices")
+    assert bronze.select("_batch_number").distinct().count() == n_files
+    summary = views["stock_summary"].drop("_processed_at")
+    assert summary.exceptAll(Q.q_stock_summary(spark, SF_SMALL)).count() == 0
+    assert views["vw_volume_spikes"].count() == 176
+
+
+def test_dag_price_variant(spark, raw_bars):
+    from ohlcflow.operators.clean import cast_schema
+    from ohlcflow.operators.quality import dq_report
+    df = cast_schema(raw_bars([("A", "2021-01-01", "1", "-2", "1", "1", "1")]))
+    full = {r["check_name"]: r["fail_count"] for r in dq_report(df).collect()}
+    dag = {r["check_name"]: r["fail_count"] for r in dq_report(df, price_columns=("open", "close"), passed="PASS", failed="FAIL").collect()}
+    assert full["negative_prices"] == 1 and dag["negative_prices"] == 0

@@ -156,13 +156,9 @@ def missing_symbols(
         F.broadcast(present), exp_df["expected_symbol"] == present["symbol"], "left_anti"
     )
     if null_aware:
-        has_null = df.filter(F.col("symbol").isNull()).select(F.lit(1).alias("_k")).limit(1)
-        out = (
-            out.filter(F.col("expected_symbol").isNotNull())
-            .withColumn("_k", F.lit(1))
-            .join(F.broadcast(has_null), "_k", "left_anti")
-            .drop("_k")
-        )
+        # uncorrelated NOT EXISTS: a one-row scalar subquery, no join
+        any_null = df.filter(F.col("symbol").isNull()).exists()
+        out = out.filter(F.col("expected_symbol").isNotNull() & ~any_null)
     return out
 
 

@@ -13,11 +13,15 @@ from ..functions.expressions import ma30_signal, performance_label
 from ..schemas import VIEW_TOP_N
 
 
-def vw_stock_summary(summary: DataFrame, with_price_range: bool = True) -> DataFrame:
+def vw_stock_summary(
+    summary: DataFrame, with_price_range: bool = True, with_audit: bool = False
+) -> DataFrame:
     """Display rounding (2 decimals) plus the MA-30 signal and performance label.
 
     Signal and label are computed from the stored 4-decimal values, not from
-    the 2-decimal display values of the same name.
+    the 2-decimal display values of the same name. ``with_price_range`` /
+    ``with_audit`` select the fuller column set (rounded ``price_range``,
+    ``_processed_at`` when present).
     """
     cols = [
         "symbol", "date", "open", "high", "low", "close", "volume",
@@ -33,6 +37,8 @@ def vw_stock_summary(summary: DataFrame, with_price_range: bool = True) -> DataF
         performance_label("daily_return_pct").alias("performance_label"),
         "price_spike_flag",
     ]
+    if with_audit and "_processed_at" in summary.columns:
+        cols.append("_processed_at")
     return summary.select(*cols)
 
 
@@ -66,7 +72,7 @@ def vw_volume_spikes(volume: DataFrame, ordered: bool = True) -> DataFrame:
 def register_views(summary: DataFrame, movers: DataFrame, volume: DataFrame) -> dict[str, DataFrame]:
     """Create (or replace) the three session temp views; return them by name."""
     views = {
-        "vw_stock_summary": vw_stock_summary(summary),
+        "vw_stock_summary": vw_stock_summary(summary, with_audit=True),
         "vw_top_movers": vw_top_movers(movers),
         "vw_volume_spikes": vw_volume_spikes(volume),
     }

@@ -39,8 +39,9 @@ def parse_long(col) -> Column:
     text, so the fraction is cut off as text first; the integral part keeps
     full 64-bit precision and overflow still yields NULL.
     """
-    s = F.trim(_c(col).cast("string"))
-    # '.5' -> '0.5', '-.5' -> '-0.5'
+    # the legacy cast trims every character <= ' ' (spaces, tabs, newlines)
+    s = F.regexp_replace(_c(col).cast("string"), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    # '.5' -> '0.5', '-.5' -> '-0.5', '.' -> '0.'
     s = F.regexp_replace(s, r"^([+-]?)\.", "$10.")
     integral = F.when(
         s.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), F.regexp_replace(s, r"\.[0-9]*$", "")

@@ -41,17 +41,17 @@ def bars_from_ticks(lineitem: DataFrame) -> DataFrame:
     each task pre-aggregates its ticks before the shuffle on the bar key.
     """
     order = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
-    return (
+    # Group on the integer symbol id (cheaper sort and shuffle key than the
+    # text symbol, which is built once per bar after the aggregation).
+    bars = (
         lineitem.select(
-            F.concat(
-                F.lit("S"), F.lpad((F.col("l_partkey") % N_SYMBOLS).cast("string"), 2, "0")
-            ).alias("symbol"),
+            (F.col("l_partkey") % N_SYMBOLS).alias("_sid"),
             F.col("l_shipdate").cast("date").alias("date"),
             tick_price().alias("price"),
             order.alias("ord"),
             F.col("l_quantity"),
         )
-        .groupBy("symbol", "date")
+        .groupBy("_sid", "date")
         .agg(
             F.min_by("price", "ord").cast("double").alias("open"),
             F.max("price").cast("double").alias("high"),
@@ -60,6 +60,8 @@ def bars_from_ticks(lineitem: DataFrame) -> DataFrame:
             F.sum("l_quantity").cast("long").alias("volume"),
         )
     )
+    symbol = F.concat(F.lit("S"), F.lpad(F.col("_sid").cast("string"), 2, "0"))
+    return bars.select(symbol.alias("symbol"), "date", "open", "high", "low", "close", "volume")
 
 
 def dirty_bars(bars: DataFrame) -> DataFrame:

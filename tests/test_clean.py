@@ -23,10 +23,14 @@ class TestCastSchema:
         prev = spark.conf.get("spark.sql.ansi.enabled")
         spark.conf.set("spark.sql.ansi.enabled", ansi)
         try:
-            vols = ["1.5", ".5", "5.", "1e3", "-0.5", "100.0", "", " 42 ", "9223372036854775808", "n/a"]
+            vols = ["1.5", ".5", "5.", "1e3", "-0.5", "100.0", "", " 42 ", "9223372036854775808",
+                    "n/a", "\t7\n", "+5", "-", ".", "NaN", "1,000", "0x10", "-9223372036854775808"]
             df = raw_bars([("X2", "2021-3-5", "1", "2", "0.5", "n/a", v) for v in vols])
             out = cast_schema(df).collect()
-            assert [r["volume"] for r in out] == [1, 0, 5, None, 0, 100, None, 42, None, None]
+            assert [r["volume"] for r in out] == [
+                1, 0, 5, None, 0, 100, None, 42, None, None, 7, 5, None, 0, None, None, None,
+                -9223372036854775808,
+            ]
             assert all(r["date"] is None and r["close"] is None for r in out)
         finally:
             spark.conf.set("spark.sql.ansi.enabled", prev)

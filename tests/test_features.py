@@ -88,3 +88,14 @@ def test_reports(raw_bars, sample_bars):
     assert [r["daily_return_pct"] for r in g] == [2.05, 2.03]
     assert top_gains(vw, k=2).count() == 4
     assert top_volume_spikes(vw_volume_spikes(volume_analysis(to_silver(sample_bars, audit=False)))).count() == 0
+
+
+def test_rank_one_exists_per_group(spark):
+    from conftest import SF_SMALL
+    from ohlcflow import queries as Q
+    m = Q.q_top_movers(spark, "/root/testdata/sf0.01")
+    groups = m.select("date", "direction").distinct().count()
+    assert m.filter("rank = 1").select("date", "direction").distinct().count() == groups
+    assert m.filter("rank > 10").count() == 0
+    s = Q.q_stock_summary(spark, SF_SMALL)
+    assert s.count() == Q.clean_silver(spark, SF_SMALL).count()

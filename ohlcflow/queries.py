@@ -63,7 +63,8 @@ def clean_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _BARS_TABLES.get(key)
-    if path is None or not path_exists(spark, path):
+    # reuse only a completely written table (commit marker present)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = scratch_path(spark, "bars")
         bars_from_ticks(_table(spark, sf_dir, "lineitem")).write.parquet(path)
         _BARS_TABLES[key] = path

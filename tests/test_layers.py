@@ -70,3 +70,26 @@ def test_dag_price_variant(spark, raw_bars):
     full = {r["check_name"]: r["fail_count"] for r in dq_report(df).collect()}
     dag = {r["check_name"]: r["fail_count"] for r in dq_report(df, price_columns=("open", "close"), passed="PASS", failed="FAIL").collect()}
     assert full["negative_prices"] == 1 and dag["negative_prices"] == 0
+
+
+def test_sql_text_over_registered_layer(spark):
+    """The SQL a user of the reference runs works on the registered names."""
+    res = run_layers(spark, _raw(spark), scratch_path(spark, "layers-sql"),
+                     expected_symbols=["S00"], min_rows=1)
+    register_sql_layer(spark, res)
+    top = spark.sql("""
+        SELECT date, close, daily_return_pct, performance_label FROM vw_stock_summary
+        WHERE symbol = 'S07' ORDER BY daily_return_pct DESC, date LIMIT 5""").collect()
+    assert len(top) == 5 and top[0]["daily_return_pct"] >= top[-1]["daily_return_pct"]
+    latest = spark.sql("""
+        SELECT symbol, MAX(date) AS latest_date FROM vw_stock_summary GROUP BY symbol""").count()
+    assert latest == 50
+    dq = spark.sql("""
+        SELECT COUNT(*) AS cnt FROM (SELECT symbol, date, COUNT(*) c FROM stock_prices_silver
+        GROUP BY symbol, date HAVING c > 1)""").first()["cnt"]
+    assert dq == 0
+    spikes = spark.sql("SELECT symbol, date, volume_ratio FROM vw_volume_spikes LIMIT 5").collect()
+    assert len(spikes) == 5 and spikes[0]["volume_ratio"] >= spikes[-1]["volume_ratio"]
+    cross = spark.sql("""
+        SELECT count(*) AS n FROM top_movers WHERE rank <= 10""").first()["n"]
+    assert cross == res.counts["top_movers"]

@@ -11,9 +11,9 @@ Plan: files are read as rows of up to ``max_columns`` string cells
 (``c0..``). Rows with a cell equal to a known column name are header rows;
 from each file's header Spark computes the cell position of every field,
 and each data row picks its cells through the positions of its file (a join
-on the file path). Nothing but the file listing touches the driver. The
-symbol comes from a ``symbol=<name>`` directory level or from a
-``{symbol: path}`` map.
+on the file path). Only the file count of the listing is used on the
+driver. The symbol comes from a ``symbol=<name>`` directory level or from
+a ``{symbol: path}`` map.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ HEADER_NAMES = {
 }
 KNOWN_NAMES = sorted({n for names in HEADER_NAMES.values() for n in names})
 
-MAX_HEADER_VARIANTS = 10_000
 BROADCAST_LIMIT_BYTES = 64 << 20
+MAX_PATH_BYTES = 4096
 
 
 def _cells(n: int) -> list[str]:
@@ -98,10 +98,9 @@ def scan_csv(
     rows. Rows of files without any recognisable header are not returned.
 
     The per-file table (file -> cell position of each field) has one row per
-    file; its size bound comes from the file listing the driver already
-    holds, and it is broadcast only when that bound is below
-    ``broadcast_limit_bytes`` (else a shuffle join, split by AQE if a file is
-    hot).
+    file; it is broadcast only when ``#files x (4096-byte path + positions)``
+    is below ``broadcast_limit_bytes`` (about 16k files at 64 MiB), else it is
+    shuffle-joined (AQE splits a hot file's partition).
     """
     cells = _cells(max_columns)
     fields = [StructField(c, StringType(), True) for c in cells]
@@ -143,9 +142,10 @@ def scan_csv(
         .select("_file", "_hdr.*")
         .drop("h")
     )
-    listed = raw.inputFiles()
-    bound = len(listed) * (max((len(f) for f in listed), default=0) + 64)
-    if bound <= broadcast_limit_bytes:
+    # Size bound without pulling the listing into Python: the file count of
+    # the JVM-side listing times the longest possible path plus the positions.
+    n_files = len(raw._jdf.inputFiles())
+    if n_files * (MAX_PATH_BYTES + 64) <= broadcast_limit_bytes:
         headers = F.broadcast(headers)
 
     data = raw.filter(~F.col("_is_header")).join(headers, "_file", "inner")

@@ -51,17 +51,19 @@ def add_moving_averages(
     df: DataFrame,
     windows: Sequence[int] = MA_WINDOWS,
     value: str = "close",
-    segmented: bool = False,
+    segmented: bool | str = False,
     block_rows: int | None = None,
 ) -> DataFrame:
     """Add ``ma_{n}d = round(avg(value) over the n-row frame, 4)`` per window.
 
     ``segmented=True`` evaluates the same frames with the block + halo plan
-    of :mod:`ohlcflow.plans.skew` (for series too large for one task).
+    of :mod:`ohlcflow.plans.skew` (for series too large for one task);
+    ``"auto"`` measures the longest series first (one small job) and segments
+    only when it exceeds ``plans.skew.DEFAULT_HOT_ROWS``.
     """
-    if segmented:
-        from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg
+    from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg, should_segment
 
+    if should_segment(segmented, df):
         raw = {f"_raw_{n}": (value, n) for n in windows}
         out = segmented_trailing_avg(df, raw, block_rows=block_rows or DEFAULT_BLOCK_ROWS)
         return out.withColumns(
@@ -80,7 +82,7 @@ def add_volume_spike_flag(
     df: DataFrame,
     window: int = VOLUME_WINDOW,
     multiplier: float = VOLUME_SPIKE_MULTIPLIER,
-    segmented: bool = False,
+    segmented: bool | str = False,
     block_rows: int | None = None,
 ) -> DataFrame:
     """``avg_30d_volume`` (unrounded) and ``volume_spike = volume > 2 * avg``.
@@ -89,10 +91,10 @@ def add_volume_spike_flag(
     rows of a series can never spike. ``segmented`` as in
     :func:`add_moving_averages`.
     """
-    avg_col = f"avg_{window}d_volume"
-    if segmented:
-        from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg
+    from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg, should_segment
 
+    avg_col = f"avg_{window}d_volume"
+    if should_segment(segmented, df):
         df = segmented_trailing_avg(
             df, {avg_col: ("volume", window)}, block_rows=block_rows or DEFAULT_BLOCK_ROWS
         )

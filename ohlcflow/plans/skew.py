@@ -32,6 +32,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 DEFAULT_BLOCK_ROWS = 1_000_000
+# Above this many rows in one series, "auto" switches to the segmented plan.
+DEFAULT_HOT_ROWS = 5_000_000
+
+
+def longest_series(df: DataFrame, key: str = "symbol") -> int:
+    """Rows in the largest series: a partial/final count per key and a global
+    max; one number reaches the driver."""
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(n or 0)
+
+
+def should_segment(segmented, df: DataFrame, key: str = "symbol", hot_rows: int = DEFAULT_HOT_ROWS) -> bool:
+    """Resolve ``segmented`` = True / False / "auto" (measure the longest series)."""
+    if segmented == "auto":
+        return longest_series(df, key) > hot_rows
+    return bool(segmented)
 
 
 def default_bucket(df: DataFrame, order: str, days: int = 31) -> Column:

@@ -54,3 +54,13 @@ def test_null_keys_and_dates(spark, raw_bars):
     ]]
     df = cast_schema(raw_bars(rows))
     assert _same(add_moving_averages(df, [2], segmented=True, block_rows=2), add_moving_averages(df, [2]))
+
+
+def test_auto_mode(spark):
+    from ohlcflow.plans import skew
+
+    bars = Q.clean_bars(spark, SF_SMALL)
+    assert skew.longest_series(bars) == bars.groupBy("symbol").count().agg(F.max("count")).first()[0]
+    assert not skew.should_segment("auto", bars)
+    assert skew.should_segment("auto", bars, hot_rows=10)
+    assert _same(add_moving_averages(bars, [7], segmented="auto"), add_moving_averages(bars, [7]))

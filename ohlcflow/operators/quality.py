@@ -28,6 +28,8 @@ CHECK_NAMES = [
 ]
 # The three checks of the orchestration gate.
 GATE_CHECKS = ["null_symbols", "negative_prices", "duplicates"]
+# The six checks of the SQL-layer runner (no missing_symbols).
+RUNNER_CHECKS = [c for c in CHECK_NAMES if c != "missing_symbols"]
 # ---------------------------------------------------------------------------
 
 

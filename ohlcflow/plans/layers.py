@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.marts import stock_summary, top_movers, volume_analysis
-from ..operators.quality import assert_quality, dq_report
+from ..operators.quality import RUNNER_CHECKS, assert_quality, dq_report
+from ..operators.signals import latest_signal, top_gains, top_volume_spikes
 from ..operators.views import register_views
 from ..schemas import (
     EXPECTED_SYMBOLS,
@@ -144,3 +145,24 @@ def run_chain(
     )
     result = run_layers(spark, bronze, root, expected_symbols, gate_checks, fmt=fmt)
     return result, register_sql_layer(spark, result, fmt)
+
+
+def run_sql_layer(
+    spark: SparkSession,
+    result: PipelineResult,
+    symbol: str | None = None,
+    fmt: str = "parquet",
+) -> dict[str, DataFrame]:
+    """Register the layer, gate on the runner's six checks (PASS/FAIL words),
+    and return the report plus the three sample reports: best days
+    (of ``symbol`` or per symbol), latest signal per symbol, top volume spikes.
+    """
+    views = register_sql_layer(spark, result, fmt)
+    report = dq_report(views["stock_prices_silver"], passed="PASS", failed="FAIL")
+    assert_quality(report, RUNNER_CHECKS)
+    return {
+        "dq_report": report,
+        "top_gains": top_gains(views["vw_stock_summary"], symbol),
+        "latest_signal": latest_signal(views["vw_stock_summary"]),
+        "top_volume_spikes": top_volume_spikes(views["vw_volume_spikes"]),
+    }

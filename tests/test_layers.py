@@ -93,3 +93,28 @@ def test_sql_text_over_registered_layer(spark):
     cross = spark.sql("""
         SELECT count(*) AS n FROM top_movers WHERE rank <= 10""").first()["n"]
     assert cross == res.counts["top_movers"]
+
+
+def test_run_sql_layer(spark):
+    from ohlcflow.plans.layers import run_sql_layer
+
+    res = run_layers(spark, _raw(spark), scratch_path(spark, "layers-runner"),
+                     expected_symbols=["S00"], min_rows=1)
+    # sf0.001 has symbols with fewer than 100 rows: the runner gate fails
+    with pytest.raises(QualityGateError) as e:
+        run_sql_layer(spark, res)
+    assert e.value.failed == ["low_row_count"]
+    assert e.value.counts["low_row_count"] == 3
+
+
+def test_run_sql_layer_reports(spark):
+    from ohlcflow.plans.layers import run_sql_layer
+    from conftest import SF_MEDIUM
+
+    raw = Q.clean_bars(spark, SF_MEDIUM).select(*[F.col(c).cast("string") for c in BAR_FIELDS])
+    res = run_layers(spark, raw, scratch_path(spark, "layers-runner-m"), expected_symbols=["S00"])
+    out = run_sql_layer(spark, res, symbol="S03")
+    assert {r["status"] for r in out["dq_report"].collect()} == {"PASS"}
+    assert out["top_gains"].count() == 5
+    assert out["latest_signal"].count() == 50
+    assert out["top_volume_spikes"].count() == 5

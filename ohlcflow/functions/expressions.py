@@ -35,18 +35,20 @@ def parse_long(col) -> Column:
 
     The legacy cast accepted a decimal point and dropped the fraction
     (``'1.5'`` -> 1, ``'.5'`` -> 0, ``'5.'`` -> 5, ``'-0.5'`` -> 0) but no
-    exponent (``'1e3'`` -> NULL). ``try_cast`` alone rejects every fractional
-    text, so the fraction is cut off as text first; the integral part keeps
-    full 64-bit precision and overflow still yields NULL.
+    exponent (``'1e3'`` -> NULL). Plain integers take the fast path
+    (``try_cast``, which trims the same characters); only what it rejects
+    goes through the text rule: the fraction is cut off as text, so the
+    integral part keeps full 64-bit precision and overflow still yields NULL.
     """
+    raw = _c(col).cast("string")
     # the legacy cast trims every character <= ' ' (spaces, tabs, newlines)
-    s = F.regexp_replace(_c(col).cast("string"), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    s = F.regexp_replace(raw, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     # '.5' -> '0.5', '-.5' -> '-0.5', '.' -> '0.'
     s = F.regexp_replace(s, r"^([+-]?)\.", "$10.")
     integral = F.when(
         s.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), F.regexp_replace(s, r"\.[0-9]*$", "")
     )
-    return integral.try_cast("long")
+    return F.coalesce(raw.try_cast("long"), integral.try_cast("long"))
 
 
 def is_finite(col) -> Column:

@@ -25,12 +25,12 @@ from ..schemas import (
     MIN_ROWS_PER_SYMBOL,
     TOP_N,
 )
-from ..sources.tables import read_table, register_tables, write_table
+from ..sources.tables import read_partitioned, read_table, write_table
 from .silver import to_silver
 
 
 @dataclass
-class PipelineResult:
+class LayerResult:
     paths: dict[str, str]
     counts: dict[str, int] = field(default_factory=dict)
     quality: dict[str, int] = field(default_factory=dict)
@@ -52,35 +52,43 @@ def write_silver(silver: DataFrame, path: str, fmt: str = "parquet", counts: dic
     )
 
 
-def run_layers(
-    spark: SparkSession,
-    bronze: DataFrame,
-    out_root: str,
-    expected_symbols: Sequence[str] = EXPECTED_SYMBOLS,
-    gate_checks: Sequence[str] | None = None,
-    windows: Sequence[int] = MA_WINDOWS,
-    top_n: int = TOP_N,
-    max_spike: float = MAX_PRICE_SPIKE,
-    min_rows: int = MIN_ROWS_PER_SYMBOL,
-    fmt: str = "parquet",
-) -> PipelineResult:
-    """Run all layers; raises ``QualityGateError`` (gold not written) on a failed gate."""
+def layer_paths(out_root: str) -> dict[str, str]:
     root = out_root.rstrip("/")
-    paths = {
+    return {
+        "bronze": f"{root}/bronze/stock_prices",
         "silver": f"{root}/silver/stock_prices",
         "stock_summary": f"{root}/gold/stock_summary",
         "top_movers": f"{root}/gold/top_movers",
         "volume_analysis": f"{root}/gold/volume_analysis",
     }
-    res = PipelineResult(paths)
 
+
+def bronze_to_silver(
+    spark: SparkSession,
+    bronze: DataFrame,
+    silver_path: str,
+    max_spike: float = MAX_PRICE_SPIKE,
+    fmt: str = "parquet",
+    result: LayerResult | None = None,
+) -> DataFrame:
+    """Write silver (symbol-partitioned) and return it read back from disk."""
+    res = result if result is not None else LayerResult({"silver": silver_path})
     silver = to_silver(bronze, max_spike)
     res.schemas["silver"] = silver.schema
-    write_silver(silver, paths["silver"], fmt, res.counts)
-    silver = read_table(spark, paths["silver"], res.schemas["silver"], fmt)
+    write_silver(silver, silver_path, fmt, res.counts)
+    return read_table(spark, silver_path, res.schemas["silver"], fmt)
 
-    res.quality = assert_quality(dq_report(silver, expected_symbols, min_rows), gate_checks)
 
+def silver_to_gold(
+    silver: DataFrame,
+    paths: dict[str, str],
+    windows: Sequence[int] = MA_WINDOWS,
+    top_n: int = TOP_N,
+    fmt: str = "parquet",
+    result: LayerResult | None = None,
+) -> LayerResult:
+    """Write the three gold tables from a silver DataFrame."""
+    res = result if result is not None else LayerResult(dict(paths))
     gold = {
         # stock_summary comes out of the window hash-partitioned by symbol and
         # sorted by (symbol, date): the partitioned write adds no shuffle.
@@ -95,18 +103,44 @@ def run_layers(
     return res
 
 
+def run_layers(
+    spark: SparkSession,
+    bronze: DataFrame,
+    out_root: str,
+    expected_symbols: Sequence[str] = EXPECTED_SYMBOLS,
+    gate_checks: Sequence[str] | None = None,
+    windows: Sequence[int] = MA_WINDOWS,
+    top_n: int = TOP_N,
+    max_spike: float = MAX_PRICE_SPIKE,
+    min_rows: int = MIN_ROWS_PER_SYMBOL,
+    fmt: str = "parquet",
+) -> LayerResult:
+    """Silver -> quality gate -> gold; raises ``QualityGateError`` (gold not
+    written) when a gate check fails."""
+    paths = layer_paths(out_root)
+    res = LayerResult({k: v for k, v in paths.items() if k != "bronze"})
+    silver = bronze_to_silver(spark, bronze, paths["silver"], max_spike, fmt, res)
+    res.quality = assert_quality(dq_report(silver, expected_symbols, min_rows), gate_checks)
+    return silver_to_gold(silver, paths, windows, top_n, fmt, res)
+
+
 def register_sql_layer(
-    spark: SparkSession, result: PipelineResult, fmt: str = "parquet"
+    spark: SparkSession, result: LayerResult, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    """Temp views over the written tables plus the three analytical views."""
+    """Temp views over the written tables plus the three analytical views.
+
+    Tables are read with the schemas recorded when they were written, or,
+    for a result rebuilt from paths alone, with ``symbol`` declared a string.
+    """
     layer = {"stock_prices_silver": "silver", "stock_summary": "stock_summary",
              "top_movers": "top_movers", "volume_analysis": "volume_analysis"}
-    tables = register_tables(
-        spark,
-        {name: result.paths[key] for name, key in layer.items()},
-        {name: result.schemas[key] for name, key in layer.items() if key in result.schemas},
-        fmt=fmt,
-    )
+    tables = {}
+    for name, key in layer.items():
+        path = result.paths[key]
+        schema = result.schemas.get(key)
+        df = read_table(spark, path, schema, fmt) if schema else read_partitioned(spark, path, fmt)
+        df.createOrReplaceTempView(name)
+        tables[name] = df
     views = register_views(tables["stock_summary"], tables["top_movers"], tables["volume_analysis"])
     return {**tables, **views}
 
@@ -120,7 +154,7 @@ def run_chain(
     gate_checks: Sequence[str] | None = None,
     max_files_per_trigger: int | None = None,
     fmt: str = "parquet",
-) -> tuple[PipelineResult, dict[str, DataFrame]]:
+) -> tuple[LayerResult, dict[str, DataFrame]]:
     """The whole chain in the reference's task order.
 
     produce (price CSVs -> JSON messages, written as files) -> consume
@@ -128,28 +162,55 @@ def run_chain(
     layer. Every step is a Spark job on the executors; the driver only
     coordinates. Returns the layer result and the registered tables/views.
     """
+    root = out_root.rstrip("/")
+    messages = f"{root}/messages"
+    produce_messages(spark, messages, csv_path, symbol_files)
+    bronze = consume_messages(spark, messages, root, max_files_per_trigger, fmt=fmt)
+    result = run_layers(spark, bronze, root, expected_symbols, gate_checks, fmt=fmt)
+    return result, register_sql_layer(spark, result, fmt)
+
+
+def produce_messages(
+    spark: SparkSession,
+    messages_dir: str,
+    csv_path: str | None = None,
+    symbol_files: dict[str, str] | None = None,
+) -> None:
+    """Price CSVs -> JSON bar messages, written as text files (one per task)."""
     from ..sources.csv import scan_csv
     from ..sources.messages import encode_messages
+
+    bars = scan_csv(spark, csv_path, symbol_files)
+    encode_messages(bars).write.mode("overwrite").text(messages_dir)
+
+
+def consume_messages(
+    spark: SparkSession,
+    messages_dir: str,
+    out_root: str,
+    max_files_per_trigger: int | None = None,
+    source_label: str | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Drain the message files into ``<root>/bronze`` (checkpointed); returns bronze."""
+    from ..schemas import BRONZE_SOURCE
     from ..streaming.ingest import message_stream, run_ingest
 
     root = out_root.rstrip("/")
-    messages = f"{root}/messages"
-    encode_messages(scan_csv(spark, csv_path, symbol_files)).write.mode("overwrite").text(messages)
-    bronze = run_ingest(
+    return run_ingest(
         spark,
-        message_stream(spark, "files", messages, max_per_trigger=max_files_per_trigger),
-        f"{root}/bronze/stock_prices",
+        message_stream(spark, "files", messages_dir, max_per_trigger=max_files_per_trigger),
+        layer_paths(root)["bronze"],
         f"{root}/_checkpoints/bronze",
         rejects_path=f"{root}/bronze/rejects",
+        source_label=source_label or BRONZE_SOURCE,
         fmt=fmt,
     )
-    result = run_layers(spark, bronze, root, expected_symbols, gate_checks, fmt=fmt)
-    return result, register_sql_layer(spark, result, fmt)
 
 
 def run_sql_layer(
     spark: SparkSession,
-    result: PipelineResult,
+    result: LayerResult,
     symbol: str | None = None,
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:

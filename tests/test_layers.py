@@ -118,3 +118,29 @@ def test_run_sql_layer_reports(spark):
     assert out["top_gains"].count() == 5
     assert out["latest_signal"].count() == 50
     assert out["top_volume_spikes"].count() == 5
+
+
+def test_cli_steps(spark):
+    """produce -> consume -> silver -> gold -> sql, each step reading the previous one's files."""
+    from ohlcflow.__main__ import main
+    from ohlcflow.queries import write_price_csvs
+    from conftest import SF_MEDIUM
+
+    csv_root = scratch_path(spark, "cli-csv")
+    write_price_csvs(Q.clean_bars(spark, SF_MEDIUM), csv_root)
+    root = scratch_path(spark, "cli")
+    msgs = root + "/messages"
+    # each step gets the running session (getOrCreate) and stops it at the
+    # end; keep the shared test session alive
+    stop = spark.stop
+    spark.stop = lambda: None
+    try:
+        assert main(["produce", "--csv", csv_root, "--messages", msgs]) == 0
+        assert main(["consume", "--messages", msgs, "--out", root]) == 0
+        assert main(["silver", "--out", root]) == 0
+        assert main(["gold", "--out", root, "--expected", "S00,S49"]) == 0
+        assert main(["sql", "--out", root, "--symbol", "S01"]) == 0
+    finally:
+        spark.stop = stop
+    gold = spark.read.parquet(root + "/gold/volume_analysis")
+    assert gold.count() == 3346

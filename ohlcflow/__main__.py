@@ -56,11 +56,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--files-per-trigger", type=int)
     ap.add_argument("--symbol")
     ap.add_argument("--master")
+    ap.add_argument("--segmented", choices=["no", "yes", "auto"], default="no",
+                    help="per-symbol window plan for very long series")
     a = ap.parse_args(argv)
     spark = _session(a.master)
     expected = _list(a.expected, EXPECTED_SYMBOLS)
     checks = _list(a.checks)
     paths = layer_paths(a.out) if a.out else {}
+    segmented = {"no": False, "yes": True, "auto": "auto"}[a.segmented]
 
     if a.step == "chain":
         res, _ = run_chain(spark, a.out, csv_path=a.csv, expected_symbols=expected,
@@ -78,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.step == "gold":
         silver = read_partitioned(spark, paths["silver"])
         assert_quality(dq_report(silver, expected), checks)
-        print(silver_to_gold(silver, paths).counts)
+        print(silver_to_gold(silver, paths, segmented=segmented).counts)
     elif a.step == "sql":
         res = LayerResult({k: v for k, v in paths.items() if k != "bronze"})
         for name, df in run_sql_layer(spark, res, a.symbol).items():

@@ -24,16 +24,20 @@ VOLUME_COLUMNS = [
 
 
 def stock_summary(
-    silver: DataFrame, windows: Sequence[int] = MA_WINDOWS, keep_audit: bool = True
+    silver: DataFrame,
+    windows: Sequence[int] = MA_WINDOWS,
+    keep_audit: bool = True,
+    segmented: bool | str = False,
 ) -> DataFrame:
     """Daily bars with ``ma_{n}d`` for every window (one shuffle on symbol).
 
     ``_processed_at`` is carried when present and ``keep_audit`` is set.
+    ``segmented``: see :func:`ohlcflow.operators.features.add_moving_averages`.
     """
     cols = SUMMARY_BASE + [ma_column(w) for w in windows]
     if keep_audit and "_processed_at" in silver.columns:
         cols.append("_processed_at")
-    return add_moving_averages(silver, windows).select(*cols)
+    return add_moving_averages(silver, windows, segmented=segmented).select(*cols)
 
 
 def top_movers(silver: DataFrame, top_n: int = TOP_N) -> DataFrame:
@@ -57,8 +61,11 @@ def top_movers(silver: DataFrame, top_n: int = TOP_N) -> DataFrame:
     )
 
 
-def volume_analysis(silver: DataFrame, window: int = VOLUME_WINDOW) -> DataFrame:
+def volume_analysis(
+    silver: DataFrame, window: int = VOLUME_WINDOW, segmented: bool | str = False
+) -> DataFrame:
     """Bars whose volume exceeds twice the trailing ``window``-row average."""
     avg_col = f"avg_{window}d_volume"
     cols = [avg_col if c == "avg_30d_volume" else c for c in VOLUME_COLUMNS]
-    return add_volume_spike_flag(silver, window).filter(F.col("volume_spike")).select(*cols)
+    flagged = add_volume_spike_flag(silver, window, segmented=segmented)
+    return flagged.filter(F.col("volume_spike")).select(*cols)

@@ -24,16 +24,27 @@ def _series_input(df: DataFrame, symbol: str | None, ordered: bool) -> DataFrame
     return out.repartitionByRange("symbol") if ordered else out
 
 
-def sma(df: DataFrame, window: int, symbol: str | None = None, ordered: bool = True) -> DataFrame:
+def sma(
+    df: DataFrame,
+    window: int,
+    symbol: str | None = None,
+    ordered: bool = True,
+    segmented: bool | str = False,
+) -> DataFrame:
     """(symbol, date, close, ma_{n}d) for every symbol, or one when given."""
     col = ma_column(window)
-    out = add_moving_averages(_series_input(df, symbol, ordered), [window])
+    out = add_moving_averages(_series_input(df, symbol, ordered), [window], segmented=segmented)
     out = out.select("symbol", "date", "close", col)
     return out.orderBy("symbol", "date") if ordered else out
 
 
 def crossover(
-    df: DataFrame, fast: int = 7, slow: int = 30, symbol: str | None = None, ordered: bool = True
+    df: DataFrame,
+    fast: int = 7,
+    slow: int = 30,
+    symbol: str | None = None,
+    ordered: bool = True,
+    segmented: bool | str = False,
 ) -> DataFrame:
     """Fast/slow average state per bar in one window pass.
 
@@ -42,7 +53,9 @@ def crossover(
     whenever (symbol, date) is unique and non-NULL, without its extra shuffles.
     """
     f, s = ma_column(fast), ma_column(slow)
-    out = add_moving_averages(_series_input(df, symbol, ordered), [fast, slow])
+    out = add_moving_averages(
+        _series_input(df, symbol, ordered), [fast, slow], segmented=segmented
+    )
     out = out.select("symbol", "date", "close", f, s, crossover_signal(f, s).alias("crossover_signal"))
     return out.orderBy("symbol", "date") if ordered else out
 

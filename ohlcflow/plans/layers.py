@@ -86,16 +86,22 @@ def silver_to_gold(
     top_n: int = TOP_N,
     fmt: str = "parquet",
     result: LayerResult | None = None,
+    segmented: bool | str = False,
 ) -> LayerResult:
-    """Write the three gold tables from a silver DataFrame."""
+    """Write the three gold tables from a silver DataFrame.
+
+    ``segmented`` selects the per-symbol window plan (False: direct, True:
+    block + halo, "auto": measure the longest series first).
+    """
     res = result if result is not None else LayerResult(dict(paths))
     gold = {
         # stock_summary comes out of the window hash-partitioned by symbol and
         # sorted by (symbol, date): the partitioned write adds no shuffle.
-        "stock_summary": (stock_summary(silver, windows),
+        "stock_summary": (stock_summary(silver, windows, segmented=segmented),
                           dict(partition_by=["symbol"], cluster_by=["symbol", "date"])),
         "top_movers": (top_movers(silver, top_n), dict(cluster_by=["date", "direction", "rank"])),
-        "volume_analysis": (volume_analysis(silver), dict(cluster_by=["date", "symbol"])),
+        "volume_analysis": (volume_analysis(silver, segmented=segmented),
+                            dict(cluster_by=["date", "symbol"])),
     }
     for name, (df, kw) in gold.items():
         res.schemas[name] = df.schema
@@ -114,6 +120,7 @@ def run_layers(
     max_spike: float = MAX_PRICE_SPIKE,
     min_rows: int = MIN_ROWS_PER_SYMBOL,
     fmt: str = "parquet",
+    segmented: bool | str = False,
 ) -> LayerResult:
     """Silver -> quality gate -> gold; raises ``QualityGateError`` (gold not
     written) when a gate check fails."""
@@ -121,7 +128,7 @@ def run_layers(
     res = LayerResult({k: v for k, v in paths.items() if k != "bronze"})
     silver = bronze_to_silver(spark, bronze, paths["silver"], max_spike, fmt, res)
     res.quality = assert_quality(dq_report(silver, expected_symbols, min_rows), gate_checks)
-    return silver_to_gold(silver, paths, windows, top_n, fmt, res)
+    return silver_to_gold(silver, paths, windows, top_n, fmt, res, segmented)
 
 
 def register_sql_layer(

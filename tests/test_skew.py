@@ -64,3 +64,11 @@ def test_auto_mode(spark):
     assert not skew.should_segment("auto", bars)
     assert skew.should_segment("auto", bars, hot_rows=10)
     assert _same(add_moving_averages(bars, [7], segmented="auto"), add_moving_averages(bars, [7]))
+
+
+def test_marts_segmented_pass_through(spark):
+    from ohlcflow.operators.marts import stock_summary, volume_analysis
+
+    s = Q.clean_silver(spark, SF_SMALL)
+    assert _same(stock_summary(s, segmented=True), stock_summary(s))
+    assert _same(volume_analysis(s, segmented="auto"), volume_analysis(s))

@@ -210,6 +210,18 @@ def q_dq_report(spark, sf_dir):
     return DQ.dq_report(dirty_silver(spark, sf_dir), DQ_EXPECTED)
 
 
+def q_dq_report_runner(spark, sf_dir):
+    """The SQL-layer runner's six checks with PASS/FAIL status words."""
+    rep = DQ.dq_report(dirty_silver(spark, sf_dir), passed="PASS", failed="FAIL")
+    return rep.filter(F.col("check_name").isin(DQ.RUNNER_CHECKS))
+
+
+def q_dq_gate_checks(spark, sf_dir):
+    """The orchestration gate's three checks (its price test: open/close only)."""
+    rep = DQ.dq_report(dirty_silver(spark, sf_dir), price_columns=("open", "close"))
+    return rep.filter(F.col("check_name").isin(DQ.GATE_CHECKS))
+
+
 def q_dq_duplicates(spark, sf_dir):
     return DQ.dq_duplicates(q_filter_valid(spark, sf_dir))
 
@@ -264,6 +276,28 @@ def q_scan_csv(spark, sf_dir):
     return _typed_bars(scan_csv(spark, root))
 
 
+def write_symbol_files(spark, bars: DataFrame, root: str) -> dict[str, str]:
+    """One CSV file per symbol (``symbol=<s>/part-*.csv``); returns symbol -> file."""
+    bars.repartition("symbol").write.option("header", True).partitionBy("symbol").csv(root)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/symbol=*/part-*.csv")
+    out = {}
+    for st in pattern.getFileSystem(conf).globStatus(pattern):
+        p = st.getPath()
+        out[p.getParent().getName().split("=", 1)[1]] = p.toString()
+    return out
+
+
+def q_scan_csv_symbol_map(spark, sf_dir):
+    """Files named by a symbol -> file map (no symbol in the data or path
+    parsing); a configured file that does not exist contributes no rows."""
+    root = scratch_path(spark, "symbol-files")
+    files = write_symbol_files(spark, clean_bars(spark, sf_dir), root)
+    files["ZZZ"] = f"{root}/missing.csv"
+    return _typed_bars(scan_csv(spark, symbol_files=files))
+
+
 def q_ingest_stream(spark, sf_dir):
     src = scratch_path(spark, "messages")
     encode_messages(clean_bars(spark, sf_dir)).write.text(src)
@@ -313,6 +347,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_volume_spikes": q_top_volume_spikes,
     "latest_signal": q_latest_signal,
     "dq_report": q_dq_report,
+    "dq_report_runner": q_dq_report_runner,
+    "dq_gate_checks": q_dq_gate_checks,
     "dq_duplicates": q_dq_duplicates,
     "dq_low_rows": q_dq_low_rows,
     "missing_symbols": q_missing_symbols,
@@ -320,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_messages": q_encode_messages,
     "decode_messages": q_decode_messages,
     "scan_csv": q_scan_csv,
+    "scan_csv_symbol_map": q_scan_csv_symbol_map,
     "ingest_stream": q_ingest_stream,
     "written_stock_summary": q_written_stock_summary,
 }
@@ -555,6 +592,27 @@ FROM vw_summary GROUP BY symbol ORDER BY symbol""",
     WHERE NOT EXISTS (SELECT 1 FROM silver_d s WHERE s.symbol = e.expected_symbol)
   UNION ALL SELECT 'low_row_count', count(*) FROM (
     SELECT symbol FROM silver_d GROUP BY symbol HAVING count(*) < 100))""",
+    "dq_report_runner": _with(*_SD)
+    + """SELECT check_name, fail_count,
+       CASE WHEN fail_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+  SELECT 'null_symbols' AS check_name, cast(count(*) AS bigint) AS fail_count
+    FROM silver_d WHERE symbol IS NULL
+  UNION ALL SELECT 'null_dates', count(*) FROM silver_d WHERE date IS NULL
+  UNION ALL SELECT 'negative_prices', count(*) FROM silver_d
+    WHERE open <= 0 OR high <= 0 OR low <= 0 OR close <= 0
+  UNION ALL SELECT 'high_lt_low', count(*) FROM silver_d WHERE high < low
+  UNION ALL SELECT 'duplicates', count(*) FROM (
+    SELECT symbol, date FROM silver_d GROUP BY symbol, date HAVING count(*) > 1)
+  UNION ALL SELECT 'low_row_count', count(*) FROM (
+    SELECT symbol FROM silver_d GROUP BY symbol HAVING count(*) < 100))""",
+    "dq_gate_checks": _with(*_SD)
+    + """SELECT check_name, fail_count,
+       CASE WHEN fail_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS status FROM (
+  SELECT 'null_symbols' AS check_name, cast(count(*) AS bigint) AS fail_count
+    FROM silver_d WHERE symbol IS NULL
+  UNION ALL SELECT 'negative_prices', count(*) FROM silver_d WHERE open <= 0 OR close <= 0
+  UNION ALL SELECT 'duplicates', count(*) FROM (
+    SELECT symbol, date FROM silver_d GROUP BY symbol, date HAVING count(*) > 1))""",
     "dq_duplicates": _with(*_D)
     + "SELECT symbol, date, count(*) AS cnt FROM valid GROUP BY symbol, date HAVING count(*) > 1",
     "dq_low_rows": _with(*_SD)
@@ -569,6 +627,7 @@ WHERE NOT EXISTS (SELECT 1 FROM silver_d s WHERE s.symbol = e.expected_symbol)""
        'volume': cast(volume AS varchar)}) AS varchar) AS value FROM clean_bars""",
     "decode_messages": _with(*_C) + "SELECT * FROM clean_bars",
     "scan_csv": _with(*_C) + "SELECT * FROM clean_bars",
+    "scan_csv_symbol_map": _with(*_C) + "SELECT * FROM clean_bars",
     "ingest_stream": _with(*_C) + "SELECT * FROM clean_bars",
     "written_stock_summary": _with(*_SC, CTE_SUMMARY) + "SELECT * FROM summary",
     "missing_symbols_not_in": _with(*_SD)

@@ -32,14 +32,22 @@ def tick_price() -> Column:
     ) / PRICE_GRID
 
 
-def bars_from_ticks(lineitem: DataFrame) -> DataFrame:
+def bars_from_ticks(lineitem: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Daily OHLCV bars: one row per (symbol, ship date).
 
     open/close are the prices of the first/last tick by (l_orderkey,
     l_linenumber, l_suppkey, l_extendedprice, l_quantity); high/low the
-    extremes; volume the summed quantity. A partial/final hash aggregate:
-    each task pre-aggregates its ticks before the shuffle on the bar key.
+    extremes; volume the summed quantity. A partial/final aggregate: each
+    task combines its ticks before the shuffle on the bar key.
+
+    An input read by fewer tasks than ``min_partitions`` (default: the
+    cluster's parallelism), e.g. one large unsplittable file, is first spread
+    round-robin so that the partial aggregation runs in parallel; an input
+    with enough splits is aggregated where it is read (no extra shuffle).
     """
+    target = min_partitions or lineitem.sparkSession.sparkContext.defaultParallelism
+    if lineitem.rdd.getNumPartitions() < target:
+        lineitem = lineitem.repartition(target)
     order = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
     # Group on the integer symbol id (cheaper sort and shuffle key than the
     # text symbol, which is built once per bar after the aggregation).

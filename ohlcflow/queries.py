@@ -28,7 +28,7 @@ from .operators import views as V
 from .plans.layers import run_layers
 from .plans.silver import to_silver
 from .plans.storage import path_exists, scratch_path
-from .schemas import BAR_FIELDS, TYPED_BAR_SCHEMA
+from .schemas import BAR_FIELDS, RAW_BAR_SCHEMA, TYPED_BAR_SCHEMA
 from .sources.csv import scan_csv
 from .sources.fixtures import bars_from_ticks, dirty_bars
 from .sources.messages import decode_messages, encode_messages
@@ -49,30 +49,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# (application id, data dir) -> written clean-bar table
-_BARS_TABLES: dict[tuple[str, str], str] = {}
+# (application id, data dir, name) -> written fixture table
+_FIXTURE_TABLES: dict[tuple[str, str, str], str] = {}
 
 
-def clean_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars derived from ``lineitem``, built once per session and data dir.
+def _fixture_table(spark: SparkSession, sf_dir: str, name: str, build, schema) -> DataFrame:
+    """Build a derived input table once per session and data dir, then read it.
 
-    The tick -> bar aggregation is written as a Parquet table under the
-    checkpoint directory and every query reads it back, as the layered job
-    reads silver: queries do not recompute the lineage, and a lost executor
-    re-reads files instead of re-aggregating the ticks.
+    Written as Parquet under the checkpoint directory; every query reads it
+    back (as the layered job reads its tables): queries do not recompute the
+    lineage, and a lost executor re-reads files instead of recomputing them.
+    Only a completely written table (commit marker present) is reused.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _BARS_TABLES.get(key)
-    # reuse only a completely written table (commit marker present)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _FIXTURE_TABLES.get(key)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
-        path = scratch_path(spark, "bars")
-        bars_from_ticks(_table(spark, sf_dir, "lineitem")).write.parquet(path)
-        _BARS_TABLES[key] = path
-    return read_table(spark, path, TYPED_BAR_SCHEMA)
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
+        _FIXTURE_TABLES[key] = path
+    return read_table(spark, path, schema)
+
+
+def clean_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars aggregated from all of ``lineitem`` (typed)."""
+    return _fixture_table(
+        spark, sf_dir, "bars",
+        lambda: bars_from_ticks(_table(spark, sf_dir, "lineitem")), TYPED_BAR_SCHEMA,
+    )
 
 
 def raw_dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_bars(clean_bars(spark, sf_dir))
+    """The clean bars as raw strings with injected defects (bronze-like)."""
+    return _fixture_table(
+        spark, sf_dir, "dirty-bars", lambda: dirty_bars(clean_bars(spark, sf_dir)), RAW_BAR_SCHEMA
+    )
 
 
 def clean_silver(spark: SparkSession, sf_dir: str) -> DataFrame:

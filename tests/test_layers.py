@@ -58,6 +58,14 @@ def test_chain_from_csv(spark):
     n_files = len([f for f in os.listdir(root + "/messages") if f.startswith("part-")])
     bronze = spark.read.parquet(root + "/bronze/stock_prices")
     assert bronze.select("_batch_number").distinct().count() == n_files
+    # layer invariants: audit columns, source label, silver <= bronze, all symbols kept
+    assert {"_ingested_at", "_batch_number", "_source"} <= set(bronze.columns)
+    assert bronze.filter(F.col("_source") != "kafka").count() == 0
+    silver = views["stock_prices_silver"]
+    assert silver.count() <= bronze.count()
+    assert silver.select("symbol").distinct().count() == bronze.select("symbol").distinct().count() == 50
+    assert {"daily_return_pct", "price_range", "price_spike_flag", "_processed_at"} <= set(silver.columns)
+    assert views["stock_summary"].count() == silver.count()
     summary = views["stock_summary"].drop("_processed_at")
     assert summary.exceptAll(Q.q_stock_summary(spark, SF_SMALL)).count() == 0
     assert views["vw_volume_spikes"].count() == 176

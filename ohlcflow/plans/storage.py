@@ -4,25 +4,40 @@ Intermediate data goes under the cluster's checkpoint directory
 (``spark.checkpoint.dir``), which on a cluster names shared storage that all
 executors and a restarted driver can reach. A directory of our own is set
 only when the session has none (local runs and tests).
+
+File-system checks go through Hadoop's ``FileSystem`` API when the session
+runs in this process (classic PySpark); a Spark Connect session has no local
+JVM, so only local paths can be checked there.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, None for Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's checkpoint directory, set to a fresh local one if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="ohlcflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
@@ -31,9 +46,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/ohlcflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    sc = _context(spark)
+    if sc is None:
+        return None, None
+    hp = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hp, hp.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system API (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hp.getFileSystem(conf).exists(hp))
+    hp, fs = _hadoop_path(spark, path)
+    if fs is None:
+        return os.path.exists(path.removeprefix("file:"))
+    return bool(fs.exists(hp))
+
+
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """``path`` fully qualified by its file system (``file:/...``, ``s3a://...``)."""
+    hp, fs = _hadoop_path(spark, path)
+    if fs is None:
+        return path if "://" in path or path.startswith("file:") else "file:" + os.path.abspath(path)
+    return fs.makeQualified(hp).toString()
+
+
+def app_id(spark: SparkSession) -> str:
+    """The application id (classic and Spark Connect sessions)."""
+    return spark.conf.get("spark.app.id", None) or "session"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "0") or 0)

@@ -14,6 +14,7 @@ default); ranks are cast to ``integer`` and counts to ``bigint``.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from .operators import signals as S
 from .operators import views as V
 from .plans.layers import run_layers
 from .plans.silver import to_silver
-from .plans.storage import path_exists, scratch_path
+from .plans.storage import app_id, path_exists, scratch_path
 from .schemas import BAR_FIELDS, RAW_BAR_SCHEMA, TYPED_BAR_SCHEMA
 from .sources.csv import scan_csv
 from .sources.fixtures import bars_from_ticks, dirty_bars
@@ -61,7 +62,7 @@ def _fixture_table(spark: SparkSession, sf_dir: str, name: str, build, schema) -
     lineage, and a lost executor re-reads files instead of recomputing them.
     Only a completely written table (commit marker present) is reused.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (app_id(spark), os.path.abspath(sf_dir), name)
     path = _FIXTURE_TABLES.get(key)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = scratch_path(spark, name)
@@ -289,14 +290,9 @@ def q_scan_csv(spark, sf_dir):
 def write_symbol_files(spark, bars: DataFrame, root: str) -> dict[str, str]:
     """One CSV file per symbol (``symbol=<s>/part-*.csv``); returns symbol -> file."""
     bars.repartition("symbol").write.option("header", True).partitionBy("symbol").csv(root)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/symbol=*/part-*.csv")
-    out = {}
-    for st in pattern.getFileSystem(conf).globStatus(pattern):
-        p = st.getPath()
-        out[p.getParent().getName().split("=", 1)[1]] = p.toString()
-    return out
+    # the written file of each symbol, from the table's file listing
+    files = spark.read.option("header", True).csv(root).inputFiles()
+    return {re.search(r"symbol=([^/]+)/", f).group(1): f for f in files}
 
 
 def q_scan_csv_symbol_map(spark, sf_dir):

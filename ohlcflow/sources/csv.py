@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..plans.storage import path_exists
+from ..plans.storage import path_exists, qualified_path
 from ..schemas import BAR_FIELDS, CSV_MISSING_DEFAULTS
 
 # Header names accepted per field, in priority order (fixed values).
@@ -66,11 +66,7 @@ def _normalise_path(col: Column) -> Column:
 
 def _qualified(spark: SparkSession, path: str) -> str:
     """Fully qualified form of ``path`` as it appears in ``_metadata.file_path``."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    q = hp.getFileSystem(conf).makeQualified(hp).toString()
-    return re.sub(r"^file:/+", "/", q)
+    return re.sub(r"^file:/+", "/", qualified_path(spark, path))
 
 
 def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
@@ -144,7 +140,8 @@ def scan_csv(
     )
     # Size bound without pulling the listing into Python: the file count of
     # the JVM-side listing times the longest possible path plus the positions.
-    n_files = len(raw._jdf.inputFiles())
+    jdf = getattr(raw, "_jdf", None)
+    n_files = len(jdf.inputFiles()) if jdf is not None else len(raw.inputFiles())
     if n_files * (MAX_PATH_BYTES + 64) <= broadcast_limit_bytes:
         headers = F.broadcast(headers)
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.storage import default_parallelism
+
 # --- fixed values of the fixture specification -----------------------------
 N_SYMBOLS = 50            # symbols S00 .. S49 from l_partkey % 50
 PRICE_BASE = 100          # price = 100 + floor(l_extendedprice / 2000 * 64) / 64
@@ -45,8 +47,12 @@ def bars_from_ticks(lineitem: DataFrame, min_partitions: int | None = None) -> D
     round-robin so that the partial aggregation runs in parallel; an input
     with enough splits is aggregated where it is read (no extra shuffle).
     """
-    target = min_partitions or lineitem.sparkSession.sparkContext.defaultParallelism
-    if lineitem.rdd.getNumPartitions() < target:
+    target = min_partitions or default_parallelism(lineitem.sparkSession)
+    try:
+        splits = lineitem.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD API: keep the input as read
+        splits = target
+    if splits < target:
         lineitem = lineitem.repartition(target)
     order = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
     # Group on the integer symbol id (cheaper sort and shuffle key than the

@@ -47,19 +47,6 @@ def _cells(n: int) -> list[str]:
     return [f"c{i}" for i in range(n)]
 
 
-def header_positions(header: list[str | None]) -> dict[str, int | None]:
-    """Field -> cell index for one header (last duplicate wins, as in a dict)."""
-    pos = {}
-    for field, names in HEADER_NAMES.items():
-        pos[field] = None
-        for name in names:
-            idx = [i for i, h in enumerate(header) if h == name]
-            if idx:
-                pos[field] = idx[-1]
-                break
-    return pos
-
-
 def _normalise_path(col: Column) -> Column:
     return F.regexp_replace(col, r"^file:/+", "/")
 

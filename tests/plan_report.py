@@ -43,6 +43,44 @@ def summarise(plan: str) -> dict:
     }
 
 
+def _scan_lines(plan: str) -> list[str]:
+    keep = ("PartitionFilters", "PushedFilters", "ReadSchema", "Location")
+    out = []
+    for block in (b.strip("\n") for b in plan.split("\n\n")):
+        if "Scan parquet" in block.split("\n")[0]:
+            out += [ln for ln in block.split("\n")[1:] if ln.startswith(keep)]
+    return out
+
+
+def _layer_examples(spark, sf_dir: str) -> list[str]:
+    from pyspark.sql import functions as F
+
+    from ohlcflow import queries as Q
+    from ohlcflow.operators.signals import sma, top_gains
+    from ohlcflow.operators.views import vw_stock_summary
+    from ohlcflow.plans.layers import register_sql_layer, run_layers
+    from ohlcflow.plans.storage import scratch_path
+    from ohlcflow.schemas import BAR_FIELDS
+
+    raw = Q.clean_bars(spark, sf_dir).select(*[F.col(c).cast("string") for c in BAR_FIELDS])
+    res = run_layers(spark, raw, scratch_path(spark, "plan-layers"), expected_symbols=["S00"],
+                     min_rows=1)
+    t = register_sql_layer(spark, res)
+    examples = {
+        "sma(stock_summary, 7, symbol='S07')": sma(t["stock_summary"], 7, symbol="S07"),
+        "top_gains(vw_stock_summary, symbol='S07')": top_gains(t["vw_stock_summary"], "S07"),
+        "vw_stock_summary where date >= 2000-01-01": vw_stock_summary(t["stock_summary"]).filter(
+            F.col("date") >= F.lit("2000-01-01").cast("date")
+        ),
+        "silver where close > 150 (columns symbol, date, close)": t["stock_prices_silver"]
+        .filter(F.col("close") > 150).select("symbol", "date", "close"),
+    }
+    out = []
+    for name, df in examples.items():
+        out += [f"### {name}", "", "```"] + _scan_lines(formatted_plan(df)) + ["```", ""]
+    return out
+
+
 def main():
     from pyspark.sql import SparkSession
 
@@ -83,6 +121,8 @@ def main():
             f" {s['hash_aggregates']} / {s['sort_aggregates']} | {', '.join(s['joins']) or '-'} |"
         )
         details.append(f"### {name}\n\nReadSchema: " + "; ".join(f"`{r}`" for r in s["read_schema"]))
+    lines += ["", "## Filters reaching the scan (library calls on written layers)", ""]
+    lines += _layer_examples(spark, sf_dir)
     lines += ["", "## Columns read per query", ""] + details
     with open(out, "w") as f:
         f.write("\n".join(lines) + "\n")

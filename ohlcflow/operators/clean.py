@@ -63,13 +63,14 @@ def filter_valid_prices(df: DataFrame, finite_only: bool = True) -> DataFrame:
 
 
 def default_dedup_order(df: DataFrame) -> list[Column]:
-    """Earliest ingest batch first, then the lowest payload.
+    """Earliest ingest first (time, then batch number), then the lowest payload.
 
     Makes the surviving row independent of input order and partitioning.
     """
     order = []
-    if "_batch_number" in df.columns:
-        order.append(F.col("_batch_number").asc())
+    for audit in ("_ingested_at", "_batch_number"):
+        if audit in df.columns:
+            order.append(F.col(audit).asc())
     order += [F.col(c).asc() for c in PAYLOAD_ORDER if c in df.columns]
     return order
 

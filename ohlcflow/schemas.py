@@ -76,7 +76,11 @@ BRONZE_AUDIT_FIELDS = [
     StructField("_source", StringType(), True),
 ]
 
-BRONZE_SCHEMA = StructType(RAW_BAR_SCHEMA.fields + BRONZE_AUDIT_FIELDS)
+# Bronze tables written by the stream are partitioned by (_stream, _batch_number):
+# _stream identifies the checkpoint, so a new stream never overwrites another's batches.
+BRONZE_SCHEMA = StructType(
+    RAW_BAR_SCHEMA.fields + BRONZE_AUDIT_FIELDS + [StructField("_stream", StringType(), True)]
+)
 
 SILVER_DERIVED_FIELDS = [
     StructField("daily_return_pct", DoubleType(), True),
@@ -84,9 +88,12 @@ SILVER_DERIVED_FIELDS = [
     StructField("price_spike_flag", BooleanType(), True),
 ]
 
+# Silver of stream-ingested bronze: typed bars, the bronze audit columns
+# (kept), derived columns, silver audit columns.
 SILVER_SCHEMA = StructType(
     TYPED_BAR_SCHEMA.fields
     + BRONZE_AUDIT_FIELDS
+    + [StructField("_stream", StringType(), True)]
     + SILVER_DERIVED_FIELDS
     + [
         StructField("_processed_at", TimestampType(), True),

@@ -8,11 +8,13 @@ when its connector is on the classpath). Each micro-batch is decoded with
 * audit columns ``_ingested_at`` (batch time), ``_batch_number`` (micro-batch
   id + 1, monotone across restarts because it comes from the checkpoint) and
   ``_source``;
-* the bronze table is partitioned by ``_batch_number`` and each batch
-  overwrites only its own partition (dynamic partition overwrite), so a batch
-  replayed after a failure replaces its earlier output instead of
-  duplicating it: effectively exactly-once on top of the at-least-once
-  ``foreachBatch`` contract;
+* the bronze table is partitioned by ``(_stream, _batch_number)``, where
+  ``_stream`` is derived from the checkpoint location; each batch overwrites
+  only its own partition (dynamic partition overwrite), so a batch replayed
+  after a failure replaces its earlier output instead of duplicating it
+  (effectively exactly-once on top of the at-least-once ``foreachBatch``
+  contract), while a run with a new checkpoint appends new partitions
+  instead of overwriting earlier runs' batches;
 * messages that are not JSON bar objects go to an optional rejects table.
 
 ``trigger(availableNow=True)`` drains what is available and stops (the
@@ -22,11 +24,13 @@ reference stops after 10 s without messages); batch size is bounded with
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.storage import path_exists
+from ..plans.storage import path_exists, qualified_path
 from ..schemas import BRONZE_SCHEMA, BRONZE_SOURCE
 from ..sources.messages import decode_messages, message_rejects
 from ..sources.tables import read_table
@@ -60,13 +64,21 @@ def message_stream(
     raise ValueError(f"unknown message source {source!r}")
 
 
-def bronze_batch(batch: DataFrame, batch_id: int, source_label: str = BRONZE_SOURCE) -> DataFrame:
+def stream_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """Stable id of a stream: a hash of its qualified checkpoint location."""
+    return hashlib.sha1(qualified_path(spark, checkpoint_path).encode()).hexdigest()[:12]
+
+
+def bronze_batch(
+    batch: DataFrame, batch_id: int, source_label: str = BRONZE_SOURCE, stream: str = "default"
+) -> DataFrame:
     """Decode one micro-batch and add the bronze audit columns."""
     return decode_messages(batch).withColumns(
         {
             "_ingested_at": F.current_timestamp(),
             "_batch_number": F.lit(int(batch_id) + 1).cast("int"),
             "_source": F.lit(source_label),
+            "_stream": F.lit(stream),
         }
     )
 
@@ -76,7 +88,7 @@ def _overwrite_partition(df: DataFrame, path: str, fmt: str) -> None:
         df.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_batch_number")
+        .partitionBy("_stream", "_batch_number")
         .save(path)
     )
 
@@ -92,15 +104,21 @@ def ingest_stream(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the messages -> bronze stream; returns the running query."""
+    stream = stream_id(messages.sparkSession, checkpoint_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if rejects_path is not None:
             batch = batch.persist()
         try:
-            _overwrite_partition(bronze_batch(batch, batch_id, source_label), bronze_path, fmt)
+            _overwrite_partition(
+                bronze_batch(batch, batch_id, source_label, stream), bronze_path, fmt
+            )
             if rejects_path is not None:
-                rejects = message_rejects(batch).withColumn(
-                    "_batch_number", F.lit(int(batch_id) + 1).cast("int")
+                rejects = message_rejects(batch).withColumns(
+                    {
+                        "_batch_number": F.lit(int(batch_id) + 1).cast("int"),
+                        "_stream": F.lit(stream),
+                    }
                 )
                 _overwrite_partition(rejects, rejects_path, fmt)
         finally:

@@ -66,6 +66,21 @@ def test_chain_from_csv(spark):
     assert silver.select("symbol").distinct().count() == bronze.select("symbol").distinct().count() == 50
     assert {"daily_return_pct", "price_range", "price_spike_flag", "_processed_at"} <= set(silver.columns)
     assert views["stock_summary"].count() == silver.count()
+    # schema contracts of the layers
+    from ohlcflow.operators.quality import dq_report
+    from ohlcflow.schemas import (
+        DQ_REPORT_SCHEMA, SILVER_SCHEMA, TOP_MOVERS_SCHEMA, VOLUME_ANALYSIS_SCHEMA,
+        stock_summary_schema,
+    )
+
+    def shape(schema):
+        return [(f.name, f.dataType) for f in schema.fields]
+
+    assert shape(silver.schema) == shape(SILVER_SCHEMA)
+    assert shape(views["stock_summary"].schema) == shape(stock_summary_schema())
+    assert shape(views["top_movers"].schema) == shape(TOP_MOVERS_SCHEMA)
+    assert shape(views["volume_analysis"].schema) == shape(VOLUME_ANALYSIS_SCHEMA)
+    assert shape(dq_report(silver).schema) == shape(DQ_REPORT_SCHEMA)
     summary = views["stock_summary"].drop("_processed_at")
     assert summary.exceptAll(Q.q_stock_summary(spark, SF_SMALL)).count() == 0
     assert views["vw_volume_spikes"].count() == 176

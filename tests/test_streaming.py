@@ -39,6 +39,22 @@ def test_stream_to_bronze_batches_and_restart(spark, sample_bars):
     assert b2.count() == 9 and b2.filter("_batch_number = 4").count() == 1
 
 
+def test_new_checkpoint_appends(spark, sample_bars):
+    """A second run with its own checkpoint adds its batches next to the first
+    run's (batch numbers restart at 1 but live under another stream id)."""
+    src = scratch_path(spark, "stream-src2")
+    os.makedirs(src)
+    enc = [r["value"] for r in encode_messages(cast_schema(sample_bars)).collect()]
+    with open(f"{src}/part-0.json", "w") as f:
+        f.write("\n".join(enc) + "\n")
+    bronze = scratch_path(spark, "bronze2")
+    for ckpt in (scratch_path(spark, "ckpt-a"), scratch_path(spark, "ckpt-b")):
+        b = run_ingest(spark, message_stream(spark, "files", src), bronze, ckpt)
+    assert b.count() == 16
+    assert b.select("_stream").distinct().count() == 2
+    assert sorted(r[0] for r in b.select("_batch_number").distinct().collect()) == [1]
+
+
 def test_replayed_batch_is_idempotent(spark, sample_bars):
     from ohlcflow.streaming.ingest import _overwrite_partition, bronze_batch
 

@@ -10,7 +10,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import DATE_FORMAT
+from ..schemas import (
+    DATE_FORMAT,
+    DEATH_CROSS,
+    DQ_FAILED,
+    DQ_PASSED,
+    GAINER,
+    GOLDEN_CROSS,
+    LOSER,
+    MA30_ABOVE,
+    MA30_AT,
+    MA30_BELOW,
+    NEUTRAL,
+    PERFORMANCE_DEFAULT,
+    PERFORMANCE_LABELS,
+)
 
 
 def _c(col) -> Column:
@@ -81,7 +95,7 @@ def price_spike(ret="daily_return_pct", max_pct: float = 0.50) -> Column:
 
 def direction(ret="daily_return_pct") -> Column:
     """GAINER for a positive return; zero and NULL count as LOSER."""
-    return F.when(_c(ret) > 0, F.lit("GAINER")).otherwise(F.lit("LOSER"))
+    return F.when(_c(ret) > 0, F.lit(GAINER)).otherwise(F.lit(LOSER))
 
 
 # --- signals and labels ---------------------------------------------------
@@ -89,32 +103,24 @@ def direction(ret="daily_return_pct") -> Column:
 
 def ma30_signal(close="close", ma="ma_30d") -> Column:
     c, m = _c(close), _c(ma)
-    return (
-        F.when(c > m, F.lit("ABOVE")).when(c < m, F.lit("BELOW")).otherwise(F.lit("AT"))
-    )
+    return F.when(c > m, F.lit(MA30_ABOVE)).when(c < m, F.lit(MA30_BELOW)).otherwise(F.lit(MA30_AT))
 
 
 def performance_label(ret="daily_return_pct") -> Column:
-    """Tested in order; NULL falls through to FLAT."""
+    """First matching rule of ``PERFORMANCE_LABELS``; NULL falls through to FLAT."""
     r = _c(ret)
-    return (
-        F.when(r >= 3, F.lit("STRONG GAIN"))
-        .when(r >= 1, F.lit("GAIN"))
-        .when(r <= -3, F.lit("STRONG LOSS"))
-        .when(r <= -1, F.lit("LOSS"))
-        .otherwise(F.lit("FLAT"))
-    )
+    expr = None
+    for op, bound, label in PERFORMANCE_LABELS:
+        cond = (r >= bound) if op == ">=" else (r <= bound)
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+    return expr.otherwise(F.lit(PERFORMANCE_DEFAULT))
 
 
 def crossover_signal(fast="ma_7d", slow="ma_30d") -> Column:
     """A state (fast vs slow average), not an edge."""
     f, s = _c(fast), _c(slow)
-    return (
-        F.when(f > s, F.lit("GOLDEN CROSS"))
-        .when(f < s, F.lit("DEATH CROSS"))
-        .otherwise(F.lit("NEUTRAL"))
-    )
+    return F.when(f > s, F.lit(GOLDEN_CROSS)).when(f < s, F.lit(DEATH_CROSS)).otherwise(F.lit(NEUTRAL))
 
 
-def dq_status(fail_count="fail_count", passed: str = "PASSED", failed: str = "FAILED") -> Column:
+def dq_status(fail_count="fail_count", passed: str = DQ_PASSED, failed: str = DQ_FAILED) -> Column:
     return F.when(_c(fail_count) == 0, F.lit(passed)).otherwise(F.lit(failed))

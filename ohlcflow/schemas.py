@@ -54,6 +54,20 @@ CSV_MISSING_DEFAULTS = {
 # DQ status words.
 DQ_PASSED = "PASSED"
 DQ_FAILED = "FAILED"
+# Mover direction: positive return, otherwise.
+GAINER, LOSER = "GAINER", "LOSER"
+# Close versus the 30-row average: above, below, equal or unknown.
+MA30_ABOVE, MA30_BELOW, MA30_AT = "ABOVE", "BELOW", "AT"
+# Performance labels, tested in this order: return >= 3, >= 1, <= -3, <= -1, else.
+PERFORMANCE_LABELS = [
+    (">=", 3, "STRONG GAIN"),
+    (">=", 1, "GAIN"),
+    ("<=", -3, "STRONG LOSS"),
+    ("<=", -1, "LOSS"),
+]
+PERFORMANCE_DEFAULT = "FLAT"
+# Fast versus slow average: above, below, otherwise.
+GOLDEN_CROSS, DEATH_CROSS, NEUTRAL = "GOLDEN CROSS", "DEATH CROSS", "NEUTRAL"
 # ---------------------------------------------------------------------------
 
 RAW_BAR_SCHEMA = StructType([StructField(f, StringType(), True) for f in BAR_FIELDS])

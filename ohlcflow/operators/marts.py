@@ -40,27 +40,75 @@ def stock_summary(
     return add_moving_averages(silver, windows, segmented=segmented).select(*cols)
 
 
-def top_movers(silver: DataFrame, top_n: int = TOP_N) -> DataFrame:
+RANK_TABLE_LIMIT_BYTES = 64 << 20
+
+
+def top_movers(silver: DataFrame, top_n: int = TOP_N, ties: str = "window") -> DataFrame:
     """Top ``top_n`` gainers and losers per date by absolute return.
 
     Spike rows are excluded before ranking; ranking is ``dense_rank`` over
     (date, direction) by ``abs_return`` descending (NULLs last), so ties share
     a rank and a group can return more than ``top_n`` rows. A zero or NULL
-    return is a LOSER. ``rank <= top_n`` lets Spark insert a partial
-    ``WindowGroupLimit`` below the shuffle: a date holding a large share of
-    all rows ships only its local top ranks per input partition.
+    return is a LOSER.
+
+    ``ties="window"`` (default): ``rank <= top_n`` lets Spark insert a
+    partial ``WindowGroupLimit`` below the shuffle, so a date holding a large
+    share of all rows ships only its local top ranks per input partition.
+    ``ties="join"``: ranks are computed on the distinct (date, direction,
+    abs_return) values, whose ties collapse map-side, and joined back to the
+    rows; no task ever holds a date's tied rows together, at the price of
+    shuffling the distinct values. See :func:`_movers_by_value_ranks`.
     """
-    w = Window.partitionBy("date", "direction").orderBy(F.col("abs_return").desc_nulls_last())
-    return (
+    cand = (
         silver.filter(~F.col("price_spike_flag"))
         .withColumn("direction", direction("daily_return_pct"))
         .withColumn("abs_return", F.abs("daily_return_pct"))
-        .withColumn("rank", F.dense_rank().over(w))
+    )
+    if ties == "join":
+        return _movers_by_value_ranks(cand, top_n).select(*MOVERS_COLUMNS)
+    if ties != "window":
+        raise ValueError(f"ties must be 'window' or 'join', got {ties!r}")
+    w = Window.partitionBy("date", "direction").orderBy(F.col("abs_return").desc_nulls_last())
+    return (
+        cand.withColumn("rank", F.dense_rank().over(w))
         .filter(F.col("rank") <= top_n)
         .select(*MOVERS_COLUMNS)
     )
 
 
+def _movers_by_value_ranks(cand: DataFrame, top_n: int) -> DataFrame:
+    """Dense ranks of the distinct values, joined back to every row.
+
+    The rank table has at most ``top_n`` rows per (date, direction); its size
+    bound ``top_n x 2 x (days between min and max date + 2)`` comes from one
+    min/max aggregate, and it is broadcast when that bound is below
+    ``RANK_TABLE_LIMIT_BYTES`` (else a shuffle join, which AQE splits when
+    one value is hot).
+    """
+    values = cand.select("date", "direction", "abs_return").distinct()
+    w = Window.partitionBy("date", "direction").orderBy(F.col("abs_return").desc_nulls_last())
+    ranks = (
+        values.withColumn("rank", F.dense_rank().over(w))
+        .filter(F.col("rank") <= top_n)
+        .select(
+            F.col("date").alias("_r_date"),
+            F.col("direction").alias("_r_dir"),
+            F.col("abs_return").alias("_r_abs"),
+            "rank",
+        )
+    )
+    lo, hi = cand.agg(F.min("date"), F.max("date")).first()
+    days = (hi - lo).days + 2 if lo is not None else 1
+    if top_n * 2 * days * 48 <= RANK_TABLE_LIMIT_BYTES:
+        ranks = F.broadcast(ranks)
+    cond = (
+        cand["date"].eqNullSafe(ranks["_r_date"])
+        & (cand["direction"] == ranks["_r_dir"])
+        & cand["abs_return"].eqNullSafe(ranks["_r_abs"])
+    )
+    return cand.join(ranks, cond, "inner").drop("_r_date", "_r_dir", "_r_abs")
+
+
 def volume_analysis(
     silver: DataFrame, window: int = VOLUME_WINDOW, segmented: bool | str = False
 ) -> DataFrame:

@@ -173,6 +173,11 @@ def q_top_movers(spark, sf_dir):
     return _movers(spark, sf_dir)
 
 
+def q_top_movers_value_ranks(spark, sf_dir):
+    """The movers mart by the tie-safe plan (ranks of distinct values joined back)."""
+    return M.top_movers(clean_silver(spark, sf_dir), ties="join")
+
+
 def q_volume_analysis(spark, sf_dir):
     return _volume(spark, sf_dir)
 
@@ -341,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "volume_spike_segmented": q_volume_spike_segmented,
     "stock_summary": q_stock_summary,
     "top_movers": q_top_movers,
+    "top_movers_value_ranks": q_top_movers_value_ranks,
     "volume_analysis": q_volume_analysis,
     "vw_stock_summary": q_vw_stock_summary,
     "vw_top_movers": q_vw_top_movers,
@@ -540,6 +546,7 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT symbol, date, volume, avg_30d_volume, "
     "coalesce(volume > avg_30d_volume * 2, false) AS volume_spike FROM volume_all",
     "top_movers": _with(*_SC, CTE_MOVERS) + "SELECT * FROM movers",
+    "top_movers_value_ranks": _with(*_SC, CTE_MOVERS) + "SELECT * FROM movers",
     "volume_analysis": _with(*_SC, CTE_VOLUME) + "SELECT * FROM volume_an",
     "vw_stock_summary": _with(*_SC, CTE_SUMMARY, CTE_VW_SUMMARY) + "SELECT * FROM vw_summary",
     "vw_top_movers": _with(*_SC, CTE_MOVERS)

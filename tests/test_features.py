@@ -99,3 +99,20 @@ def test_rank_one_exists_per_group(spark):
     assert m.filter("rank > 10").count() == 0
     s = Q.q_stock_summary(spark, SF_SMALL)
     assert s.count() == Q.clean_silver(spark, SF_SMALL).count()
+
+
+def test_movers_tie_safe_plan_equals_window_plan(spark, raw_bars):
+    from ohlcflow import queries as Q
+
+    s = Q.clean_silver(spark, "/root/testdata/sf0.001")
+    a, b = top_movers(s), top_movers(s, ties="join")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # one date where every symbol has the same return (one huge tie), plus NULLs
+    rows = [(f"T{i:03d}", "2021-01-04", "100", "110", "90", "102", "1") for i in range(300)]
+    rows += [("N1", "2021-01-04", "0", "1", "1", "1", "1"), ("U1", "2021-01-04", "100", "110", "90", "101", "1")]
+    t = _silver(raw_bars, rows)
+    a, b = top_movers(t, top_n=1), top_movers(t, top_n=1, ties="join")
+    assert a.count() == 300
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

@@ -105,7 +105,10 @@ def scan_csv(
     raw = raw.withColumns(
         {
             "_file": F.col("_metadata.file_path"),
-            "_is_header": F.exists(arr, lambda x: F.coalesce(x.isin(KNOWN_NAMES), F.lit(False))),
+            # any cell equal to a known column name (codegen'd; NULL -> false)
+            "_is_header": F.coalesce(
+                F.arrays_overlap(arr, F.array(*[F.lit(n) for n in KNOWN_NAMES])), F.lit(False)
+            ),
         }
     )
 

@@ -70,7 +70,7 @@ def scan_csv(
     spark: SparkSession,
     path: str | None = None,
     symbol_files: Mapping[str, str] | None = None,
-    max_columns: int = 32,
+    max_columns: int = 16,
     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES,
     keep_file: bool = False,
 ) -> DataFrame:
@@ -79,6 +79,8 @@ def scan_csv(
     Either ``path`` (a directory, optionally with ``symbol=...`` levels) or
     ``symbol_files`` (symbol -> file); files that do not exist contribute no
     rows. Rows of files without any recognisable header are not returned.
+    A file whose header reaches ``max_columns`` cells fails the query (its
+    remaining columns could not be mapped).
 
     The per-file table (file -> cell position of each field) has one row per
     file; it is broadcast only when ``#files x (4096-byte path + positions)``
@@ -120,9 +122,11 @@ def scan_csv(
             p = _last_position(arr, name)
             pos = p if pos is None else F.coalesce(pos, p)
         pos_cols.append(pos.alias(f"_p_{field}"))
+    # a header that fills the last cell may have columns beyond max_columns
+    overflow = F.col(cells[-1]).isNotNull().alias("_overflow")
     headers = (
         raw.filter("_is_header")
-        .select("_file", F.struct(F.to_json(arr).alias("h"), *pos_cols).alias("_hdr"))
+        .select("_file", F.struct(F.to_json(arr).alias("h"), *pos_cols, overflow).alias("_hdr"))
         .groupBy("_file")
         .agg(F.min("_hdr").alias("_hdr"))  # one header per file, deterministic
         .select("_file", "_hdr.*")
@@ -144,6 +148,12 @@ def scan_csv(
             .otherwise(F.element_at(arr, pos))
             .alias(field)
         )
+    too_wide = F.raise_error(
+        F.concat(F.lit(f"CSV header wider than max_columns={max_columns}: "), F.col("_file"))
+    )
+    values[0] = F.when(F.col("_overflow"), too_wide.cast("string")).otherwise(values[0]).alias(
+        BAR_FIELDS[1]
+    )
 
     if symbol_files is None:
         symbol = F.col("symbol")

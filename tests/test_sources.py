@@ -58,3 +58,14 @@ def test_messages(spark, sample_bars):
     assert dec["B"]["close"] is None and dec["C"]["volume"] == "5"
     assert [r["value"] for r in message_rejects(raw).collect()] == ["not json"]
     assert decode_messages(raw, max_messages=2).count() == 2
+
+
+def test_csv_header_wider_than_limit_fails(spark):
+    import pytest
+
+    root = scratch_path(spark, "csv-wide")
+    _write(f"{root}/symbol=W/a.csv", [",".join(["x"] * 5 + ["Date", "Open", "High", "Low", "Close", "Volume"]),
+                                      ",".join(["1"] * 5 + ["2020-01-02", "1", "2", "0.5", "1.5", "7"])])
+    assert [r["volume"] for r in scan_csv(spark, root, max_columns=16).collect()] == ["7"]
+    with pytest.raises(Exception, match="wider than max_columns"):
+        scan_csv(spark, root, max_columns=8).collect()

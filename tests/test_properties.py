@@ -69,3 +69,69 @@ def test_dedup_is_the_minimum_per_key(spark, data, parts):
         if k not in best or (o, v) < best[k][2:]:
             best[k] = (s, d, o, v)
     assert got == sorted(best.values(), key=repr)
+
+
+series = st.lists(
+    st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 60), st.integers(1, 1000)),
+    min_size=1, max_size=80, unique_by=lambda t: (t[0], t[1]),
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(series, st.integers(1, 6), st.integers(2, 9), st.integers(1, 20))
+def test_segmented_window_equals_direct(spark, data, n, block, bucket):
+    from pyspark.sql import Window
+
+    from ohlcflow.plans.skew import segmented_trailing_avg
+
+    block = max(block, n - 1, 1)
+    df = spark.createDataFrame(data, "symbol string, t int, v int")
+    seg = segmented_trailing_avg(
+        df, {"a": ("v", n)}, key="symbol", order="t", block_rows=block,
+        bucket=F.floor(F.col("t") / bucket),
+    )
+    w = Window.partitionBy("symbol").orderBy("t").rowsBetween(1 - n, 0)
+    direct = df.withColumn("a", F.avg("v").over(w))
+    assert sorted(map(tuple, seg.collect())) == sorted(map(tuple, direct.collect()))
+
+
+dq_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B", None]),
+        st.sampled_from([1, 2, None]),
+        st.sampled_from([-1.0, 0.0, 1.0, 5.0, None]),
+        st.sampled_from([0.5, 2.0, None]),
+    ),
+    max_size=40,
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(dq_rows, st.lists(st.sampled_from(["A", "B", "Z", None]), max_size=4), st.integers(1, 4))
+def test_dq_report_matches_model(spark, rows, expected, min_rows):
+    from collections import Counter
+
+    from ohlcflow.operators.quality import dq_report
+
+    df = spark.createDataFrame(
+        [(s, d, o, h, 1.0, 1.0) for s, d, o, h in rows],
+        "symbol string, date int, open double, high double, low double, close double",
+    )
+    got = {r["check_name"]: r["fail_count"] for r in dq_report(df, expected, min_rows).collect()}
+    keys = Counter((s, d) for s, d, _, _ in rows)
+    per_symbol = Counter(s for s, _, _, _ in rows)
+    present = {s for s, _, _, _ in rows if s is not None}
+
+    def le0(x):
+        return x is not None and x <= 0
+
+    want = {
+        "null_symbols": sum(s is None for s, _, _, _ in rows),
+        "null_dates": sum(d is None for _, d, _, _ in rows),
+        "negative_prices": sum(le0(o) or le0(h) for _, _, o, h in rows),
+        "high_lt_low": sum(h is not None and h < 1.0 for _, _, _, h in rows),
+        "duplicates": sum(c > 1 for c in keys.values()),
+        "missing_symbols": sum(e is None or e not in present for e in expected),
+        "low_row_count": sum(c < min_rows for c in per_symbol.values()),
+    }
+    assert got == want

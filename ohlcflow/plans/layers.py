@@ -31,6 +31,10 @@ from .silver import to_silver
 
 @dataclass
 class LayerResult:
+    """Where each layer table was written, its row count (from ``observe``),
+    the quality counts that passed the gate, and the schema it was written
+    with (used to read it back without partition type inference)."""
+
     paths: dict[str, str]
     counts: dict[str, int] = field(default_factory=dict)
     quality: dict[str, int] = field(default_factory=dict)

@@ -103,7 +103,7 @@ def main():
         "# Physical plans of the registered queries",
         "",
         f"Generated by `tests/plan_report.py` on `{sf_dir}` (adaptive final plans,"
-        " local[8]). The bar input is the table written once from `lineitem`.",
+        " local[8]). The inputs are the tables written once from `lineitem` (clean bars, raw dirty bars).",
         "",
         "| query | hash shuffles | range shuffles | single-partition | broadcasts | scans |"
         " partial+final top-k | windows | hash / sort aggs | joins |",

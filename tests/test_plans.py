@@ -52,3 +52,22 @@ def test_missing_symbols_broadcasts_bounded_side(spark):
 def test_parquet_scan_prunes_columns(spark):
     p = _plan(Q.q_stock_summary(spark, SF_SMALL))
     assert "l_returnflag" not in p and "l_discount" not in p
+
+
+FORBIDDEN = (
+    "CartesianProduct",          # cross joins
+    "BroadcastNestedLoopJoin",   # non-equi joins
+    "BatchEvalPython",           # row-at-a-time Python UDFs
+    "ArrowEvalPython",           # pandas UDFs (none needed here)
+    "FlatMapGroupsInPandas",
+    "MapInPandas",
+)
+
+
+def test_no_cross_joins_or_python_in_any_registered_query(spark):
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF_SMALL))
+        bad = [op for op in FORBIDDEN if op in plan]
+        assert not bad, (name, bad)

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
+from ..functions.sql import register_sql_functions
 from ..operators.marts import stock_summary, top_movers, volume_analysis
 from ..operators.quality import RUNNER_CHECKS, assert_quality, dq_report
 from ..operators.signals import latest_signal, top_gains, top_volume_spikes
@@ -138,7 +139,8 @@ def run_layers(
 def register_sql_layer(
     spark: SparkSession, result: LayerResult, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    """Temp views over the written tables plus the three analytical views.
+    """Temp views over the written tables plus the three analytical views,
+    and the label / signal rules as session SQL functions.
 
     Tables are read with the schemas recorded when they were written, or,
     for a result rebuilt from paths alone, with ``symbol`` declared a string.
@@ -153,6 +155,7 @@ def register_sql_layer(
         df.createOrReplaceTempView(name)
         tables[name] = df
     views = register_views(tables["stock_summary"], tables["top_movers"], tables["volume_analysis"])
+    register_sql_functions(spark)
     return {**tables, **views}
 
 

@@ -55,3 +55,29 @@ def test_labels_and_signals_with_nulls(spark):
         ("BELOW", "DEATH CROSS", "STRONG GAIN", "GAINER", True),
     ]
     assert df.select(F.lit(1)).count() == 4
+
+
+def test_sql_functions_agree_with_column_functions(spark):
+    from conftest import SF_SMALL
+    from ohlcflow import queries as Q
+    from ohlcflow.functions.sql import register_sql_functions
+
+    names = register_sql_functions(spark)
+    assert "performance_label" in names
+    Q.q_stock_summary(spark, SF_SMALL).createOrReplaceTempView("t_summary")
+    via_sql = spark.sql("""
+        SELECT symbol, date, performance_label(daily_return_pct) AS lab,
+               ma30_signal(close, ma_30d) AS sig, crossover_signal(ma_7d, ma_30d) AS x,
+               mover_direction(daily_return_pct) AS dir
+        FROM t_summary""")
+    via_cols = Q.q_stock_summary(spark, SF_SMALL).select(
+        "symbol", "date",
+        performance_label("daily_return_pct").alias("lab"),
+        ma30_signal("close", "ma_30d").alias("sig"),
+        crossover_signal("ma_7d", "ma_30d").alias("x"),
+        direction("daily_return_pct").alias("dir"),
+    )
+    assert via_sql.exceptAll(via_cols).count() == 0 and via_cols.exceptAll(via_sql).count() == 0
+    assert {r[0] for r in spark.sql("SELECT dq_status(0L), dq_status(3L)").collect()[0:1]} == {"PASSED"}
+    plan = via_sql._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

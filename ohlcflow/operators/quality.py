@@ -54,16 +54,32 @@ def non_positive_price(columns: Sequence[str] = ("open", "high", "low", "close")
     return cond
 
 
-def _expected_weight(expected: Sequence[str | None]) -> Column:
-    """Per symbol: how many entries of ``expected`` it satisfies (0 if none)."""
+# Up to this many distinct expected symbols are inlined as a literal map;
+# longer lists are joined as a (broadcast, list-sized) table instead.
+INLINE_EXPECTED_LIMIT = 256
+
+
+def _expected_weights(expected: Sequence[str | None]) -> dict[str, int]:
+    """How many entries of ``expected`` each non-NULL symbol satisfies."""
     weights: dict[str, int] = {}
     for s in expected:
         if s is not None:
             weights[s] = weights.get(s, 0) + 1
+    return weights
+
+
+def _with_expected_weight(per_symbol: DataFrame, expected: Sequence[str | None]) -> DataFrame:
+    """Add ``_w``: the number of expected entries a symbol row satisfies."""
+    weights = _expected_weights(expected)
     if not weights:
-        return F.lit(0)
-    m = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.try_element_at(m, F.col("symbol")), F.lit(0))
+        return per_symbol.withColumn("_w", F.lit(0))
+    if len(weights) <= INLINE_EXPECTED_LIMIT:
+        m = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
+        return per_symbol.withColumn("_w", F.coalesce(F.try_element_at(m, F.col("symbol")), F.lit(0)))
+    spark = per_symbol.sparkSession
+    table = spark.createDataFrame(list(weights.items()), "_sym string, _cnt int")
+    joined = per_symbol.join(F.broadcast(table), per_symbol["symbol"] == table["_sym"], "left")
+    return joined.withColumn("_w", F.coalesce(F.col("_cnt"), F.lit(0))).drop("_sym", "_cnt")
 
 
 def dq_report(
@@ -101,15 +117,13 @@ def dq_report(
         F.sum("hl").alias("hl"),
         F.count_if(F.col("n") > 1).alias("dup_groups"),
     )
-    total = per_symbol.agg(
+    total = _with_expected_weight(per_symbol, expected).agg(
         F.sum(F.when(F.col("symbol").isNull(), F.col("rows"))).alias("null_symbols"),
         F.sum("null_date_rows").alias("null_dates"),
         F.sum("neg").alias("negative_prices"),
         F.sum("hl").alias("high_lt_low"),
         F.sum("dup_groups").alias("duplicates"),
-        (F.lit(len(expected)) - F.coalesce(F.sum(_expected_weight(expected)), F.lit(0))).alias(
-            "missing_symbols"
-        ),
+        (F.lit(len(expected)) - F.coalesce(F.sum("_w"), F.lit(0))).alias("missing_symbols"),
         F.count_if(F.col("rows") < min_rows).alias("low_row_count"),
     )
     rows = F.inline(

@@ -72,3 +72,17 @@ def test_gate(dirty_sample, sample_bars):
     assert ok["null_symbols"] == 0
     with pytest.raises(KeyError):
         assert_quality(rep, ["nope"])
+
+
+def test_long_expected_list_uses_a_table(spark, raw_bars, monkeypatch):
+    import ohlcflow.operators.quality as Qm
+
+    silver = to_silver(raw_bars([
+        ("A", "2021-01-04", "1", "2", "1", "1", "1"),
+        ("B", "2021-01-04", "1", "2", "1", "1", "1"),
+    ]), audit=False)
+    expected = ["A", "B", "Z", "Z", None] + [f"X{i}" for i in range(10)]
+    inline = _report(silver, expected)["missing_symbols"]
+    monkeypatch.setattr(Qm, "INLINE_EXPECTED_LIMIT", 2)
+    joined = _report(silver, expected)["missing_symbols"]
+    assert inline == joined == (13, "FAILED")

@@ -166,8 +166,14 @@ def missing_symbols(
     spark = df.sparkSession
     expected = list(expected_symbols)
     exp_df = spark.createDataFrame([(s,) for s in expected], "expected_symbol string")
-    wanted = [s for s in set(expected) if s is not None]
-    present = df.select("symbol").filter(F.col("symbol").isin(wanted)).distinct()
+    wanted = [s for s in dict.fromkeys(expected) if s is not None]
+    symbols = df.select("symbol")
+    if len(wanted) <= INLINE_EXPECTED_LIMIT:
+        present = symbols.filter(F.col("symbol").isin(wanted))
+    else:  # long lists: semi join against the (broadcast, list-sized) expected table
+        keys = spark.createDataFrame([(s,) for s in wanted], "_sym string")
+        present = symbols.join(F.broadcast(keys), symbols["symbol"] == keys["_sym"], "left_semi")
+    present = present.distinct()
     out = exp_df.join(
         F.broadcast(present), exp_df["expected_symbol"] == present["symbol"], "left_anti"
     )

@@ -86,3 +86,14 @@ def test_long_expected_list_uses_a_table(spark, raw_bars, monkeypatch):
     monkeypatch.setattr(Qm, "INLINE_EXPECTED_LIMIT", 2)
     joined = _report(silver, expected)["missing_symbols"]
     assert inline == joined == (13, "FAILED")
+
+
+def test_missing_symbols_long_list(spark, raw_bars, monkeypatch):
+    import ohlcflow.operators.quality as Qm
+
+    silver = to_silver(raw_bars([("A", "2021-01-04", "1", "2", "1", "1", "1")]), audit=False)
+    expected = ["A", "Z", None] + [f"X{i}" for i in range(5)]
+    short = sorted(str(r[0]) for r in missing_symbols(silver, expected).collect())
+    monkeypatch.setattr(Qm, "INLINE_EXPECTED_LIMIT", 1)
+    long = sorted(str(r[0]) for r in missing_symbols(silver, expected).collect())
+    assert short == long == sorted(["Z", "None"] + [f"X{i}" for i in range(5)])

@@ -41,6 +41,8 @@ KNOWN_NAMES = sorted({n for names in HEADER_NAMES.values() for n in names})
 
 BROADCAST_LIMIT_BYTES = 64 << 20
 MAX_PATH_BYTES = 4096
+# symbol -> file maps up to this size are inlined; longer ones are joined.
+INLINE_MAP_LIMIT = 256
 
 
 def _cells(n: int) -> list[str]:
@@ -159,6 +161,13 @@ def scan_csv(
         symbol = F.col("symbol")
     else:
         by_path = {_qualified(spark, p): s for s, p in symbol_files.items()}
-        path_map = F.create_map(*[x for p, s in by_path.items() for x in (F.lit(p), F.lit(s))])
-        symbol = F.try_element_at(path_map, _normalise_path(F.col("_file")))
+        if len(by_path) <= INLINE_MAP_LIMIT:
+            path_map = F.create_map(*[x for p, s in by_path.items() for x in (F.lit(p), F.lit(s))])
+            symbol = F.try_element_at(path_map, _normalise_path(F.col("_file")))
+        else:  # a long map: broadcast join against the (map-sized) path table
+            table = spark.createDataFrame(list(by_path.items()), "_path string, _sym string")
+            data = data.withColumn("_npath", _normalise_path(F.col("_file"))).join(
+                F.broadcast(table), F.col("_npath") == F.col("_path"), "left"
+            )
+            symbol = F.col("_sym")
     return data.select(symbol.alias("symbol"), *values, *(["_file"] if keep_file else []))

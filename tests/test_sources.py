@@ -69,3 +69,17 @@ def test_csv_header_wider_than_limit_fails(spark):
     assert [r["volume"] for r in scan_csv(spark, root, max_columns=16).collect()] == ["7"]
     with pytest.raises(Exception, match="wider than max_columns"):
         scan_csv(spark, root, max_columns=8).collect()
+
+
+def test_csv_long_symbol_map_is_joined(spark, monkeypatch):
+    import ohlcflow.sources.csv as csvmod
+
+    root = scratch_path(spark, "csv-longmap")
+    files = {}
+    for i in range(4):
+        files[f"S{i}"] = f"{root}/s{i}.txt"
+        _write(files[f"S{i}"], ["Date,Open,High,Low,Close,Volume", f"2020-01-0{i + 1},1,2,0.5,1.5,{i}"])
+    inline = sorted(tuple(r) for r in scan_csv(spark, symbol_files=files).collect())
+    monkeypatch.setattr(csvmod, "INLINE_MAP_LIMIT", 1)
+    joined = sorted(tuple(r) for r in scan_csv(spark, symbol_files=files).collect())
+    assert inline == joined and [r[0] for r in joined] == ["S0", "S1", "S2", "S3"]

@@ -11,16 +11,16 @@ Every frame sees exactly the rows, in the order, of the unsplit window, so
 the results are identical.
 
 The row number inside a series is itself computed without a per-series
-task: rows are counted per (key, order bucket) (a partial aggregate), the
-counts get running offsets per key (a small window over bucket counts),
-and each row adds its number within its (key, bucket) group. The offsets
-table is joined back on (key, bucket) with null-safe equality; AQE turns
-that join into a broadcast when the measured offsets table is small.
+task: the rows are range-partitioned on the full ordering, so Spark's
+sampled bounds split a hot key into partitions of similar size; a row's
+number is its position inside its partition plus the key's row count in
+earlier partitions (a small per-(partition, key) count table with running
+sums, joined back; AQE broadcasts it when the measured table is small).
 
 Work per task is bounded by ``block_rows + n - 1`` rows in the block window
-and by the largest (key, bucket) group in the numbering window, so the
-bucket must be fine enough for the data (days for daily bars, minutes for
-ticks).
+and by one range partition in the numbering step, whatever the key
+distribution. (An explicit ``bucket`` column instead numbers per
+(key, bucket): one job less, but a crowded bucket is numbered in one task.)
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from .storage import checkpoint_root
+
 DEFAULT_BLOCK_ROWS = 1_000_000
 # Above this many rows in one series, "auto" switches to the segmented plan.
 DEFAULT_HOT_ROWS = 5_000_000
@@ -51,8 +53,8 @@ def should_segment(segmented, df: DataFrame, key: str = "symbol", hot_rows: int
 
 
 def default_bucket(df: DataFrame, order: str, days: int = 31) -> Column:
-    """Coarse bucket of the order column: ``days``-day slices of a date or
-    timestamp, the value itself for anything else."""
+    """A coarse bucket of the order column for the ``bucket=`` numbering:
+    ``days``-day slices of a date or timestamp, the value itself otherwise."""
     dtype = df.schema[order].dataType
     if isinstance(dtype, DateType):
         return F.floor(F.unix_date(F.col(order)) / days)
@@ -67,10 +69,60 @@ def series_row_number(
     order: str = "date",
     tiebreak: Sequence[str] = (),
     bucket: Column | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``_rn``: 1-based position of each row in its key's series.
+
+    Default (``bucket=None``): rows are range-partitioned on the full
+    ordering (key, order, tiebreak), so Spark's sampled range bounds cut even
+    a single hot key into partitions of similar size; inside a partition the
+    rows of a key are contiguous and numbered by their position
+    (``monotonically_increasing_id``), and each (partition, key) adds the row
+    count of the key in earlier partitions (a small per-(partition, key)
+    count table with a running sum per key). The range-partitioned rows are
+    checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so that the
+    counts and the rows see the same partitioning.
+
+    With ``bucket`` (a column of the order value), numbering runs per
+    (key, bucket) with running offsets per key instead; cheaper, but a bucket
+    holding many rows is numbered in one task.
+    """
+    if bucket is not None:
+        return _row_number_by_bucket(df, key, order, tiebreak, bucket)
+    spark = df.sparkSession
+    checkpoint_root(spark)  # make sure a reliable checkpoint directory is set
+    ordering = [F.col(c).asc_nulls_first() for c in (key, order, *tiebreak)]
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        df.repartitionByRange(n, *ordering)
+        .sortWithinPartitions(*ordering)
+        .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+        .checkpoint(eager=True)
+    )
+    counts = ranged.groupBy("_pid", key).agg(
+        F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")
+    )
+    earlier = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("_pid").alias("_opid"),
+        F.col(key).alias("_okey"),
+        "_first",
+        F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_off"),
+    )
+    joined = ranged.join(
+        offsets,
+        (ranged["_pid"] == offsets["_opid"]) & ranged[key].eqNullSafe(offsets["_okey"]),
+        "inner",
+    )
+    return joined.withColumn("_rn", F.col("_off") + F.col("_mid") - F.col("_first") + 1).drop(
+        "_pid", "_mid", "_opid", "_okey", "_first", "_off"
+    )
+
+
+def _row_number_by_bucket(
+    df: DataFrame, key: str, order: str, tiebreak: Sequence[str], bucket: Column
 ) -> DataFrame:
-    """Add ``_rn``: 1-based position of each row in its key's series."""
-    b = bucket if bucket is not None else default_bucket(df, order)
-    data = df.withColumn("_bkt", b)
+    data = df.withColumn("_bkt", bucket)
     counts = data.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(key).orderBy(F.col("_bkt").asc()).rowsBetween(
         Window.unboundedPreceding, -1

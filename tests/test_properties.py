@@ -77,8 +77,8 @@ series = st.lists(
 )
 
 
-@settings(max_examples=12, deadline=None)
-@given(series, st.integers(1, 6), st.integers(2, 9), st.integers(1, 20))
+@settings(max_examples=16, deadline=None)
+@given(series, st.integers(1, 6), st.integers(2, 9), st.sampled_from([None, 1, 7, 20]))
 def test_segmented_window_equals_direct(spark, data, n, block, bucket):
     from pyspark.sql import Window
 
@@ -88,7 +88,7 @@ def test_segmented_window_equals_direct(spark, data, n, block, bucket):
     df = spark.createDataFrame(data, "symbol string, t int, v int")
     seg = segmented_trailing_avg(
         df, {"a": ("v", n)}, key="symbol", order="t", block_rows=block,
-        bucket=F.floor(F.col("t") / bucket),
+        bucket=None if bucket is None else F.floor(F.col("t") / bucket),
     )
     w = Window.partitionBy("symbol").orderBy("t").rowsBetween(1 - n, 0)
     direct = df.withColumn("a", F.avg("v").over(w))

@@ -7,7 +7,8 @@
     python -m ohlcflow gold    --out ROOT [--expected ...] [--checks ...]
     python -m ohlcflow sql     --out ROOT [--symbol S]
 
-The master and cluster settings come from ``spark-submit`` (or ``--master``).
+The master and cluster settings come from ``spark-submit`` (or ``--master``);
+``--format`` names the table format of the layers (default parquet).
 Layer locations: ROOT/bronze/stock_prices, ROOT/silver/stock_prices,
 ROOT/gold/{stock_summary,top_movers,volume_analysis}.
 """
@@ -56,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--files-per-trigger", type=int)
     ap.add_argument("--symbol")
     ap.add_argument("--master")
+    ap.add_argument("--format", default="parquet", help="table format of the layers")
     ap.add_argument("--segmented", choices=["no", "yes", "auto"], default="no",
                     help="per-symbol window plan for very long series")
     a = ap.parse_args(argv)
@@ -67,24 +69,25 @@ def main(argv: list[str] | None = None) -> int:
 
     if a.step == "chain":
         res, _ = run_chain(spark, a.out, csv_path=a.csv, expected_symbols=expected,
-                           gate_checks=checks, max_files_per_trigger=a.files_per_trigger)
+                           gate_checks=checks, max_files_per_trigger=a.files_per_trigger,
+                           fmt=a.format)
         print(res.counts)
     elif a.step == "produce":
         produce_messages(spark, a.messages, csv_path=a.csv)
     elif a.step == "consume":
-        consume_messages(spark, a.messages, a.out, a.files_per_trigger)
+        consume_messages(spark, a.messages, a.out, a.files_per_trigger, fmt=a.format)
     elif a.step == "silver":
-        bronze = read_table(spark, paths["bronze"], BRONZE_SCHEMA)
+        bronze = read_table(spark, paths["bronze"], BRONZE_SCHEMA, a.format)
         res = LayerResult({"silver": paths["silver"]})
-        bronze_to_silver(spark, bronze, paths["silver"], result=res)
+        bronze_to_silver(spark, bronze, paths["silver"], fmt=a.format, result=res)
         print(res.counts)
     elif a.step == "gold":
-        silver = read_partitioned(spark, paths["silver"])
+        silver = read_partitioned(spark, paths["silver"], a.format)
         assert_quality(dq_report(silver, expected), checks)
-        print(silver_to_gold(silver, paths, segmented=segmented).counts)
+        print(silver_to_gold(silver, paths, fmt=a.format, segmented=segmented).counts)
     elif a.step == "sql":
         res = LayerResult({k: v for k, v in paths.items() if k != "bronze"})
-        for name, df in run_sql_layer(spark, res, a.symbol).items():
+        for name, df in run_sql_layer(spark, res, a.symbol, fmt=a.format).items():
             print(f"-- {name}")
             df.show(truncate=False)
     spark.stop()

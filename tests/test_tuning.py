@@ -15,3 +15,13 @@ def test_100tb_partitions_fit_target_size():
     # shuffle volume (half the input) / partitions stays near the 256 MiB target
     assert (50 * tb) / parts <= 256 * MIB
     assert int(c["spark.sql.files.maxPartitionBytes"]) <= 512 * MIB
+
+
+def test_executor_shape_caps_partition_size():
+    gib = 1 << 30
+    # 8 GiB executors with 8 cores: ~614 MiB per task -> the 256 MiB target stands
+    roomy = scale_conf(10 * gib, 64, executor_memory_bytes=8 * gib, cores_per_executor=8)
+    # 2 GiB executors with 8 cores: ~154 MiB per task -> partitions of ~77 MiB
+    tight = scale_conf(10 * gib, 64, executor_memory_bytes=2 * gib, cores_per_executor=8)
+    assert int(tight["spark.sql.shuffle.partitions"]) > int(roomy["spark.sql.shuffle.partitions"])
+    assert int(tight["spark.sql.files.maxPartitionBytes"]) < 100 * MIB

@@ -48,12 +48,22 @@ def _write_observed(df: DataFrame, name: str, path: str, counts: dict, **kw) ->
     counts[name] = int(obs.get["rows"])
 
 
-def write_silver(silver: DataFrame, path: str, fmt: str = "parquet", counts: dict | None = None):
-    """Hive-partitioned by symbol; rows range-partitioned on (symbol, date)
-    first, so each task writes few files and a hot symbol spans tasks."""
+def write_silver(
+    silver: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    counts: dict | None = None,
+    partition_by_symbol: bool = True,
+):
+    """Rows range-partitioned on (symbol, date), so each task writes few files
+    and a hot symbol spans tasks; Hive-partitioned by symbol unless
+    ``partition_by_symbol`` is off (for millions of symbols: the files stay
+    clustered by symbol, and Parquet min/max statistics still skip row groups
+    on a symbol filter)."""
     _write_observed(
         silver, "silver", path, counts if counts is not None else {},
-        partition_by=["symbol"], fmt=fmt, cluster_by=["symbol", "date"], range_partition=True,
+        partition_by=["symbol"] if partition_by_symbol else None, fmt=fmt,
+        cluster_by=["symbol", "date"], range_partition=True,
     )
 
 
@@ -75,12 +85,13 @@ def bronze_to_silver(
     max_spike: float = MAX_PRICE_SPIKE,
     fmt: str = "parquet",
     result: LayerResult | None = None,
+    partition_by_symbol: bool = True,
 ) -> DataFrame:
-    """Write silver (symbol-partitioned) and return it read back from disk."""
+    """Write silver (symbol-partitioned by default) and return it read back."""
     res = result if result is not None else LayerResult({"silver": silver_path})
     silver = to_silver(bronze, max_spike)
     res.schemas["silver"] = silver.schema
-    write_silver(silver, silver_path, fmt, res.counts)
+    write_silver(silver, silver_path, fmt, res.counts, partition_by_symbol)
     return read_table(spark, silver_path, res.schemas["silver"], fmt)
 
 
@@ -92,6 +103,7 @@ def silver_to_gold(
     fmt: str = "parquet",
     result: LayerResult | None = None,
     segmented: bool | str = False,
+    partition_by_symbol: bool = True,
 ) -> LayerResult:
     """Write the three gold tables from a silver DataFrame.
 
@@ -103,7 +115,8 @@ def silver_to_gold(
         # stock_summary comes out of the window hash-partitioned by symbol and
         # sorted by (symbol, date): the partitioned write adds no shuffle.
         "stock_summary": (stock_summary(silver, windows, segmented=segmented),
-                          dict(partition_by=["symbol"], cluster_by=["symbol", "date"])),
+                          dict(partition_by=["symbol"] if partition_by_symbol else None,
+                               cluster_by=["symbol", "date"])),
         "top_movers": (top_movers(silver, top_n), dict(cluster_by=["date", "direction", "rank"])),
         "volume_analysis": (volume_analysis(silver, segmented=segmented),
                             dict(cluster_by=["date", "symbol"])),
@@ -126,14 +139,15 @@ def run_layers(
     min_rows: int = MIN_ROWS_PER_SYMBOL,
     fmt: str = "parquet",
     segmented: bool | str = False,
+    partition_by_symbol: bool = True,
 ) -> LayerResult:
     """Silver -> quality gate -> gold; raises ``QualityGateError`` (gold not
     written) when a gate check fails."""
     paths = layer_paths(out_root)
     res = LayerResult({k: v for k, v in paths.items() if k != "bronze"})
-    silver = bronze_to_silver(spark, bronze, paths["silver"], max_spike, fmt, res)
+    silver = bronze_to_silver(spark, bronze, paths["silver"], max_spike, fmt, res, partition_by_symbol)
     res.quality = assert_quality(dq_report(silver, expected_symbols, min_rows), gate_checks)
-    return silver_to_gold(silver, paths, windows, top_n, fmt, res, segmented)
+    return silver_to_gold(silver, paths, windows, top_n, fmt, res, segmented, partition_by_symbol)
 
 
 def register_sql_layer(

@@ -167,3 +167,14 @@ def test_cli_steps(spark):
         spark.stop = stop
     gold = spark.read.parquet(root + "/gold/volume_analysis")
     assert gold.count() == 3346
+
+
+def test_layers_without_symbol_partitions(spark):
+    root = scratch_path(spark, "layers-flat")
+    res = run_layers(spark, _raw(spark), root, expected_symbols=["S00"], min_rows=1,
+                     partition_by_symbol=False)
+    assert not any(n.startswith("symbol=") for n in os.listdir(res.paths["silver"]))
+    views = register_sql_layer(spark, res)
+    assert views["stock_summary"].count() == res.counts["silver"] == 5854
+    plan = views["stock_summary"].filter(F.col("symbol") == "S07")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(symbol,S07)" in plan  # pushed to the Parquet scan (row-group skipping)

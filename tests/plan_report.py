@@ -4,8 +4,9 @@ Usage: python tests/plan_report.py [sf_dir] [out_md]
 
 Per query: shuffles (hash / range / single partition), broadcasts, scans and
 the columns they read, pushed/partition filters, partial top-k
-(WindowGroupLimit), aggregate kinds and window operators. Plans are the
-adaptive final plans after one execution.
+(WindowGroupLimit), aggregate kinds, window operators and how many operators
+run inside whole-stage codegen. Plans are the adaptive final plans after the
+DataFrame has been executed.
 """
 
 from __future__ import annotations
@@ -26,20 +27,41 @@ def formatted_plan(df) -> str:
     return buf.getvalue()
 
 
+def _final_tree_and_details(plan: str) -> tuple[str, str]:
+    """The operator tree of the final adaptive plan (or the only plan) and
+    the detail blocks of exactly its operators."""
+    if "== Final Plan ==" in plan:
+        tree = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    else:
+        tree = plan.split("\n\n(1)")[0]
+    ids = set(re.findall(r"\((\d+)\)", tree))
+    blocks = []
+    for block in (b.strip("\n") for b in plan.split("\n\n")):
+        m = re.match(r"\((\d+)\) ", block)
+        if m and m.group(1) in ids:
+            blocks.append(block)
+    return tree, "\n\n".join(blocks)
+
+
 def summarise(plan: str) -> dict:
-    tree = plan.split("\n\n(1)")[0]
+    tree, details = _final_tree_and_details(plan)
     return {
-        "hash_exchanges": len(re.findall(r"Arguments: hashpartitioning", plan)),
-        "range_exchanges": len(re.findall(r"Arguments: rangepartitioning", plan)),
-        "single_partition": len(re.findall(r"Arguments: SinglePartition", plan)),
+        "hash_exchanges": len(re.findall(r"Arguments: hashpartitioning", details)),
+        "range_exchanges": len(re.findall(r"Arguments: rangepartitioning", details)),
+        "single_partition": len(re.findall(r"Arguments: SinglePartition", details)),
         "broadcasts": len(re.findall(r"BroadcastExchange \(", tree)),
         "scans": len(re.findall(r"Scan parquet", tree)),
-        "read_schema": sorted(set(re.findall(r"ReadSchema: (struct<[^\n]*>)", plan))),
+        "read_schema": sorted(set(re.findall(r"ReadSchema: (struct<[^\n]*>)", details))),
         "window_group_limit": len(re.findall(r"WindowGroupLimit \(", tree)),
         "windows": len(re.findall(r"\bWindow \(", tree)),
         "hash_aggregates": len(re.findall(r"HashAggregate \(", tree)),
         "sort_aggregates": len(re.findall(r"SortAggregate \(", tree)),
         "joins": [f"{a} {b}" for a, b in re.findall(r"(\w+Join) (\w+)", tree)],
+        # operators inside whole-stage codegen ("*" in the tree) / all operators
+        "codegen": (
+            len(re.findall(r"\* \w", tree)),
+            len(re.findall(r"\w \(\d+\)", tree)),
+        ),
     }
 
 
@@ -103,22 +125,23 @@ def main():
         "# Physical plans of the registered queries",
         "",
         f"Generated by `tests/plan_report.py` on `{sf_dir}` (adaptive final plans,"
-        " local[8]). The inputs are the tables written once from `lineitem` (clean bars, raw dirty bars).",
+        " local[8]), after executing each query. The inputs are the tables written once from `lineitem` (clean bars, raw dirty bars). \"codegen ops\": operators inside whole-stage codegen / all plan nodes (exchanges, query stages and windows never are).",
         "",
         "| query | hash shuffles | range shuffles | single-partition | broadcasts | scans |"
-        " partial+final top-k | windows | hash / sort aggs | joins |",
-        "|---|---|---|---|---|---|---|---|---|---|",
+        " partial+final top-k | windows | hash / sort aggs | joins | codegen ops |",
+        "|---|---|---|---|---|---|---|---|---|---|---|",
     ]
     details = []
     for name, fn in E.queries().items():
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()  # execute this DataFrame's own plan, so explain shows the final plan
         plan = formatted_plan(df)
         s = summarise(plan)
         lines.append(
             f"| {name} | {s['hash_exchanges']} | {s['range_exchanges']} | {s['single_partition']} |"
             f" {s['broadcasts']} | {s['scans']} | {s['window_group_limit']} | {s['windows']} |"
             f" {s['hash_aggregates']} / {s['sort_aggregates']} | {', '.join(s['joins']) or '-'} |"
+            f" {s['codegen'][0]} / {s['codegen'][1]} |"
         )
         details.append(f"### {name}\n\nReadSchema: " + "; ".join(f"`{r}`" for r in s["read_schema"]))
     lines += ["", "## Filters reaching the scan (library calls on written layers)", ""]

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from ..functions.sql import register_sql_functions
+from .skew import should_segment
 from ..operators.marts import stock_summary, top_movers, volume_analysis
 from ..operators.quality import RUNNER_CHECKS, assert_quality, dq_report
 from ..operators.signals import latest_signal, top_gains, top_volume_spikes
@@ -111,6 +112,8 @@ def silver_to_gold(
     block + halo, "auto": measure the longest series first).
     """
     res = result if result is not None else LayerResult(dict(paths))
+    # "auto" is resolved once (one small job) for both per-symbol windows
+    segmented = should_segment(segmented, silver)
     gold = {
         # stock_summary comes out of the window hash-partitioned by symbol and
         # sorted by (symbol, date): the partitioned write adds no shuffle.

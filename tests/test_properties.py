@@ -208,3 +208,38 @@ def test_csv_scan_matches_name_model(spark, files):
             fh.write("\n".join(lines) + "\n")
     got = [tuple(r) for r in scan_csv(spark, root).collect()]
     assert sorted(got) == sorted(want)
+
+
+msg_values = st.one_of(
+    st.dictionaries(
+        st.sampled_from(["symbol", "date", "open", "high", "low", "close", "volume", "extra"]),
+        st.one_of(st.text(alphabet="AZ09.-", max_size=6), st.integers(0, 999), st.none()),
+        max_size=8,
+    ).map(lambda d: __import__("json").dumps(d)),
+    st.sampled_from(["not json", "{", "[]", ""]),
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(msg_values, min_size=1, max_size=25))
+def test_decode_messages_matches_json_model(spark, values):
+    import json
+
+    from ohlcflow.schemas import BAR_FIELDS
+    from ohlcflow.sources.messages import decode_messages, message_rejects
+
+    def model(v):
+        try:
+            obj = json.loads(v)
+        except ValueError:
+            return None
+        if not isinstance(obj, dict):
+            return None
+        row = tuple(None if obj.get(f) is None else str(obj[f]) for f in BAR_FIELDS)
+        return None if all(x is None for x in row) else row
+
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    want = [m for m in map(model, values) if m is not None]
+    got = [tuple(r) for r in decode_messages(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert message_rejects(df).count() == len(values) - len(want)

@@ -80,10 +80,10 @@ def _movers_by_value_ranks(cand: DataFrame, top_n: int) -> DataFrame:
     """Dense ranks of the distinct values, joined back to every row.
 
     The rank table has at most ``top_n`` rows per (date, direction); its size
-    bound ``top_n x 2 x (days between min and max date + 2)`` comes from one
-    min/max aggregate, and it is broadcast when that bound is below
-    ``RANK_TABLE_LIMIT_BYTES`` (else a shuffle join, which AQE splits when
-    one value is hot).
+    bound ``top_n x 2 x (distinct dates + 1)`` comes from one count-distinct
+    aggregate over the low-cardinality date column, and it is broadcast when
+    that bound is below ``RANK_TABLE_LIMIT_BYTES`` (else a shuffle join, which
+    AQE splits when one value is hot).
     """
     values = cand.select("date", "direction", "abs_return").distinct()
     w = Window.partitionBy("date", "direction").orderBy(F.col("abs_return").desc_nulls_last())
@@ -97,9 +97,9 @@ def _movers_by_value_ranks(cand: DataFrame, top_n: int) -> DataFrame:
             "rank",
         )
     )
-    lo, hi = cand.agg(F.min("date"), F.max("date")).first()
-    days = (hi - lo).days + 2 if lo is not None else 1
-    if top_n * 2 * days * 48 <= RANK_TABLE_LIMIT_BYTES:
+    # distinct dates (+1 for a NULL date): one small aggregate, any date type
+    n_dates = cand.agg(F.count_distinct("date")).first()[0] + 1
+    if top_n * 2 * n_dates * 48 <= RANK_TABLE_LIMIT_BYTES:
         ranks = F.broadcast(ranks)
     cond = (
         cand["date"].eqNullSafe(ranks["_r_date"])

@@ -243,3 +243,44 @@ def test_decode_messages_matches_json_model(spark, values):
     got = [tuple(r) for r in decode_messages(df).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert message_rejects(df).count() == len(values) - len(want)
+
+
+mover_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B", "C", "D"]),
+        st.sampled_from([1, 2, None]),
+        st.sampled_from([-60.0, -3.5, -1.0, 0.0, 1.0, 2.5, 2.5, 60.0, None]),
+    ),
+    max_size=30,
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(mover_rows, st.integers(1, 3))
+def test_top_movers_matches_dense_rank_model(spark, rows, top_n):
+    from ohlcflow.operators.marts import top_movers
+
+    df = spark.createDataFrame(
+        [(s, d, r, abs(r) > 50 if r is not None else False, 1.0, 1) for s, d, r in rows],
+        "symbol string, date int, daily_return_pct double, price_spike_flag boolean, "
+        "close double, volume bigint",
+    )
+    kept = [(s, d, r) for s, d, r in rows if not (r is not None and abs(r) > 50)]
+    groups: dict = {}
+    for s, d, r in kept:
+        groups.setdefault((d, "GAINER" if (r is not None and r > 0) else "LOSER"), []).append((s, r))
+    want = []
+    for (d, direction), members in groups.items():
+        distinct = sorted({abs(r) for _, r in members if r is not None}, reverse=True)
+        ranks = {v: i + 1 for i, v in enumerate(distinct)}
+        null_rank = len(distinct) + 1
+        for s, r in members:
+            rank = ranks[abs(r)] if r is not None else null_rank
+            if rank <= top_n:
+                want.append((d, s, direction, r, rank))
+    for ties in ("window", "join"):
+        got = [
+            (x["date"], x["symbol"], x["direction"], x["daily_return_pct"], x["rank"])
+            for x in top_movers(df, top_n, ties=ties).collect()
+        ]
+        assert sorted(got, key=repr) == sorted(want, key=repr), ties

@@ -59,6 +59,15 @@ class TestFilterValid:
         kept = sorted((r["symbol"] or "<null>") for r in out.collect())
         assert kept == sorted(["OK", "ZERO_VOL", "DECVOL", "<null>", "BADDATE"])
 
+    def test_reference_nan_mode(self, raw_bars):
+        # plain comparison keeps NaN (NaN sorts above every number); the
+        # default also rejects non-finite prices
+        rows = [("N", "2021-03-06", "10", "11", "9", "NaN", "100"),
+                ("I", "2021-03-06", "10", "Infinity", "9", "10", "100")]
+        typed = cast_schema(raw_bars(rows))
+        assert filter_valid_prices(typed).count() == 0
+        assert sorted(r["symbol"] for r in filter_valid_prices(typed, finite_only=False).collect()) == ["I", "N"]
+
     def test_dirty_fixture(self, dirty_sample):
         out = filter_valid_prices(cast_schema(dirty_sample))
         assert out.filter((F.col("open") <= 0) | (F.col("high") < F.col("low"))).count() == 0

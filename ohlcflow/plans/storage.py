@@ -28,16 +28,20 @@ def _context(spark: SparkSession):
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint directory, set to a fresh local one if unset."""
+    """The session's checkpoint directory, set to a fresh local one if unset.
+
+    A directory named in the session configuration is also made the
+    context's checkpoint directory when the context has none yet, so that
+    ``DataFrame.checkpoint()`` writes there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="ohlcflow-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -1,0 +1,72 @@
+import hashlib
+
+import pytest
+
+from ohlcflow.llm.common import words
+from ohlcflow.llm.mixing import mix, take
+
+
+def brute_targets(sizes, weights, percent, cap):
+    """Water filling, source by source."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_, target = sum(sizes.values()) * percent / 100, set(names), {}
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        full = {s for s in open_ if level * w[s] > cap * sizes[s]}
+        if not full:
+            return target | {s: level * w[s] for s in open_}
+        for s in full:
+            target[s] = cap * sizes[s]
+            left -= target[s]
+        open_ -= full
+    return target
+
+
+def brute(rows, weights=(3, 1, 2), percent=150, cap=2, seed="mix"):
+    size = [len(words(t or "")) for _, t, _ in rows]
+    sizes = {}
+    for (_, _, s), n in zip(rows, size, strict=True):
+        sizes[s] = sizes.get(s, 0) + n
+    target = brute_targets(sizes, weights, percent, cap)
+    key = lambda i: (int(hashlib.md5(f"{seed}:{'' if rows[i][0] is None else rows[i][0]}".encode()).hexdigest()[:8], 16), rows[i][0] or -1)
+    copies, end = [], dict.fromkeys(sizes, 0)
+    for epoch in range(cap):
+        for i in sorted(range(len(rows)), key=key):
+            s = rows[i][2]
+            end[s] += size[i]
+            copies.append((end[s] / target[s] if target[s] else 0.0, s is None, s or "", key(i), epoch, i))
+    spent, taken = 0, [0] * len(rows)
+    for *_, i in sorted(copies):
+        spent += size[i]
+        taken[i] += size[i] if spent <= sum(size) * percent / 100 else 0
+    return [(rows[i][0], size[i], sizes[rows[i][2]], target[rows[i][2]], taken[i]) for i in range(len(rows))]
+
+
+def order(rows):
+    return sorted((tuple(-1 if v is None else round(v, 6) for v in r) for r in rows))
+
+
+def test_against_brute_force(spark, odd_docs, make_docs):
+    many = make_docs([(i, "w " * (i * 31 % 97), f"s{i % 7 if i % 3 else 0}") for i in range(600)] + [(1000, "v " * 9000, "big"), (1001, "v", None)])
+    for docs in (many, odd_docs):
+        rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+        assert order(tuple(r)[:5] for r in mix(docs).collect()) == order(brute(rows))
+
+
+def test_buckets_do_not_change_the_result(spark, make_docs, monkeypatch):
+    docs = make_docs([(i, "w " * (i % 53), "hot" if i % 3 else f"s{i % 5}") for i in range(400)])
+    whole = order(tuple(r) for r in mix(docs).collect())
+    monkeypatch.setattr("ohlcflow.llm.mixing.BUCKET_ROWS", 10)
+    assert order(tuple(r) for r in mix(docs).collect()) == whole
+
+
+def test_take_repeats_whole_rows(spark, make_docs, no_docs):
+    docs = make_docs([(i, "w " * 10, "a" if i % 4 else "b") for i in range(100)])
+    taken = {r.doc_id: r.copies for r in mix(docs).collect()}
+    got = take(docs)
+    assert got.columns == docs.columns
+    counts = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
+    assert counts == {k: v for k, v in taken.items() if v}
+    assert sum(counts.values()) == pytest.approx(150, abs=1)
+    assert mix(no_docs).count() == 0 and take(no_docs).count() == 0

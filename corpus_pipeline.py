@@ -13,6 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from ohlcflow.llm.common import documents, materialize
 
 
+def line_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are mostly content, by counts and by a line field trained on the labelled documents."""
+    from ohlcflow.llm.line_quality import fit, keep
+
+    return keep(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that likenesses of 0.8 or more over 5-grams of words connect."""
+    from ohlcflow.llm.ngram_join import distinct_documents
+
+    return distinct_documents(docs, n=5, percent=80)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; n_chars follows."""
+    from ohlcflow.llm import personal_data as P
+
+    return P.redact(docs, P.fit(P.pattern_counts(P.candidates(docs))))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources takes it."""
     from ohlcflow.llm.mixing import take
@@ -28,6 +49,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("line_quality", line_quality),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
     ("mixing", mixing),
     ("packing", packing),
 ]

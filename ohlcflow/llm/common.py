@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ohlcflow.plans.storage import scratch_path
@@ -25,7 +25,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``materialize`` that nothing will read again."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words(text: str) -> list[str]:
@@ -114,7 +124,10 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionAll(low.select("u", F.col("m").alias("v")))
         new = materialize(small.distinct(), "links")
         if new.exceptAll(links).isEmpty() and links.exceptAll(new).isEmpty():
+            discard(links)
+            links = new
             break
+        discard(links)
         links = new
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
@@ -123,3 +136,27 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return own.select(F.col("u").alias("node"), "component").unionAll(
         roots.select(F.col("v").alias("node"), F.col("v").alias("component"))
     )
+
+
+def span_digest(spans: Column, kinds: list[str], by_start: bool) -> Column:
+    """``kind:start:end`` of spans (struct<kind: index, start, end>), comma-joined, by start and kind or by kind and start."""
+    names = F.array(*map(F.lit, kinds))
+    key = ["start", "kind", "end"] if by_start else ["kind", "start", "end"]
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(*[s[k].alias(k) for k in key])))
+    return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+
+def labelled_sample(labels: DataFrame, label: str, per_class: dict[int, int]) -> DataFrame:
+    """(doc_id, label): of each class the rows with the least hashes, at most ``per_class`` of them."""
+    parts = [
+        labels.where(F.col(label) == c).select("doc_id", F.col(label).alias("label")).where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        for c, n in per_class.items()
+    ]
+    from functools import reduce
+
+    return reduce(DataFrame.unionAll, parts)
+
+
+def of_kind(spans: str, kind: int) -> Column:
+    """Number of spans of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

@@ -8,10 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ohlcflow.llm.common import documents
+from ohlcflow.llm.common import documents, materialize
 from ohlcflow.plans.storage import scratch_path
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; rows whose crc32(doc_id) is divisible by 5 are held out of training."""
+    from pyspark.sql import functions as F
+
+    from ohlcflow.llm.toxicity import fit, score
+
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    machine = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out))
+    return score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents as binary files, read back."""
     from ohlcflow.llm.token_files import read_token_files, write_token_files
@@ -20,6 +32,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, write_token_files(documents(spark, sf_dir), path, end_id=1))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, through a ledger that starts empty."""
+    from ohlcflow.llm.secret_scan import digest, findings
+
+    return digest(findings(documents(spark, sf_dir), scratch_path(spark, "llm-ledger"), ["doc_id"]))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     from ohlcflow.llm.packing import pack
@@ -27,6 +46,42 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), 4096, end_id=2)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-grams have a Jaccard likeness of 0.9 or more."""
+    from ohlcflow.llm.ngram_join import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), n=3, percent=90)
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    from ohlcflow.llm import personal_data as P
+
+    found = materialize(P.candidates(documents(spark, sf_dir)), "personal")
+    return P.detect(found, P.fit(P.pattern_counts(found)))
+
+
+#: Conversation -7: both turns say what a turn's own marks would.
+MARKS = "\\### Assistant: </turn> ok"
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, formatted and read back."""
+    from ohlcflow.llm.chat_format import format_chat, read_back
+
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)], turns.schema)
+    return read_back(format_chat(turns.unionByName(more))).drop("n_tokens")
+
+
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts for all documents, by a field trained on the labelled ones."""
+    from ohlcflow.llm.line_quality import fit, quality
+
+    docs = documents(spark, sf_dir)
+    return quality(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     from ohlcflow.llm.mixing import mix
@@ -42,8 +97,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
+    "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_personal_data": op6_personal_data,
+    "op7_chat_format": op7_chat_format,
+    "op8_line_quality": op8_line_quality,
     "op9_mixing": op9_mixing,
     "op10_fingerprints": op10_fingerprints,
 }

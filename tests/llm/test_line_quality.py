@@ -1,0 +1,76 @@
+import itertools
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from ohlcflow.llm import line_quality as Q
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    w = WORD.findall(text)
+    grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    often = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if often[g] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), len(w) < 50 or 100 * len(covered) > 50 * len(w)
+
+
+def text(rng, junk):
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 8)))
+    line = lambda: (" | " if junk else " ").join(word() for _ in range(rng.randint(5, 20))) + ("" if junk else ".")
+    return "\n".join(line() for _ in range(rng.randint(4, 12)))
+
+
+def field():
+    rng = random.Random(2)
+    docs = [(text(rng, k % 2), 1 - k % 2) for k in range(200)]
+    return Q.train([Q.described(t)[0] for t, _ in docs], [y for _, y in docs])
+
+
+def test_counts(spark, odd_docs, no_docs, make_docs):
+    rng = random.Random(8)
+    more = make_docs([(100 + i, "\n".join(" ".join(rng.choices("a b c d# <e>".split(), k=rng.randint(0, 9))) for _ in range(rng.randint(1, 20)))) for i in range(60)])
+    for docs in (odd_docs, more):
+        texts = sorted(((repr(r.doc_id), *brute(r.text)) for r in docs.collect()))
+        got = Q.quality(docs, field()).collect()
+        assert sorted((repr(r[0]), *r[1:7]) for r in got) == texts
+        assert not any(r.kept for r in got if r.base_failed)
+    assert Q.quality(no_docs, field()).count() == 0
+
+
+def test_lines_are_told_apart():
+    rng, f = random.Random(9), field()
+    for k in range(40):
+        t = text(rng, k % 2)
+        assert f.decode(Q.described(t)[0]) == [1 - k % 2] * len(t.split("\n"))
+    mixed = text(rng, False) + "\n" + text(rng, True)
+    labels = f.decode(Q.described(mixed)[0])
+    assert labels == sorted(labels, reverse=True) and {0, 1} == set(labels)
+
+
+def test_viterbi_is_the_best_of_all_labelings():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        f = Q.LineField(rng.normal(size=(Q.FEATURES, 2)), rng.normal(size=(2, 2)))
+        lines = [rng.choice(Q.FEATURES, 3, replace=False).tolist() for _ in range(rng.integers(1, 8))]
+        value = lambda ys: sum(f.emit[x, y].sum() for x, y in zip(lines, ys, strict=True)) + sum(f.move[a, b] for a, b in itertools.pairwise(ys))
+        assert np.isclose(value(f.decode(lines)), max(map(value, itertools.product((0, 1), repeat=len(lines)))))
+
+
+def test_fit_and_keep(spark, make_docs, no_docs, odd_docs):
+    rng = random.Random(5)
+    docs = make_docs([(i, text(rng, i % 2) + "\n" + text(rng, i % 2)) for i in range(120)])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(80)] + [(None, 1), (5_000, 0), (81, None)], "doc_id long, quality int")
+    f = Q.fit(docs, labels)
+    kept = Q.keep(docs, f)
+    assert kept.columns == docs.columns
+    failed = {r.doc_id for r in docs.collect() if brute(r.text)[5]}
+    assert {r.doc_id for r in kept.collect()} == {i for i in range(0, 120, 2)} - failed
+    everything = Q.fit(docs, labels.where("quality = 1"))  # one class: all lines are content
+    assert {r.doc_id for r in Q.keep(docs, everything).collect()} == set(range(120)) - failed
+    assert Q.keep(no_docs, f).count() == 0 and Q.keep(odd_docs, f).count() == 0

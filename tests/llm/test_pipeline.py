@@ -1,0 +1,67 @@
+"""The pipeline held against a brute-force version of every stage."""
+
+import corpus_pipeline as C
+from test_line_quality import brute as quality_counts
+from test_mixing import brute as brute_mix
+from test_ngram_join import brute as brute_groups
+
+from ohlcflow.llm import line_quality as Q
+from ohlcflow.llm import personal_data as P
+from ohlcflow.llm.packing import pack
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r for r in docs.collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+
+    kept = C.line_quality(spark, docs, SF)
+    assert kept.columns == COLUMNS
+    field = Q.fit(docs, labels)
+    want = {i for i, r in rows.items() if not quality_counts(r.text)[5] and Q.judge(r.text, field)[7] >= Q.CONTENT_SHARE}
+    assert {r.doc_id for r in kept.collect()} == want
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    assert all(i in want for i in good if not quality_counts(rows[i].text)[5])
+
+    one = C.near_duplicates(spark, kept, SF)
+    assert one.columns == COLUMNS
+    groups = brute_groups([(i, rows[i].text) for i in sorted(want)], 5, 80)
+    left = {i for i, _, c in groups if i == c}
+    assert sorted(r.doc_id for r in one.collect()) == sorted(left)
+
+    clean = C.personal_data(spark, one, SF)
+    assert clean.columns == COLUMNS
+    texts = {r.doc_id: r for r in clean.collect()}
+    for i, r in texts.items():
+        assert r.n_chars == len(r.text)
+        assert not P.find(r.text)[0]
+        if not any(P.find(rows[i].text)):
+            assert r.text == rows[i].text
+
+    mixed = C.mixing(spark, clean, SF)
+    assert mixed.columns == COLUMNS
+    ordered = [texts[i] for i in sorted(texts)]
+    taken = {i: t // n for i, n, _, _, t in brute_mix([(r.doc_id, r.text, r.source) for r in ordered]) if t}
+    got = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert got == taken
+
+    packed = C.packing(spark, mixed, SF).toPandas()
+    assert packed.groupby("doc_id").size().sum() == len(pack(mixed).toPandas())
+    assert (packed[packed.start == 0].groupby("doc_id").size() == [taken[i] for i in sorted(taken)]).all()
+
+
+def test_run_applies_the_stages(spark):
+    got = C.run(spark, SF)
+    assert 4 <= len(C.STAGES) <= 5 and C.ORACLE_SQL is None
+    assert got.groupBy("sequence_id").sum("length").agg({"sum(length)": "max"}).first()[0] <= 4096
+
+
+def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
+    for docs in (odd_docs.select(COLUMNS), no_docs.select(COLUMNS)):
+        for _, stage in C.STAGES:
+            out = stage(spark, docs, SF)
+            out.count()
+    assert C.near_duplicates(spark, odd_docs.select(COLUMNS), SF).count() == 9

@@ -64,4 +64,5 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
         for _, stage in C.STAGES:
             out = stage(spark, docs, SF)
             out.count()
-    assert C.near_duplicates(spark, odd_docs.select(COLUMNS), SF).count() == 9
+    left = C.near_duplicates(spark, odd_docs.select(COLUMNS), SF).collect()
+    assert sorted(map(repr, (r.doc_id for r in left))) == sorted(map(repr, [1, 2, 4, 5, 6, 7, 8, 9, 10, None]))  # 3 has the text of 1

@@ -272,10 +272,16 @@ def _across(large: DataFrame, component: DataFrame, percent: int) -> tuple[DataF
     """(members with their components, pairs of members of a group that are in different ones): joined by (n-gram, component), never all members with all."""
     placed = large.join(component, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep"))
     placed = materialize(placed.select("gram", "rep", "size", "pos", "component"), "placed")
-    parts = placed.select("gram", "component").distinct()
+    # the filters hold for two components if they can hold for some pair of their members
+    span = [F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("pos")).alias("left")]
+    parts = placed.groupBy("gram", "component").agg(*span)
     mixed = parts.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     parts = parts.join(mixed, "gram")
-    two = parts.alias("p").join(parts.alias("q"), (F.col("p.gram") == F.col("q.gram")) & (F.col("p.component") < F.col("q.component")))
+    p, q = parts.alias("p"), parts.alias("q")
+    length = (100 * F.col("p.hi") >= percent * F.col("q.lo")) & (100 * F.col("q.hi") >= percent * F.col("p.lo"))
+    need = F.ceil(F.lit(percent) * (F.col("p.lo") + F.col("q.lo")) / F.lit(100.0 + percent) - 1e-9)
+    place = F.least("p.left", "q.left") >= need
+    two = p.join(q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.component") < F.col("q.component")) & length & place)
     two = two.select(F.col("p.gram").alias("g"), F.col("p.component").alias("c"), F.col("q.component").alias("d"))
     x = placed.alias("x").join(two, (F.col("x.gram") == F.col("g")) & (F.col("x.component") == F.col("c")))
     both = x.join(placed.alias("y"), (F.col("y.gram") == F.col("g")) & (F.col("y.component") == F.col("d")) & _near("x", "y", percent))

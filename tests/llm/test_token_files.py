@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -54,3 +55,12 @@ def test_memo_forgets_and_special_strings(monkeypatch):
     e, t = WordEncoder(vocabulary()), Tokenizer.from_file(vocabulary())
     for text in ["a b c d", "don't stop<|endoftext|>now e\tf\rg", "ΣΑΣ é 가", "", "  x ", "l'été 1234 !!?", "a b c d"]:
         assert e.encode([text])[0].tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_words_equal_the_whole_tokenizer():
+    rng, t = random.Random(6), Tokenizer.from_file(vocabulary())
+    e = WordEncoder(vocabulary())
+    letters = "abzAZéÉñßİΣσςäÄ\u0301\u00c5\u212a한ﬁǅ1²'.,!$_<|>-\u00a0"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(40)) for _ in range(300)]
+    for text, ids in zip(texts, e.encode(texts), strict=True):
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids

@@ -34,14 +34,8 @@ def cast_schema(df: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
     )
 
 
-def valid_price_predicate(finite_only: bool = True) -> Column:
-    """Prices > 0, volume >= 0, high >= low; NULL in any of them fails.
-
-    NULL ``symbol`` and NULL ``date`` are *not* rejected: they reach silver on
-    purpose so that the quality gate can report them. With ``finite_only``
-    (default) NaN and infinite prices are rejected as well; plain comparison
-    would keep NaN, since NaN sorts above every number.
-    """
+def _valid_prices(finite_only: bool) -> Column:
+    """The bare conjunction: a filter on it reaches the scan; NULL counts as not true there."""
     cond = (
         (F.col("open") > 0)
         & (F.col("high") > 0)
@@ -53,13 +47,23 @@ def valid_price_predicate(finite_only: bool = True) -> Column:
     if finite_only:
         for c in PRICE_FIELDS:
             cond = cond & is_finite(c)
-    # A NULL predicate is not true, so filter() drops it: coalesce only to
-    # make the column itself two-valued for callers that select it.
-    return F.coalesce(cond, F.lit(False))
+    return cond
+
+
+def valid_price_predicate(finite_only: bool = True) -> Column:
+    """Prices > 0, volume >= 0, high >= low; NULL in any of them fails.
+
+    NULL ``symbol`` and NULL ``date`` are *not* rejected: they reach silver on
+    purpose so that the quality gate can report them. With ``finite_only``
+    (default) NaN and infinite prices are rejected as well; plain comparison
+    would keep NaN, since NaN sorts above every number.
+    """
+    # two-valued, for callers that select it
+    return F.coalesce(_valid_prices(finite_only), F.lit(False))
 
 
 def filter_valid_prices(df: DataFrame, finite_only: bool = True) -> DataFrame:
-    return df.filter(valid_price_predicate(finite_only))
+    return df.filter(_valid_prices(finite_only))
 
 
 def default_dedup_order(df: DataFrame) -> list[Column]:

@@ -49,14 +49,17 @@ def crossover(
     """Fast/slow average state per bar in one window pass.
 
     GOLDEN CROSS when the fast average is above the slow one, DEATH CROSS when
-    below, NEUTRAL otherwise. Equal to the join form (:func:`crossover_join`)
-    whenever (symbol, date) is unique and non-NULL, without its extra shuffles.
+    below, NEUTRAL otherwise. Rows with a NULL symbol or date are left out after
+    the averages, as the join form (:func:`crossover_join`) does; equal to it
+    whenever (symbol, date) is unique, without its extra shuffles.
     """
     f, s = ma_column(fast), ma_column(slow)
     out = add_moving_averages(
         _series_input(df, symbol, ordered), [fast, slow], segmented=segmented
     )
-    out = out.select("symbol", "date", "close", f, s, crossover_signal(f, s).alias("crossover_signal"))
+    out = out.filter("symbol is not null and date is not null").select(
+        "symbol", "date", "close", f, s, crossover_signal(f, s).alias("crossover_signal")
+    )
     return out.orderBy("symbol", "date") if ordered else out
 
 

@@ -13,7 +13,6 @@ default); ranks are cast to ``integer`` and counts to ``bigint``.
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Callable
 
@@ -28,8 +27,8 @@ from .operators import signals as S
 from .operators import views as V
 from .plans.layers import run_layers
 from .plans.silver import to_silver
-from .plans.storage import app_id, path_exists, scratch_path
-from .schemas import BAR_FIELDS, RAW_BAR_SCHEMA, TYPED_BAR_SCHEMA
+from .plans.storage import scratch_path
+from .schemas import BAR_FIELDS
 from .sources.csv import scan_csv
 from .sources.fixtures import bars_from_ticks, dirty_bars
 from .sources.messages import decode_messages, encode_messages
@@ -50,40 +49,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# (application id, data dir, name) -> written fixture table
-_FIXTURE_TABLES: dict[tuple[str, str, str], str] = {}
-
-
-def _fixture_table(spark: SparkSession, sf_dir: str, name: str, build, schema) -> DataFrame:
-    """Build a derived input table once per session and data dir, then read it.
-
-    Written as Parquet under the checkpoint directory; every query reads it
-    back (as the layered job reads its tables): queries do not recompute the
-    lineage, and a lost executor re-reads files instead of recomputing them.
-    Only a completely written table (commit marker present) is reused.
-    """
-    key = (app_id(spark), os.path.abspath(sf_dir), name)
-    path = _FIXTURE_TABLES.get(key)
-    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
-        path = scratch_path(spark, name)
-        build().write.parquet(path)
-        _FIXTURE_TABLES[key] = path
-    return read_table(spark, path, schema)
-
-
 def clean_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars aggregated from all of ``lineitem`` (typed)."""
-    return _fixture_table(
-        spark, sf_dir, "bars",
-        lambda: bars_from_ticks(_table(spark, sf_dir, "lineitem")), TYPED_BAR_SCHEMA,
-    )
+    return bars_from_ticks(_table(spark, sf_dir, "lineitem"))
 
 
 def raw_dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean bars as raw strings with injected defects (bronze-like)."""
-    return _fixture_table(
-        spark, sf_dir, "dirty-bars", lambda: dirty_bars(clean_bars(spark, sf_dir)), RAW_BAR_SCHEMA
-    )
+    return dirty_bars(clean_bars(spark, sf_dir))
 
 
 def clean_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,7 +368,7 @@ _PRICE = "(100 + floor(l_extendedprice / 2000 * 64) / 64)"
 _ORD = "row(l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity)"
 
 CTE_CLEAN = f"""clean_bars AS (
-  SELECT concat('S', lpad(cast(l_partkey % 50 AS varchar), 2, '0')) AS symbol,
+  SELECT printf('S%02d', l_suppkey) AS symbol,
          cast(l_shipdate AS date) AS date,
          cast(arg_min({_PRICE}, {_ORD}) AS double) AS open,
          cast(max({_PRICE}) AS double) AS high,

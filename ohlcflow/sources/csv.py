@@ -1,31 +1,32 @@
 """Price-CSV scan: files with a header row, columns mapped by header *name*.
 
-Each file has its own header. ``Date`` or ``date`` (the capitalised name
+Each file's first line is its header. ``Date`` or ``date`` (the capitalised name
 wins), ``Open``/``open`` ... are picked by name, extra columns are ignored
 and a column the header lacks gets a default (date ``""``, numbers ``"0"``).
+
 Spark's CSV reader with an explicit schema maps by *position*, and a
-schema-less multi-file read applies one file's header to all files, so
-neither can be used directly.
-
-Plan: files are read as rows of up to ``max_columns`` string cells
-(``c0..``). Rows with a cell equal to a known column name are header rows;
-from each file's header Spark computes the cell position of every field,
-and each data row picks its cells through the positions of its file (a join
-on the file path). Only the file count of the listing is used on the
-driver. The symbol comes from a ``symbol=<name>`` directory level or from
-a ``{symbol: path}`` map.
+schema-less multi-file read applies one file's header to all files. So the
+first line of every file is read on its own (one short read a file, beside
+the listing), files are grouped by distinct header, each group is read with
+a schema of its header's width, and the groups' named columns are united. Data
+are read once, whatever their width and values. The symbol comes from
+a ``symbol=<name>`` directory level or from ``{symbol: path}`` pairs; one file may
+serve several symbols.
 """
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..plans.storage import path_exists, qualified_path
+from ..plans.storage import path_exists
 from ..schemas import BAR_FIELDS, CSV_MISSING_DEFAULTS
 
 # Header names accepted per field, in priority order (fixed values).
@@ -37,137 +38,94 @@ HEADER_NAMES = {
     "close": ["Close", "close"],
     "volume": ["Volume", "volume"],
 }
-KNOWN_NAMES = sorted({n for names in HEADER_NAMES.values() for n in names})
+#: First lines read at the same time.
+HEADER_READERS = 16
+
 
-BROADCAST_LIMIT_BYTES = 64 << 20
-MAX_PATH_BYTES = 4096
-# symbol -> file maps up to this size are inlined; longer ones are joined.
-INLINE_MAP_LIMIT = 256
+def _plain(uri: str) -> str:
+    return re.sub(r"^file:/+", "/", uri)
 
 
-def _cells(n: int) -> list[str]:
-    return [f"c{i}" for i in range(n)]
+def _first_line(spark: SparkSession, uri: str) -> str:
+    """The first line of a file, through Hadoop's file system (any scheme)."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
 
 
-def _normalise_path(col: Column) -> Column:
-    return F.regexp_replace(col, r"^file:/+", "/")
+def _positions(header: tuple[str, ...]) -> dict[str, int]:
+    """Field -> cell position; of equal names the last cell counts."""
+    last = {name: k for k, name in enumerate(header)}
+    found = {field: [last[n] for n in names if n in last] for field, names in HEADER_NAMES.items()}
+    return {field: at[0] for field, at in found.items() if at}
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    """Fully qualified form of ``path`` as it appears in ``_metadata.file_path``."""
-    return re.sub(r"^file:/+", "/", qualified_path(spark, path))
+def _uri_of(spark: SparkSession, path: str) -> str:
+    """``path`` as ``_metadata.file_path`` shows it (qualified and encoded)."""
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(hp).toUri().toString()
 
 
-def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    return [p for p in paths if path_exists(spark, p)]
+def _literal(spark: SparkSession, uri: str) -> str:
+    """A path that names this one file even if its name has pattern characters."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
 
 
-def _last_position(arr: Column, name: str) -> Column:
-    """1-based index of the last cell equal to ``name``; NULL if absent."""
-    p = F.array_position(F.reverse(arr), F.lit(name))
-    return F.when(p > 0, (F.size(arr) - p + 1).cast("int"))
+def _read_group(spark: SparkSession, header: tuple[str, ...], uris: list[str], base: str | None) -> DataFrame:
+    fields = [StructField(f"c{k}", StringType(), True) for k in range(len(header))]
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if base is not None:
+        # declared, so that a ``symbol=...`` directory level is read as a string
+        fields.append(StructField("symbol", StringType(), True))
+        reader = reader.option("basePath", base)
+    raw = reader.schema(StructType(fields)).csv([_literal(spark, u) for u in uris])
+    at = _positions(header)
+    values: list[Column] = [
+        (F.col(f"c{at[f]}") if f in at else F.lit(CSV_MISSING_DEFAULTS[f])).alias(f) for f in BAR_FIELDS[1:]
+    ]
+    symbol = [F.col("symbol")] if base is not None else []
+    return raw.select(*symbol, *values, F.col("_metadata.file_path").alias("_file"))
 
 
 def scan_csv(
     spark: SparkSession,
     path: str | None = None,
     symbol_files: Mapping[str, str] | None = None,
-    max_columns: int = 16,
-    broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES,
     keep_file: bool = False,
 ) -> DataFrame:
-    """Read price CSVs into the seven raw string bar columns (lazily).
+    """Read price CSVs into the seven raw string bar columns.
 
     Either ``path`` (a directory, optionally with ``symbol=...`` levels) or
     ``symbol_files`` (symbol -> file); files that do not exist contribute no
-    rows. Rows of files without any recognisable header are not returned.
-    A file whose header reaches ``max_columns`` cells fails the query (its
-    remaining columns could not be mapped).
-
-    The per-file table (file -> cell position of each field) has one row per
-    file; it is broadcast only when ``#files x (4096-byte path + positions)``
-    is below ``broadcast_limit_bytes`` (about 16k files at 64 MiB), else it is
-    shuffle-joined (AQE splits a hot file's partition).
+    rows. The first line of a file is its header whatever it says: a file
+    without a recognised name there gives a row of defaults for each further
+    line.
     """
-    cells = _cells(max_columns)
-    fields = [StructField(c, StringType(), True) for c in cells]
+    pairs: list[tuple[str, str]] = []
     if symbol_files is None:
-        # Declared so that a ``symbol=...`` directory level is read as a string
-        # (partition type inference would turn an all-digit symbol into an int).
-        fields.append(StructField("symbol", StringType(), True))
-    reader = (
-        spark.read.schema(StructType(fields)).option("header", False).option("mode", "PERMISSIVE")
-    )
-    if symbol_files is not None:
-        files = _existing(spark, list(dict.fromkeys(symbol_files.values())))
-        if not files:
-            return spark.createDataFrame([], ",".join(f"{c} string" for c in BAR_FIELDS))
-        raw = reader.csv(files)
+        uris = spark.read.text(path).inputFiles()
     else:
-        raw = reader.csv(path)
-    arr = F.array(*cells)
-    raw = raw.withColumns(
-        {
-            "_file": F.col("_metadata.file_path"),
-            # any cell equal to a known column name (codegen'd; NULL -> false)
-            "_is_header": F.coalesce(
-                F.arrays_overlap(arr, F.array(*[F.lit(n) for n in KNOWN_NAMES])), F.lit(False)
-            ),
-        }
-    )
-
-    # field -> cell position, from the header row of each file
-    pos_cols = []
-    for field, names in HEADER_NAMES.items():
-        pos = None
-        for name in names:  # priority order: the capitalised name wins
-            p = _last_position(arr, name)
-            pos = p if pos is None else F.coalesce(pos, p)
-        pos_cols.append(pos.alias(f"_p_{field}"))
-    # a header that fills the last cell may have columns beyond max_columns
-    overflow = F.col(cells[-1]).isNotNull().alias("_overflow")
-    headers = (
-        raw.filter("_is_header")
-        .select("_file", F.struct(F.to_json(arr).alias("h"), *pos_cols, overflow).alias("_hdr"))
-        .groupBy("_file")
-        .agg(F.min("_hdr").alias("_hdr"))  # one header per file, deterministic
-        .select("_file", "_hdr.*")
-        .drop("h")
-    )
-    # Size bound without pulling the listing into Python: the file count of
-    # the JVM-side listing times the longest possible path plus the positions.
-    jdf = getattr(raw, "_jdf", None)
-    n_files = len(jdf.inputFiles()) if jdf is not None else len(raw.inputFiles())
-    if n_files * (MAX_PATH_BYTES + 64) <= broadcast_limit_bytes:
-        headers = F.broadcast(headers)
-
-    data = raw.filter(~F.col("_is_header")).join(headers, "_file", "inner")
-    values = []
-    for field in BAR_FIELDS[1:]:
-        pos = F.col(f"_p_{field}")
-        values.append(
-            F.when(pos.isNull(), F.lit(CSV_MISSING_DEFAULTS[field]))
-            .otherwise(F.element_at(arr, pos))
-            .alias(field)
-        )
-    too_wide = F.raise_error(
-        F.concat(F.lit(f"CSV header wider than max_columns={max_columns}: "), F.col("_file"))
-    )
-    values[0] = F.when(F.col("_overflow"), too_wide.cast("string")).otherwise(values[0]).alias(
-        BAR_FIELDS[1]
-    )
-
-    if symbol_files is None:
-        symbol = F.col("symbol")
-    else:
-        by_path = {_qualified(spark, p): s for s, p in symbol_files.items()}
-        if len(by_path) <= INLINE_MAP_LIMIT:
-            path_map = F.create_map(*[x for p, s in by_path.items() for x in (F.lit(p), F.lit(s))])
-            symbol = F.try_element_at(path_map, _normalise_path(F.col("_file")))
-        else:  # a long map: broadcast join against the (map-sized) path table
-            table = spark.createDataFrame(list(by_path.items()), "_path string, _sym string")
-            data = data.withColumn("_npath", _normalise_path(F.col("_file"))).join(
-                F.broadcast(table), F.col("_npath") == F.col("_path"), "left"
-            )
-            symbol = F.col("_sym")
-    return data.select(symbol.alias("symbol"), *values, *(["_file"] if keep_file else []))
+        there = {p: path_exists(spark, p) for p in set(symbol_files.values())}
+        pairs = [(_uri_of(spark, p), s) for s, p in symbol_files.items() if there[p]]
+        uris = list(dict.fromkeys(u for u, _ in pairs))
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = list(pool.map(lambda u: _first_line(spark, u), uris))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for uri, line in zip(uris, lines, strict=True):
+        if header := tuple(next(csv.reader([line]), ())):
+            groups.setdefault(header, []).append(uri)
+    if not groups:
+        return spark.createDataFrame([], ",".join(f"{c} string" for c in [*BAR_FIELDS, *["_file"] * keep_file]))
+    base = path if symbol_files is None else None
+    bars = reduce(DataFrame.unionByName, [_read_group(spark, h, u, base) for h, u in groups.items()])
+    if symbol_files is not None:
+        table = spark.createDataFrame([(_plain(u), s) for u, s in pairs], "_path string, symbol string")
+        bars = bars.join(table, F.regexp_replace("_file", r"^file:/+", "/") == F.col("_path"))
+    return bars.select(*BAR_FIELDS, *["_file"] * keep_file)

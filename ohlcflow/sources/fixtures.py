@@ -1,7 +1,7 @@
 """Bar inputs derived from the shared test tables.
 
-``bars_from_ticks`` turns ``lineitem`` rows (ticks) into daily OHLCV bars for
-50 symbols, with prices on a 1/64 grid so that every window sum is exact and
+``bars_from_ticks`` turns ``lineitem`` rows (ticks) into daily OHLCV bars, one
+symbol per supplier (bars grow with the data), with prices on a 1/64 grid so that every window sum is exact and
 independent of summation order. ``dirty_bars`` renders those bars as raw
 strings and injects one defect class per row, chosen by a hash of the row,
 the same way in Spark and in the SQL oracle.
@@ -12,10 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.storage import default_parallelism
-
 # --- fixed values of the fixture specification -----------------------------
-N_SYMBOLS = 50            # symbols S00 .. S49 from l_partkey % 50
+SYMBOL_FORMAT = "S%02d"    # symbols S00, S01, ... from l_suppkey
 PRICE_BASE = 100          # price = 100 + floor(l_extendedprice / 2000 * 64) / 64
 PRICE_SCALE = 2000
 PRICE_GRID = 64
@@ -34,32 +32,20 @@ def tick_price() -> Column:
     ) / PRICE_GRID
 
 
-def bars_from_ticks(lineitem: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def bars_from_ticks(lineitem: DataFrame) -> DataFrame:
     """Daily OHLCV bars: one row per (symbol, ship date).
 
     open/close are the prices of the first/last tick by (l_orderkey,
     l_linenumber, l_suppkey, l_extendedprice, l_quantity); high/low the
     extremes; volume the summed quantity. A partial/final aggregate: each
     task combines its ticks before the shuffle on the bar key.
-
-    An input read by fewer tasks than ``min_partitions`` (default: the
-    cluster's parallelism), e.g. one large unsplittable file, is first spread
-    round-robin so that the partial aggregation runs in parallel; an input
-    with enough splits is aggregated where it is read (no extra shuffle).
     """
-    target = min_partitions or default_parallelism(lineitem.sparkSession)
-    try:
-        splits = lineitem.rdd.getNumPartitions()
-    except Exception:  # Spark Connect has no RDD API: keep the input as read
-        splits = target
-    if splits < target:
-        lineitem = lineitem.repartition(target)
     order = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
     # Group on the integer symbol id (cheaper sort and shuffle key than the
     # text symbol, which is built once per bar after the aggregation).
     bars = (
         lineitem.select(
-            (F.col("l_partkey") % N_SYMBOLS).alias("_sid"),
+            F.col("l_suppkey").alias("_sid"),
             F.col("l_shipdate").cast("date").alias("date"),
             tick_price().alias("price"),
             order.alias("ord"),
@@ -74,7 +60,7 @@ def bars_from_ticks(lineitem: DataFrame, min_partitions: int | None = None) -> D
             F.sum("l_quantity").cast("long").alias("volume"),
         )
     )
-    symbol = F.concat(F.lit("S"), F.lpad(F.col("_sid").cast("string"), 2, "0"))
+    symbol = F.format_string(SYMBOL_FORMAT, "_sid")
     return bars.select(symbol.alias("symbol"), "date", "open", "high", "low", "close", "volume")
 
 

@@ -7,31 +7,35 @@ connector is on the classpath.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BAR_FIELDS, RAW_BAR_SCHEMA
 
-_PARSED = "_msg"
+_PARSED, _REJECT, _CORRUPT = "_msg", "_reject", "_corrupt"
 
 
 def encode_messages(bars: DataFrame) -> DataFrame:
-    """Bars -> ``value`` = JSON object with the seven fields as strings."""
-    return bars.select(
-        F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in BAR_FIELDS])).alias("value")
-    )
+    """Bars -> ``value`` = JSON object with all seven fields as strings (NULL written as null)."""
+    fields = F.struct(*[F.col(c).cast("string").alias(c) for c in BAR_FIELDS])
+    return bars.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def _parsed(df: DataFrame) -> DataFrame:
-    return df.withColumn(_PARSED, F.from_json(F.col("value").cast("string"), RAW_BAR_SCHEMA))
-
+    """The input with one parsed struct column ``_msg`` and ``_reject``.
 
-def _is_reject(parsed: Column) -> Column:
-    # Malformed JSON parses to a NULL struct or to a struct of NULLs.
-    all_null = F.lit(True)
-    for c in BAR_FIELDS:
-        all_null = all_null & parsed[c].isNull()
-    return parsed.isNull() | all_null
+    The value is parsed once: the generator keeps the optimizer from copying
+    the parse into the filter and into every field.
+    """
+    schema = StructType([*RAW_BAR_SCHEMA.fields, StructField(_CORRUPT, StringType())])
+    text = F.col("value").cast("string")
+    parse = F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    out = df.select("*", F.explode(F.array(parse)).alias(_PARSED))
+    # one JSON object and nothing behind it; the parser itself stops at the object's end
+    whole = F.trim(text).startswith("{") & F.trim(text).endswith("}")
+    reject = F.col(_PARSED).isNull() | F.col(f"{_PARSED}.{_CORRUPT}").isNotNull() | ~F.coalesce(whole, F.lit(False))
+    return out.withColumn(_REJECT, reject)
 
 
 def decode_messages(
@@ -39,19 +43,18 @@ def decode_messages(
 ) -> DataFrame:
     """JSON ``value`` -> seven nullable string columns.
 
-    Unknown keys are ignored, absent keys are NULL; rows that do not parse
-    at all go to :func:`message_rejects` instead. ``keep`` carries extra input
-    columns (e.g. a source offset). ``max_messages`` bounds the read (a falsy
-    value means unlimited).
+    Unknown keys are ignored, absent keys are NULL (an object without any of
+    the keys is a row of NULLs); rows that are not one JSON object go to
+    :func:`message_rejects` instead. ``keep`` carries extra input columns (e.g.
+    a source offset). ``max_messages`` bounds the read (a falsy value means
+    unlimited).
     """
-    parsed = _parsed(messages)
-    out = parsed.filter(~_is_reject(F.col(_PARSED))).select(
+    out = _parsed(messages).filter(~F.col(_REJECT)).select(
         *[F.col(f"{_PARSED}.{c}").alias(c) for c in BAR_FIELDS], *keep
     )
     return out.limit(max_messages) if max_messages else out
 
 
 def message_rejects(messages: DataFrame) -> DataFrame:
-    """Input rows whose ``value`` is not a JSON bar object."""
-    parsed = _parsed(messages)
-    return parsed.filter(_is_reject(F.col(_PARSED))).drop(_PARSED)
+    """Input rows whose ``value`` is not one JSON object."""
+    return _parsed(messages).filter(_REJECT).drop(_PARSED, _REJECT)

@@ -83,9 +83,9 @@ def test_reports(raw_bars, sample_bars):
     summary = stock_summary(to_silver(sample_bars, audit=False))
     vw = vw_stock_summary(summary)
     latest = {r["symbol"]: r for r in latest_signal(vw).collect()}
-    assert latest["AAPL"]["latest_date"].day == 8 and latest["TSLA"]["latest_date"].day == 6
-    g = top_gains(vw, symbol="AAPL", k=2).collect()
-    assert [r["daily_return_pct"] for r in g] == [2.05, 2.03]
+    assert latest["NORD"]["latest_date"].day == 5 and latest["SUDW"]["latest_date"].day == 4
+    g = top_gains(vw, symbol="NORD", k=2).collect()
+    assert [r["daily_return_pct"] for r in g] == [5.0, 5.0]
     assert top_gains(vw, k=2).count() == 4
     assert top_volume_spikes(vw_volume_spikes(volume_analysis(to_silver(sample_bars, audit=False)))).count() == 0
 

@@ -24,18 +24,18 @@ def test_all_queries_match_oracle_sf0001(spark):
 
 
 def test_fixture_counts_sf0001(spark):
-    assert Q.clean_bars(spark, SF_SMALL).count() == 5854
-    assert Q.raw_dirty_bars(spark, SF_SMALL).count() == 5938
-    assert Q.dirty_silver(spark, SF_SMALL).count() == 5590
+    assert Q.clean_bars(spark, SF_SMALL).count() == 5334
+    assert Q.raw_dirty_bars(spark, SF_SMALL).count() == 5406
+    assert Q.dirty_silver(spark, SF_SMALL).count() == 5071
     rep = {r["check_name"]: r["fail_count"] for r in Q.q_dq_report(spark, SF_SMALL).collect()}
     assert rep == {
-        "null_symbols": 55, "null_dates": 28, "negative_prices": 0, "high_lt_low": 0,
-        "duplicates": 0, "missing_symbols": 1, "low_row_count": 7,
+        "null_symbols": 47, "null_dates": 10, "negative_prices": 0, "high_lt_low": 0,
+        "duplicates": 0, "missing_symbols": 1, "low_row_count": 1,
     }
     s = Q.clean_silver(spark, SF_SMALL)
     assert s.filter("price_spike_flag").count() == 0
-    assert Q.q_volume_analysis(spark, SF_SMALL).count() == 176
-    assert Q.q_top_movers(spark, SF_SMALL).count() == 5854
+    assert Q.q_volume_analysis(spark, SF_SMALL).count() == 256
+    assert Q.q_top_movers(spark, SF_SMALL).count() == 5333
 
 
 @pytest.mark.parametrize("ansi", ["false"])

@@ -20,7 +20,7 @@ def _report(df, expected, min_rows=100):
 
 def test_dirty_sample_report(dirty_sample):
     typed = cast_schema(dirty_sample)
-    rep = _report(typed, ["AAPL", "MSFT"], min_rows=2)
+    rep = _report(typed, ["OSTB", "WEST"], min_rows=2)
     assert list(rep) == CHECK_NAMES
     assert rep["null_symbols"] == (1, "FAILED")
     assert rep["null_dates"] == (0, "PASSED")
@@ -28,7 +28,7 @@ def test_dirty_sample_report(dirty_sample):
     assert rep["high_lt_low"] == (1, "FAILED")
     assert rep["duplicates"] == (1, "FAILED")
     assert rep["missing_symbols"] == (1, "FAILED")
-    # groups below 2 rows: the NULL-symbol group (1 row); AAPL has 4
+    # groups below 2 rows: the NULL-symbol group (1 row); OSTB has 4
     assert rep["low_row_count"] == (1, "FAILED")
 
 
@@ -64,11 +64,11 @@ def test_empty_input(spark):
 
 
 def test_gate(dirty_sample, sample_bars):
-    rep = dq_report(cast_schema(dirty_sample), ["AAPL"])
+    rep = dq_report(cast_schema(dirty_sample), ["OSTB"])
     with pytest.raises(QualityGateError) as e:
         assert_quality(rep, GATE_CHECKS)
     assert e.value.failed == ["null_symbols", "negative_prices", "duplicates"]
-    ok = assert_quality(dq_report(to_silver(sample_bars, audit=False), ["AAPL"], 5), ["null_symbols", "duplicates"])
+    ok = assert_quality(dq_report(to_silver(sample_bars, audit=False), ["NORD"], 4), ["null_symbols", "duplicates"])
     assert ok["null_symbols"] == 0
     with pytest.raises(KeyError):
         assert_quality(rep, ["nope"])

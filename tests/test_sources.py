@@ -60,26 +60,41 @@ def test_messages(spark, sample_bars):
     assert decode_messages(raw, max_messages=2).count() == 2
 
 
-def test_csv_header_wider_than_limit_fails(spark):
-    import pytest
+def test_csv_data_may_look_like_headers_and_be_wide(spark):
+    root = scratch_path(spark, "csv-any")
+    _write(f"{root}/symbol=W/a.csv", ["Session,Date,Open,High,Low,Close,Volume", "open,2020-01-02,1,2,0.5,1.5,7", "close,2020-01-03,1,2,0.5,1.5,8"])
+    _write(f"{root}/symbol=X/b.csv", [",".join([*[f"x{k}" for k in range(30)], "Volume", "Date"]), ",".join([*["Date"] * 30, "777", "2020-01-04"])])
+    _write(f"{root}/symbol=Y/c.csv", ["2020-01-01,1,2", "2020-01-05,3,4"])  # the first line is the header whatever it says
+    got = sorted(tuple(r) for r in scan_csv(spark, root).collect())
+    assert got == [
+        ("W", "2020-01-02", "1", "2", "0.5", "1.5", "7"),
+        ("W", "2020-01-03", "1", "2", "0.5", "1.5", "8"),
+        ("X", "2020-01-04", "0", "0", "0", "0", "777"),
+        ("Y", "", "0", "0", "0", "0", "0"),
+    ]
+    assert [r[0] for r in scan_csv(spark, root).select("volume").where("symbol = 'X'").collect()] == ["777"]
 
-    root = scratch_path(spark, "csv-wide")
-    _write(f"{root}/symbol=W/a.csv", [",".join(["x"] * 5 + ["Date", "Open", "High", "Low", "Close", "Volume"]),
-                                      ",".join(["1"] * 5 + ["2020-01-02", "1", "2", "0.5", "1.5", "7"])])
-    assert [r["volume"] for r in scan_csv(spark, root, max_columns=16).collect()] == ["7"]
-    with pytest.raises(Exception, match="wider than max_columns"):
-        scan_csv(spark, root, max_columns=8).collect()
 
+def test_csv_pairs_of_symbol_and_file(spark):
+    root = scratch_path(spark, "csv-pairs")
+    _write(f"{root}/my file+{{1}}.txt", ["Date,Open,High,Low,Close,Volume", "2020-01-02,1,2,0.5,1.5,10"])
+    _write(f"{root}/s2.txt", ["volume,date", "4,2020-01-03"])
+    _write(f"{root}/none.txt", [])
+    files = {"A": f"{root}/my file+{{1}}.txt", "B": f"{root}/my file+{{1}}.txt", "C": f"{root}/s2.txt", "D": f"{root}/none.txt"}
+    got = sorted(tuple(r) for r in scan_csv(spark, symbol_files=files).collect())
+    bar = ("2020-01-02", "1", "2", "0.5", "1.5", "10")
+    assert got == [("A", *bar), ("B", *bar), ("C", "2020-01-03", "0", "0", "0", "0", "4")]
 
-def test_csv_long_symbol_map_is_joined(spark, monkeypatch):
-    import ohlcflow.sources.csv as csvmod
 
-    root = scratch_path(spark, "csv-longmap")
-    files = {}
-    for i in range(4):
-        files[f"S{i}"] = f"{root}/s{i}.txt"
-        _write(files[f"S{i}"], ["Date,Open,High,Low,Close,Volume", f"2020-01-0{i + 1},1,2,0.5,1.5,{i}"])
-    inline = sorted(tuple(r) for r in scan_csv(spark, symbol_files=files).collect())
-    monkeypatch.setattr(csvmod, "INLINE_MAP_LIMIT", 1)
-    joined = sorted(tuple(r) for r in scan_csv(spark, symbol_files=files).collect())
-    assert inline == joined and [r[0] for r in joined] == ["S0", "S1", "S2", "S3"]
+def test_messages_keep_nulls_and_reject_junk(spark):
+    bars = spark.createDataFrame([("A", None)], "symbol string, date string")
+    for c in ("open", "high", "low", "close", "volume"):
+        bars = bars.selectExpr("*", f"cast(null as string) as {c}")
+    value = encode_messages(bars).first()["value"]
+    assert value == '{"symbol":"A","date":null,"open":null,"high":null,"low":null,"close":null,"volume":null}'
+    rows = ["{}", '{"x":1}', '{"symbol":"A"} trailing', "", None, "[1]", '"s"', "7", '{"symbol":"B"', value]
+    raw = spark.createDataFrame([(r,) for r in rows], "value string")
+    assert sorted(repr(r["symbol"]) for r in decode_messages(raw).collect()) == ["'A'", "None", "None"]
+    assert message_rejects(raw).count() == 7
+    plan = decode_messages(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

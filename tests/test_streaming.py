@@ -22,7 +22,7 @@ def test_stream_to_bronze_batches_and_restart(spark, sample_bars):
         return run_ingest(spark, message_stream(spark, "files", src, max_per_trigger=1), bronze, ckpt, rej)
 
     b = run()
-    assert b.count() == 8
+    assert b.count() == 7
     assert sorted(r["_batch_number"] for r in b.select("_batch_number").distinct().collect()) == [1, 2, 3]
     assert b.filter(F.col("_source") != "kafka").count() == 0
     assert b.filter(F.col("_ingested_at").isNull()).count() == 0
@@ -31,12 +31,12 @@ def test_stream_to_bronze_batches_and_restart(spark, sample_bars):
     assert same.exceptAll(cast_schema(sample_bars)).count() == 0
 
     # restart without new files: nothing is added
-    assert run().count() == 8
+    assert run().count() == 7
     # a new file becomes batch 4
     with open(f"{src}/part-9.json", "w") as f:
         f.write(enc[0] + "\n")
     b2 = run()
-    assert b2.count() == 9 and b2.filter("_batch_number = 4").count() == 1
+    assert b2.count() == 8 and b2.filter("_batch_number = 4").count() == 1
 
 
 def test_new_checkpoint_appends(spark, sample_bars):
@@ -50,7 +50,7 @@ def test_new_checkpoint_appends(spark, sample_bars):
     bronze = scratch_path(spark, "bronze2")
     for ckpt in (scratch_path(spark, "ckpt-a"), scratch_path(spark, "ckpt-b")):
         b = run_ingest(spark, message_stream(spark, "files", src), bronze, ckpt)
-    assert b.count() == 16
+    assert b.count() == 14
     assert b.select("_stream").distinct().count() == 2
     assert sorted(r[0] for r in b.select("_batch_number").distinct().collect()) == [1]
 
@@ -63,4 +63,4 @@ def test_replayed_batch_is_idempotent(spark, sample_bars):
     for _ in range(2):  # the same batch id written twice (a replay)
         _overwrite_partition(bronze_batch(msgs, 0), path, "parquet")
     _overwrite_partition(bronze_batch(msgs.limit(2), 1), path, "parquet")
-    assert spark.read.parquet(path).count() == 8 + 2
+    assert spark.read.parquet(path).count() == 7 + 2

@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import chain
 
 import numpy as np
 
 #: Words remembered per Python worker, and the longest one remembered.
-MEMO_WORDS, MEMO_CHARS = 400_000, 48
+MEMO_WORDS, MEMO_CHARS = 700_000, 48
 #: ASCII symbols but the apostrophe (which starts contractions): behind letters they are one piece of their own.
 _SYMBOLS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
@@ -104,7 +105,7 @@ class WordEncoder:
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while last > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        self.ids[self.used : self.used + total] = np.fromiter((i for x in got for i in x), np.uint32, total)
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(got), np.uint32, total)
         self.starts[first:last] = self.used + np.cumsum(n) - n
         self.lengths[first:last] = n
         self.index.update(zip(new, range(first, last), strict=True))

@@ -16,9 +16,12 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from itertools import chain
+from array import array
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words remembered per Python worker, and the longest one remembered.
 MEMO_WORDS, MEMO_CHARS = 700_000, 48
@@ -44,6 +47,19 @@ def _byte_characters() -> list[str]:
 _BYTES = _byte_characters()
 
 
+class _Pieces(dict):
+    """Ids (unsigned 32 bits) of pieces that are lower-cased already: the vocabulary's merges alone, over bytes as characters."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else "".join(map(_BYTES.__getitem__, piece.encode()))
+        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
+
 class WordEncoder:
     """Ids of texts under a tokenizer whose tokens never span a space or line feed."""
 
@@ -61,7 +77,7 @@ class WordEncoder:
         if ([x["type"] for x in normal], [x["type"] for x in cut]) == _STEPS:
             self.bare = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces = _Pieces(self.bare)
         self._forget()
 
     def _forget(self) -> None:
@@ -71,71 +87,68 @@ class WordEncoder:
         self.lengths = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of a piece that is lower-cased already: the vocabulary's merges alone, over bytes as characters."""
-        if (ids := self.pieces.get(piece)) is None:
-            shown = piece if piece.isascii() else "".join(map(_BYTES.__getitem__, piece.encode()))
-            ids = self.pieces[piece] = [t.id for t in self.bare.tokenize(shown)]
-        return ids
-
-    def _encoded(self, new: list[str]) -> list[list[int]]:
-        out, whole = [], []
-        if len(self.pieces) > MEMO_WORDS // 2:
-            self.pieces = {}
+    def _encoded(self, new: list[str]) -> list[bytes]:
+        out, whole, pieces = [], [], self.pieces
+        if len(pieces) > MEMO_WORDS // 2:
+            pieces.clear()
         for w in new:
             letters = w.rstrip(_SYMBOLS) if self.bare else ""
             low = letters.lower()  # not always letters: a mark may come with it
             plain = low.isalpha() and (letters.isascii() or letters.isalpha() and "\u03a3" not in letters and unicodedata.is_normalized("NFC", letters))
             if not plain or "<|" in w:  # the lower case of a sigma depends on its place; special tokens
                 whole.append(len(out))
-                out.append([])
+                out.append(b"")
             elif len(letters) == len(w):
-                out.append(self._piece(low))
+                out.append(pieces[low])
             else:
-                out.append(self._piece(low) + self._piece(w[len(letters) :]))
+                out.append(pieces[low] + pieces[w[len(letters) :]])
         for k, e in zip(whole, self.tokenizer.encode_batch_fast([new[k] for k in whole], add_special_tokens=False), strict=True):
-            out[k] = e.ids
+            out[k] = array("I", e.ids).tobytes()
         return out
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> range:
+        """Takes words into the tables; their places there."""
         got = self._encoded(new)
-        n = np.fromiter(map(len, got), np.int64, len(got))
+        n = np.fromiter(map(len, got), np.int64, len(got)) // 4
         total, first, last = int(n.sum()), len(self.index), len(self.index) + len(new)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while last > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(got), np.uint32, total)
+        self.ids[self.used : self.used + total] = np.frombuffer(b"".join(got), np.uint32)
         self.starts[first:last] = self.used + np.cumsum(n) - n
         self.lengths[first:last] = n
         self.index.update(zip(new, range(first, last), strict=True))
         self.used += total
+        return range(first, last)
 
     def encode(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
         """The ids (uint32) of each text, with ``end_id`` appended if given."""
-        end = [] if end_id is None else [end_id]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        seen = set().union(*split)
-        long = {w for w in seen if len(w) > MEMO_CHARS}
-        if len(self.index) + len(seen) > MEMO_WORDS:
+        end = np.array([] if end_id is None else [end_id], np.uint32)
+        if not texts:
+            return []
+        # Arrow splits and numbers the distinct words; Python looks each up once
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        if len(self.index) + len(words) > MEMO_WORDS:
             self._forget()
-        if new := list(seen - self.index.keys() - long):
-            self._learn(new)
-        out = []
-        for text, parts in zip(texts, split, strict=True):
-            if long and not long.isdisjoint(parts):
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids + end, np.uint32))
-                continue
-            at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
-            n = self.lengths[at]
-            stop = np.cumsum(n)
-            total = int(stop[-1]) if len(stop) else 0
-            ids = np.empty(total + len(end), np.uint32)
-            ids[:total] = self.ids[np.repeat(self.starts[at] - stop + n, n) + np.arange(total)]
-            ids[total:] = end
-            out.append(ids)
-        return out
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        is_long = np.fromiter(map(len, words[new]), np.int64, len(new)) > MEMO_CHARS
+        long = words[new[is_long]].tolist()
+        at[new[~is_long]] = self._learn(words[new[~is_long]].tolist())
+        used = self.used
+        at[new[is_long]] = self._learn(long)
+        at = at[coded.indices.to_numpy()]
+        n = self.lengths[at]
+        stop = np.cumsum(n)
+        ids = self.ids[np.repeat(self.starts[at] - stop + n, n) + np.arange(int(stop[-1]))]
+        for w in long:  # the last ones learnt
+            del self.index[w]
+        self.used = used
+        ends = stop[split.offsets.to_numpy()[1:] - 1].tolist()
+        return [np.concatenate([ids[a:b], end]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -92,21 +92,26 @@ def _norms(codes: np.ndarray) -> np.ndarray:
     return np.sqrt(sum(ok.sum(1) * weight**2 for _, ok, weight in _subsequences(codes)))
 
 
-def features(ws: list[str]) -> np.ndarray:
-    """Dense feature vectors of a few strings, scaled by their own number of subsequences."""
-    codes, out = _codes(ws), np.zeros((len(ws), 1 << 18), np.float32)
+def seen(ws: list[str]) -> np.ndarray:
+    """The features that the strings have, ascending."""
+    return np.unique(np.concatenate([at[ok] for at, ok, _ in _subsequences(_codes(ws))]))
+
+
+def features(ws: list[str], among: np.ndarray | None = None) -> np.ndarray:
+    """Dense feature vectors of a few strings, scaled by their own number of subsequences; only the columns ``among``, which must be all they have."""
+    codes, out = _codes(ws), np.zeros((len(ws), 1 << 18 if among is None else len(among)), np.float32)
     for at, ok, weight in _subsequences(codes):
         rows = np.broadcast_to(np.arange(len(ws))[:, None], at.shape)
-        np.add.at(out, (rows[ok], at[ok]), weight)
+        np.add.at(out, (rows[ok], at[ok] if among is None else np.searchsorted(among, at[ok])), weight)
     return out / np.maximum(_norms(codes), 1e-9)[:, None]
 
 
-def folded(ws: list[str], table: np.ndarray) -> np.ndarray:
-    """Inner products of the strings' feature vectors with the columns of ``table``."""
+def folded(ws: list[str], table: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
+    """Inner products of the strings' feature vectors with the columns of ``table``; a feature's row is at ``place`` if given."""
     codes = _codes(ws)
     total = np.zeros((len(ws), *table.shape[1:]), np.float32)
     for at, ok, weight in _subsequences(codes):
-        got = table[at] * (ok if table.ndim == 1 else ok[..., None])
+        got = table[at if place is None else place[at]] * (ok if table.ndim == 1 else ok[..., None])
         total += np.float32(weight) * got.sum(1)
     norm = np.maximum(_norms(codes), 1e-9).astype(np.float32)
     return total / (norm if table.ndim == 1 else norm[:, None])
@@ -127,9 +132,9 @@ class Machine:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.slope * (margin - self.middle)))))
 
 
-def nystrom(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def nystrom(landmarks: list[str], among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(features of the landmarks, the inverse root of their kernel matrix)."""
-    phi = features(landmarks)
+    phi = features(landmarks, among)
     values, vectors = np.linalg.eigh((phi @ phi.T).astype(float))
     ok = values > 1e-6
     return phi, vectors[:, ok] / np.sqrt(values[ok])
@@ -168,16 +173,19 @@ def train(counts: list[tuple[str, int, int]], sentences: tuple[int, int]) -> Mac
     rng = np.random.default_rng(7)
     some = [negative[i] for i in rng.permutation(len(negative))]
     marks = pos[: LANDMARKS // 2] + some[: LANDMARKS - min(len(pos), LANDMARKS // 2)]
-    phi, root = nystrom(marks)
-    table = np.ascontiguousarray((phi.T @ root.astype(np.float32)))  # subsequences x landmark directions
-    embed = lambda ws: np.vstack([folded(ws[k : k + 512], table) for k in range(0, len(ws), 512)]).astype(float)
+    used = seen(marks)  # a few thousand of the 2^18 subsequences; all others weigh nothing
+    phi, root = nystrom(marks, used)
+    table = np.vstack([np.zeros((1, root.shape[1])), phi.T @ root.astype(np.float32)])  # subsequences x landmark directions
+    place = np.zeros(1 << 18, np.int32)
+    place[used] = np.arange(1, len(used) + 1)
+    embed = lambda ws: np.vstack([folded(ws[k : k + 512], table, place) for k in range(0, len(ws), 512)]).astype(float)
     xp, hard, machine = embed(pos), some[:4_000], None
     strength = np.sqrt([s for s, _ in positive])
     for _ in range(4):
         xn = embed(hard)
         weight = np.r_[strength / strength.sum(), np.full(len(hard), 1 / len(hard))]
         w, b = svm(np.vstack([xp, xn]), np.r_[np.ones(len(pos)), -np.ones(len(hard))], weight)
-        machine = Machine((table @ w.astype(np.float32)), b)
+        machine = Machine((table @ w.astype(np.float32))[place], b)
         margin = np.concatenate([machine.margins(some[k : k + 4_096]) for k in range(0, len(some), 4_096)])
         worst = [some[i] for i in np.argsort(-margin, kind="stable")[:2_000] if margin[i] > -1]
         new = list(dict.fromkeys([*hard, *worst]))

@@ -6,9 +6,11 @@ characters within a short span, a weight that decays with the characters skipped
 some of these, so "lo.s.er" and "losxer" stay close to "loser".
 
 Training is multiple-instance: a labelled document's sentences carry its
-label, and what makes a sentence toxic is one of its word windows. Windows are
+label, and what makes a sentence toxic is one of its windows: a word, or a span
+of 2 to ``SPAN`` neighbouring words, joined with and without a space. Windows are
 counted over distinct sentences of a bounded sample; those that occur
 with toxic sentences beyond chance are positive instances, the others negative.
+A span that holds a positive window is none of its own.
 Some windows serve as landmarks; a window is represented by its kernels with them,
 whitened by the landmarks' own kernel matrix (Nyström), and a linear
 SVM with squared hinge loss is trained on that, taking in the hardest negatives
@@ -18,9 +20,14 @@ subsequence, so scoring a window costs no more for more landmarks.
 
 A document's margin is that of its worst window (a sentence is as toxic as
 its worst window, a document as its worst sentence); a logistic map fitted
-on the sample turns it into a score. Windows are words with outer punctuation off
-and a few look-alike characters mapped, runs of single characters joined, and
-overlapping pieces of very long words, so whole texts are scored.
+on the sample turns it into a score. A text has many more spans than words, so a span's
+margin counts less by a handicap fitted with it, at most ``HANDICAP``; one that is
+an insult but for its spaces keeps a margin above the middle. Words have outer punctuation off
+and a few look-alike characters mapped; words without a letter are left out,
+runs of single characters are joined whatever white space parts them, and very
+long words and spans are taken in overlapping pieces, so whole texts are scored.
+Windows are scored by running sums along the text: a window's sum is the difference of
+two of them, so spans cost little more than words.
 
 Defined cases: a null, empty or wordless text has the least margin; null ids
 and repeated rows are scored like any other; labels of null or unknown
@@ -33,45 +40,73 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, labelled_sample, record_batch, words
+from ohlcflow.llm.common import chunks, discard, labelled_sample, materialize, record_batch, words
 
 #: Bounds of the training sample: labelled documents of either class, windows of either kind sent to the driver.
 SAMPLE_TOXIC, SAMPLE_CLEAN, POSITIVES, NEGATIVES = 3_000, 9_000, 2_000, 80_000
 #: Kernel: weight for each skipped character, characters that may be skipped, window length.
 DECAY, GAPS, LENGTH = 0.6, 2, 24
 LANDMARKS = 128
-#: Windows whose margins a Python worker remembers.
-MEMO = 300_000
+#: Neighbouring words in a span.
+SPAN = 4
+#: Spans of clean sentences sent to the driver as negatives, at most so many of a sentence.
+SPAN_NEGATIVES, SPANS_OF_SENTENCE = 40_000, 4
+#: The most by which a span's margin may count less than a word's; training puts insults at 1, other windows at -1.
+HANDICAP = 0.7
+#: Characters whose windows are scored at once; longer texts go in overlapping blocks.
+BLOCK = 1 << 18
 #: Margin of a text without words.
 LEAST = -3.0
 
 _OUTER = ".,;:!?\"'()[]{}<>|*#%&$-_~`«»¿¡…“”’"
 _INNER = re.compile(r"[.\-_*'’,~]+")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s++\S){2,}(?!\S)")
+_LETTERED = re.compile(r"[^\x20\x09-\x0D]*?[^\W_][^\x20\x09-\x0D]*")
 _SENTENCE = re.compile(r"[.!?\n]+")
 # fixed values: characters that stand in for letters
 _ALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 _STEPS = [(a, b, DECAY ** (b - 2)) for a in range(1, GAPS + 2) for b in range(a + 1, GAPS + 3)]
 
 
-def windows(word: str) -> list[str]:
-    """What a word is compared as: normalised, in overlapping pieces if long."""
-    w = _INNER.sub("", word.strip(_OUTER).translate(_ALIKE))
+def normal(word: str) -> str:
+    return _INNER.sub("", word.strip(_OUTER).translate(_ALIKE))
+
+
+def pieces(w: str) -> list[str]:
+    """A normalised word or span, in overlapping pieces if long."""
     if len(w) <= LENGTH:
         return [w] if len(w) > 2 else []
     return [w[k : k + LENGTH] for k in range(0, len(w) - LENGTH // 2, LENGTH // 2)]
 
 
+def windows(word: str) -> list[str]:
+    """What a word is compared as: normalised, in overlapping pieces if long."""
+    return pieces(normal(word))
+
+
 def spaced(text: str) -> list[str]:
-    """Runs of single characters between spaces, joined."""
-    return [m[0].replace(" ", "").replace("\t", "") for m in _SPACED.finditer(text)]
+    """Runs of single characters between white space, joined."""
+    return ["".join(m[0].split()) for m in _SPACED.finditer(text)]
+
+
+def spans(sentence: str, without: set[str] = frozenset()) -> set[str]:
+    """Windows of 2 to ``SPAN`` neighbouring words, joined with and without a space; none of a span with a window of ``without`` in it."""
+    ws = [w for x in words(sentence) if (w := normal(x))]
+    bad = [not without.isdisjoint(pieces(w)) for w in ws]
+    out = set()
+    for n in range(2, SPAN + 1):
+        for k in range(len(ws) - n + 1):
+            if not any(bad[k : k + n]):
+                out.update(pieces("".join(ws[k : k + n])))
+                out.update(pieces(" ".join(ws[k : k + n])))
+    return out
 
 
 def _codes(ws: list[str]) -> np.ndarray:
@@ -117,15 +152,126 @@ def folded(ws: list[str], table: np.ndarray, place: np.ndarray | None = None) ->
     return total / (norm if table.ndim == 1 else norm[:, None])
 
 
+_PLAIN, _EDGE, _DROPPED, _SPACE = 0, 1, 2, 3
+# fixed values of the characters below 2^14: what becomes of them, and their numbers (as in _codes)
+_KIND = np.zeros(1 << 14, np.uint8)
+_KIND[[ord(c) for c in _OUTER]] = _EDGE
+_KIND[[ord(c) for c in ".-_*'’,~"]] = _DROPPED
+_KIND[[ord(c) for c in " \t\n\x0b\x0c\r"]] = _SPACE
+_NUMBER = np.array([_ALIKE.get(c, c) if isinstance(_ALIKE.get(c, c), int) else ord(_ALIKE[c]) for c in range(1 << 14)])
+_NUMBER = np.where((_NUMBER >= 97) & (_NUMBER <= 122), _NUMBER - 96, 27 + _NUMBER % 37).astype(np.int32)
+#: Norm of a window by its length.
+_NORM = np.array([max(1e-9, math.sqrt(sum(max(0, n - b) * w**2 for _, b, w in _STEPS))) for n in range(LENGTH + 1)])
+
+
+def blocks(text: str) -> Iterator[str]:
+    """``text`` in blocks of about ``BLOCK`` characters, cut at spaces, that share ``2 * LENGTH`` words with a letter."""
+    start, size = 0, BLOCK
+    while len(text) - start > size:
+        cut = next((k for k in range(start + size, len(text)) if text[k] in " \t\n\x0b\x0c\r"), len(text))
+        shared = [m.start() for m in _LETTERED.finditer(text, start, cut)][-2 * LENGTH :]
+        if cut < len(text) and (len(shared) < 2 * LENGTH or shared[0] == start):
+            size *= 2
+            continue
+        yield text[start:cut]
+        if cut == len(text):
+            return
+        start, size = shared[0], BLOCK
+    yield text[start:]
+
+
+def _layout(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the normalised words' characters, where each word begins and the last ends, the part of each word)."""
+    raw = np.frombuffer("\n".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")
+    low = np.minimum(raw, len(_KIND) - 1)
+    kind = _KIND[low]
+    number = np.where(raw < len(_KIND), _NUMBER[low], 27 + raw % 37).astype(np.int32)
+    inside = np.concatenate([[False], kind != _SPACE, [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, end = edge[::2], edge[1::2]
+    plain = np.flatnonzero(kind == _PLAIN)
+    lo, hi = np.searchsorted(plain, begin), np.searchsorted(plain, end)
+    some = hi > lo  # words of more than outer punctuation
+    begin, lo, hi = begin[some], plain[lo[some]], plain[hi[some] - 1] + 1
+    mark = np.zeros(len(raw) + 1, np.int8)
+    mark[lo] += 1
+    mark[hi] -= 1
+    keep = (np.cumsum(mark[:-1], dtype=np.int8) > 0) & (kind != _DROPPED)
+    at = np.concatenate([[0], np.cumsum(keep)])
+    owner = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), begin, "right")
+    return number[keep], np.append(at[lo], at[-1]), owner
+
+
+def _cut(first: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows from s to e, the long ones in the pieces that ``pieces`` makes."""
+    half = LENGTH // 2
+    many = np.where(e - s > LENGTH, -(-(e - s - half) // half), 1)
+    if many.max(initial=1) == 1:
+        return first, s, e
+    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    s, e = np.repeat(s, many) + half * nth, np.repeat(e, many)
+    return np.repeat(first, many), s, np.minimum(e, s + LENGTH)
+
+
 class Machine:
     """The trained machine: a weight for each subsequence, and the map from margin to score."""
 
-    def __init__(self, table: np.ndarray | None, bias: float = 0.0, slope: float = 1.0, middle: float = 0.0):
-        self.table, self.bias, self.slope, self.middle = table, bias, slope, middle
+    def __init__(self, table: np.ndarray | None, bias: float = 0.0, slope: float = 1.0, middle: float = 0.0, handicap: float = 0.0):
+        self.table, self.bias, self.slope, self.middle, self.handicap = table, bias, slope, middle, handicap
 
     def margins(self, ws: list[str]) -> np.ndarray:
         return folded(ws, self.table) + self.bias
 
+    def _running(self, number: np.ndarray) -> list[np.ndarray]:
+        """By a subsequence's width: running sums along the characters of what those that start there weigh."""
+        out = []
+        for b in range(2, GAPS + 3):
+            n = max(0, len(number) - b)
+            total = np.zeros(n + 1)
+            head, last = number[:n] << 12, number[b:]
+            value = sum(self.table[head | (number[a : n + a] << 6) | last] for a in range(1, min(b, GAPS + 2))) if n else total[:0]
+            np.cumsum(value, dtype=float, out=total[1:])
+            out.append(total * DECAY ** (b - 2))
+        return out
+
+    def _sums(self, running: list[np.ndarray], s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(s))
+        for b, c in enumerate(running, 2):
+            total += c[np.minimum(np.maximum(e - b, s), len(c) - 1)] - c[np.minimum(s, len(c) - 1)]
+        return np.where(e - s > 2, total / _NORM[e - s] + self.bias, LEAST)
+
+    def worst(self, parts: list[str]) -> np.ndarray:
+        """The greatest margin among the words and among the spans of each (lower-case) part, ``LEAST`` at the least."""
+        number, at, owner = _layout(parts)
+        out = np.full((len(parts), 2), LEAST)
+        count = len(owner)
+        if not count:
+            return out
+        best, every = np.full((count, 2), LEAST), np.arange(count)
+
+        def take(kind: int, running: list[np.ndarray], first: np.ndarray, s: np.ndarray, e: np.ndarray) -> None:
+            first, s, e = _cut(first, s, e)
+            np.maximum.at(best[:, kind], first, self._sums(running, s, e))
+
+        joined = self._running(number)
+        take(0, joined, every, at[:-1], at[1:])
+        one = np.concatenate([[False], (np.diff(at) == 1), [False]])
+        # a run of single characters ends with its part
+        change = np.flatnonzero((one[1:] != one[:-1]) | np.concatenate([[False], one[1:-2] & (owner[1:] != owner[:-1]), [False]]))
+        lo, hi = change[:-1], change[1:]
+        run = one[1:][lo] & (hi - lo > 2)
+        if run.any():
+            take(0, joined, lo[run], at[lo[run]], at[hi[run]])
+        apart = np.full(len(number) + count, _NUMBER[32], np.int32)
+        apart[np.arange(len(number)) + np.repeat(every, np.diff(at))] = number
+        apart = self._running(apart)
+        for n in range(2, SPAN + 1):
+            first = np.flatnonzero(owner[n - 1 :] == owner[: count - n + 1]) if count >= n else every[:0]
+            take(1, joined, first, at[first], at[first + n])
+            take(1, apart, first, at[first] + first, at[first + n] + first + n - 1)
+        np.maximum.at(out, owner, best)
+        return out
+
     def score(self, margin: float) -> float:
         if self.table is None:
             return 0.0
@@ -154,19 +300,47 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150, c:
     return w[:-1], float(w[-1])
 
 
-def train(counts: list[tuple[str, int, int]], sentences: tuple[int, int]) -> Machine:
-    """The machine from (window, toxic sentences, clean sentences) and the sample's numbers of both."""
+def beyond_chance(counts: list[tuple[str, int, int]], share: float, number: int) -> tuple[list[tuple], list[tuple[float, str]]]:
+    """(strength, t, w, c) of every window, and (strength, w) of those beyond chance among ``number`` windows, strongest first."""
+    # a window met in n sentences, all toxic, is beyond chance among all windows when share^n times their number is below 1
+    enough = least(share, number)
+    scored = [(t * math.log((t + 0.1) / (t + c + 0.1) / share), t, w, c) for w, t, c in counts]
+    return scored, sorted(((s, w) for s, t, w, c in scored if t >= enough and t >= 0.95 * (t + c)), reverse=True)
+
+
+def least(share: float, number: int) -> float:
+    return max(3, math.log(max(2, number)) / -math.log(share))
+
+
+def shortest(positive: list[tuple[float, str]], known: list[str]) -> list[tuple[float, str]]:
+    """The spans without those that hold a known window or a shorter span."""
+    out, held = [], list(known)
+    for s, w in sorted(positive, key=lambda x: (len(x[1]), x[1])):
+        if not any(h in w for h in held):
+            out.append((s, w))
+            held.append(w)
+    return sorted(out, reverse=True)
+
+
+def train(
+    counts: list[tuple[str, int, int]], sentences: tuple[int, int], found: tuple[list[tuple[str, int, int]], int] = ((), 0), harmless: list[str] = ()
+) -> Machine:
+    """The machine from (window, toxic sentences, clean sentences) and the sample's numbers of both.
+
+    ``found`` are such counts of spans and how many spans they were chosen from, ``harmless`` spans of clean sentences.
+    """
     share = sentences[0] / max(1, sum(sentences))
     if not 0 < share < 1 or not counts:
         return Machine(None)
-    # a window met in n sentences, all toxic, is beyond chance among all windows when share^n times their number is below 1
-    enough = max(3, math.log(len(counts)) / -math.log(share))
-    scored = [(t * math.log((t + 0.1) / (t + c + 0.1) / share), t, w, c) for w, t, c in counts]
-    positive = sorted(((s, w) for s, t, w, c in scored if t >= enough and t >= 0.95 * (t + c)), reverse=True)[:POSITIVES]
+    scored, positive = beyond_chance(counts, share, len(counts))
+    positive = positive[:POSITIVES]
+    positive += shortest(beyond_chance(found[0], share, found[1])[1], [w for _, w in positive])[:POSITIVES]
+    positive.sort(reverse=True)
     if not positive:
         positive = [(s, w) for s, t, w, c in sorted(scored, reverse=True)[:5] if s > 0]
     taken = {w for _, w in positive}
     negative = [w for _, t, w, c in scored if w not in taken and c >= t]
+    negative += sorted(set(harmless) - taken - set(negative))
     if not positive or not negative:
         return Machine(None)
     pos = [w for _, w in positive]
@@ -196,74 +370,73 @@ def train(counts: list[tuple[str, int, int]], sentences: tuple[int, int]) -> Mac
 
 
 class Scorer:
-    """Margins of texts, remembering windows; at most ``MEMO`` of them."""
+    """Margins of texts."""
 
     def __init__(self, machine: Machine):
-        self.machine, self.known = machine, {}
-
-    def _learn(self, new: list[str]) -> None:
-        pieces = [(w, x) for w in new for x in windows(w)]
-        best = dict.fromkeys(new, LEAST)
-        for k in range(0, len(pieces), 8_192):
-            part = pieces[k : k + 8_192]
-            for (w, _), m in zip(part, self.machine.margins([x for _, x in part]).tolist(), strict=True):
-                if m > best[w]:
-                    best[w] = m
-        self.known.update(best)
+        self.machine = machine
+
+    def both(self, texts: list[str]) -> np.ndarray:
+        """The greatest margin among the words and among the spans of each text."""
+        out = np.full((len(texts), 2), LEAST)
+        parts, owner, size = [], [], 0
+        for k, text in enumerate(texts):
+            for part in blocks(text.lower()):
+                parts.append(part)
+                owner.append(k)
+                size += len(part)
+                if size >= BLOCK:
+                    np.maximum.at(out, owner, self.machine.worst(parts))
+                    parts, owner, size = [], [], 0
+        if parts:
+            np.maximum.at(out, owner, self.machine.worst(parts))
+        return out
 
     def margins(self, texts: list[str]) -> list[float]:
-        parts = [set(words(t := text.lower())).union(spaced(t)) for text in texts]
-        every = set().union(*parts)
-        if len(self.known) + len(every) > MEMO:
-            self.known = {}
-        if new := list(every - self.known.keys()):
-            self._learn(new)
-        get = self.known.__getitem__
-        return [max(map(get, p), default=LEAST) for p in parts]
-
-
-_SCORERS: dict[int, Scorer] = {}
-
-
-def _scorer(machine: Machine) -> Scorer:
-    key = zlib.crc32(machine.table.tobytes()) if machine.table is not None else 0
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(machine)
-    return _SCORERS[key]
+        got = self.both(texts)
+        return np.maximum(got[:, 0], got[:, 1] - self.machine.handicap).tolist()
 
 
 def margins(docs: DataFrame, machine: Machine) -> DataFrame:
-    """(doc_id, margin) of every whole text."""
+    """(doc_id, margin of the words, margin of the spans) of every whole text."""
     table = docs.sparkSession.sparkContext.broadcast(machine)  # 2^18 weights, whatever the corpus
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(table.value)
-        schema = pa.schema([("doc_id", pa.int64()), ("margin", pa.float64())])
+        scorer = Scorer(table.value)
+        schema = pa.schema([("doc_id", pa.int64()), ("of_words", pa.float64()), ("of_spans", pa.float64())])
         for (ids,), texts in chunks(batches):
-            yield record_batch(schema, [ids, [LEAST] * len(ids) if table.value.table is None else scorer.margins(texts)])
+            got = np.full((len(ids), 2), LEAST) if table.value.table is None else scorer.both(texts)
+            yield record_batch(schema, [ids, got[:, 0], got[:, 1]])
+
+    return docs.select("doc_id", "text").mapInArrow(look, "doc_id long, of_words double, of_spans double")
+
+
+def _sentences(sample: DataFrame) -> DataFrame:
+    """(sentence, label, text) of the distinct sentences of (text, label)."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("sentence", pa.int64()), ("label", pa.int32()), ("text", pa.string())])
+        for (labels,), texts in chunks(batches):
+            rows = [(zlib.crc32(s.encode()), y, s) for y, text in zip(labels, texts, strict=True) for s in set(_SENTENCE.split(text.lower())) if s]
+            if rows:
+                yield record_batch(schema, list(zip(*rows, strict=True)))
 
-    return docs.select("doc_id", "text").mapInArrow(look, "doc_id long, margin double")
+    return sample.select("label", "text").mapInArrow(split, "sentence long, label int, text string").dropDuplicates(["sentence", "label"])
 
 
-def _window_counts(sample: DataFrame) -> tuple[list[tuple[str, int, int]], tuple[int, int]]:
-    """Windows by toxic and clean distinct sentences of (text, label), and the numbers of those sentences."""
+def _window_counts(sentences: DataFrame) -> tuple[list[tuple[str, int, int]], tuple[int, int]]:
+    """Words by toxic and clean distinct sentences, and the numbers of the sentences with any."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("sentence", pa.int64()), ("label", pa.int32()), ("ws", pa.list_(pa.string()))])
+        schema = pa.schema([("label", pa.int32()), ("ws", pa.list_(pa.string()))])
         for (labels,), texts in chunks(batches):
-            rows = []
-            for y, text in zip(labels, texts, strict=True):
-                for s in _SENTENCE.split(text.lower()):
-                    if ws := {x for w in {*words(s), *spaced(s)} for x in windows(w)}:
-                        rows.append((zlib.crc32(s.encode()), y, sorted(ws)))
+            rows = [(y, sorted(ws)) for y, s in zip(labels, texts, strict=True) if (ws := {x for w in {*words(s), *spaced(s)} for x in windows(w)})]
             if rows:
                 yield record_batch(schema, list(zip(*rows, strict=True)))
 
-    sentences = sample.select("label", "text").mapInArrow(split, "sentence long, label int, ws array<string>").dropDuplicates(["sentence", "label"])
-    by = {r["label"]: r["count"] for r in sentences.groupBy("label").count().collect()}
+    split_up = sentences.select("label", "text").mapInArrow(split, "label int, ws array<string>")
+    by = {r["label"]: r["count"] for r in split_up.groupBy("label").count().collect()}
     counts = (
-        sentences.select("label", F.explode("ws").alias("w"))
+        split_up.select("label", F.explode("ws").alias("w"))
         .groupBy("w")
         .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
     )
@@ -272,32 +445,72 @@ def _window_counts(sample: DataFrame) -> tuple[list[tuple[str, int, int]], tuple
     return sorted((r.w, r.t, r.c) for r in likely.unionAll(others).collect()), (by.get(1, 0), by.get(0, 0))
 
 
+def _span_counts(sentences: DataFrame, known: set[str], share: float) -> tuple[list[tuple[str, int, int]], int, list[str]]:
+    """(span, toxic, clean sentences) of the spans that can be beyond chance, how many toxic spans there are, and some clean ones.
+
+    Clean sentences are looked through only for the spans that enough toxic ones have.
+    """
+
+    def exploded(chosen: Callable[[str], Iterable[str]], label: int) -> DataFrame:
+        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            schema = pa.schema([("w", pa.string())])
+            for _, texts in chunks(batches):
+                yield record_batch(schema, [[w for s in texts for w in chosen(s)]])
+
+        return sentences.where(F.col("label") == label).select("text").mapInArrow(split, "w string")
+
+    held = sentences.sparkSession.sparkContext.broadcast(known)
+    toxic = exploded(lambda s: spans(s, held.value), 1).groupBy("w").agg(F.count("*").alias("t"))
+    number = toxic.count()
+    often = toxic.where(F.col("t") >= least(share, number))
+    found = dict(often.collect())  # each in several sentences of a bounded sample
+    asked = sentences.sparkSession.sparkContext.broadcast(frozenset(found))
+    clean = dict(exploded(lambda s: asked.value & spans(s), 0).groupBy("w").count().collect())
+    some = exploded(lambda s: sorted(spans(s, held.value), key=lambda w: (zlib.crc32(w.encode()), w))[:SPANS_OF_SENTENCE], 0).distinct()
+    harmless = [r.w for r in some.orderBy(F.xxhash64("w"), "w").limit(SPAN_NEGATIVES).collect()]
+    return sorted((w, t, clean.get(w, 0)) for w, t in found.items()), number, harmless
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     """The machine from a bounded sample of the labelled documents (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN``)."""
     chosen = labelled_sample(labels, "toxic", {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}).select(F.col("doc_id").alias("_id"), F.col("label").cast("int").alias("label"))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
-    machine = train(*_window_counts(sample))
+    sentences = materialize(_sentences(sample), "sentences")
+    counts, numbers = _window_counts(sentences)
+    found, harmless = ((), 0), []
+    if all(numbers) and counts:
+        share = numbers[0] / sum(numbers)
+        known = {w for _, w in beyond_chance(counts, share, len(counts))[1][:POSITIVES]}
+        *found, harmless = _span_counts(sentences, known, share)
+    discard(sentences)
+    machine = train(counts, numbers, tuple(found), harmless)
     if machine.table is None:
         return machine
-    got = margins(sample, machine).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("margin", "label").collect()
-    m, y = np.array([r.margin for r in got]), np.array([r.label for r in got])
+    got = margins(sample, machine).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("of_words", "of_spans", "label").collect()
+    m, y = np.array([(r.of_words, r.of_spans) for r in got]), np.array([r.label for r in got])
     return calibrated(machine, m, y)
 
 
 def calibrated(machine: Machine, m: np.ndarray, y: np.ndarray) -> Machine:
-    """Score one half where the sample is parted with the fewest errors, between the neighbouring margins."""
+    """Score one half where the sample is parted with the fewest errors, by the least handicap of spans that does."""
+    cuts = [(*_parted(np.maximum(m[:, 0], m[:, 1] - h), y), h) for h in np.linspace(0, HANDICAP, 15).tolist()]
+    _, middle, handicap = min(cuts, key=lambda x: (x[0], x[2]))
+    return Machine(machine.table, machine.bias, 4.0, middle, handicap)
+
+
+def _parted(m: np.ndarray, y: np.ndarray) -> tuple[int, float]:
+    """The fewest errors, and the cut between neighbouring margins that makes them."""
     order = np.argsort(m, kind="stable")
     m, y = m[order], y[order]
     errors = np.r_[0, np.cumsum(y)] + np.r_[np.cumsum((1 - y)[::-1])[::-1], 0]
     errors[1:-1][m[1:] == m[:-1]] = len(m) + 1  # no cut between equal margins
     best = np.flatnonzero(errors == errors.min())
     edges = np.r_[m[0] - 1, (m[1:] + m[:-1]) / 2, m[-1] + 1]
-    middle = float(np.median(edges[best]))
-    return Machine(machine.table, machine.bias, 4.0, middle)
+    return int(errors.min()), float(np.median(edges[best]))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, score (0 to 1), predicted (1 from one half on) of every text."""
-    table = machine.table is not None
-    out = F.lit(0.0) if not table else 1 / (1 + F.exp(-F.lit(machine.slope) * (F.col("margin") - F.lit(machine.middle))))
+    margin = F.greatest("of_words", F.col("of_spans") - F.lit(machine.handicap))
+    out = F.lit(0.0) if machine.table is None else 1 / (1 + F.exp(-F.lit(machine.slope) * (margin - F.lit(machine.middle))))
     return margins(docs, machine).select("doc_id", out.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -69,3 +69,45 @@ def test_odd_rows(spark, odd_docs, no_docs, machine):
     one = spark.createDataFrame([(3, 1), (None, 0), (77, None)], "doc_id long, toxic int")
     for labels in (none, one):
         assert {r.score for r in T.score(odd_docs, T.fit(odd_docs, labels)).collect()} == {0.0}
+
+
+def test_split_and_spaced_insults(machine):
+    clean = "ra leton verest kuing saleno"
+    bad = ["grob bler", "muck  wit", "snivel\nkin", "fet ter ling", "g  r  o  b  b  l  e  r", "g\nr\no\nb\nb\nl\ne\nr", "m. u. c. k. w. i. t."]
+    ms = T.Scorer(machine).margins([clean] + [f"{clean} {x} {clean}" for x in bad])
+    assert machine.score(ms[0]) < 0.5
+    assert [x for x, m in zip(bad, ms[1:], strict=True) if machine.score(m) < 0.5] == []
+
+
+def test_insults_of_harmless_words_held_out(spark, data):
+    """Every word occurs in clean sentences too; only the phrases are toxic."""
+    rng, phrases = random.Random(9), ["waste of oxygen", "gone off cheese", "half a brain"]
+    docs, labels = [], []
+    for i, text in data[0]:
+        text = text if i % 6 else " ".join(w for w in text.split() if w.strip(".") not in INSULTS)
+        ws, toxic = text.split(), i % 6 == 0
+        k = rng.randrange(1, len(ws))
+        ws[k:k] = rng.choice(phrases).split() if toxic else [rng.choice("waste of oxygen gone off cheese half a brain".split())]
+        docs.append((i, " ".join(ws)))
+        labels.append((i, int(toxic)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    machine = T.fit(df, spark.createDataFrame([x for x in labels if x[0] % 5], "doc_id long, toxic int"))
+    got = {r.doc_id: r.predicted for r in T.score(df, machine).collect()}
+    held = [(got[i], y) for i, y in labels if i % 5 == 0]
+    assert sum(p == y for p, y in held) / len(held) > 0.95
+
+
+def test_running_sums_equal_the_windows_one_by_one(machine):
+    texts = ["Grob.bler's, raleton -- «muck» wit!", "i d\n i o  t " + "ab" * 40, "", " ...", "no", "ß x一y\U0001f600zz 5h1t", "tonver " * 30 + "z"]
+    for text, got in zip(texts, T.Scorer(machine).both(texts), strict=True):
+        low = text.lower()
+        for ws, m in zip(({x for w in [*T.words(low), *T.spaced(low)] for x in T.windows(w)}, T.spans(low)), got, strict=True):
+            assert abs(m - max([T.LEAST, *machine.margins(sorted(ws)).tolist()] if ws else [T.LEAST])) < 1e-4
+
+
+def test_blocks_of_a_long_text_share_words(machine, monkeypatch):
+    text = "raleton verest " * 50 + "grob bler " + "saleno kuing " * 50 + "x" * 900 + " m u c k w i t " + "verest " * 90
+    whole = T.Scorer(machine).margins([text])
+    for size in (500, 701, 1000):
+        monkeypatch.setattr(T, "BLOCK", size)
+        assert T.Scorer(machine).margins([text]) == pytest.approx(whole, abs=1e-6)

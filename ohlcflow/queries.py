@@ -247,12 +247,12 @@ CSV_VARIANT_B = ["close", "date", "open", "high", "low", "volume"]
 
 def write_price_csvs(bars: DataFrame, root: str) -> None:
     """Write bars as ``symbol=<s>/*.csv`` files with two header variants."""
-    first_half = F.col("symbol") < F.lit("S25")
-    a = bars.filter(first_half).select(
+    even = F.ascii(F.substring("symbol", -1, 1)) % 2 == 0  # both variants occur at every scale
+    a = bars.filter(even).select(
         *[F.col(c.lower()).alias(c) for c in CSV_VARIANT_A[:-1]],
         F.lit(0).alias("OpenInt"), "symbol",
     )
-    b = bars.filter(~first_half).select(*CSV_VARIANT_B, "symbol")
+    b = bars.filter(~even).select(*CSV_VARIANT_B, "symbol")
     for i, part in enumerate((a, b)):
         part.write.mode("overwrite" if i == 0 else "append").option("header", True).partitionBy(
             "symbol"

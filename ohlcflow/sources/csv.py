@@ -79,8 +79,9 @@ def _literal(spark: SparkSession, uri: str) -> str:
 
 
 def _read_group(spark: SparkSession, header: tuple[str, ...], uris: list[str], base: str | None) -> DataFrame:
-    fields = [StructField(f"c{k}", StringType(), True) for k in range(len(header))]
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    fields = [StructField(f"c{k}", StringType(), True) for k in range(max(1, len(header)))]
+    # Spark skips blank lines ahead of a header; where the header is one, no further line is
+    reader = spark.read.option("header", bool(header)).option("mode", "PERMISSIVE")
     if base is not None:
         # declared, so that a ``symbol=...`` directory level is read as a string
         fields.append(StructField("symbol", StringType(), True))
@@ -105,8 +106,8 @@ def scan_csv(
     Either ``path`` (a directory, optionally with ``symbol=...`` levels) or
     ``symbol_files`` (symbol -> file); files that do not exist contribute no
     rows. The first line of a file is its header whatever it says: a file
-    without a recognised name there gives a row of defaults for each further
-    line.
+    without a recognised name there, or with a blank first line, gives a row of
+    defaults for each further line.
     """
     pairs: list[tuple[str, str]] = []
     if symbol_files is None:
@@ -119,8 +120,8 @@ def scan_csv(
         lines = list(pool.map(lambda u: _first_line(spark, u), uris))
     groups: dict[tuple[str, ...], list[str]] = {}
     for uri, line in zip(uris, lines, strict=True):
-        if header := tuple(next(csv.reader([line]), ())):
-            groups.setdefault(header, []).append(uri)
+        header = tuple(next(csv.reader([line]), ())) if line.strip() else ()
+        groups.setdefault(header, []).append(uri)
     if not groups:
         return spark.createDataFrame([], ",".join(f"{c} string" for c in [*BAR_FIELDS, *["_file"] * keep_file]))
     base = path if symbol_files is None else None

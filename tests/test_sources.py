@@ -98,3 +98,23 @@ def test_messages_keep_nulls_and_reject_junk(spark):
     assert message_rejects(raw).count() == 7
     plan = decode_messages(raw)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_csv_blank_first_line_gives_rows_of_defaults(spark):
+    root = scratch_path(spark, "csv-blank")
+    _write(f"{root}/symbol=P/a.csv", ["", "2020-01-02,1,2", "2020-01-03,3,4"])
+    _write(f"{root}/symbol=Q/b.csv", ["  ", "", "2020-01-02,1,2"])
+    _write(f"{root}/symbol=R/c.csv", ["Date,Open", "2020-01-02,1"])
+    default = ("", "0", "0", "0", "0", "0")
+    got = sorted(tuple(r) for r in scan_csv(spark, root).collect())
+    assert got == [("P", *default), ("P", *default), ("Q", *default), ("R", "2020-01-02", "1", "0", "0", "0", "0")]
+    got = scan_csv(spark, symbol_files={"Z": f"{root}/symbol=P/a.csv"}).collect()
+    assert [tuple(r) for r in got] == [("Z", *default)] * 2
+
+
+def test_csv_query_writes_both_header_variants(spark, raw_bars):
+    from ohlcflow.queries import write_price_csvs
+
+    root = scratch_path(spark, "csv-variants")
+    write_price_csvs(raw_bars([(s, "2020-01-02", "1", "2", "1", "1", "5") for s in ("S00", "S01", "S09")]), root)
+    assert {r["value"] for r in spark.read.text(root).collect() if "ate" in r["value"]} == {"Date,Open,High,Low,Close,Volume,OpenInt", "close,date,open,high,low,volume"}

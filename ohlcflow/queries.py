@@ -285,6 +285,8 @@ def q_scan_csv_symbol_map(spark, sf_dir):
 def q_ingest_stream(spark, sf_dir):
     src = scratch_path(spark, "messages")
     encode_messages(clean_bars(spark, sf_dir)).write.text(src)
+    # malformed messages, which go to the rejects table
+    spark.createDataFrame([("not json",), ('{"symbol":"S00"',)], "value string").write.mode("append").text(src)
     bronze = run_ingest(
         spark,
         message_stream(spark, "files", src, max_per_trigger=2),

@@ -15,7 +15,8 @@ when its connector is on the classpath). Each micro-batch is decoded with
   (effectively exactly-once on top of the at-least-once ``foreachBatch``
   contract), while a run with a new checkpoint appends new partitions
   instead of overwriting earlier runs' batches;
-* messages that are not JSON bar objects go to an optional rejects table.
+* messages that are not JSON bar objects go to a rejects table, by default
+  ``<bronze_path>_rejects``.
 
 ``trigger(availableNow=True)`` drains what is available and stops (the
 reference stops after 10 s without messages); batch size is bounded with
@@ -93,6 +94,11 @@ def _overwrite_partition(df: DataFrame, path: str, fmt: str) -> None:
     )
 
 
+def default_rejects_path(bronze_path: str) -> str:
+    """A folder beside the bronze table."""
+    return f"{bronze_path.rstrip('/')}_rejects"
+
+
 def ingest_stream(
     messages: DataFrame,
     bronze_path: str,
@@ -104,26 +110,24 @@ def ingest_stream(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the messages -> bronze stream; returns the running query."""
+    rejects_path = rejects_path or default_rejects_path(bronze_path)
     stream = stream_id(messages.sparkSession, checkpoint_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if rejects_path is not None:
-            batch = batch.persist()
+        batch = batch.persist()
         try:
             _overwrite_partition(
                 bronze_batch(batch, batch_id, source_label, stream), bronze_path, fmt
             )
-            if rejects_path is not None:
-                rejects = message_rejects(batch).withColumns(
-                    {
-                        "_batch_number": F.lit(int(batch_id) + 1).cast("int"),
-                        "_stream": F.lit(stream),
-                    }
-                )
-                _overwrite_partition(rejects, rejects_path, fmt)
+            rejects = message_rejects(batch).withColumns(
+                {
+                    "_batch_number": F.lit(int(batch_id) + 1).cast("int"),
+                    "_stream": F.lit(stream),
+                }
+            )
+            _overwrite_partition(rejects, rejects_path, fmt)
         finally:
-            if rejects_path is not None:
-                batch.unpersist()
+            batch.unpersist()
 
     writer = messages.writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint_path

@@ -64,3 +64,14 @@ def test_replayed_batch_is_idempotent(spark, sample_bars):
         _overwrite_partition(bronze_batch(msgs, 0), path, "parquet")
     _overwrite_partition(bronze_batch(msgs.limit(2), 1), path, "parquet")
     assert spark.read.parquet(path).count() == 7 + 2
+
+
+def test_rejects_are_kept_without_a_path(spark, sample_bars):
+    src = scratch_path(spark, "stream-src3")
+    os.makedirs(src)
+    enc = [r["value"] for r in encode_messages(cast_schema(sample_bars)).collect()]
+    with open(f"{src}/part-0.json", "w") as f:
+        f.write("\n".join([*enc, "not json"]) + "\n")
+    bronze = scratch_path(spark, "bronze3")
+    assert run_ingest(spark, message_stream(spark, "files", src), bronze, scratch_path(spark, "ckpt3")).count() == 7
+    assert [r["value"] for r in spark.read.parquet(f"{bronze}_rejects").collect()] == ["not json"]

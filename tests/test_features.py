@@ -91,7 +91,7 @@ def test_reports(raw_bars, sample_bars):
 
 
 def test_rank_one_exists_per_group(spark):
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from ohlcflow import queries as Q
     m = Q.q_top_movers(spark, "/root/testdata/sf0.01")
     groups = m.select("date", "direction").distinct().count()

@@ -58,7 +58,7 @@ def test_labels_and_signals_with_nulls(spark):
 
 
 def test_sql_functions_agree_with_column_functions(spark):
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from ohlcflow import queries as Q
     from ohlcflow.functions.sql import register_sql_functions
 

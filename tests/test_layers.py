@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from ohlcflow import queries as Q
 from ohlcflow.operators.quality import QualityGateError
 from ohlcflow.plans.layers import register_sql_layer, run_layers
@@ -133,7 +133,7 @@ def test_run_sql_layer(spark):
 
 def test_run_sql_layer_reports(spark):
     from ohlcflow.plans.layers import run_sql_layer
-    from conftest import SF_MEDIUM
+    from scales import SF_MEDIUM
 
     raw = Q.clean_bars(spark, SF_MEDIUM).select(*[F.col(c).cast("string") for c in BAR_FIELDS])
     res = run_layers(spark, raw, scratch_path(spark, "layers-runner-m"), expected_symbols=["S00"])
@@ -148,7 +148,7 @@ def test_cli_steps(spark):
     """produce -> consume -> silver -> gold -> sql, each step reading the previous one's files."""
     from ohlcflow.__main__ import main
     from ohlcflow.queries import write_price_csvs
-    from conftest import SF_MEDIUM
+    from scales import SF_MEDIUM
 
     csv_root = scratch_path(spark, "cli-csv")
     write_price_csvs(Q.clean_bars(spark, SF_MEDIUM), csv_root)

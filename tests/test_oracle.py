@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_compare import compare  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from scales import SF_SMALL  # noqa: E402
 from ohlcflow import queries as Q  # noqa: E402
 
 

@@ -1,6 +1,6 @@
 """Physical-plan shape: the properties the scale design relies on."""
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from ohlcflow import queries as Q
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from ohlcflow import queries as Q
 from ohlcflow.operators.features import add_moving_averages, add_volume_spike_flag
 from ohlcflow.plans.skew import segmented_trailing_avg, series_row_number

@@ -96,6 +96,23 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by a rank file, decoded again."""
+    import public_tokenizers as P
+
+    from ohlcflow.llm.byte_bpe import decode, digest, encode
+
+    ranks = P.path("byte_bpe_multi_50k.tiktoken")
+    return digest(decode(encode(documents(spark, sf_dir), ranks, P.PATTERN), ranks, P.PATTERN))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of all words of the documents."""
+    from ohlcflow.llm.spelling import spelling_groups
+
+    return spelling_groups(documents(spark, sf_dir), min_chars=6, min_count=5, ratio=5)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
@@ -107,6 +124,8 @@ QUERIES = {
     "op8_line_quality": op8_line_quality,
     "op9_mixing": op9_mixing,
     "op10_fingerprints": op10_fingerprints,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {}

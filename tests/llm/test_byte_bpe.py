@@ -1,0 +1,89 @@
+import base64
+import hashlib
+import random
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+
+from ohlcflow.llm import byte_bpe as B
+from ohlcflow.llm import queries as L
+
+RANKS = P.path("byte_bpe_multi_50k.tiktoken")
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """The library on whole texts, without any cutting."""
+    with open(RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("plain", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def expected(plain, text):
+    ids = b"".join(i.to_bytes(4, "little") for i in plain.encode_ordinary(text or ""))
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_query_equals_the_library_on_whole_texts(spark, plain):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    got = L.op11_byte_bpe(spark, SF_SMALL)
+    assert got.dtypes[:4] == [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+    rows = got.collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == expected(plain, docs[r.doc_id])
+
+
+def test_odd_rows(spark, plain, odd_docs, no_docs):
+    texts = {r.doc_id: r.text for r in odd_docs.collect()}
+    encoded = B.encode(odd_docs, RANKS, P.PATTERN, ("doc_id", "start", "n_chars"))
+    assert encoded.columns == ["doc_id", "start", "n_chars", "ids"]
+    rows = B.digest(B.decode(encoded, RANKS, P.PATTERN)).collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == expected(plain, texts[r.doc_id])
+    assert B.decode(B.encode(no_docs, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
+
+
+def test_columns_with_the_operator_s_names(spark):
+    docs = spark.createDataFrame([(1, "some text", b"x", "y")], "doc_id long, text string, data binary, _0 string")
+    encoded = B.encode(docs, RANKS, P.PATTERN, ("data", "_0"))
+    (row,) = B.decode(encoded.withColumnRenamed("data", "_2"), RANKS, P.PATTERN).collect()
+    assert (row["_2"], row["_0"], row["data"]) == (b"x", "y", b"some text")
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 64])
+def test_parts_cut_anywhere_safe_give_the_same_ids(plain, monkeypatch, size):
+    monkeypatch.setattr(B, "_LONG", B.regex.compile(r"\p{White_Space}{3,}"))
+    rng = random.Random(size)
+    signs = ["a", "Z", "é", "汉", "٣", "7", "'", "'s", "'re", "!", "\U0001f600", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", " ", " ", "​", "﻿"]
+    codec = B.codec(RANKS, P.PATTERN)
+    for _ in range(400):
+        text = "".join(rng.choices(signs, k=rng.randrange(40)))
+        parts = list(B.safe_parts(text, size))
+        assert "".join(p for p, _ in parts) == text
+        ids = b"".join(codec._space(p) if space else codec._ids(p) for p, space in parts)
+        assert ids == b"".join(i.to_bytes(4, "little") for i in plain.encode_ordinary(text)), repr(text)
+
+
+@pytest.mark.parametrize("text", ["x" * 700_000, "ab 12 " * 100_000, " " * 50_000 + "a", "a" + "\n" * 50_000, ("w" * 9 + " " * 5_000) * 20])
+def test_very_long_texts(plain, text):
+    codec = B.codec(RANKS, P.PATTERN)
+    ids = codec.encode(text)
+    assert ids == b"".join(i.to_bytes(4, "little") for i in plain.encode_ordinary(text))
+    assert codec.decode(ids) == text.encode()
+
+
+def test_white_space_that_overflows_the_library_s_matcher():
+    codec = B.codec(RANKS, P.PATTERN)
+    text = "word" + " " * 3_000_000 + "word\n" + "\n" * 1_500_000
+    assert codec.decode(codec.encode(text)) == text.encode()
+
+
+def test_tokens_that_split_a_character(spark):
+    codec = B.codec(RANKS, P.PATTERN)
+    half = codec.encoding.encode_single_token(b"\xf0").to_bytes(4, "little")
+    (row,) = B.decode(spark.createDataFrame([(1, half)], "doc_id long, ids binary"), RANKS, P.PATTERN).collect()
+    assert row["data"] == b"\xf0"

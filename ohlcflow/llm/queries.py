@@ -106,6 +106,13 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(decode(encode(documents(spark, sf_dir), ranks, P.PATTERN), ranks, P.PATTERN))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations, after their damage."""
+    from ohlcflow.llm.turn_repair import repair
+
+    return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants of all words of the documents."""
     from ohlcflow.llm.spelling import spelling_groups
@@ -125,6 +132,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_fingerprints": op10_fingerprints,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_turn_repair": op12_turn_repair,
     "op13_spelling": op13_spelling,
 }
 

@@ -53,17 +53,25 @@ def add_moving_averages(
     value: str = "close",
     segmented: bool | str = False,
     block_rows: int | None = None,
+    frames: str = "sliding",
 ) -> DataFrame:
     """Add ``ma_{n}d = round(avg(value) over the n-row frame, 4)`` per window.
 
     ``segmented=True`` evaluates the same frames with the block + halo plan
     of :mod:`ohlcflow.plans.skew` (for series too large for one task);
     ``"auto"`` measures the longest series first (one small job) and segments
-    only when it exceeds ``plans.skew.DEFAULT_HOT_ROWS``.
+    only when it exceeds ``plans.skew.DEFAULT_HOT_ROWS``. ``frames="prefix"``
+    takes the averages from running sums (:mod:`ohlcflow.plans.sums`): constant
+    work a row, whatever the windows.
     """
     from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg, should_segment
 
-    if should_segment(segmented, df):
+    segment = should_segment(segmented, df)
+    if _by_running_sums(frames):
+        raw = {f"_raw_{n}": (value, n) for n in windows}
+        out = _prefix_avg(df, raw, segment, block_rows)
+        return out.withColumns({ma_column(n): F.round(F.col(f"_raw_{n}"), 4) for n in windows}).drop(*raw)
+    if segment:
         raw = {f"_raw_{n}": (value, n) for n in windows}
         out = segmented_trailing_avg(df, raw, block_rows=block_rows or DEFAULT_BLOCK_ROWS)
         return out.withColumns(
@@ -74,6 +82,18 @@ def add_moving_averages(
     )
 
 
+def _by_running_sums(frames: str) -> bool:
+    if frames not in ("sliding", "prefix"):
+        raise ValueError(f"frames must be 'sliding' or 'prefix', got {frames!r}")
+    return frames == "prefix"
+
+
+def _prefix_avg(df: DataFrame, specs: dict, segment: bool, block_rows: int | None) -> DataFrame:
+    from ..plans.sums import DEFAULT_SUM_ROWS, prefix_trailing_avg
+
+    return prefix_trailing_avg(df, specs, block_rows=block_rows or DEFAULT_SUM_ROWS, segmented=segment)
+
+
 def add_moving_average(df: DataFrame, window_days: int) -> DataFrame:
     return add_moving_averages(df, [window_days])
 
@@ -84,17 +104,21 @@ def add_volume_spike_flag(
     multiplier: float = VOLUME_SPIKE_MULTIPLIER,
     segmented: bool | str = False,
     block_rows: int | None = None,
+    frames: str = "sliding",
 ) -> DataFrame:
     """``avg_30d_volume`` (unrounded) and ``volume_spike = volume > 2 * avg``.
 
     The frame includes the current row, so with volume >= 0 the first two
-    rows of a series can never spike. ``segmented`` as in
+    rows of a series can never spike. ``segmented`` and ``frames`` as in
     :func:`add_moving_averages`.
     """
     from ..plans.skew import DEFAULT_BLOCK_ROWS, segmented_trailing_avg, should_segment
 
     avg_col = f"avg_{window}d_volume"
-    if should_segment(segmented, df):
+    segment = should_segment(segmented, df)
+    if _by_running_sums(frames):
+        df = _prefix_avg(df, {avg_col: ("volume", window)}, segment, block_rows)
+    elif segment:
         df = segmented_trailing_avg(
             df, {avg_col: ("volume", window)}, block_rows=block_rows or DEFAULT_BLOCK_ROWS
         )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import direction
+from ..plans.ranks import value_ranks
 from ..schemas import MA_WINDOWS, TOP_N, VOLUME_WINDOW, ma_column
 from .features import add_moving_averages, add_volume_spike_flag
 
@@ -58,6 +59,9 @@ def top_movers(silver: DataFrame, top_n: int = TOP_N, ties: str = "window") -> D
     abs_return) values, whose ties collapse map-side, and joined back to the
     rows; no task ever holds a date's tied rows together, at the price of
     shuffling the distinct values. See :func:`_movers_by_value_ranks`.
+    ``ties="range"``: the distinct values themselves are ranked over range
+    partitions (:mod:`ohlcflow.plans.ranks`), so that no task holds a date's
+    values either, for any ``top_n``.
     """
     cand = (
         silver.filter(~F.col("price_spike_flag"))
@@ -66,8 +70,11 @@ def top_movers(silver: DataFrame, top_n: int = TOP_N, ties: str = "window") -> D
     )
     if ties == "join":
         return _movers_by_value_ranks(cand, top_n).select(*MOVERS_COLUMNS)
+    if ties == "range":
+        ranks = value_ranks(cand, ["date", "direction"], "abs_return").filter(F.col("rank") <= top_n)
+        return _with_ranks(cand, ranks, top_n).select(*MOVERS_COLUMNS)
     if ties != "window":
-        raise ValueError(f"ties must be 'window' or 'join', got {ties!r}")
+        raise ValueError(f"ties must be 'window', 'join' or 'range', got {ties!r}")
     w = Window.partitionBy("date", "direction").orderBy(F.col("abs_return").desc_nulls_last())
     return (
         cand.withColumn("rank", F.dense_rank().over(w))
@@ -77,7 +84,15 @@ def top_movers(silver: DataFrame, top_n: int = TOP_N, ties: str = "window") -> D
 
 
 def _movers_by_value_ranks(cand: DataFrame, top_n: int) -> DataFrame:
-    """Dense ranks of the distinct values, joined back to every row.
+    """Dense ranks of the distinct values by a window per (date, direction)."""
+    values = cand.select("date", "direction", "abs_return").distinct()
+    w = Window.partitionBy("date", "direction").orderBy(F.col("abs_return").desc_nulls_last())
+    ranks = values.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= top_n)
+    return _with_ranks(cand, ranks, top_n)
+
+
+def _with_ranks(cand: DataFrame, ranks: DataFrame, top_n: int) -> DataFrame:
+    """Ranks of the distinct values joined back to every row.
 
     The rank table has at most ``top_n`` rows per (date, direction); its size
     bound ``top_n x 2 x (distinct dates + 1)`` comes from one count-distinct
@@ -85,17 +100,11 @@ def _movers_by_value_ranks(cand: DataFrame, top_n: int) -> DataFrame:
     that bound is below ``RANK_TABLE_LIMIT_BYTES`` (else a shuffle join, which
     AQE splits when one value is hot).
     """
-    values = cand.select("date", "direction", "abs_return").distinct()
-    w = Window.partitionBy("date", "direction").orderBy(F.col("abs_return").desc_nulls_last())
-    ranks = (
-        values.withColumn("rank", F.dense_rank().over(w))
-        .filter(F.col("rank") <= top_n)
-        .select(
-            F.col("date").alias("_r_date"),
-            F.col("direction").alias("_r_dir"),
-            F.col("abs_return").alias("_r_abs"),
-            "rank",
-        )
+    ranks = ranks.select(
+        F.col("date").alias("_r_date"),
+        F.col("direction").alias("_r_dir"),
+        F.col("abs_return").alias("_r_abs"),
+        "rank",
     )
     # distinct dates (+1 for a NULL date): one small aggregate, any date type
     n_dates = cand.agg(F.count_distinct("date")).first()[0] + 1

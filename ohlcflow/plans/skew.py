@@ -145,6 +145,20 @@ def _row_number_by_bucket(
     )
 
 
+def blocks_with_halo(numbered: DataFrame, longest: int, block_rows: int) -> DataFrame:
+    """``numbered`` (with ``_rn``) and its block ``_blk``; the last ``longest - 1``
+    rows of a block also go to the next one, there with ``_shift`` = 1."""
+    if block_rows < longest - 1 or block_rows < 1:
+        raise ValueError(f"block_rows must be >= {max(longest - 1, 1)}")
+    pos = (F.col("_rn") - 1) % block_rows
+    shifts = F.when(
+        F.lit(longest > 1) & (pos >= block_rows - (longest - 1)), F.array(F.lit(0), F.lit(1))
+    ).otherwise(F.array(F.lit(0)))
+    return numbered.select(
+        "*", F.explode(shifts).alias("_shift")
+    ).withColumn("_blk", F.floor((F.col("_rn") - 1) / block_rows) + F.col("_shift"))
+
+
 def segmented_trailing_avg(
     df: DataFrame,
     specs: Mapping[str, tuple[str, int]],
@@ -157,17 +171,8 @@ def segmented_trailing_avg(
     """Add ``out = avg(value) over the n-row trailing frame`` for each
     ``out -> (value, n)`` in ``specs``; equal to the direct window."""
     longest = max(n for _, n in specs.values())
-    if block_rows < longest - 1 or block_rows < 1:
-        raise ValueError(f"block_rows must be >= {max(longest - 1, 1)}")
     numbered = series_row_number(df, key, order, tiebreak, bucket)
-    pos = (F.col("_rn") - 1) % block_rows
-    shifts = F.when(
-        F.lit(longest > 1) & (pos >= block_rows - (longest - 1)), F.array(F.lit(0), F.lit(1))
-    ).otherwise(F.array(F.lit(0)))
-    blocked = numbered.select(
-        "*", F.explode(shifts).alias("_shift")
-    ).withColumn("_blk", F.floor((F.col("_rn") - 1) / block_rows) + F.col("_shift"))
-    out = blocked
+    out = blocks_with_halo(numbered, longest, block_rows)
     for name, (value, n) in specs.items():
         w = Window.partitionBy(key, "_blk").orderBy("_rn").rowsBetween(1 - n, 0)
         out = out.withColumn(name, F.avg(value).over(w))

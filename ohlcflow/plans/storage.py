@@ -13,6 +13,7 @@ JVM, so only local paths can be checked there.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +40,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is not None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="ohlcflow-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -74,13 +77,10 @@ def qualified_path(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hp).toString()
 
 
-def app_id(spark: SparkSession) -> str:
-    """The application id (classic and Spark Connect sessions)."""
-    return spark.conf.get("spark.app.id", None) or "session"
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", "0") or 0)
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of our own, if it is there (any scheme)."""
+    hp, fs = _hadoop_path(spark, path)
+    if fs is None:
+        shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
+    else:
+        fs.delete(hp, True)

@@ -25,15 +25,17 @@ from .operators import marts as M
 from .operators import quality as DQ
 from .operators import signals as S
 from .operators import views as V
+from .plans.incremental import IncrementalLayers
 from .plans.layers import run_layers
 from .plans.silver import to_silver
 from .plans.storage import scratch_path
-from .schemas import BAR_FIELDS
+from .schemas import BAR_FIELDS, BRONZE_SCHEMA, RAW_BAR_SCHEMA
 from .sources.csv import scan_csv
 from .sources.fixtures import bars_from_ticks, dirty_bars
 from .sources.messages import decode_messages, encode_messages
 from .sources.tables import read_table
 from .streaming.ingest import message_stream, run_ingest
+from .streaming.silver import run_silver_stream
 
 # Expected symbols used by the quality keys: one present, one absent.
 DQ_EXPECTED = ["S00", "ZZZ"]
@@ -138,6 +140,20 @@ def q_volume_spike_segmented(spark, sf_dir):
     ).select(*BAR_KEY, "volume", "avg_30d_volume", "volume_spike")
 
 
+def q_moving_average_prefix(spark, sf_dir):
+    """All price averages from running sums (blocks shorter than the series)."""
+    return FE.add_moving_averages(
+        clean_bars(spark, sf_dir), [7, 30, 90], frames="prefix", block_rows=SEGMENT_ROWS
+    ).select(*BAR_KEY, "close", "ma_7d", "ma_30d", "ma_90d")
+
+
+def q_volume_spike_prefix(spark, sf_dir):
+    """The volume average from running sums, rows numbered over range partitions."""
+    return FE.add_volume_spike_flag(
+        clean_bars(spark, sf_dir), frames="prefix", segmented=True, block_rows=SEGMENT_ROWS
+    ).select(*BAR_KEY, "volume", "avg_30d_volume", "volume_spike")
+
+
 def q_stock_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
@@ -151,6 +167,16 @@ def q_top_movers_value_ranks(spark, sf_dir):
     return M.top_movers(clean_silver(spark, sf_dir), ties="join")
 
 
+def q_top_movers_top3(spark, sf_dir):
+    """The three largest movers of each date, a rank limit that cuts rows at every scale."""
+    return M.top_movers(clean_silver(spark, sf_dir), top_n=3)
+
+
+def q_top_movers_range_ranks(spark, sf_dir):
+    """The same three movers, ranked over range partitions of the distinct values."""
+    return M.top_movers(clean_silver(spark, sf_dir), top_n=3, ties="range")
+
+
 def q_volume_analysis(spark, sf_dir):
     return _volume(spark, sf_dir)
 
@@ -296,6 +322,84 @@ def q_ingest_stream(spark, sf_dir):
     return _typed_bars(bronze)
 
 
+# The streaming key's input arrives in this many slices of time; a bar is late
+# when it is more than two slices older than the latest one.
+STREAM_SLICES = 3
+
+
+def q_streaming_silver(spark, sf_dir):
+    """Silver kept up by the stateful stream: the messages of one slice of time
+    after the other, each slice's messages of one day in seven sent again after
+    it, and the stream stopped and started again from its checkpoint in between."""
+    bars = scratch_path(spark, "stream-bars")
+    raw_dirty_bars(spark, sf_dir).write.parquet(bars)
+    raw = spark.read.schema(RAW_BAR_SCHEMA).parquet(bars).withColumn("_day", F.try_to_date("date"))
+    first, last = raw.agg(F.min("_day"), F.max("_day")).first()
+    days = (last - first).days // STREAM_SLICES + 1
+    number = F.coalesce(F.floor(F.datediff("_day", F.lit(first)) / days), F.lit(0))
+    src, silver, ckpt = (scratch_path(spark, n) for n in ("stream-messages", "stream-silver", "stream-ckpt"))
+    again = F.col("symbol").isNotNull() & (F.dayofyear("_day") % 7 == 0)
+    for k in range(STREAM_SLICES):
+        part = raw.filter(number == k)
+        for rows in (part, part.filter(again)):
+            encode_messages(rows).write.mode("append").text(src)
+            run = run_silver_stream(spark, message_stream(spark, "files", src), silver, ckpt, delay=f"{2 * days} days")
+    return run.table.drop("_processed_at", "_layer", "_batch_number", "_stream")
+
+
+def batched_bronze(spark, sf_dir) -> DataFrame:
+    """Dirty bars as three bronze batches: by date, a tenth of every fourth
+    symbol's bars one batch late, and some bars of the first sent again in the third."""
+    bars = clean_bars(spark, sf_dir)
+    own = F.when(F.col("date") < "1995-06-01", 1).when(F.col("date") < "1997-06-01", 2).otherwise(3)
+    late = (F.ascii(F.substring("symbol", -1, 1)) % 4 == 0) & (F.col("volume") % 10 == 0)
+    batch = F.least(own + F.when(late, 1).otherwise(0), F.lit(3))
+    sent = F.when((batch == 1) & (F.col("volume") % 7 == 0), F.array(batch, F.lit(3))).otherwise(F.array(batch))
+    sent_bars = bars.select("*", F.explode(sent).alias("_batch_number"))
+    parts = [
+        dirty_bars(sent_bars.filter(F.col("_batch_number") == b).drop("_batch_number")).withColumns(
+            {
+                "_ingested_at": F.lit(f"2024-01-0{b} 00:00:00").cast("timestamp"),
+                "_batch_number": F.lit(b),
+                "_source": F.lit("files"),
+                "_stream": F.lit("bars"),
+            }
+        )
+        for b in (1, 2, 3)
+    ]
+    path = scratch_path(spark, "increment-bronze")
+    for p in parts:
+        p.write.mode("append").partitionBy("_stream", "_batch_number").parquet(path)
+    return read_table(spark, path, BRONZE_SCHEMA)
+
+
+def incremental_layers(spark, sf_dir) -> IncrementalLayers:
+    """Layers after the three batches were taken up one by one."""
+    bronze = batched_bronze(spark, sf_dir)
+    layers = IncrementalLayers(spark, scratch_path(spark, "incremental"), top_n=3)
+    for b in (1, 2, 3):
+        layers.apply(bronze.filter(F.col("_batch_number") <= b))
+    return layers
+
+
+def q_incremental_silver(spark, sf_dir):
+    return incremental_layers(spark, sf_dir).table("silver").select(
+        *BAR_FIELDS, "_batch_number", "daily_return_pct", "price_range", "price_spike_flag"
+    )
+
+
+def q_incremental_stock_summary(spark, sf_dir):
+    return incremental_layers(spark, sf_dir).table("stock_summary").drop("_processed_at")
+
+
+def q_incremental_marts(spark, sf_dir):
+    """Movers and volume spikes of the incremental layers, as one table of bars."""
+    layers = incremental_layers(spark, sf_dir)
+    movers = layers.table("top_movers").select(F.lit("mover").alias("mart"), "symbol", "date", F.col("abs_return").alias("value"), F.col("rank").cast("long").alias("rank"))
+    spikes = layers.table("volume_analysis").select(F.lit("volume").alias("mart"), "symbol", "date", F.col("avg_30d_volume").alias("value"), F.lit(None).cast("long").alias("rank"))
+    return movers.unionByName(spikes)
+
+
 def q_written_stock_summary(spark, sf_dir):
     """Layered job on the clean bars as raw strings; gold read back."""
     raw = clean_bars(spark, sf_dir).select(*[F.col(c).cast("string") for c in BAR_FIELDS])
@@ -319,9 +423,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "volume_spike": q_volume_spike,
     "moving_average_segmented": q_moving_average_segmented,
     "volume_spike_segmented": q_volume_spike_segmented,
+    "moving_average_prefix": q_moving_average_prefix,
+    "volume_spike_prefix": q_volume_spike_prefix,
     "stock_summary": q_stock_summary,
     "top_movers": q_top_movers,
     "top_movers_value_ranks": q_top_movers_value_ranks,
+    "top_movers_top3": q_top_movers_top3,
+    "top_movers_range_ranks": q_top_movers_range_ranks,
     "volume_analysis": q_volume_analysis,
     "vw_stock_summary": q_vw_stock_summary,
     "vw_top_movers": q_vw_top_movers,
@@ -346,6 +454,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_csv_symbol_map": q_scan_csv_symbol_map,
     "ingest_stream": q_ingest_stream,
     "written_stock_summary": q_written_stock_summary,
+    "streaming_silver": q_streaming_silver,
+    "incremental_silver": q_incremental_silver,
+    "incremental_stock_summary": q_incremental_stock_summary,
+    "incremental_marts": q_incremental_marts,
 }
 
 
@@ -443,7 +555,7 @@ CTE_SUMMARY = f"""summary AS (
          {R("avg(close) " + _w(90), 4)} AS ma_90d
   FROM silver_c)"""
 
-CTE_MOVERS = """movers AS (
+_MOVERS = """movers AS (
   SELECT date, symbol, direction, daily_return_pct, abs_return, close, volume,
          cast(rnk AS integer) AS "rank"
   FROM (
@@ -453,7 +565,8 @@ CTE_MOVERS = """movers AS (
       SELECT *, CASE WHEN daily_return_pct > 0 THEN 'GAINER' ELSE 'LOSER' END AS direction,
              abs(daily_return_pct) AS abs_return
       FROM silver_c WHERE NOT price_spike_flag))
-  WHERE rnk <= 10)"""
+  WHERE rnk <= {n})"""
+CTE_MOVERS, CTE_MOVERS_3 = _MOVERS.format(n=10), _MOVERS.format(n=3)
 
 CTE_VOLUME_ALL = f"""volume_all AS (
   SELECT *, avg(volume) {_w(30)} AS avg_30d_volume FROM silver_c)"""
@@ -489,6 +602,28 @@ CTE_VW_SPIKES = f"""vw_spikes AS (
   FROM volume_an)"""
 
 
+# The batch of a bar in ``batched_bronze`` (a bar sent again later loses to its first copy).
+CTE_BATCHED = """batched AS (
+  SELECT *, least(CASE WHEN date < DATE '1995-06-01' THEN 1 WHEN date < DATE '1997-06-01' THEN 2 ELSE 3 END
+         + CASE WHEN ascii(right(symbol, 1)) % 4 = 0 AND volume % 10 = 0 THEN 1 ELSE 0 END, 3) AS _b
+  FROM clean_bars)"""
+# the dirty chain with the batch carried along and first in the order of copies
+CTE_DIRTY_B = (
+    CTE_DIRTY.replace("low AS _low,", "low AS _low, _b,")
+    .replace("FROM clean_bars", "FROM batched")
+    .replace("END AS volume\n", "END AS volume, _b\n")
+    .replace("close, volume FROM raw_bars", "close, volume, _b FROM raw_bars")
+    .replace("try_cast(volume AS bigint) AS volume\n", "try_cast(volume AS bigint) AS volume, _b\n")
+)
+CTE_SILVER_B = f"""silver_b0 AS (
+  SELECT symbol, date, open, high, low, close, volume, cast(_b AS integer) AS _batch_number,
+         {R("(close - open) / open * 100", 4)} AS daily_return_pct, {R("high - low", 4)} AS price_range
+  FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date {_DEDUP_ORDER.replace("ORDER BY", "ORDER BY _b,")}) AS _rn FROM valid)
+  WHERE _rn = 1),
+silver_c AS (
+  SELECT *, coalesce(abs(daily_return_pct) > 50.0, false) AS price_spike_flag FROM silver_b0)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -498,6 +633,8 @@ _SC = (CTE_CLEAN, CTE_SILVER_C)
 _D = (CTE_CLEAN, CTE_DIRTY)
 _SD = (CTE_CLEAN, CTE_DIRTY, CTE_SILVER_D)
 
+_B = (CTE_CLEAN, CTE_BATCHED, CTE_DIRTY_B, CTE_SILVER_B)
+
 _EXPECTED_SQL = "(SELECT unnest(['S00', 'ZZZ']) AS expected_symbol)"
 
 ORACLE_SQL: dict[str, str] = {
@@ -520,8 +657,15 @@ ORACLE_SQL: dict[str, str] = {
     "volume_spike_segmented": _with(*_SC, CTE_VOLUME_ALL)
     + "SELECT symbol, date, volume, avg_30d_volume, "
     "coalesce(volume > avg_30d_volume * 2, false) AS volume_spike FROM volume_all",
+    "moving_average_prefix": _with(*_SC, CTE_SUMMARY)
+    + "SELECT symbol, date, close, ma_7d, ma_30d, ma_90d FROM summary",
+    "volume_spike_prefix": _with(*_SC, CTE_VOLUME_ALL)
+    + "SELECT symbol, date, volume, avg_30d_volume, "
+    "coalesce(volume > avg_30d_volume * 2, false) AS volume_spike FROM volume_all",
     "top_movers": _with(*_SC, CTE_MOVERS) + "SELECT * FROM movers",
     "top_movers_value_ranks": _with(*_SC, CTE_MOVERS) + "SELECT * FROM movers",
+    "top_movers_top3": _with(*_SC, CTE_MOVERS_3) + "SELECT * FROM movers",
+    "top_movers_range_ranks": _with(*_SC, CTE_MOVERS_3) + "SELECT * FROM movers",
     "volume_analysis": _with(*_SC, CTE_VOLUME) + "SELECT * FROM volume_an",
     "vw_stock_summary": _with(*_SC, CTE_SUMMARY, CTE_VW_SUMMARY) + "SELECT * FROM vw_summary",
     "vw_top_movers": _with(*_SC, CTE_MOVERS)
@@ -617,6 +761,17 @@ WHERE NOT EXISTS (SELECT 1 FROM silver_d s WHERE s.symbol = e.expected_symbol)""
     "scan_csv": _with(*_C) + "SELECT * FROM clean_bars",
     "scan_csv_symbol_map": _with(*_C) + "SELECT * FROM clean_bars",
     "ingest_stream": _with(*_C) + "SELECT * FROM clean_bars",
+    "streaming_silver": _with(*_SD)
+    + f"""SELECT * FROM silver_d WHERE symbol IS NOT NULL AND date IS NOT NULL
+UNION ALL
+SELECT *, coalesce(abs(daily_return_pct) > 50.0, false) AS price_spike_flag FROM (
+  SELECT *, {R("(close - open) / open * 100", 4)} AS daily_return_pct, {R("high - low", 4)} AS price_range
+  FROM valid WHERE symbol IS NULL OR date IS NULL)""",
+    "incremental_silver": _with(*_B) + "SELECT * FROM silver_c",
+    "incremental_stock_summary": _with(*_B, CTE_SUMMARY) + "SELECT * FROM summary",
+    "incremental_marts": _with(*_B, CTE_MOVERS_3, CTE_VOLUME)
+    + """SELECT 'mover' AS mart, symbol, date, abs_return AS value, cast("rank" AS bigint) AS "rank" FROM movers
+UNION ALL SELECT 'volume', symbol, date, avg_30d_volume, cast(NULL AS bigint) FROM volume_an""",
     "written_stock_summary": _with(*_SC, CTE_SUMMARY) + "SELECT * FROM summary",
     "missing_symbols_not_in": _with(*_SD)
     + f"""SELECT expected_symbol FROM {_EXPECTED_SQL} e

@@ -84,7 +84,8 @@ def bronze_batch(
     )
 
 
-def _overwrite_partition(df: DataFrame, path: str, fmt: str) -> None:
+def overwrite_batch(df: DataFrame, path: str, fmt: str) -> None:
+    """Replace the ``(_stream, _batch_number)`` partitions that ``df`` has rows of."""
     (
         df.write.format(fmt)
         .mode("overwrite")
@@ -116,7 +117,7 @@ def ingest_stream(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            _overwrite_partition(
+            overwrite_batch(
                 bronze_batch(batch, batch_id, source_label, stream), bronze_path, fmt
             )
             rejects = message_rejects(batch).withColumns(
@@ -125,7 +126,7 @@ def ingest_stream(
                     "_stream": F.lit(stream),
                 }
             )
-            _overwrite_partition(rejects, rejects_path, fmt)
+            overwrite_batch(rejects, rejects_path, fmt)
         finally:
             batch.unpersist()
 

@@ -56,13 +56,13 @@ def test_new_checkpoint_appends(spark, sample_bars):
 
 
 def test_replayed_batch_is_idempotent(spark, sample_bars):
-    from ohlcflow.streaming.ingest import _overwrite_partition, bronze_batch
+    from ohlcflow.streaming.ingest import overwrite_batch, bronze_batch
 
     msgs = encode_messages(cast_schema(sample_bars))
     path = scratch_path(spark, "bronze-replay")
     for _ in range(2):  # the same batch id written twice (a replay)
-        _overwrite_partition(bronze_batch(msgs, 0), path, "parquet")
-    _overwrite_partition(bronze_batch(msgs.limit(2), 1), path, "parquet")
+        overwrite_batch(bronze_batch(msgs, 0), path, "parquet")
+    overwrite_batch(bronze_batch(msgs.limit(2), 1), path, "parquet")
     assert spark.read.parquet(path).count() == 7 + 2
 
 

@@ -104,12 +104,33 @@ def dq_report(
     ``passed`` / ``failed`` name the status words (the SQL file uses
     PASSED/FAILED, the runner PASS/FAIL).
     """
-    expected = list(expected_symbols or [])
-    per_key = silver.groupBy("symbol", "date").agg(
+    return report_of_counts(quality_counts(silver, price_columns), expected_symbols, min_rows, passed, failed)
+
+
+def quality_counts(
+    df: DataFrame, price_columns: Sequence[str] = ("open", "high", "low", "close"), more_keys: Sequence[str] = ()
+) -> DataFrame:
+    """(symbol, date, n, neg, hl): what the checks need of the rows of each key (and ``more_keys``).
+
+    The counts of several tables add up to those of their union, so they can be
+    kept per batch (:mod:`ohlcflow.plans.quality_state`).
+    """
+    return df.groupBy("symbol", "date", *more_keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(non_positive_price(price_columns)).alias("neg"),
         F.count_if(F.col("high") < F.col("low")).alias("hl"),
     )
+
+
+def report_of_counts(
+    per_key: DataFrame,
+    expected_symbols: Sequence[str | None] | None = None,
+    min_rows: int = MIN_ROWS_PER_SYMBOL,
+    passed: str = DQ_PASSED,
+    failed: str = DQ_FAILED,
+) -> DataFrame:
+    """The report of :func:`dq_report` from one row of counts per (symbol, date)."""
+    expected = list(expected_symbols or [])
     per_symbol = per_key.groupBy("symbol").agg(
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("date").isNull(), F.col("n"))).alias("null_date_rows"),

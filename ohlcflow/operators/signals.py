@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import crossover_signal
-from ..schemas import REPORT_TOP_K, ma_column
+from ..schemas import NEUTRAL, REPORT_TOP_K, ma_column
 from .features import add_moving_averages
 
 
@@ -79,6 +79,52 @@ def crossover_join(
     return out.orderBy("symbol", "date") if ordered else out
 
 
+def crossover_edges(
+    df: DataFrame,
+    fast: int = 7,
+    slow: int = 30,
+    symbol: str | None = None,
+    ordered: bool = True,
+    segmented: bool | str = False,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """The bars at which the averages cross: GOLDEN CROSS where the last decided
+    state before was DEATH CROSS, and the other way round (``previous_signal``).
+
+    NEUTRAL bars decide nothing, so the state before may lie any number of rows
+    back. ``segmented`` splits a series into blocks of ``block_rows``: inside a
+    block the state is carried along its rows, and the last state of every
+    block, one row each, is carried on to the next ones; no task holds a series.
+    """
+    from ..plans.skew import should_segment
+    from ..plans.sums import DEFAULT_SUM_ROWS, prefix_trailing_avg
+
+    f, s = ma_column(fast), ma_column(slow)
+    bars = _for_symbol(df, symbol).select("symbol", "date", "close")
+    raw = {"_fast": ("close", fast), "_slow": ("close", slow)}
+    segment = should_segment(segmented, bars)
+    rows = block_rows or DEFAULT_SUM_ROWS
+    numbered = prefix_trailing_avg(bars, raw, block_rows=rows, segmented=segment, keep_number=True)
+    numbered = numbered.filter("symbol is not null and date is not null").withColumns({f: F.round("_fast", 4), s: F.round("_slow", 4)})
+    states = numbered.withColumn("crossover_signal", crossover_signal(f, s))
+    decided = F.when(F.col("crossover_signal") != NEUTRAL, F.col("crossover_signal"))
+    block = F.floor((F.col("_rn") - 1) / rows) if segment else F.lit(0)
+    states = states.withColumns({"_decided": decided, "_blk": block})
+    inside = Window.partitionBy("symbol", "_blk").orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last("_decided", ignorenulls=True).over(inside)
+    if segment:
+        ends = states.filter("_decided is not null").groupBy("symbol", "_blk").agg(F.max_by("_decided", "_rn").alias("_end"))
+        # a block without a decided bar has no end: every block takes the last one before it
+        every = states.groupBy("symbol", "_blk").agg(F.count(F.lit(1)).alias("_n")).join(ends, ["symbol", "_blk"], "left")
+        along = Window.partitionBy("symbol").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        carried = every.select("symbol", "_blk", F.last("_end", ignorenulls=True).over(along).alias("_carried"))
+        states = states.join(carried, ["symbol", "_blk"])
+        before = F.coalesce(before, F.col("_carried"))
+    out = states.withColumn("previous_signal", before).filter("_decided <> previous_signal")
+    out = out.select("symbol", "date", "close", f, s, "crossover_signal", "previous_signal")
+    return out.orderBy("symbol", "date") if ordered else out
+
+
 def latest_signal(vw_summary: DataFrame) -> DataFrame:
     """Per symbol: latest date and the MA-30 signal / label *of that date*.
 

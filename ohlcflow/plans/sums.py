@@ -39,11 +39,13 @@ def prefix_trailing_avg(
     order: str = "date",
     block_rows: int = DEFAULT_SUM_ROWS,
     segmented: bool = False,
+    keep_number: bool = False,
 ) -> DataFrame:
     """Add ``out = avg(value) over the n-row trailing frame`` for each ``out -> (value, n)``.
 
     NULL values are left out of sum and count, as ``avg`` does; a frame
     without values is NULL. Rows of equal key and order are taken in any order.
+    ``keep_number`` leaves the row's number in its series as ``_rn``.
     """
     if segmented:
         numbered = series_row_number(df, key, order)
@@ -72,4 +74,4 @@ def prefix_trailing_avg(
     rows = rows.withColumns(edges).filter(F.col("_shift") == 0)
     rows = rows.withColumns({out: F.when(F.col(f"_c_{out}") > 0, F.col(f"_s_{out}") / F.col(f"_c_{out}")) for out in specs})
     helpers = [f"_{kind}_{i}" for kind in ("sum", "cnt") for i in range(len(values))]
-    return rows.drop("_shift", "_blk", "_rn", *helpers, *edges)
+    return rows.drop("_shift", "_blk", *([] if keep_number else ["_rn"]), *helpers, *edges)

@@ -27,13 +27,14 @@ from .operators import signals as S
 from .operators import views as V
 from .plans.incremental import IncrementalLayers
 from .plans.layers import run_layers
+from .plans.quality_state import QualityState
 from .plans.silver import to_silver
 from .plans.storage import scratch_path
 from .schemas import BAR_FIELDS, BRONZE_SCHEMA, RAW_BAR_SCHEMA
 from .sources.csv import scan_csv
 from .sources.fixtures import bars_from_ticks, dirty_bars
-from .sources.messages import decode_messages, encode_messages
-from .sources.tables import read_table
+from .sources.messages import decode_messages, encode_messages, message_table
+from .sources.tables import read_table, write_clustered
 from .streaming.ingest import message_stream, run_ingest
 from .streaming.silver import run_silver_stream
 
@@ -205,6 +206,11 @@ def q_crossover(spark, sf_dir):
     return S.crossover(clean_bars(spark, sf_dir))
 
 
+def q_crossover_edges(spark, sf_dir):
+    """Crossings of the two averages, states carried across blocks of a split series."""
+    return S.crossover_edges(clean_bars(spark, sf_dir), segmented=True, block_rows=SEGMENT_ROWS)
+
+
 def q_crossover_join(spark, sf_dir):
     return S.crossover_join(clean_bars(spark, sf_dir))
 
@@ -241,8 +247,12 @@ def q_dq_duplicates(spark, sf_dir):
     return DQ.dq_duplicates(q_filter_valid(spark, sf_dir))
 
 
+# A row limit that some symbols of every test scale miss (theirs have about 500 rows each).
+SPLITTING_ROWS = 530
+
+
 def q_dq_low_rows(spark, sf_dir):
-    return DQ.dq_low_rows(dirty_silver(spark, sf_dir))
+    return DQ.dq_low_rows(dirty_silver(spark, sf_dir), min_rows=SPLITTING_ROWS)
 
 
 def q_missing_symbols(spark, sf_dir):
@@ -253,6 +263,12 @@ def q_missing_symbols_not_in(spark, sf_dir):
     return DQ.missing_symbols(dirty_silver(spark, sf_dir), DQ_EXPECTED, null_aware=True)
 
 
+def q_missing_symbols_not_in_named(spark, sf_dir):
+    """The null-aware form on the rows that have a symbol, where it is not empty."""
+    named = dirty_silver(spark, sf_dir).filter("symbol is not null")
+    return DQ.missing_symbols(named, DQ_EXPECTED, null_aware=True)
+
+
 def q_encode_messages(spark, sf_dir):
     return encode_messages(clean_bars(spark, sf_dir))
 
@@ -299,6 +315,46 @@ def write_symbol_files(spark, bars: DataFrame, root: str) -> dict[str, str]:
     return {re.search(r"symbol=([^/]+)/", f).group(1): f for f in files}
 
 
+def q_scan_csv_multiline(spark, sf_dir):
+    """Files whose first column holds line breaks, commas and quotes in quoted cells."""
+    root = scratch_path(spark, "quoted-csv")
+    note = F.format_string('of %s,\n"closed"\n\nat %s', F.col("date").cast("string"), F.col("close").cast("string"))
+    bars = clean_bars(spark, sf_dir).select(note.alias("Note"), "*")
+    bars.write.option("header", True).option("quoteAll", True).option("escape", '"').partitionBy("symbol").csv(root)
+    return _typed_bars(scan_csv(spark, root))
+
+
+# Messages that the bounded consume takes.
+CONSUME_MESSAGES = 3333
+
+
+def q_consume_bounded(spark, sf_dir):
+    """The first messages of a feed that was written in the order of date and symbol."""
+    src = scratch_path(spark, "bounded-messages")
+    bars = clean_bars(spark, sf_dir).repartitionByRange(16, "date", "symbol").sortWithinPartitions("date", "symbol")
+    encode_messages(bars).write.text(src)
+    return _typed_bars(decode_messages(message_table(spark, src), max_messages=CONSUME_MESSAGES))
+
+
+def q_clustered_stock_summary(spark, sf_dir):
+    """The summary from a silver table bucketed by symbol."""
+    path = scratch_path(spark, "clustered")
+    table = write_clustered(clean_silver(spark, sf_dir), f"silver_{path.rsplit('-', 1)[1]}", path, buckets=16)
+    return M.stock_summary(table)
+
+
+def q_dq_report_batches(spark, sf_dir):
+    """Checks of the valid rows before dedup, from counts kept per batch: one
+    batch compacted, one replayed, and a row limit that splits the symbols."""
+    rows = C.filter_valid_prices(C.cast_schema(batched_bronze(spark, sf_dir)))
+    state = QualityState(spark, scratch_path(spark, "quality-state"))
+    for batch in (1, 2, 2, 3):
+        state.add(rows.filter(F.col("_batch_number") == batch))
+        if batch == 1:
+            state.compact()
+    return state.report(DQ_EXPECTED, min_rows=SPLITTING_ROWS)
+
+
 def q_scan_csv_symbol_map(spark, sf_dir):
     """Files named by a symbol -> file map (no symbol in the data or path
     parsing); a configured file that does not exist contributes no rows."""
@@ -438,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sma_30d": q_sma_30d,
     "crossover": q_crossover,
     "crossover_join": q_crossover_join,
+    "crossover_edges": q_crossover_edges,
     "top_gains": q_top_gains,
     "top_volume_spikes": q_top_volume_spikes,
     "latest_signal": q_latest_signal,
@@ -448,10 +505,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_low_rows": q_dq_low_rows,
     "missing_symbols": q_missing_symbols,
     "missing_symbols_not_in": q_missing_symbols_not_in,
+    "missing_symbols_not_in_named": q_missing_symbols_not_in_named,
+    "dq_report_batches": q_dq_report_batches,
     "encode_messages": q_encode_messages,
     "decode_messages": q_decode_messages,
     "scan_csv": q_scan_csv,
     "scan_csv_symbol_map": q_scan_csv_symbol_map,
+    "scan_csv_multiline": q_scan_csv_multiline,
+    "consume_bounded": q_consume_bounded,
+    "clustered_stock_summary": q_clustered_stock_summary,
     "ingest_stream": q_ingest_stream,
     "written_stock_summary": q_written_stock_summary,
     "streaming_silver": q_streaming_silver,
@@ -748,7 +810,42 @@ FROM vw_summary GROUP BY symbol ORDER BY symbol""",
     "dq_duplicates": _with(*_D)
     + "SELECT symbol, date, count(*) AS cnt FROM valid GROUP BY symbol, date HAVING count(*) > 1",
     "dq_low_rows": _with(*_SD)
-    + "SELECT symbol, count(*) AS cnt FROM silver_d GROUP BY symbol HAVING count(*) < 100",
+    + "SELECT symbol, count(*) AS cnt FROM silver_d GROUP BY symbol HAVING count(*) < 530",
+    "dq_report_batches": _with(CTE_CLEAN, CTE_BATCHED, CTE_DIRTY_B)
+    + f""", resent AS (  -- the bars of the first batch that were sent again in the third
+  SELECT symbol, date, open, high, low, close, volume, _b FROM valid
+  UNION ALL SELECT symbol, date, open, high, low, close, volume, 3 FROM valid WHERE _b = 1 AND volume % 7 = 0)
+SELECT check_name, fail_count,
+       CASE WHEN fail_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS status FROM (
+  SELECT 'null_symbols' AS check_name, cast(count(*) AS bigint) AS fail_count
+    FROM resent WHERE symbol IS NULL
+  UNION ALL SELECT 'null_dates', count(*) FROM resent WHERE date IS NULL
+  UNION ALL SELECT 'negative_prices', count(*) FROM resent
+    WHERE open <= 0 OR high <= 0 OR low <= 0 OR close <= 0
+  UNION ALL SELECT 'high_lt_low', count(*) FROM resent WHERE high < low
+  UNION ALL SELECT 'duplicates', count(*) FROM (
+    SELECT symbol, date FROM resent GROUP BY symbol, date HAVING count(*) > 1)
+  UNION ALL SELECT 'missing_symbols', count(*) FROM {_EXPECTED_SQL} e
+    WHERE NOT EXISTS (SELECT 1 FROM resent s WHERE s.symbol = e.expected_symbol)
+  UNION ALL SELECT 'low_row_count', count(*) FROM (
+    SELECT symbol FROM resent GROUP BY symbol HAVING count(*) < 530))""",
+    "scan_csv_multiline": _with(*_C) + "SELECT * FROM clean_bars",
+    "consume_bounded": _with(*_C) + "SELECT * FROM clean_bars ORDER BY date, symbol LIMIT 3333",
+    "clustered_stock_summary": _with(*_SC, CTE_SUMMARY) + "SELECT * FROM summary",
+    "missing_symbols_not_in_named": _with(*_SD)
+    + f"""SELECT expected_symbol FROM {_EXPECTED_SQL} e
+WHERE expected_symbol NOT IN (SELECT DISTINCT symbol FROM silver_d WHERE symbol IS NOT NULL)""",
+    "crossover_edges": _with(
+        *_SC,
+        f"""mv AS (SELECT symbol, date, close, {R('avg(close) ' + _w(7), 4)} AS ma_7d,
+       {R('avg(close) ' + _w(30), 4)} AS ma_30d FROM silver_c)""",
+        """st AS (SELECT *, CASE WHEN ma_7d > ma_30d THEN 'GOLDEN CROSS'
+            WHEN ma_7d < ma_30d THEN 'DEATH CROSS' ELSE 'NEUTRAL' END AS crossover_signal FROM mv)""",
+    )
+    + """SELECT * FROM (
+  SELECT *, lag(nullif(crossover_signal, 'NEUTRAL') IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date) AS previous_signal
+  FROM st)
+WHERE crossover_signal <> 'NEUTRAL' AND crossover_signal <> previous_signal""",
     "missing_symbols": _with(*_SD)
     + f"""SELECT expected_symbol FROM {_EXPECTED_SQL} e
 WHERE NOT EXISTS (SELECT 1 FROM silver_d s WHERE s.symbol = e.expected_symbol)""",

@@ -1,30 +1,30 @@
-"""Price-CSV scan: files with a header row, columns mapped by header *name*.
+"""Price-CSV scan: files with a header record, columns mapped by header *name*.
 
-Each file's first line is its header. ``Date`` or ``date`` (the capitalised name
+Each file's first record is its header. ``Date`` or ``date`` (the capitalised name
 wins), ``Open``/``open`` ... are picked by name, extra columns are ignored
 and a column the header lacks gets a default (date ``""``, numbers ``"0"``).
 
-Spark's CSV reader with an explicit schema maps by *position*, and a
-schema-less multi-file read applies one file's header to all files. So the
-first line of every file is read on its own (one short read a file, beside
-the listing), files are grouped by distinct header, each group is read with
-a schema of its header's width, and the groups' named columns are united. Data
-are read once, whatever their width and values. The symbol comes from
-a ``symbol=<name>`` directory level or from ``{symbol: path}`` pairs; one file may
-serve several symbols.
+Spark's CSV reader with an explicit schema maps by *position*, a schema-less
+multi-file read applies one file's header to all files, and without its
+multi-line mode it cuts quoted cells at line breaks. So the reader only reads:
+every file comes whole to one task, where its records are parsed one after the
+other and its own header is applied. The data are read once, no file is opened
+on the driver, and files of any headers mix in one scan. A task holds one file
+at a time (a price file is one symbol's), and its rows leave in batches of
+``BATCH_ROWS``. The symbol comes from a ``symbol=<name>`` directory level or from
+``{symbol: path}`` pairs; one file may serve several symbols.
 """
 
 from __future__ import annotations
 
 import csv
+import io
 import re
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..plans.storage import path_exists
 from ..schemas import BAR_FIELDS, CSV_MISSING_DEFAULTS
@@ -38,33 +38,62 @@ HEADER_NAMES = {
     "close": ["Close", "close"],
     "volume": ["Volume", "volume"],
 }
-#: First lines read at the same time.
-HEADER_READERS = 16
+#: Parsed rows that leave a task at once.
+BATCH_ROWS = 10_000
+#: Longest cell accepted, in characters (the parser's own limit is 131,072).
+MAX_CELL_CHARS = 1 << 30
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_PARSED = "_file string, " + ", ".join(f"{f} string" for f in BAR_FIELDS[1:])
 
 
 def _plain(uri: str) -> str:
     return re.sub(r"^file:/+", "/", uri)
 
 
-def _first_line(spark: SparkSession, uri: str) -> str:
-    """The first line of a file, through Hadoop's file system (any scheme)."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
-
-
-def _positions(header: tuple[str, ...]) -> dict[str, int]:
+def _positions(header: list[str]) -> dict[str, int]:
     """Field -> cell position; of equal names the last cell counts."""
     last = {name: k for k, name in enumerate(header)}
     found = {field: [last[n] for n in names if n in last] for field, names in HEADER_NAMES.items()}
     return {field: at[0] for field, at in found.items() if at}
 
 
+def bar_records(text: str) -> Iterator[list[str | None]]:
+    """The six bar cells of every record behind the header of one file's ``text``.
+
+    Quoted cells may hold commas, doubled quotes and line breaks. Blank records
+    are skipped; empty cells and cells that a short record lacks are None. A
+    file whose first line is blank has a header without names.
+    """
+    csv.field_size_limit(MAX_CELL_CHARS)
+    records = csv.reader(io.StringIO(text, newline=""))
+    header = next(records, None)
+    if header is None:
+        return
+    at = _positions(header)
+    cells = [(at.get(f), CSV_MISSING_DEFAULTS[f]) for f in BAR_FIELDS[1:]]
+    for record in records:
+        if record and (len(record) > 1 or record[0].strip()):
+            yield [default if k is None else (record[k] or None) if k < len(record) else None for k, default in cells]
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([(name, pa.string()) for name in ("_file", *BAR_FIELDS[1:])])
+
+    def batch(file: str, rows: list[list[str | None]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in ([file] * len(rows), *zip(*rows, strict=True))], schema=schema)
+
+    for some in batches:
+        for file, text in zip(*some.columns, strict=True):
+            rows = []
+            for row in bar_records(text.as_py()):
+                rows.append(row)
+                if len(rows) == BATCH_ROWS:
+                    yield batch(file.as_py(), rows)
+                    rows = []
+            if rows:
+                yield batch(file.as_py(), rows)
+
+
 def _uri_of(spark: SparkSession, path: str) -> str:
     """``path`` as ``_metadata.file_path`` shows it (qualified and encoded)."""
     hp = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -78,21 +107,9 @@ def _literal(spark: SparkSession, uri: str) -> str:
     return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
 
 
-def _read_group(spark: SparkSession, header: tuple[str, ...], uris: list[str], base: str | None) -> DataFrame:
-    fields = [StructField(f"c{k}", StringType(), True) for k in range(max(1, len(header)))]
-    # Spark skips blank lines ahead of a header; where the header is one, no further line is
-    reader = spark.read.option("header", bool(header)).option("mode", "PERMISSIVE")
-    if base is not None:
-        # declared, so that a ``symbol=...`` directory level is read as a string
-        fields.append(StructField("symbol", StringType(), True))
-        reader = reader.option("basePath", base)
-    raw = reader.schema(StructType(fields)).csv([_literal(spark, u) for u in uris])
-    at = _positions(header)
-    values: list[Column] = [
-        (F.col(f"c{at[f]}") if f in at else F.lit(CSV_MISSING_DEFAULTS[f])).alias(f) for f in BAR_FIELDS[1:]
-    ]
-    symbol = [F.col("symbol")] if base is not None else []
-    return raw.select(*symbol, *values, F.col("_metadata.file_path").alias("_file"))
+def _unescaped(name: Column) -> Column:
+    """Percent-escapes decoded (a plus sign stays one); NULL if one is malformed."""
+    return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def scan_csv(
@@ -105,28 +122,29 @@ def scan_csv(
 
     Either ``path`` (a directory, optionally with ``symbol=...`` levels) or
     ``symbol_files`` (symbol -> file); files that do not exist contribute no
-    rows. The first line of a file is its header whatever it says: a file
+    rows. The first record of a file is its header whatever it says: a file
     without a recognised name there, or with a blank first line, gives a row of
-    defaults for each further line.
+    defaults for each further record. With ``path``, the symbol of a file is the
+    last ``symbol=`` level of its path (percent-escapes decoded), NULL for the
+    default partition; a symbol is never taken for a number.
     """
     pairs: list[tuple[str, str]] = []
     if symbol_files is None:
-        uris = spark.read.text(path).inputFiles()
+        where = [path]
     else:
         there = {p: path_exists(spark, p) for p in set(symbol_files.values())}
         pairs = [(_uri_of(spark, p), s) for s, p in symbol_files.items() if there[p]]
-        uris = list(dict.fromkeys(u for u, _ in pairs))
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        lines = list(pool.map(lambda u: _first_line(spark, u), uris))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for uri, line in zip(uris, lines, strict=True):
-        header = tuple(next(csv.reader([line]), ())) if line.strip() else ()
-        groups.setdefault(header, []).append(uri)
-    if not groups:
+        where = [_literal(spark, u) for u in dict.fromkeys(u for u, _ in pairs)]
+    if not where:
         return spark.createDataFrame([], ",".join(f"{c} string" for c in [*BAR_FIELDS, *["_file"] * keep_file]))
-    base = path if symbol_files is None else None
-    bars = reduce(DataFrame.unionByName, [_read_group(spark, h, u, base) for h, u in groups.items()])
-    if symbol_files is not None:
+    files = spark.read.schema("value string").text(where, wholetext=True, recursiveFileLookup=symbol_files is None)
+    bars = files.select("_metadata.file_path", "value").mapInArrow(_parse, _PARSED)
+    if symbol_files is None:
+        level = F.regexp_extract("_file", r"/symbol=([^/]*)/(?!.*/symbol=)", 1)
+        folder = _unescaped(level)  # the path is a URI, and the folder's name is escaped itself
+        name = F.coalesce(_unescaped(folder), folder)
+        bars = bars.withColumn("symbol", F.when((level != "") & (level != DEFAULT_PARTITION), name))
+    else:
         table = spark.createDataFrame([(_plain(u), s) for u, s in pairs], "_path string, symbol string")
         bars = bars.join(table, F.regexp_replace("_file", r"^file:/+", "/") == F.col("_path"))
     return bars.select(*BAR_FIELDS, *["_file"] * keep_file)

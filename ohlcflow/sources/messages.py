@@ -7,13 +7,19 @@ connector is on the classpath.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BAR_FIELDS, RAW_BAR_SCHEMA
 
 _PARSED, _REJECT, _CORRUPT = "_msg", "_reject", "_corrupt"
+#: Stream order of a message: the splits in order, and the position inside one.
+SPLIT, POSITION = ("_file", "_start"), "_position"
+#: Offsets of a topic partition that make one split.
+OFFSETS_PER_SPLIT = 1 << 16
 
 
 def encode_messages(bars: DataFrame) -> DataFrame:
@@ -47,8 +53,12 @@ def decode_messages(
     the keys is a row of NULLs); rows that are not one JSON object go to
     :func:`message_rejects` instead. ``keep`` carries extra input columns (e.g.
     a source offset). ``max_messages`` bounds the read (a falsy value means
-    unlimited).
+    unlimited): messages with their stream order (:func:`message_table`,
+    :func:`topic_order`) are cut there by :func:`first_messages`, malformed ones
+    counted; of others any ``max_messages`` decoded rows are taken.
     """
+    if max_messages and {*SPLIT, POSITION} <= set(messages.columns):
+        messages, max_messages = first_messages(messages, max_messages), None
     out = _parsed(messages).filter(~F.col(_REJECT)).select(
         *[F.col(f"{_PARSED}.{c}").alias(c) for c in BAR_FIELDS], *keep
     )
@@ -58,3 +68,57 @@ def decode_messages(
 def message_rejects(messages: DataFrame) -> DataFrame:
     """Input rows whose ``value`` is not one JSON object."""
     return _parsed(messages).filter(_REJECT).drop(_PARSED, _REJECT)
+
+
+def message_table(spark: SparkSession, path: str) -> DataFrame:
+    """Message files as a table: ``value`` and its stream order, by file path,
+    then by the line's place in the file."""
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias(SPLIT[0]),
+        F.col("_metadata.file_block_start").alias(SPLIT[1]),
+        # rises along the lines of one split, which a single task reads
+        F.monotonically_increasing_id().alias(POSITION),
+    )
+
+
+def topic_order(messages: DataFrame) -> DataFrame:
+    """A topic read (``partition``, ``offset``, perhaps ``topic``) with its stream order:
+    by partition, then by offset."""
+    return messages.withColumns(
+        {
+            SPLIT[0]: F.concat_ws("/", F.col("topic") if "topic" in messages.columns else F.lit(""), F.format_string("%010d", F.col("partition").cast("long"))),
+            SPLIT[1]: F.floor(F.col("offset") / OFFSETS_PER_SPLIT) * OFFSETS_PER_SPLIT,
+            POSITION: F.col("offset"),
+        }
+    )
+
+
+def first_messages(
+    messages: DataFrame, max_messages: int, split: Sequence[str] = SPLIT, position: str = POSITION
+) -> DataFrame:
+    """The first ``max_messages`` rows in the order (``split``, ``position``); the same on every run.
+
+    Rows are counted per split and the counts summed up in order (one row a
+    split). Splits that end before the bound are taken whole, each where it is
+    read; only the one split that holds the bound (a file split, or 65536
+    offsets) is sorted and cut.
+    """
+    if max_messages <= 0:
+        return messages.limit(0)
+    counts = messages.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"))
+    along = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_upto", F.sum("_n").over(along))
+    bound = F.lit(max_messages)
+    cut = counts.filter((F.col("_upto") > bound) & (F.col("_upto") - F.col("_n") < bound)).first()
+    if cut is None and counts.filter(F.col("_upto") > bound).isEmpty():
+        return messages
+    whole = counts.filter(F.col("_upto") <= bound).select(*[F.col(c).alias(f"_whole{c}") for c in split])
+    same = [F.col(c).eqNullSafe(F.col(f"_whole{c}")) for c in split]
+    taken = messages.join(whole, same, "left_semi")
+    if cut is None:  # the bound lies between two splits
+        return taken
+    part = messages
+    for c in split:
+        part = part.filter(F.col(c).eqNullSafe(F.lit(cut[c])))
+    return taken.unionByName(part.orderBy(position).limit(max_messages - (cut["_upto"] - cut["_n"])))

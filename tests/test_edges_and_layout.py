@@ -1,0 +1,83 @@
+"""Crossover edges, the clustered silver layout, and quality counts kept per batch."""
+
+import random
+
+from pyspark.sql import functions as F
+from scales import SF_SMALL
+
+from ohlcflow import queries as Q
+from ohlcflow.operators import signals as S
+from ohlcflow.operators.marts import stock_summary, volume_analysis
+from ohlcflow.operators.quality import dq_report
+from ohlcflow.plans.quality_state import QualityState
+from ohlcflow.plans.storage import scratch_path
+from ohlcflow.sources.tables import write_clustered
+
+
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def model_edges(closes, fast, slow):
+    out, last = [], None
+    for i in range(len(closes)):
+        f, s = (round(sum(closes[max(0, i - n + 1) : i + 1]) / min(n, i + 1), 4) for n in (fast, slow))
+        state = "GOLDEN CROSS" if f > s else "DEATH CROSS" if f < s else None
+        if state and last and state != last:
+            out.append((i, state, last))
+        last = state or last
+    return out
+
+
+def test_edges_equal_a_row_by_row_model(spark):
+    rng = random.Random(8)
+    # long flat stretches: neutral bars over several blocks between two states
+    closes = [rng.choice([8, 16, 32])] * 40 + [float(rng.choice([8, 16, 32])) for _ in range(150)] + [16.0] * 60 + [8.0, 64.0] * 3 + [32.0] * 70
+    rows = [("A", i, float(c)) for i, c in enumerate(closes)] + [("B", 0, 1.0), (None, 0, 1.0), ("A", None, 3.0)]
+    df = spark.createDataFrame(rows, "symbol string, date int, close double")
+    want = model_edges([3.0, *map(float, closes)], 2, 5)  # the row without a date comes first
+    want = [(i - 1, a, b) for i, a, b in want]
+    for options in ({}, {"segmented": True, "block_rows": 10}, {"segmented": True, "block_rows": 4}):
+        got = S.crossover_edges(df, 2, 5, **options).collect()
+        assert [(r.date, r.crossover_signal, r.previous_signal) for r in got] == want
+    assert S.crossover_edges(df, 2, 5, symbol="B").count() == 0
+    assert S.crossover_edges(df.where("symbol = 'none'"), segmented=True).count() == 0
+
+
+def test_edges_of_split_and_whole_series_agree(spark):
+    bars = Q.clean_bars(spark, SF_SMALL)
+    assert _rows(S.crossover_edges(bars)) == _rows(S.crossover_edges(bars, segmented=True, block_rows=50))
+
+
+def test_clustered_table_needs_no_exchange_for_windows(spark):
+    silver = Q.clean_silver(spark, SF_SMALL)
+    path = scratch_path(spark, "clustered-test")
+    table = write_clustered(silver, "silver_clustered_test", path, buckets=4)
+    try:
+        for mart in (stock_summary, volume_analysis):
+            plan = mart(table)._jdf.queryExecution().executedPlan().toString()
+            assert "Window" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+            assert _rows(mart(table)) == _rows(mart(silver))
+    finally:
+        spark.sql("DROP TABLE silver_clustered_test")
+
+
+def test_quality_state_equals_the_full_scan(spark):
+    rng = random.Random(3)
+    make = lambda batch, n: [(rng.choice(["A", "B", None, "C"]), rng.choice([None, "2024-01-01", "2024-01-02", f"2024-02-{rng.randrange(10, 29)}"]), float(rng.choice([-1, 2, 3])), rng.choice([1.0, None]), 2.0, 1.0, "s", batch) for _ in range(n)]
+    schema = "symbol string, date string, open double, high double, low double, close double, _stream string, _batch_number int"
+    batches = {b: spark.createDataFrame(make(b, 40), schema).withColumn("date", F.col("date").cast("date")) for b in (1, 2, 3)}
+    whole = batches[1].unionByName(batches[2]).unionByName(batches[3])
+    state = QualityState(spark, scratch_path(spark, "quality"))
+    assert _rows(state.report(["A", "Z"], 5)) == _rows(dq_report(whole.limit(0), ["A", "Z"], 5))
+    state.add(batches[1])
+    state.add(batches[2])
+    state.add(batches[2])  # a replay
+    state.compact()
+    state.add(batches[1])  # a replay of a batch that was compacted
+    state.add(batches[3])
+    assert _rows(state.report(["A", "Z"], 5)) == _rows(dq_report(whole, ["A", "Z"], 5))
+    state.compact()
+    state.compact()
+    assert _rows(state.report(["A", "Z"], 5)) == _rows(dq_report(whole, ["A", "Z"], 5))
+    assert state.counts().count() == whole.select("symbol", "date").distinct().count()

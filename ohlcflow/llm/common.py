@@ -76,6 +76,38 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ranged(df: DataFrame, order: list, rows_each: int, name: str) -> DataFrame:
+    """``df`` materialized in range partitions of about ``rows_each`` rows, with the partition's number as ``_part``.
+
+    The number rises with ``order``. Let ``order`` end with a column that tells
+    all rows apart: then equal keys are cut as well.
+    """
+    parts = max(1, -(-df.count() // rows_each))
+    return materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), name)
+
+
+#: Characters of a text that put rows of one id in order; where they are equal, a hash of the whole text does.
+ORDER_CHARS = 64
+
+
+def document_order(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(doc_id, text) of ``docs`` with the columns that put all rows in one order: by id, text and, for equal rows, row number.
+
+    The keys are short, so that range bounds can be sampled; they tell all rows
+    apart, so that no id and no repeated text is more than range partitions can cut.
+    """
+    keys = {"_head": F.substring("text", 1, ORDER_CHARS), "_h": F.xxhash64("text"), "_row": F.monotonically_increasing_id()}
+    return docs.select("doc_id", "text").withColumns(keys), ["doc_id", *keys]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def prefix_sums(df: DataFrame, keys: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
     """Running sum of ``value`` per ``keys`` over (``bucket``, ``order``), the row included.
 

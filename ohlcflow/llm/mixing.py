@@ -9,12 +9,17 @@ has received its share at every point of the order.
 
 Targets share the budget by weight; one that would pass ``max_epochs`` times
 its source stops there and the excess goes to the others by weight. All sums
-run over buckets of the shuffled order (``prefix_sums``), so a source holding
-a third of all rows is never in one task; texts are not shuffled.
+run over range partitions of the whole order (``prefix_sums``), first of the
+shuffled queues, then of the finish times. The order ends with a row number,
+so the partitions have about the same size whatever a third of all rows has in
+common: its source, its id and text, or a finish time of 0. ``mix`` shuffles no
+texts; ``take`` joins its result with the documents.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times over; a
 null source is a source of its own, last; rows with equal ids are separate
-documents; other columns stay as they are; an empty table gives no rows.
+documents, in the order of their sizes, texts' hashes and places in the table;
+other columns stay as they are, whatever their names; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -22,9 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import WORD_RE, materialize, prefix_sums
+from ohlcflow.llm.common import WORD_RE, discard, free_name, materialize, prefix_sums, ranged
 
-#: Rows of a bucket of the shuffled order.
+#: Rows of a range partition of an order.
 BUCKET_ROWS = 20_000
 
 
@@ -71,21 +76,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 15
         ),
         "mix-sizes",
     )
-    buckets = max(1, rows.count() // BUCKET_ROWS)
-    rows = rows.withColumn("_bucket", F.floor(F.col("_h") * buckets / F.lit(float(1 << 32))))
     order = ["_h", "doc_id", "size", "_t", "_row"]
+    last = F.col("source").asc_nulls_last()
     goals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, max_epochs)
-    queue = prefix_sums(rows, ["source"], "_bucket", order, "size", "_end")
+    dealt = ranged(rows, [last, *order], BUCKET_ROWS, "mix-order")
+    queue = prefix_sums(dealt, ["source"], "_part", order, "size", "_end").drop("_part")
     goals = goals.select(F.col("source").alias("_s"), "source_size", "target")
     queue = materialize(queue.join(goals, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "mix-queue")
+    discard(dealt)
     total = queue.select(F.coalesce(F.sum("size") * F.lit(percent / 100), F.lit(0.0))).first()[0]
     copies = (
         queue.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))))
         .withColumn("_finish", F.coalesce(F.try_divide(F.col("_end") + F.col("_epoch") * F.col("source_size"), F.col("target")), F.lit(0.0)))
-        .withColumn("_slice", F.floor(F.col("_finish") * buckets))
         .withColumn("_all", F.lit(0))
     )
-    spent = prefix_sums(copies, ["_all"], "_slice", ["_finish", F.col("source").asc_nulls_last(), *order, "_epoch"], "size", "_spent")
+    finish = ["_finish", last, *order, "_epoch"]
+    spent = prefix_sums(ranged(copies, finish, BUCKET_ROWS, "mix-finish"), ["_all"], "_part", finish, "size", "_spent")
     taken = F.when((F.col("_spent") <= total) & (F.col("size") > 0), 1).otherwise(0)
     return (
         spent.groupBy("_row", "doc_id", "size", "source_size", "target")
@@ -96,7 +102,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 15
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as mixed: every row as often as the mix takes it, columns unchanged."""
-    numbered = materialize(docs.withColumn("_mixed_row", F.monotonically_increasing_id()), "mix-docs")
-    copies = mix(numbered, row="_mixed_row", **options).where("copies > 0").select("_mixed_row", "copies")
-    repeats = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
-    return numbered.join(copies, "_mixed_row").select(*[F.col(f"`{c}`") for c in docs.columns], repeats.alias("_copy")).drop("_copy")
+    row, times, copy = (free_name(docs, n) for n in ("_row_of_mix", "_times_of_mix", "_copy_of_mix"))
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    copies = mix(numbered, row=row, **options).where("copies > 0").select(row, F.col("copies").alias(times))
+    repeats = F.explode(F.array_repeat(F.lit(0), F.col(times)))
+    return numbered.join(copies, row).select(*[F.col(f"`{c}`") for c in docs.columns], repeats.alias(copy)).drop(copy)

@@ -1,15 +1,16 @@
 """Packing documents into sequences of bounded length: best-fit decreasing.
 
-Overlong documents are first cut into full windows; what is left of each
-document, and each shorter document, is one piece. Pieces are dealt at random
-into shards of about ``PIECES`` rows and each shard packs its own: pieces in
+Overlong documents are first cut into full windows, each a sequence of its own
+that is never moved; what is left of each document, and each shorter document,
+is one piece. Pieces are dealt at random, by a hash of their row numbers, into
+shards of about ``PIECES`` rows and each shard packs its own: pieces in
 order of falling length go to the open window with the least room that still
 holds them, found by a segment tree over remaining capacity. Dealing at random
 gives every shard the same mix of lengths, so a shard wastes no more than its
 last few windows. No text and no id is shuffled, only (id, start, length).
 
 Nulls: a null text is empty (its end id alone is packed); a null id is packed
-like any other. Repeated rows are packed each. Other columns are not read. An
+like any other. Repeated rows are packed each, in any shards. Other columns are not read. An
 empty table gives no pieces.
 """
 
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, record_batch
+from ohlcflow.llm.common import chunks, materialize, record_batch
 from ohlcflow.llm.tokens import encoder, vocabulary
 
-#: Documents dealt to a shard.
+#: Pieces dealt to a shard.
 PIECES = 16_384
 
 
@@ -100,19 +101,24 @@ def cut(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end
 
 def pack(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = False) -> DataFrame:
     """Every piece with its ``sequence_id`` and ``offset`` there; at most ``capacity`` tokens a sequence."""
-    shards = max(1, -(-docs.count() // PIECES))
     cuts = cut(docs, capacity, tokenizer, end_id, with_ids)
-    dealt = cuts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)))
+    numbered = materialize(cuts.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    pieces = numbered.where(F.col("length") < capacity)
+    shards = max(1, -(-pieces.count() // PIECES))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards))).drop("row")
 
     def fill(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
         windows, offsets = best_fit_decreasing(shard["length"].tolist(), capacity)
-        shard["sequence_id"] = np.array(windows, np.int64) * shards + shard["shard"].to_numpy()
+        shard["sequence_id"] = 2 * (np.array(windows, np.int64) * shards + shard["shard"].to_numpy()) + 1
         shard["offset"] = np.array(offsets, np.int64)
         return shard.drop(columns="shard")
 
     out = ", ".join(f"{n} {t}" for n, t in cuts.dtypes) + ", sequence_id long, offset long"
-    return dealt.groupBy("shard").applyInPandas(fill, out.replace("bigint", "long"))
+    packed = dealt.groupBy("shard").applyInPandas(fill, out.replace("bigint", "long"))
+    # a full window is a sequence: even numbers are theirs
+    full = numbered.where(F.col("length") == capacity).withColumns({"sequence_id": 2 * F.col("row"), "offset": F.lit(0).cast("long")})
+    return packed.unionAll(full.select(packed.columns))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@ stream is the prefix sum of the token counts of the parts before it.
 ``read_token_files`` maps the files back to one row per document.
 
 Nulls: a null text is empty (the end id alone); a null id sorts first and is
-kept. Equal ids keep all their rows, ordered by text. Other columns are not
-read. An empty table writes no documents.
+kept. Equal ids keep all their rows, ordered by text (its first 64 characters, then
+a hash); parts are cut in that order and between equal rows, so a third of all rows
+may share an id, or an id and a text. Other columns are not read. An empty table writes no documents.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, record_batch
+from ohlcflow.llm.common import chunks, document_order, record_batch
 from ohlcflow.llm.tokens import encoder, vocabulary
 
 #: File header of an index: mark, bytes an id takes, documents.
@@ -66,24 +68,25 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         store, root = _open(path)
         codec = encoder(tokenizer)
         base = f"{root}/part-{part:06d}"
-        ids, lengths = [], []
+        ids, lengths = array("q"), array("q")  # 16 bytes a document
         with store.open_output_stream(f"{base}.bin.{tried}") as out:
             for (doc_ids,), texts in chunks(batches):
                 for x in codec.encode(texts, end_id):
                     out.write(x.astype(codec.dtype).tobytes())
                     lengths.append(len(x))
-                ids += [NO_ID if i is None else i for i in doc_ids]
-        offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))]).astype("<i8")
+                ids.extend(NO_ID if i is None else i for i in doc_ids)
+        offsets = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, np.int64))]).astype("<i8")
         with store.open_output_stream(f"{base}.idx.{tried}") as out:
             out.write(struct.pack(HEADER, MARK, codec.dtype.itemsize, len(ids)))
-            out.write(np.array(ids, "<i8").tobytes())
+            out.write(np.frombuffer(ids, np.int64).astype("<i8").tobytes())
             out.write(offsets.tobytes())
         for kind in ("bin", "idx"):
             _put(store, f"{base}.{kind}.{tried}", f"{base}.{kind}")
         schema = pa.schema([("part", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
         yield record_batch(schema, [[part], [len(ids)], [int(offsets[-1])]])
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows, order = document_order(docs)
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     parts = sorted(tuple(r) for r in ordered.mapInArrow(write, _PART).collect())  # one row a file
     bases = np.concatenate([[0], np.cumsum([n for _, _, n in parts])]).astype(int)
     rows = [(part, int(base), n_docs, n) for (part, n_docs, n), base in zip(parts, bases, strict=False)]

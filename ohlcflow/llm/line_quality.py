@@ -3,13 +3,15 @@
 Each line with a word is described by binary features; Viterbi decoding of the
 whole document marks its lines, and the share of word characters in content
 lines decides whether the document is kept. The field is trained by gradient
-ascent on the likelihood of a bounded sample of labelled documents, whose lines
-take their document's label. Plain counts (words, symbols, repeats) fail a
+ascent on the likelihood of runs of lines, which take their document's label: a
+bounded sample, by hash, of the runs of a bounded sample of labelled documents.
+Each text is cut into runs whole, so a run from anywhere may be drawn. Plain counts (words, symbols, repeats) fail a
 document before the field is asked.
 
 Defined cases: a null, empty or blank text has no words and fails; ties and
 repeated rows are independent; a null id is a document like any other. With
-no labelled documents, or one class only, every line counts as content. Other
+no labelled documents, or one class only, every line counts as content. A very
+long text is described whole, in memory in proportion to itself. Other
 columns are not read (``keep`` returns them as they are).
 """
 
@@ -23,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, labelled_sample, record_batch, words
+from ohlcflow.llm.common import chunks, discard, labelled_sample, materialize, record_batch, words
 
 #: Symbols, counted over whole texts.
 SYMBOLS = "#*$%&|<>"
-#: Bounds of the training sample: documents of a class, lines of a document.
-SAMPLE_DOCS, SAMPLE_LINES = 1_500, 120
+#: Bounds of the training rows: labelled documents of a class, runs of lines of a class. Documents give the runs of their whole texts.
+SAMPLE_DOCS, SAMPLE_RUNS = 1_500, 6_000
+#: Lines of a run.
+RUN_LINES = 40
 #: A document is kept from this share of word characters in content lines on.
 CONTENT_SHARE = 0.5
 FEATURES = 21
@@ -142,7 +146,7 @@ class LineField:
         return out[::-1]
 
 
-def train(docs: list[list[list[int]]], labels: list[int], rounds: int = 120, length: int = 40) -> LineField:
+def train(docs: list[list[list[int]]], labels: list[int], rounds: int = 120, length: int = RUN_LINES) -> LineField:
     """Maximum likelihood by forward and backward passes over all sequences at once (cut to ``length`` lines)."""
     cut = [(d[k : k + length], y) for d, y in zip(docs, labels, strict=True) for k in range(0, len(d), length)]
     if len({y for _, y in cut}) < 2:
@@ -184,16 +188,23 @@ def train(docs: list[list[list[int]]], labels: list[int], rounds: int = 120, len
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> LineField:
-    """The field, from at most ``SAMPLE_DOCS`` documents a class and ``SAMPLE_LINES`` lines of each; only line features reach the driver."""
+    """The field, from at most ``SAMPLE_RUNS`` runs a class of at most ``SAMPLE_DOCS`` labelled documents; only line features reach the driver."""
     sample = labelled_sample(labels, "quality", {0: SAMPLE_DOCS, 1: SAMPLE_DOCS}).select(F.col("doc_id").alias("_id"), "label")
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("lines", pa.list_(pa.binary()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("run", pa.int64()), ("lines", pa.list_(pa.binary()))])
         for (ids, ys), texts in chunks(batches):
-            yield record_batch(schema, [ids, ys, [[bytes(f) for f in described(t)[0][:SAMPLE_LINES]] for t in texts]])
-
-    got = rows.mapInArrow(describe, "doc_id long, label int, lines array<binary>").orderBy("doc_id", "label", "lines").collect()
+            for doc, y, text in zip(ids, ys, texts, strict=True):
+                lines = [bytes(f) for f in described(text)[0]]
+                runs = [lines[k : k + RUN_LINES] for k in range(0, len(lines), RUN_LINES)]
+                yield record_batch(schema, [[doc] * len(runs), [y] * len(runs), list(range(len(runs))), runs])
+
+    runs = materialize(rows.mapInArrow(describe, "doc_id long, label int, run long, lines array<binary>"), "line-runs")
+    order = [F.xxhash64("doc_id", "run"), F.col("doc_id"), F.col("run"), F.col("lines")]
+    drawn = [runs.where(F.col("label") == y).orderBy(*order).limit(SAMPLE_RUNS) for y in (0, 1)]
+    got = drawn[0].unionAll(drawn[1]).orderBy("doc_id", "label", "run", "lines").collect()
+    discard(runs)
     return train([[list(x) for x in r.lines] for r in got], [r.label for r in got])
 
 
@@ -228,7 +239,7 @@ def keep(docs: DataFrame, field: LineField) -> DataFrame:
     at = docs.columns.index("text")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches:  # one text at a time leaves Arrow
             yield batch.filter(pa.array([judge(x.as_py() or "", field)[6] for x in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(pick, docs.schema)

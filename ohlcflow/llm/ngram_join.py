@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, connected_components, discard, materialize, record_batch
+from ohlcflow.llm.common import chunks, connected_components, discard, free_name, materialize, record_batch
 
 #: Width of the table of hashed counts (one byte each when broadcast), and rows it travels in.
 WIDTH, BLOCKS = 1 << 22, 32
@@ -304,12 +304,16 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
 
 
 def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One row of ``docs`` for each component (that of the least id), columns unchanged.
+    """One row of ``docs`` for each component, that of the least id (then place in the table), columns unchanged.
 
-    Rows with equal ids are one document; rows without an id are compared
-    with each other only, as whole texts.
+    Rows are told apart by a number of their own: rows with equal ids are
+    compared like any others, and rows with a null id, which come last, too. Rows
+    without words are linked with nothing and all stay.
     """
-    named = docs.where("doc_id is not null")
-    gone = near_duplicates(named, n, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    kept = named.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.unionAll(docs.where("doc_id is null").dropDuplicates(["text"]))
+    row = free_name(docs, "_row_of_join")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "join-docs")
+    group = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), n, percent)
+    ids = numbered.select(F.col(row).alias("_row"), F.col("doc_id").alias("_id"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("null"), "_id", "_row")).alias("first")
+    kept = group.join(ids, F.col("doc_id") == F.col("_row")).groupBy("component_id").agg(first).select(F.col("first._row").alias("_kept"))
+    return numbered.join(kept, F.col(row) == F.col("_kept"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

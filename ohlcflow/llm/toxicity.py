@@ -8,21 +8,29 @@ some of these, so "lo.s.er" and "losxer" stay close to "loser".
 Training is multiple-instance: a labelled document's sentences carry its
 label, and what makes a sentence toxic is one of its windows: a word, or a span
 of 2 to ``SPAN`` neighbouring words, joined with and without a space. Windows are
-counted over distinct sentences of a bounded sample; those that occur
-with toxic sentences beyond chance are positive instances, the others negative.
+counted over distinct sentences of a bounded sample of labelled documents; those
+that occur with toxic sentences beyond chance (a bound on the binomial tail, times
+the number of windows, below 1) and mostly there are positive instances, each with
+the weight of its evidence; those that do not are negative, the rest is left out.
 A span that holds a positive window is none of its own.
-Some windows serve as landmarks; a window is represented by its kernels with them,
+Some windows serve as landmarks: of the positive ones those that a pivoted Cholesky
+factorisation picks, each the one that those before represent worst, so that every
+family of insults has its own, however rare; and of the negative ones some at random
+and, once a first machine is there, those that it takes for insults, chosen likewise.
+A window is represented by its kernels with them,
 whitened by the landmarks' own kernel matrix (Nyström), and a linear
 SVM with squared hinge loss is trained on that, taking in the hardest negatives
 of the sample again and again. As the kernel is an inner product over
 subsequences, the trained machine folds into one weight for each
 subsequence, so scoring a window costs no more for more landmarks.
 
-A document's margin is that of its worst window (a sentence is as toxic as
-its worst window, a document as its worst sentence); a logistic map fitted
-on the sample turns it into a score. A text has many more spans than words, so a span's
-margin counts less by a handicap fitted with it, at most ``HANDICAP``; one that is
-an insult but for its spaces keeps a margin above the middle. Words have outer punctuation off
+A document's margin is a mix of the margins of its worst windows, less a little
+for its length: a word that looks like an insult by chance stands alone, and a long text
+has more of them. The mix (from the worst window only to the three worst words), the
+length's weight and the cut are those that part the sample with the fewest errors,
+the simplest of equally good ones; a logistic map turns the margin into a score. A text has
+many more spans than words, so a span's margin counts less by a handicap fitted
+with them, at most ``HANDICAP``. Words have outer punctuation off
 and a few look-alike characters mapped; words without a letter are left out,
 runs of single characters are joined whatever white space parts them, and very
 long words and spans are taken in overlapping pieces, so whole texts are scored.
@@ -49,17 +57,23 @@ from pyspark.sql import functions as F
 
 from ohlcflow.llm.common import chunks, discard, labelled_sample, materialize, record_batch, words
 
-#: Bounds of the training sample: labelled documents of either class, windows of either kind sent to the driver.
-SAMPLE_TOXIC, SAMPLE_CLEAN, POSITIVES, NEGATIVES = 3_000, 9_000, 2_000, 80_000
+#: Bounds of the training rows: labelled documents of either class, and negative instances (words, spans) drawn by hash from them.
+SAMPLE_TOXIC, SAMPLE_CLEAN, NEGATIVES, SPAN_NEGATIVES = 3_000, 9_000, 80_000, 40_000
 #: Kernel: weight for each skipped character, characters that may be skipped, window length.
 DECAY, GAPS, LENGTH = 0.6, 2, 24
-LANDMARKS = 128
+#: Landmarks: of the positive windows, of the negative ones at random, of the hardest negative ones.
+LANDMARKS = 80, 32, 192
 #: Neighbouring words in a span.
 SPAN = 4
-#: Spans of clean sentences sent to the driver as negatives, at most so many of a sentence.
-SPAN_NEGATIVES, SPANS_OF_SENTENCE = 40_000, 4
+#: One in so many distinct spans of clean sentences, by hash, can be drawn as a negative instance.
+SPAN_SHARE = 4
 #: The most by which a span's margin may count less than a word's; training puts insults at 1, other windows at -1.
 HANDICAP = 0.7
+#: Mixes of a document's worst margins (words and spans, second and third word), simplest first, and weights of the length's logarithm.
+MIXES = [(1.0, 0.0, 0.0), (0.5, 0.5, 0.0), (0.0, 1.0, 0.0), (0.0, 0.7, 0.3), (0.2, 0.4, 0.4)]
+LENGTHS = [0.0, 0.05, 0.1, 0.15, 0.2]
+#: Margins are compared within these bounds, lengths with this number of words.
+BOUNDS, USUAL_WORDS = (-1.0, 1.2), 100
 #: Characters whose windows are scored at once; longer texts go in overlapping blocks.
 BLOCK = 1 << 18
 #: Margin of a text without words.
@@ -164,24 +178,24 @@ _NUMBER = np.where((_NUMBER >= 97) & (_NUMBER <= 122), _NUMBER - 96, 27 + _NUMBE
 _NORM = np.array([max(1e-9, math.sqrt(sum(max(0, n - b) * w**2 for _, b, w in _STEPS))) for n in range(LENGTH + 1)])
 
 
-def blocks(text: str) -> Iterator[str]:
-    """``text`` in blocks of about ``BLOCK`` characters, cut at spaces, that share ``2 * LENGTH`` words with a letter."""
-    start, size = 0, BLOCK
+def blocks(text: str) -> Iterator[tuple[str, int]]:
+    """``text`` in blocks of about ``BLOCK`` characters, cut at spaces, that share ``2 * LENGTH`` words with a letter; with the characters that the block before has too."""
+    start, done, size = 0, 0, BLOCK
     while len(text) - start > size:
         cut = next((k for k in range(start + size, len(text)) if text[k] in " \t\n\x0b\x0c\r"), len(text))
         shared = [m.start() for m in _LETTERED.finditer(text, start, cut)][-2 * LENGTH :]
         if cut < len(text) and (len(shared) < 2 * LENGTH or shared[0] == start):
             size *= 2
             continue
-        yield text[start:cut]
+        yield text[start:cut], done - start
         if cut == len(text):
             return
-        start, size = shared[0], BLOCK
-    yield text[start:]
+        start, done, size = shared[0], cut, BLOCK
+    yield text[start:], done - start
 
 
-def _layout(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(numbers of the normalised words' characters, where each word begins and the last ends, the part of each word)."""
+def _layout(parts: list[str], shared: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the normalised words' characters, where each word begins and the last ends, the part of each word, whether it lies behind the part's ``shared`` characters)."""
     raw = np.frombuffer("\n".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")
     low = np.minimum(raw, len(_KIND) - 1)
     kind = _KIND[low]
@@ -198,8 +212,10 @@ def _layout(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     mark[hi] -= 1
     keep = (np.cumsum(mark[:-1], dtype=np.int8) > 0) & (kind != _DROPPED)
     at = np.concatenate([[0], np.cumsum(keep)])
-    owner = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), begin, "right")
-    return number[keep], np.append(at[lo], at[-1]), owner
+    ends = np.cumsum([len(p) + 1 for p in parts])
+    owner = np.searchsorted(ends, begin, "right")
+    fresh = begin >= (ends - [len(p) + 1 - n for p, n in zip(parts, shared, strict=True)])[owner]
+    return number[keep], np.append(at[lo], at[-1]), owner, fresh
 
 
 def _cut(first: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,8 +232,12 @@ def _cut(first: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, n
 class Machine:
     """The trained machine: a weight for each subsequence, and the map from margin to score."""
 
-    def __init__(self, table: np.ndarray | None, bias: float = 0.0, slope: float = 1.0, middle: float = 0.0, handicap: float = 0.0):
-        self.table, self.bias, self.slope, self.middle, self.handicap = table, bias, slope, middle, handicap
+    def __init__(
+        self, table: np.ndarray | None, bias: float = 0.0, slope: float = 1.0, middle: float = 0.0,
+        handicap: float = 0.0, mix: tuple[float, ...] = MIXES[0], length: float = 0.0,
+    ):
+        self.table, self.bias, self.slope, self.middle = table, bias, slope, middle
+        self.handicap, self.mix, self.length = handicap, mix, length
 
     def margins(self, ws: list[str]) -> np.ndarray:
         return folded(ws, self.table) + self.bias
@@ -240,13 +260,15 @@ class Machine:
             total += c[np.minimum(np.maximum(e - b, s), len(c) - 1)] - c[np.minimum(s, len(c) - 1)]
         return np.where(e - s > 2, total / _NORM[e - s] + self.bias, LEAST)
 
-    def worst(self, parts: list[str]) -> np.ndarray:
-        """The greatest margin among the words and among the spans of each (lower-case) part, ``LEAST`` at the least."""
-        number, at, owner = _layout(parts)
-        out = np.full((len(parts), 2), LEAST)
+    def worst(self, parts: list[str], shared: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each (lower-case) part: the greatest margin among the words and among the spans (``LEAST`` at the least); the three greatest
+        of single words behind its ``shared`` characters (within ``BOUNDS``), greatest first; the number of these words."""
+        number, at, owner, fresh = _layout(parts, shared or [0] * len(parts))
+        out, three = np.full((len(parts), 2), LEAST), np.full((len(parts), 3), BOUNDS[0])
+        number_of = np.bincount(owner[fresh], minlength=len(parts))
         count = len(owner)
         if not count:
-            return out
+            return out, three, number_of
         best, every = np.full((count, 2), LEAST), np.arange(count)
 
         def take(kind: int, running: list[np.ndarray], first: np.ndarray, s: np.ndarray, e: np.ndarray) -> None:
@@ -255,6 +277,11 @@ class Machine:
 
         joined = self._running(number)
         take(0, joined, every, at[:-1], at[1:])
+        some = np.flatnonzero(fresh & (best[:, 0] > BOUNDS[0]))
+        some = some[np.lexsort((-best[some, 0], owner[some]))]
+        place = np.arange(len(some)) - np.searchsorted(owner[some], owner[some])
+        some, place = some[place < 3], place[place < 3]
+        three[owner[some], place] = np.minimum(best[some, 0], BOUNDS[1])
         one = np.concatenate([[False], (np.diff(at) == 1), [False]])
         # a run of single characters ends with its part
         change = np.flatnonzero((one[1:] != one[:-1]) | np.concatenate([[False], one[1:-2] & (owner[1:] != owner[:-1]), [False]]))
@@ -270,7 +297,14 @@ class Machine:
             take(1, joined, first, at[first], at[first + n])
             take(1, apart, first, at[first] + first, at[first + n] + first + n - 1)
         np.maximum.at(out, owner, best)
-        return out
+        return out, three, number_of
+
+    def margin(self, found: np.ndarray) -> np.ndarray:
+        """Margins of documents from rows of ``Scorer.found``."""
+        first = np.clip(np.maximum(found[:, 0], found[:, 1] - self.handicap), *BOUNDS)
+        mixed = np.column_stack([first, found[:, 3:5]]) @ np.array(self.mix)
+        margin = mixed - self.length * np.log(np.maximum(found[:, 5], 1) / USUAL_WORDS)
+        return np.where(found[:, 5] > 0, margin, LEAST)
 
     def score(self, margin: float) -> float:
         if self.table is None:
@@ -300,18 +334,47 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150, c:
     return w[:-1], float(w[-1])
 
 
-def beyond_chance(counts: list[tuple[str, int, int]], share: float, number: int) -> tuple[list[tuple], list[tuple[float, str]]]:
-    """(strength, t, w, c) of every window, and (strength, w) of those beyond chance among ``number`` windows, strongest first."""
-    # a window met in n sentences, all toxic, is beyond chance among all windows when share^n times their number is below 1
-    enough = least(share, number)
-    scored = [(t * math.log((t + 0.1) / (t + c + 0.1) / share), t, w, c) for w, t, c in counts]
-    return scored, sorted(((s, w) for s, t, w, c in scored if t >= enough and t >= 0.95 * (t + c)), reverse=True)
+def log_tail(t: int, c: int, share: float) -> float:
+    """Logarithm of a bound (Chernoff's) on the chance of ``t`` toxic ones or more among ``t + c``."""
+    q = t / (t + c)
+    if q <= share:
+        return 0.0
+    return -(t * math.log(q / share) + (c * math.log((1 - q) / (1 - share)) if c else 0.0))
+
+
+def beyond_chance(counts: list[tuple[str, int, int]], share: float, number: int) -> list[tuple[float, str]]:
+    """(strength, w) of the windows mostly in toxic sentences and beyond chance among ``number`` windows, strongest first."""
+    found = [(w, t, c) for w, t, c in counts if t >= 3 and t >= c and log_tail(t, c, share) + math.log(max(2, number)) < 0]
+    return sorted(((_strength(t, c, share), w) for w, t, c in found), reverse=True)
+
+
+def _strength(t: int, c: int, share: float) -> float:
+    return t * math.log((t + 0.1) / (t + c + 0.1) / share)
 
 
 def least(share: float, number: int) -> float:
+    """The fewest sentences, all toxic, that are beyond chance among ``number`` windows."""
     return max(3, math.log(max(2, number)) / -math.log(share))
 
 
+def spread(ws: list[str], number: int) -> list[str]:
+    """At most ``number`` of the windows, each the one that those before represent worst (pivoted Cholesky of the kernel matrix)."""
+    if not ws:
+        return []
+    phi = features(ws, seen(ws))
+    left = (phi * phi).sum(1).astype(float)
+    rows, chosen = np.zeros((len(ws), min(number, len(ws)))), []
+    for k in range(rows.shape[1]):
+        i = int(np.argmax(left))
+        if left[i] < 1e-3:
+            break
+        chosen.append(i)
+        rows[:, k] = (phi @ phi[i] - rows[:, :k] @ rows[i, :k]) / math.sqrt(left[i])
+        left -= rows[:, k] ** 2
+        left[chosen] = 0
+    return [ws[i] for i in chosen]
+
+
 def shortest(positive: list[tuple[float, str]], known: list[str]) -> list[tuple[float, str]]:
     """The spans without those that hold a known window or a shorter span."""
     out, held = [], list(known)
@@ -332,30 +395,39 @@ def train(
     share = sentences[0] / max(1, sum(sentences))
     if not 0 < share < 1 or not counts:
         return Machine(None)
-    scored, positive = beyond_chance(counts, share, len(counts))
-    positive = positive[:POSITIVES]
-    positive += shortest(beyond_chance(found[0], share, found[1])[1], [w for _, w in positive])[:POSITIVES]
+    positive = beyond_chance(counts, share, len(counts))
+    positive += shortest(beyond_chance(found[0], share, found[1]), [w for _, w in positive])
     positive.sort(reverse=True)
     if not positive:
-        positive = [(s, w) for s, t, w, c in sorted(scored, reverse=True)[:5] if s > 0]
+        rest = sorted(((_strength(t, c, share), w) for w, t, c in counts), reverse=True)
+        positive = [(s, w) for s, w in rest[:5] if s > 0]
     taken = {w for _, w in positive}
-    negative = [w for _, t, w, c in scored if w not in taken and c >= t]
+    # no evidence for them, though clean sentences have them
+    negative = [w for w, t, c in counts if w not in taken and c and log_tail(t, c, share) > math.log(0.01)]
     negative += sorted(set(harmless) - taken - set(negative))
     if not positive or not negative:
         return Machine(None)
     pos = [w for _, w in positive]
+    strength = np.sqrt([s for s, _ in positive])
     rng = np.random.default_rng(7)
     some = [negative[i] for i in rng.permutation(len(negative))]
-    marks = pos[: LANDMARKS // 2] + some[: LANDMARKS - min(len(pos), LANDMARKS // 2)]
+    ours, random, hardest = LANDMARKS
+    marks = spread(pos, ours) + some[:random]
+    _, hard, worst = _trained(pos, strength, marks, some, some[:4_000], 2)
+    marks = list(dict.fromkeys([*marks, *spread(worst, hardest)]))
+    return _trained(pos, strength, marks, some, hard, 4)[0]
+
+
+def _trained(pos: list[str], strength: np.ndarray, marks: list[str], some: list[str], hard: list[str], rounds: int) -> tuple[Machine, list[str], list[str]]:
+    """(machine, negatives it was trained on, hardest ones of all ``some``)."""
     used = seen(marks)  # a few thousand of the 2^18 subsequences; all others weigh nothing
     phi, root = nystrom(marks, used)
     table = np.vstack([np.zeros((1, root.shape[1])), phi.T @ root.astype(np.float32)])  # subsequences x landmark directions
     place = np.zeros(1 << 18, np.int32)
     place[used] = np.arange(1, len(used) + 1)
     embed = lambda ws: np.vstack([folded(ws[k : k + 512], table, place) for k in range(0, len(ws), 512)]).astype(float)
-    xp, hard, machine = embed(pos), some[:4_000], None
-    strength = np.sqrt([s for s, _ in positive])
-    for _ in range(4):
+    xp = embed(pos)
+    for _ in range(rounds):
         xn = embed(hard)
         weight = np.r_[strength / strength.sum(), np.full(len(hard), 1 / len(hard))]
         w, b = svm(np.vstack([xp, xn]), np.r_[np.ones(len(pos)), -np.ones(len(hard))], weight)
@@ -366,7 +438,7 @@ def train(
         if len(new) == len(hard):
             break
         hard = new
-    return machine
+    return machine, hard, worst[:1_000]
 
 
 class Scorer:
@@ -375,39 +447,57 @@ class Scorer:
     def __init__(self, machine: Machine):
         self.machine = machine
 
-    def both(self, texts: list[str]) -> np.ndarray:
-        """The greatest margin among the words and among the spans of each text."""
-        out = np.full((len(texts), 2), LEAST)
-        parts, owner, size = [], [], 0
+    def found(self, texts: list[str]) -> np.ndarray:
+        """Of each text: the greatest margin among words and among spans, the three greatest of words, the number of words."""
+        out = np.tile([LEAST, LEAST, *[BOUNDS[0]] * 3, 0.0], (len(texts), 1))
+        parts, shared, owner, size = [], [], [], 0
+
+        def flush() -> None:
+            most, three, number = self.machine.worst(parts, shared)
+            np.maximum.at(out[:, :2], owner, most)
+            for k, x, n in zip(owner, three, number, strict=True):
+                out[k, 2:5] = np.sort(np.r_[out[k, 2:5], x])[:-4:-1]
+                out[k, 5] += n
+
         for k, text in enumerate(texts):
-            for part in blocks(text.lower()):
+            for part, old in blocks(text.lower()):
                 parts.append(part)
+                shared.append(old)
                 owner.append(k)
                 size += len(part)
                 if size >= BLOCK:
-                    np.maximum.at(out, owner, self.machine.worst(parts))
-                    parts, owner, size = [], [], 0
+                    flush()
+                    parts, shared, owner, size = [], [], [], 0
         if parts:
-            np.maximum.at(out, owner, self.machine.worst(parts))
+            flush()
         return out
 
+    def both(self, texts: list[str]) -> np.ndarray:
+        """The greatest margin among the words and among the spans of each text."""
+        return self.found(texts)[:, :2]
+
     def margins(self, texts: list[str]) -> list[float]:
-        got = self.both(texts)
-        return np.maximum(got[:, 0], got[:, 1] - self.machine.handicap).tolist()
+        return self.machine.margin(self.found(texts)).tolist()
+
+
+_FOUND = ["of_words", "of_spans", "first", "second", "third", "n_words"]
 
 
 def margins(docs: DataFrame, machine: Machine) -> DataFrame:
-    """(doc_id, margin of the words, margin of the spans) of every whole text."""
+    """doc_id and ``Scorer.found`` of every whole text, with the ``margin``."""
     table = docs.sparkSession.sparkContext.broadcast(machine)  # 2^18 weights, whatever the corpus
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(table.value)
-        schema = pa.schema([("doc_id", pa.int64()), ("of_words", pa.float64()), ("of_spans", pa.float64())])
+        schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.float64()) for n in (*_FOUND, "margin")]])
         for (ids,), texts in chunks(batches):
-            got = np.full((len(ids), 2), LEAST) if table.value.table is None else scorer.both(texts)
-            yield record_batch(schema, [ids, got[:, 0], got[:, 1]])
+            if table.value.table is None:
+                got = np.tile([LEAST, LEAST, *[BOUNDS[0]] * 3, 0.0], (len(ids), 1))
+            else:
+                got = scorer.found(texts)
+            yield record_batch(schema, [ids, *got.T, table.value.margin(got)])
 
-    return docs.select("doc_id", "text").mapInArrow(look, "doc_id long, of_words double, of_spans double")
+    return docs.select("doc_id", "text").mapInArrow(look, "doc_id long, " + ", ".join(f"{n} double" for n in (*_FOUND, "margin")))
 
 
 def _sentences(sample: DataFrame) -> DataFrame:
@@ -440,8 +530,8 @@ def _window_counts(sentences: DataFrame) -> tuple[list[tuple[str, int, int]], tu
         .groupBy("w")
         .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
     )
-    likely = counts.where("t >= 3 and t >= 0.9 * (t + c)").orderBy(F.desc("t"), "w").limit(4 * POSITIVES)
-    others = counts.where("not (t >= 3 and t >= 0.9 * (t + c))").orderBy(F.xxhash64("w"), "w").limit(NEGATIVES)
+    likely = counts.where("t >= 3 and t >= c")  # a few of the windows of a bounded sample
+    others = counts.where("not (t >= 3 and t >= c)").orderBy(F.xxhash64("w"), "w").limit(NEGATIVES)
     return sorted((r.w, r.t, r.c) for r in likely.unionAll(others).collect()), (by.get(1, 0), by.get(0, 0))
 
 
@@ -466,7 +556,7 @@ def _span_counts(sentences: DataFrame, known: set[str], share: float) -> tuple[l
     found = dict(often.collect())  # each in several sentences of a bounded sample
     asked = sentences.sparkSession.sparkContext.broadcast(frozenset(found))
     clean = dict(exploded(lambda s: asked.value & spans(s), 0).groupBy("w").count().collect())
-    some = exploded(lambda s: sorted(spans(s, held.value), key=lambda w: (zlib.crc32(w.encode()), w))[:SPANS_OF_SENTENCE], 0).distinct()
+    some = exploded(lambda s: [w for w in spans(s, held.value) if zlib.crc32(w.encode()) % SPAN_SHARE == 0], 0).distinct()
     harmless = [r.w for r in some.orderBy(F.xxhash64("w"), "w").limit(SPAN_NEGATIVES).collect()]
     return sorted((w, t, clean.get(w, 0)) for w, t in found.items()), number, harmless
 
@@ -480,22 +570,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     found, harmless = ((), 0), []
     if all(numbers) and counts:
         share = numbers[0] / sum(numbers)
-        known = {w for _, w in beyond_chance(counts, share, len(counts))[1][:POSITIVES]}
+        known = {w for _, w in beyond_chance(counts, share, len(counts))}
         *found, harmless = _span_counts(sentences, known, share)
     discard(sentences)
     machine = train(counts, numbers, tuple(found), harmless)
     if machine.table is None:
         return machine
-    got = margins(sample, machine).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("of_words", "of_spans", "label").collect()
-    m, y = np.array([(r.of_words, r.of_spans) for r in got]), np.array([r.label for r in got])
-    return calibrated(machine, m, y)
+    got = margins(sample, machine).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(*_FOUND, "label").collect()
+    return calibrated(machine, np.array([[r[n] for n in _FOUND] for r in got]), np.array([r.label for r in got]))
 
 
-def calibrated(machine: Machine, m: np.ndarray, y: np.ndarray) -> Machine:
-    """Score one half where the sample is parted with the fewest errors, by the least handicap of spans that does."""
-    cuts = [(*_parted(np.maximum(m[:, 0], m[:, 1] - h), y), h) for h in np.linspace(0, HANDICAP, 15).tolist()]
-    _, middle, handicap = min(cuts, key=lambda x: (x[0], x[2]))
-    return Machine(machine.table, machine.bias, 4.0, middle, handicap)
+def calibrated(machine: Machine, found: np.ndarray, y: np.ndarray) -> Machine:
+    """The simplest mix, length's weight and handicap of spans that part the sample with the fewest errors, score one half at the cut."""
+    best = None
+    for mix in MIXES:
+        for length in LENGTHS:
+            for handicap in np.linspace(0, HANDICAP, 8).tolist() if mix[0] else [0.0]:
+                tried = Machine(machine.table, machine.bias, 4.0, 0.0, handicap, mix, length)
+                errors, tried.middle = _parted(tried.margin(found), y)
+                if best is None or errors < best[0]:
+                    best = errors, tried
+    return best[1]
 
 
 def _parted(m: np.ndarray, y: np.ndarray) -> tuple[int, float]:
@@ -511,6 +606,6 @@ def _parted(m: np.ndarray, y: np.ndarray) -> tuple[int, float]:
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, score (0 to 1), predicted (1 from one half on) of every text."""
-    margin = F.greatest("of_words", F.col("of_spans") - F.lit(machine.handicap))
-    out = F.lit(0.0) if machine.table is None else 1 / (1 + F.exp(-F.lit(machine.slope) * (margin - F.lit(machine.middle))))
+    exponent = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.lit(machine.slope) * (F.col("margin") - F.lit(machine.middle))))
+    out = F.lit(0.0) if machine.table is None else 1 / (1 + F.exp(-exponent))
     return margins(docs, machine).select("doc_id", out.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

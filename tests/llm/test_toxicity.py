@@ -111,3 +111,44 @@ def test_blocks_of_a_long_text_share_words(machine, monkeypatch):
     for size in (500, 701, 1000):
         monkeypatch.setattr(T, "BLOCK", size)
         assert T.Scorer(machine).margins([text]) == pytest.approx(whole, abs=1e-6)
+
+
+def test_held_out_labels_by_language(spark):
+    """Figures of the labelled documents held out of training; the language serves the report only."""
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    got = T.score(docs.where(held), T.fit(docs, labels.where(~held))).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    by = {r.lang: r for r in got.groupBy("lang").agg(F.sum("toxic").alias("bad"), F.sum(F.col("predicted") * F.col("toxic")).alias("hit"), F.sum(1 - F.col("toxic")).alias("fine"), F.sum(F.col("predicted") * (1 - F.col("toxic"))).alias("wrong")).collect()}
+    print({k: (r.hit, r.bad, r.wrong, r.fine) for k, r in by.items()})
+    assert all(r.hit >= 0.85 * r.bad for r in by.values() if r.bad >= 10)
+    assert sum(r.wrong for r in by.values()) <= 0.01 * sum(r.fine for r in by.values())
+
+
+def test_families_of_rare_forms(spark):
+    """No form of a stem is common, some occur in clean texts by chance, and held-out texts have forms never seen."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices(SYLLABLES, k=rng.randint(1, 4)))
+    forms = [f"zorgub{a}{b}" for a in SYLLABLES for b in ("", "en", "is")]
+    docs, labels = [], []
+    for i in range(900):
+        ws = [word() for _ in range(60)]
+        toxic = i % 6 == 0
+        for _ in range(4 if toxic else rng.random() < 0.1):
+            ws.insert(rng.randrange(60), rng.choice(forms if i % 5 == 0 else forms[:-9]))
+        docs.append((i, ". ".join(" ".join(ws[k : k + 12]) for k in range(0, len(ws), 12))))
+        labels.append((i, int(toxic)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.predicted for r in T.score(df, T.fit(df, spark.createDataFrame([x for x in labels if x[0] % 5], "doc_id long, toxic int"))).collect()}
+    held = [(got[i], y) for i, y in labels if i % 5 == 0]
+    assert sum(p == y for p, y in held) / len(held) > 0.98
+
+
+def test_landmarks_are_spread_over_families():
+    ws = [f"achlich{a}" for a in SYLLABLES] + ["moron", "idiot"] + [f"bomente{a}" for a in SYLLABLES]
+    first = T.spread(ws, 4)
+    assert {w[:3] for w in first} == {"ach", "mor", "idi", "bom"}
+    assert len(set(T.spread(ws, 100))) == len(T.spread(ws, 100)) <= len(ws) and T.spread([], 5) == []

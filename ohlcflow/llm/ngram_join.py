@@ -9,10 +9,11 @@ pair with a Jaccard likeness at or above a threshold:
    counts); a set's n-grams are ordered rarest first. Any order that is the same
    for all sets gives the same pairs, so shared counts cost time, not results.
 3. Two sets that reach the threshold share one of their first n-grams (prefix
-   filter). Classes are joined on prefix n-grams, with the length and positional
-   filters in the join condition.
-4. Candidate pairs, made distinct, pass a suffix filter: both sets' n-grams are
-   also kept as bits of a short parity vector, and the vectors' Hamming distance bounds
+   filter), which the smaller one has so early that sets as large as itself could
+   still agree. Classes are joined on prefix n-grams, from such an early one to any,
+   with the length and positional filters in the join condition.
+4. Candidate pairs, made distinct, pass a suffix filter (by bits, not by
+   partitioning the suffixes on a pivot): both sets' n-grams are also kept as bits of a short parity vector, and the vectors' Hamming distance bounds
    the sets' difference from below.
 5. What is left is verified on the texts.
 
@@ -43,6 +44,8 @@ from ohlcflow.llm.common import chunks, connected_components, discard, free_name
 
 #: Width of the table of hashed counts (one byte each when broadcast), and rows it travels in.
 WIDTH, BLOCKS = 1 << 22, 32
+#: Tables of counts that are added up at once.
+FAN_IN = 64
 #: A group of more members than this joins by components.
 SMALL_GROUP = 32
 #: Leaders of a large group.
@@ -109,7 +112,7 @@ def rarity(docs: DataFrame, n: int) -> np.ndarray:
         pack, task = zstandard.ZstdCompressor(level=1).compress, TaskContext.get().partitionId()
         schema = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
         blocks = [pack(x.tobytes()) for x in seen.reshape(BLOCKS, -1)]
-        yield record_batch(schema, [list(range(BLOCKS)), [task % 64] * BLOCKS, blocks])
+        yield record_batch(schema, [list(range(BLOCKS)), [task] * BLOCKS, blocks])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         import zstandard
@@ -118,11 +121,17 @@ def rarity(docs: DataFrame, n: int) -> np.ndarray:
         total = np.zeros(WIDTH // BLOCKS, np.uint32)
         for x in rows["counts"]:
             total += np.frombuffer(unpack(x), np.uint32)
-        return pd.DataFrame({"block": rows["block"][:1], "part": [0], "counts": [zstandard.ZstdCompressor(level=1).compress(total.tobytes())]})
+        return pd.DataFrame({"block": rows["block"][:1], "part": rows["part"][:1], "counts": [zstandard.ZstdCompressor(level=1).compress(total.tobytes())]})
 
     schema = "block int, part int, counts binary"
-    parts = docs.select("text").mapInArrow(count, schema).groupBy("block", "part").applyInPandas(add, schema)
-    total = parts.groupBy("block").applyInPandas(add, schema).collect()
+    texts = docs.select("text")
+    parts, tasks = texts.mapInArrow(count, schema), texts.rdd.getNumPartitions()
+    while True:  # sums of ``FAN_IN`` tables each, over and over
+        tasks = -(-tasks // FAN_IN)
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("block", "part").applyInPandas(add, schema)
+        if tasks <= 1:
+            break
+    total = parts.collect()
     import zstandard
 
     out = np.zeros((BLOCKS, WIDTH // BLOCKS), np.uint32)
@@ -181,6 +190,27 @@ def _near(a: str, b: str, percent: int):
     return (100 * F.least(F.col(f"{a}.size"), F.col(f"{b}.size")) >= percent * F.greatest(F.col(f"{a}.size"), F.col(f"{b}.size"))) & (left >= need)
 
 
+def _ordered(a: str, b: str):
+    """The first one is the smaller set, of equally large ones that of the lesser id."""
+    return (F.col(f"{a}.size") < F.col(f"{b}.size")) | ((F.col(f"{a}.size") == F.col(f"{b}.size")) & (F.col(f"{a}.rep") < F.col(f"{b}.rep")))
+
+
+def shared_grams(classes: DataFrame, percent: int) -> DataFrame:
+    """(rep, size, pos, gram, heads_pair, members) of the prefix n-grams that two classes or more have and some class may head a pair with.
+
+    At the rarest n-gram that two like sets share, the smaller one has as many left as any
+    set as large as itself would need (``heads_pair``), which is a shorter prefix than that
+    which finds smaller partners. An n-gram that no class has so early, as those of a
+    template that unlike pages fill in, makes no pair and is dropped before the join.
+    """
+    first = classes.select("rep", "size", F.posexplode("prefix").alias("pos", "gram"))
+    need = F.ceil(F.lit(2 * percent) * F.col("size") / F.lit(100.0 + percent) - 1e-9)
+    first = first.withColumn("heads_pair", F.col("size") - F.col("pos") >= need)
+    # a row for each n-gram and task: numbers of members, not the members
+    groups = first.groupBy("gram").agg(F.count("*").alias("members"), F.count_if("heads_pair").alias("heads"))
+    return first.join(groups.where("members > 1 and heads > 0").drop("heads"), "gram")
+
+
 def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs whose bit vectors leave the threshold possible."""
     info = classes.select("rep", "size", "bits")
@@ -232,10 +262,7 @@ def links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataFrame, Da
     classes = materialize(
         named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")), "classes"
     )
-    first = classes.select("rep", "size", F.posexplode("prefix").alias("pos", "gram"))
-    # a row for each n-gram and task: the members' number and smallest ids, not the members
-    groups = first.groupBy("gram").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.max("rep").alias("most")).where("members > 1")
-    shared = materialize(first.join(groups, "gram"), "shared")
+    shared = materialize(shared_grams(classes, percent), "shared")
     small, large = shared.where(F.col("members") <= SMALL_GROUP), shared.where(F.col("members") > SMALL_GROUP)
 
     def pair(x: DataFrame, y: DataFrame, on) -> DataFrame:
@@ -243,7 +270,7 @@ def links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataFrame, Da
         return joined.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
 
     same = F.col("x.gram") == F.col("y.gram")
-    pairs = pair(small, small, same & (F.col("x.rep") < F.col("y.rep")))
+    pairs = pair(small.where("heads_pair"), small, same & _ordered("x", "y"))
     # a leader for each part of a large group, so that one odd leader does not stand for all
     slot = F.pmod(F.xxhash64("rep"), F.lit(LEADERS))
     leaders = large.groupBy("gram", slot.alias("slot")).agg(F.min(F.struct("rep", "size", "pos")).alias("l")).select("gram", "l.rep", "l.size", "l.pos")
@@ -271,20 +298,21 @@ def links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataFrame, Da
 def _across(large: DataFrame, component: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(members with their components, pairs of members of a group that are in different ones): joined by (n-gram, component), never all members with all."""
     placed = large.join(component, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = materialize(placed.select("gram", "rep", "size", "pos", "component"), "placed")
+    placed = materialize(placed.select("gram", "rep", "size", "pos", "heads_pair", "component"), "placed")
     # the filters hold for two components if they can hold for some pair of their members
     span = [F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("pos")).alias("left")]
     parts = placed.groupBy("gram", "component").agg(*span)
     mixed = parts.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    parts = parts.join(mixed, "gram")
-    p, q = parts.alias("p"), parts.alias("q")
+    # the smaller one of a pair is a member that may head it; those are few where a group's n-gram is common to unlike texts
+    heads = placed.where("heads_pair")
+    p, q = heads.groupBy("gram", "component").agg(*span).join(mixed, "gram").alias("p"), parts.join(mixed, "gram").alias("q")
     length = (100 * F.col("p.hi") >= percent * F.col("q.lo")) & (100 * F.col("q.hi") >= percent * F.col("p.lo"))
     need = F.ceil(F.lit(percent) * (F.col("p.lo") + F.col("q.lo")) / F.lit(100.0 + percent) - 1e-9)
     place = F.least("p.left", "q.left") >= need
-    two = p.join(q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.component") < F.col("q.component")) & length & place)
+    two = p.join(q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.component") != F.col("q.component")) & length & place)
     two = two.select(F.col("p.gram").alias("g"), F.col("p.component").alias("c"), F.col("q.component").alias("d"))
-    x = placed.alias("x").join(two, (F.col("x.gram") == F.col("g")) & (F.col("x.component") == F.col("c")))
-    both = x.join(placed.alias("y"), (F.col("y.gram") == F.col("g")) & (F.col("y.component") == F.col("d")) & _near("x", "y", percent))
+    x = heads.alias("x").join(two, (F.col("x.gram") == F.col("g")) & (F.col("x.component") == F.col("c")))
+    both = x.join(placed.alias("y"), (F.col("y.gram") == F.col("g")) & (F.col("y.component") == F.col("d")) & _ordered("x", "y") & _near("x", "y", percent))
     return placed, both.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
 
 

@@ -84,3 +84,45 @@ def test_distance_bound_never_exceeds_the_distance():
             a, b = rng.integers(0, 3 * size + 9, size).astype(np.uint64), rng.integers(0, 3 * size + 9, other).astype(np.uint64)
             a, b = np.unique(a * J._MIX[0]), np.unique(b * J._MIX[0])
             assert J.distance_bound(J.bit_vector(a), J.bit_vector(b)) <= len(np.setxor1d(a, b))
+
+
+def template_pages(n, words=42):
+    base = [f"t{i}" for i in range(words)]
+    return [(i, " ".join([*base[:20], f"own{i}", *base[21:]])) for i in range(n)]
+
+
+def test_template_pages_make_no_pairs(spark, make_docs):
+    """One differing word keeps two pages under the threshold: their common n-grams head no pair and are not joined."""
+    rows = template_pages(300)
+    signed = J.signatures(make_docs(rows), 3, 90).withColumnRenamed("doc_id", "rep")
+    assert J.shared_grams(signed, 90).count() == 0
+    assert {r.component_id for r in J.near_duplicates(make_docs(rows)).collect()} == set(range(300))
+    # at a threshold that they reach they are one group
+    assert {r.component_id for r in J.near_duplicates(make_docs(rows), 3, 85).collect()} == {0}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 99, 100])
+def test_sets_of_any_sizes_and_thresholds(spark, make_docs, monkeypatch, percent):
+    monkeypatch.setattr(J, "SMALL_GROUP", 4)
+    rng = random.Random(percent)
+    words = [f"w{i}" for i in range(25)]
+    base = [words[:k] for k in (4, 9, 14, 19, 24)]
+    rows = [(i, " ".join(b[rng.randrange(3) : len(b) - rng.randrange(3)] + rng.choices(words, k=rng.randrange(3)))) for i, b in enumerate(rng.choices(base, k=90))]
+    got = sorted(map(tuple, J.near_duplicates(make_docs(rows), 1, percent).collect()), key=repr)
+    assert got == brute(rows, 1, percent)
+
+
+def test_counts_are_added_up_in_a_tree(spark, make_docs, monkeypatch):
+    docs = make_docs([(i, f"a b c d{i % 3}") for i in range(64)]).repartition(20)
+    whole = J.rarity(docs, 3)
+    monkeypatch.setattr(J, "FAN_IN", 3)
+    assert (J.rarity(docs, 3) == whole).all() and whole.max() > 0
+
+
+def test_distinct_documents_of_equal_and_null_ids(spark, make_docs):
+    near = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, near + " x"), (5, "quite another text of its own"), (None, near), (None, near + " y"), (3, near), (None, ""), (None, None), (None, "alone and without an id")]
+    docs = make_docs(rows)
+    kept = J.distinct_documents(docs, 5, 80)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(repr, [(3, near), (5, "quite another text of its own"), (None, ""), (None, None), (None, "alone and without an id")]))

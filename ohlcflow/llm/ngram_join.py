@@ -334,10 +334,14 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
 def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of ``docs`` for each component, that of the least id (then place in the table), columns unchanged.
 
-    Rows are told apart by a number of their own: rows with equal ids are
-    compared like any others, and rows with a null id, which come last, too. Rows
-    without words are linked with nothing and all stay.
+    Where ids do not tell all rows apart, rows are told apart by a number of their
+    own: rows with equal ids are compared like any others, and rows with a null id,
+    which come last, too. Rows without words are linked with nothing and all stay.
     """
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("_n"))
+    if ids.where("doc_id is null or _n > 1").isEmpty():
+        kept = near_duplicates(docs, n, percent).where("component_id = doc_id").select(F.col("doc_id").alias("_kept"))
+        return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
     row = free_name(docs, "_row_of_join")
     numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "join-docs")
     group = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), n, percent)

@@ -4,19 +4,25 @@ Patterns propose candidate spans in every whole text. Four labelers vote on
 each (for, against, or no opinion): the shape's own check, a gazetteer (issuer
 and country prefixes, top-level domains, reserved networks), the words before the span,
 and its neighbouring characters. Votes are counted over all documents into a
-table of bounded size, expectation-maximisation estimates the labelers'
-reliabilities from it, and a logistic span classifier is trained on the resulting
-probabilities. Spans of the base kinds that pass their check always stay;
-the classifier adds others.
+table of bounded size, and expectation-maximisation estimates from it how reliable
+each labeler is and how likely each pattern of votes is right; no labeler has a veto.
+A logistic span classifier is then trained on these probabilities. It does not see the
+votes but the span and its surroundings: the span's shape, first characters and length,
+the characters beside it, the words before and behind it. It is trained on a bounded
+sample of candidates by hash and decides every candidate that is not a base span; spans
+of the base kinds that pass their check always stay.
 
 Defined cases: a null text is empty and has no span; null ids, ties and
-repeated rows are independent of each other; an empty table fits no model and
+repeated rows are independent of each other; a very long text is searched whole, in
+time and memory in proportion to itself; an empty table fits no model and
 gives no rows. Other columns stay as they are (``redact``) or are not read.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +37,8 @@ KINDS = ["email", "ip", "card", "phone", "local_phone", "national_id", "iban", "
 BASE = KINDS[:4]
 #: A candidate that is not a base span is one from this probability on.
 ACCEPT = 0.5
+#: Candidates that the classifier is trained on at most, drawn by hash, and the width of its hashed features.
+SAMPLE_SPANS, WIDTH = 10_000, 1 << 12
 
 # fixed values: prefixes and names that gazetteers list
 _CALLING = tuple("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 92 351 352 353 354 358 359 370 371 372 380 385 386 420 421 852 886 971 972".split())
@@ -147,47 +155,98 @@ LABELERS = 4
 PATTERNS = len(KINDS) * 3**LABELERS * 4
 
 
-def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
-    """(base spans, other candidates with their patterns); other candidates do not overlap base spans of equal or other kind."""
+def _shape(s: str) -> str:
+    """The span's kinds of characters, runs as one: A, a, 9, or the character itself."""
+    out = []
+    for c in s[:80]:
+        k = "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
+        if not out or out[-1] != k:
+            out.append(k)
+    return "".join(out)
+
+
+def _class(c: str) -> str:
+    return "" if not c else "9" if c.isdigit() else "a" if c.isalpha() else " " if c.isspace() else c
+
+
+def features(text: str, kind: int, start: int, end: int, good: bool) -> list[int]:
+    """Hashed features of a span and its surroundings."""
+    s, left, right = text[start:end], text[max(0, start - 60) : start], text[end : end + 30]
+    before, behind = left.lower().split(), right.lower().split()
+    of_kind = [
+        f"good {good}", f"shape {_shape(s)}", f"length {min(len(s), 40) // 2}", f"first {s[:1]}", f"first two {s[:2]}", f"last {s[-1:]}",
+        f"digits {min(len(_digits(s)), 24)}", f"left {_class(left[-1:])}", f"right {_class(right[:1])}",
+    ]
+    around = [f"before {w.strip(_AROUND)}" for w in before[-3:]] + [f"just before {w}" for w in before[-1:]] + [f"behind {w.strip(_AROUND)}" for w in behind[:2]]
+    names = [f"kind {kind}", *[f"{kind} {n}" for n in of_kind], *around, *[f"{kind} {n}" for n in around]]
+    return sorted({zlib.crc32(n.encode()) % WIDTH for n in names})
+
+
+_AROUND = ".,;:!?\"'()[]{}<>|#*="
+
+
+class _Covered:
+    """Non-overlapping parts of a text, from spans in any order."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        k = bisect_right(self.starts, b - 1) - 1
+        return k >= 0 and self.ends[k] > a
+
+
+def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, bool]]]:
+    """(base spans, other candidates with whether they pass their check); other candidates do not overlap base spans of equal or other kind."""
     base, other = [], []
     for kind, a, b, good in matches(text):
         (base if kind < len(BASE) and good else other).append((kind, a, b, good))
-    free = [x for x in other if not any(x[1] < b and a < x[2] for _, a, b, _ in base)]
-    return [x[:3] for x in base], [(k, a, b, pattern_of(text, k, a, b, g)) for k, a, b, g in free]
+    covered = _Covered([(a, b) for _, a, b, _ in base])
+    return [x[:3] for x in base], [x for x in other if not covered.meets(x[1], x[2])]
+
 
+_SPAN = "struct<kind: int, start: long, end: long, pattern: int, features: array<int>>"
+_FOUND = f"doc_id long, base array<{_SPAN}>, other array<{_SPAN}>"
 
-_SPAN = "struct<kind: int, start: long, end: long>"
-_FOUND = f"doc_id long, base array<{_SPAN}>, base_patterns array<int>, other array<struct<kind: int, start: long, end: long, pattern: int>>"
+
+def _described(text: str, kind: int, a: int, b: int, good: bool) -> dict:
+    return {"kind": kind, "start": a, "end": b, "pattern": pattern_of(text, kind, a, b, good), "features": features(text, kind, a, b, good)}
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans and their patterns, other candidates: one row per document."""
+    """doc_id, base spans and other candidates, each with its votes and features: one row per document."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
-        more = pa.struct([*span, ("pattern", pa.int32())])
-        schema = pa.schema([("doc_id", pa.int64()), ("base", pa.list_(span)), ("base_patterns", pa.list_(pa.int32())), ("other", pa.list_(more))])
+        span = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("pattern", pa.int32()), ("features", pa.list_(pa.int32()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("base", pa.list_(span)), ("other", pa.list_(span))])
         for (ids,), texts in chunks(batches):
             found = [find(t) for t in texts]
-            yield record_batch(
-                schema,
-                [
-                    ids,
-                    [[dict(kind=k, start=a, end=b) for k, a, b in base] for base, _ in found],
-                    [[pattern_of(t, k, a, b, True) for k, a, b in base] for t, (base, _) in zip(texts, found, strict=True)],
-                    [[dict(kind=k, start=a, end=b, pattern=p) for k, a, b, p in other] for _, other in found],
-                ],
-            )
+            base = [[_described(t, *x, True) for x in b] for t, (b, _) in zip(texts, found, strict=True)]
+            other = [[_described(t, *x) for x in o] for t, (_, o) in zip(texts, found, strict=True)]
+            yield record_batch(schema, [ids, base, other])
 
     return docs.select("doc_id", "text").mapInArrow(look, _FOUND)
 
 
 def pattern_counts(found: DataFrame) -> dict[int, int]:
     """Candidates by pattern over all documents: at most ``PATTERNS`` rows."""
-    all_ = F.explode(F.concat("base_patterns", F.transform("other", lambda s: s["pattern"]))).alias("pattern")
+    all_ = F.explode(F.transform(F.concat("base", "other"), lambda s: s["pattern"])).alias("pattern")
     return {r["pattern"]: r["count"] for r in found.select(all_).groupBy("pattern").count().collect()}
 
 
+def sample(found: DataFrame) -> list[tuple[int, list[int]]]:
+    """(pattern, features) of at most ``SAMPLE_SPANS`` candidates, those with the least hashes."""
+    spans = found.select("doc_id", F.explode(F.concat("base", "other")).alias("s")).select("doc_id", "s.*")
+    order = [F.xxhash64("doc_id", "kind", "start", "end"), F.col("doc_id"), F.col("kind"), F.col("start"), F.col("features")]
+    return [(r.pattern, r.features) for r in spans.orderBy(*order).limit(SAMPLE_SPANS).select("pattern", "features").collect()]
+
+
 def _votes(pattern: int) -> tuple[int, list[int], int]:
     code, size = divmod(pattern, 4)
     votes = []
@@ -219,60 +278,83 @@ def estimate(counts: dict[int, int], rounds: int = 60) -> tuple[dict[int, float]
     return dict(zip(patterns, p.tolist(), strict=True)), rates
 
 
-def _features(pattern: int) -> np.ndarray:
-    kind, votes, size = _votes(pattern)
-    x = np.zeros(1 + len(KINDS) + 3 * LABELERS + 4)
-    x[[0, 1 + kind, 1 + len(KINDS) + 3 * LABELERS + size]] = 1
-    for j, v in enumerate(votes):
-        x[1 + len(KINDS) + 3 * j + v] = 1
-    return x
+class SpanClassifier:
+    """A weight for each hashed feature."""
 
+    def __init__(self, weights: np.ndarray | None):
+        self.weights = weights
 
-def fit(counts: dict[int, int], rounds: int = 400) -> dict[int, float]:
-    """The span classifier as a table: the probability of every pattern seen."""
+    def probability(self, on: list[int]) -> float:
+        if self.weights is None:
+            return 0.0
+        return float(1 / (1 + np.exp(-self.weights[on].sum())))
+
+
+def fit(found: DataFrame, rounds: int = 300) -> SpanClassifier:
+    """The span classifier, trained on what the labelers say of the candidates ``found``."""
+    counts = pattern_counts(found)
     if not counts:
-        return {}
+        return SpanClassifier(None)
     soft, _ = estimate(counts)
-    patterns = sorted(counts)
-    x, y = np.array([_features(p) for p in patterns]), np.array([soft[p] for p in patterns])
-    n = np.sqrt(np.array([counts[p] for p in patterns], float))  # frequent patterns must not drown the rare
-    n /= n.sum()
-    w, g2 = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-8)
+    return train([(x, soft[p]) for p, x in sample(found)], rounds)
+
+
+def train(spans: list[tuple[list[int], float]], rounds: int = 300) -> SpanClassifier:
+    """Logistic regression from features to probabilities; the two sides weigh as much as each other."""
+    if not spans:
+        return SpanClassifier(None)
+    rows = np.repeat(np.arange(len(spans)), [len(x) for x, _ in spans])
+    at = np.concatenate([np.array(x, np.int64) for x, _ in spans])
+    y = np.array([p for _, p in spans])
+    weight = np.where(y >= 0.5, 0.5 / max(1, (y >= 0.5).sum()), 0.5 / max(1, (y < 0.5).sum()))
+    w, g2 = np.zeros(WIDTH), np.full(WIDTH, 1e-8)
     for _ in range(rounds):
-        g = x.T @ (n * (1 / (1 + np.exp(-x @ w)) - y)) + 1e-4 * w
+        p = 1 / (1 + np.exp(-np.bincount(rows, w[at], len(spans))))
+        g = np.bincount(at, (weight * (p - y))[rows], WIDTH) + 1e-4 * w
         g2 += g * g
-        w -= 0.5 * g / np.sqrt(g2)
-    return dict(zip(patterns, (1 / (1 + np.exp(-x @ w))).tolist(), strict=True))
+        w -= 0.3 * g / np.sqrt(g2)
+    return SpanClassifier(w)
 
 
-def accepted(model: dict[int, float]) -> list[int]:
-    return [p for p, prob in model.items() if prob >= ACCEPT and _votes(p)[1][0] != 2]
+def detect(found: DataFrame, model: SpanClassifier) -> DataFrame:
+    """doc_id, counts, digest and spans of the rows of ``candidates``."""
+    weights = found.sparkSession.sparkContext.broadcast(model)  # ``WIDTH`` numbers
 
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))) for n in ("base", "more")]])
+        bare = lambda spans: [{k: s[k] for k in ("kind", "start", "end")} for s in spans]
+        for batch in batches:
+            ids, base, other = (c.to_pylist() for c in batch.columns)
+            more = [bare(s for s in spans if weights.value.probability(s["features"]) >= ACCEPT) for spans in other]
+            yield record_batch(schema, [ids, [bare(x) for x in base], more])
 
-def detect(found: DataFrame, model: dict[int, float]) -> DataFrame:
-    """doc_id, counts, digest and spans of the rows of ``candidates``."""
-    ok = F.array(*map(F.lit, accepted(model))).cast("array<int>")
-    more = F.transform(F.filter("other", lambda s: F.array_contains(ok, s["pattern"])), lambda s: F.struct(*[s[c].alias(c) for c in ("kind", "start", "end")]))
-    return found.select(
+    span = "array<struct<kind: int, start: long, end: long>>"
+    decided = found.select("doc_id", "base", "other").mapInArrow(decide, f"doc_id long, base {span}, more {span}")
+    return decided.select(
         "doc_id",
         *[of_kind("base", k).alias(f"n_{name}") for k, name in enumerate(BASE)],
         F.sha2(span_digest(F.col("base"), KINDS, by_start=False), 256).alias("base_sha256"),
-        span_digest(F.concat("base", more), KINDS, by_start=False).alias("spans"),
+        span_digest(F.concat("base", "more"), KINDS, by_start=False).alias("spans"),
     )
 
 
-def redact(docs: DataFrame, model: dict[int, float]) -> DataFrame:
+def accepted(text: str, model: SpanClassifier) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of the base spans of a text and of those that the classifier adds."""
+    base, other = find(text)
+    return base + [x[:3] for x in other if model.probability(features(text, *x)) >= ACCEPT]
+
+
+def redact(docs: DataFrame, model: SpanClassifier) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; n_chars, if there, follows. Columns stay."""
-    ok, at = set(accepted(model)), docs.columns.index("text")
+    at = docs.columns.index("text")
     count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    weights = docs.sparkSession.sparkContext.broadcast(model)
 
     def clean(text: str | None) -> str | None:
         if not text:
             return text
-        base, other = find(text)
-        spans = sorted((a, b, k) for k, a, b in [*base, *((k, a, b) for k, a, b, p in other if p in ok)])
         out, end = [], 0
-        for a, b, k in spans:
+        for a, b, k in sorted((a, b, k) for k, a, b in accepted(text, weights.value)):
             if a < end:  # overlaps one that is gone already: its rest goes too
                 end = max(end, b)
                 continue
@@ -281,12 +363,15 @@ def redact(docs: DataFrame, model: dict[int, float]) -> DataFrame:
         return "".join([*out, text[end:]])
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [clean(x.as_py()) for x in batch.column(at)]
-            columns = list(batch.columns)
-            columns[at] = pa.array(texts, batch.schema.field(at).type)
-            if count is not None:
-                columns[count] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(count).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+        for whole in batches:
+            rows = max(1, (whole.num_rows << 22) // max(whole.nbytes, 1 << 22))  # about 4 MB at once
+            for k in range(0, whole.num_rows, rows):
+                batch = whole.slice(k, rows)
+                texts = [clean(x.as_py()) for x in batch.column(at)]
+                columns = list(batch.columns)
+                columns[at] = pa.array(texts, batch.schema.field(at).type)
+                if count is not None:
+                    columns[count] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(count).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(replace, docs.schema)

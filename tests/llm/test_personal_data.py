@@ -28,6 +28,7 @@ def brute(text):
     return [(k, m.start(), m.end()) for k, (kind, p) in enumerate(PATTERNS.items()) for m in re.finditer(p, text or "") if good(kind, m[0])]
 
 
+NONE = P.SpanClassifier(None)
 TEXTS = [
     "mail ehf.88@mail4.example.com now, a@b@c.d.e @x.y z@.q k@w. 53.203.58.102 256.1.1.1 1.2.3.4.5.6.7.8",
     "+1 (403) 555-9312 card 4495114827612972 or 4495 1148 2761 2972 and 4495114827612973, +12 34, 5",
@@ -40,7 +41,7 @@ TEXTS = [
 def test_base_spans(spark, make_docs):
     docs = make_docs(list(enumerate(TEXTS)) + [(0, TEXTS[0]), (None, TEXTS[1])])
     found = P.candidates(docs)
-    for r in P.detect(found, P.fit(P.pattern_counts(found))).collect():
+    for r in P.detect(found, P.fit(found)).collect():
         want = brute(TEXTS[1 if r.doc_id is None else r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for k, *_ in want) for i in range(4)]
         joined = ",".join(f"{P.KINDS[k]}:{a}:{b}" for k, a, b in sorted(want))
@@ -61,13 +62,78 @@ def test_labelers_are_told_apart():
     p, rates = P.estimate(counts)
     assert p[code(4, (1, 0, 1, 1))] > 0.9 > 0.1 > p[code(2, (2, 2, 0, 2))]
     assert rates[0, 1, 1] > 0.9 and rates[0, 0, 2] > 0.9
-    model = P.fit(counts)
-    assert code(4, (1, 0, 1, 1)) in P.accepted(model) and code(2, (2, 1, 0, 2)) not in P.accepted(model)
+    # the shape's own check is no veto: the others overrule it where they prove right as often
+    counts = {code(0, (1, 1, 1, 1)): 900, code(2, (2, 2, 2, 2)): 900, code(4, (2, 1, 1, 1)): 40, code(4, (1, 2, 2, 2)): 40}
+    p, _ = P.estimate(counts)
+    assert p[code(4, (2, 1, 1, 1))] > 0.5 > p[code(4, (1, 2, 2, 2))]
 
 
 def test_redact(spark, make_docs, odd_docs, no_docs):
     docs = make_docs([(1, "write bob@site.org or +44 20 7946 0958 now"), (2, None), (3, "clean")])
-    got = {r.doc_id: (r.text, r.n_chars) for r in P.redact(docs, {}).collect()}
+    got = {r.doc_id: (r.text, r.n_chars) for r in P.redact(docs, NONE).collect()}
     assert got == {1: ("write <email> or <phone> now", 28), 2: (None, None), 3: ("clean", 5)}
-    assert sorted(map(repr, P.redact(odd_docs, {}).select("doc_id", "text").collect())) == sorted(map(repr, odd_docs.select("doc_id", "text").collect()))
-    assert P.redact(no_docs, {}).count() == 0 and P.fit(P.pattern_counts(P.candidates(no_docs))) == {}
+    assert sorted(map(repr, P.redact(odd_docs, NONE).select("doc_id", "text").collect())) == sorted(map(repr, odd_docs.select("doc_id", "text").collect()))
+    assert P.redact(no_docs, NONE).count() == 0 and P.fit(P.candidates(no_docs)).weights is None
+
+
+# sentences with their spans marked by hand: [kind|span], and numbers that are no personal data
+LABELLED = [
+    "please call ([local_phone|403-555-9312]) today", "my phone is [local_phone|(826) 555-4081] at work", "call [local_phone|712.555.0143] before noon",
+    "tel [local_phone|919-555-7781], ask for Ann", "mobile [local_phone|(204) 555-6120] or mail", "phone [local_phone|530-555-2299] now",
+    "ssn [national_id|123-45-6789] on file", "social [national_id|321-54-9876] given", "her ssn is [national_id|219-09-9999] as said", "ssn: [national_id|457-55-5462].",
+    "iban [iban|GB82WEST12345698765432] please", "bank account [iban|DE89370400440532013000] there", "pay to iban [iban|FR1420041010050500013M02606] now", "account [iban|NL91ABNA0417164300] was used",
+    "write to [masked_email|bob [at] site [dot] com] soon", "mail [masked_email|ann.lee(at)mail.org] today", "contact [masked_email|joe at] none", "e-mail [masked_email|kim [at] post.net] first",
+    "order 4495114827612973 shipped", "invoice 77210098341265 paid", "build 20240117083015 done", "serial 9911223344556677 here", "commit 123456789012 merged", "release 8123456790 notes",
+    "id 000-12-3456x and part", "hash 0099887766554433 of it", "isbn 9781234567890 in print", "sku 5550001112223334 left", "version 10203040506070 out", "section 1234567890 ends",
+]
+
+
+def marked(line):
+    """(text, spans) of a marked sentence; a mark without a closing span of its kind's form is left out of the truth."""
+    text, spans, rest = "", [], line
+    for m in re.finditer(r"\[(local_phone|national_id|iban|masked_email)\|((?:[^\[\]]|\[(?:at|dot)\])*)\]", line):
+        text = text + line[len(line) - len(rest) : m.start()]
+        if not m[2].endswith(" at"):
+            spans.append((P.KINDS.index(m[1]), len(text), len(text) + len(m[2])))
+        text += m[2]
+        rest = line[m.end() :]
+    return text + rest, spans
+
+
+def test_held_out_spans_of_hand_labelled_sentences(spark, make_docs):
+    """Trained without labels on every other sentence (many times over), held against the labels of the rest."""
+    lines = [marked(x) for x in LABELLED]
+    train = [t for k, (t, _) in enumerate(lines) if k % 2 == 0]
+    docs = make_docs([(i, t) for i, t in enumerate(train * 8 + TEXTS[:1] * 20)])
+    model = P.fit(P.candidates(docs))
+    hit = wrong = missed = 0
+    for text, want in [x for k, x in enumerate(lines) if k % 2]:
+        got = set(P.accepted(text, model))
+        hit, wrong, missed = hit + len(got & set(want)), wrong + len(got - set(want)), missed + len(set(want) - got)
+    print(hit, wrong, missed)
+    assert hit / (hit + missed) >= 0.85 and hit / (hit + wrong) >= 0.85
+
+
+def test_spans_beyond_base_in_the_given_table(spark):
+    """Two telephone numbers that the base pattern swallows together with an address behind them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    found = P.candidates(docs)
+    rows = P.detect(found, P.fit(found)).where("spans like '%local_phone%'").collect()
+    texts = {r.doc_id: r.text for r in docs.where(docs.doc_id.isin([r.doc_id for r in rows])).collect()}
+    for r in rows:
+        a, b = map(int, re.search(r"local_phone:(\d+):(\d+)", r.spans).groups())
+        assert re.fullmatch(r"\([0-9]{3}\) 555-[0-9]{4}", texts[r.doc_id][a:b])
+    assert len(rows) >= 2
+
+
+def test_overlaps_are_found_in_any_order():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(300):
+        spans = [(a, a + rng.randint(1, 6)) for a in (rng.randrange(40) for _ in range(rng.randrange(8)))]
+        covered = P._Covered(spans)
+        for _ in range(20):
+            a = rng.randrange(45)
+            b = a + rng.randint(1, 5)
+            assert covered.meets(a, b) == any(a < y and x < b for x, y in spans)

@@ -31,7 +31,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Personal data replaced by its kind; n_chars follows."""
     from ohlcflow.llm import personal_data as P
 
-    return P.redact(docs, P.fit(P.pattern_counts(P.candidates(docs))))
+    return P.redact(docs, P.fit(materialize(P.candidates(docs), "personal")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,8 +65,14 @@ FORBIDDEN = (
 )
 
 
+# Keys whose result is a scan of tables that they wrote: there is no plan of theirs to look at.
+WRITTEN = {"streaming_silver", "incremental_silver", "incremental_stock_summary", "incremental_marts"}
+
+
 def test_no_cross_joins_or_python_in_any_registered_query(spark):
     for name, fn in Q.QUERIES.items():
+        if name in WRITTEN:
+            continue
         plan = _plan(fn(spark, SF_SMALL))
         bad = [op for op in FORBIDDEN if op in plan]
         assert not bad, (name, bad)

@@ -51,7 +51,7 @@ SMALL_GROUP = 32
 #: Leaders of a large group.
 LEADERS = 4
 #: Hashes of words that a Python worker remembers.
-MEMO = 300_000
+MEMO = 100_000
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 
 
@@ -108,7 +108,8 @@ def rarity(docs: DataFrame, n: int) -> np.ndarray:
         for _, texts in chunks(batches):
             got = [np.unique(gram_hashes(word_hashes(_HASH, split(t)), n)) for t in texts]
             if got:
-                seen += np.bincount((np.concatenate(got) % np.uint64(WIDTH)).astype(np.int64), minlength=WIDTH).astype(np.uint32)
+                at, times = np.unique(np.concatenate(got) % np.uint64(WIDTH), return_counts=True)
+                seen[at.astype(np.int64)] += times.astype(np.uint32)
         pack, task = zstandard.ZstdCompressor(level=1).compress, TaskContext.get().partitionId()
         schema = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
         blocks = [pack(x.tobytes()) for x in seen.reshape(BLOCKS, -1)]

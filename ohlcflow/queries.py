@@ -296,9 +296,18 @@ def write_price_csvs(bars: DataFrame, root: str) -> None:
     )
     b = bars.filter(~even).select(*CSV_VARIANT_B, "symbol")
     for i, part in enumerate((a, b)):
-        part.write.mode("overwrite" if i == 0 else "append").option("header", True).partitionBy(
-            "symbol"
-        ).csv(root)
+        _by_symbol(part).mode("overwrite" if i == 0 else "append").option("header", True).csv(root)
+
+
+def _by_symbol(bars: DataFrame):
+    """A writer of one folder and one file per symbol.
+
+    Each symbol's rows go to one task first: without it every task holds rows of
+    every symbol and writes a file for each. The files are moved to their place by
+    the tasks (commit algorithm 2, the folder is a fresh one), not one after the
+    other by the driver.
+    """
+    return bars.repartition("symbol").write.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("symbol")
 
 
 def q_scan_csv(spark, sf_dir):
@@ -309,9 +318,9 @@ def q_scan_csv(spark, sf_dir):
 
 def write_symbol_files(spark, bars: DataFrame, root: str) -> dict[str, str]:
     """One CSV file per symbol (``symbol=<s>/part-*.csv``); returns symbol -> file."""
-    bars.repartition("symbol").write.option("header", True).partitionBy("symbol").csv(root)
+    _by_symbol(bars).option("header", True).csv(root)
     # the written file of each symbol, from the table's file listing
-    files = spark.read.option("header", True).csv(root).inputFiles()
+    files = spark.read.schema("value string").text(root, recursiveFileLookup=True).inputFiles()
     return {re.search(r"symbol=([^/]+)/", f).group(1): f for f in files}
 
 
@@ -320,7 +329,7 @@ def q_scan_csv_multiline(spark, sf_dir):
     root = scratch_path(spark, "quoted-csv")
     note = F.format_string('of %s,\n"closed"\n\nat %s', F.col("date").cast("string"), F.col("close").cast("string"))
     bars = clean_bars(spark, sf_dir).select(note.alias("Note"), "*")
-    bars.write.option("header", True).option("quoteAll", True).option("escape", '"').partitionBy("symbol").csv(root)
+    _by_symbol(bars).option("header", True).option("quoteAll", True).option("escape", '"').csv(root)
     return _typed_bars(scan_csv(spark, root))
 
 

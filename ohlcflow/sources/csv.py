@@ -20,13 +20,12 @@ from __future__ import annotations
 import csv
 import io
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.storage import path_exists
 from ..schemas import BAR_FIELDS, CSV_MISSING_DEFAULTS
 
 # Header names accepted per field, in priority order (fixed values).
@@ -42,6 +41,12 @@ HEADER_NAMES = {
 BATCH_ROWS = 10_000
 #: Longest cell accepted, in characters (the parser's own limit is 131,072).
 MAX_CELL_CHARS = 1 << 30
+#: Files of a symbol -> file map that one reader pattern names.
+FILES_IN_PATTERN = 1000
+# Absolute paths that are their own URI but for the scheme, and such URIs.
+_NAME = "[A-Za-z0-9_=][A-Za-z0-9_.=-]*"
+_PLAIN_PATH = re.compile(rf"(?:file:/*)?((?:/{_NAME})+)")
+_PLAIN_URI = re.compile(rf"([a-z][a-z0-9+.-]*:(?://[A-Za-z0-9_.:-]*)?)/({_NAME}(?:/{_NAME})*)")
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _PARSED = "_file string, " + ", ".join(f"{f} string" for f in BAR_FIELDS[1:])
 
@@ -107,6 +112,41 @@ def _literal(spark: SparkSession, uri: str) -> str:
     return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
 
 
+def _uris_of(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
+    """:func:`_uri_of` of each path; plain names share one call to the file system."""
+    own = _uri_of(spark, "/").removesuffix("/")
+    uris = {}
+    for path in paths:
+        m = _PLAIN_PATH.fullmatch(path)
+        uris[path] = (own if m[0] == m[1] else "file://") + m[1] if m else _uri_of(spark, path)
+    return uris
+
+
+def _present(spark: SparkSession, uris: Iterable[str]) -> list[str]:
+    """Patterns that name those of the files that exist.
+
+    The reader resolves a pattern of many names at once; each is asked before
+    whether it finds any file, as a reader takes no pattern that finds none.
+    """
+    plain, patterns = {}, []
+    for uri in uris:
+        if m := _PLAIN_URI.fullmatch(uri):
+            plain.setdefault(m[1], []).append(m[2])
+        else:
+            patterns.append(_literal(spark, uri))
+    for root, names in plain.items():
+        for k in range(0, len(names), FILES_IN_PATTERN):
+            patterns.append(f"{root}/{{{','.join(names[k : k + FILES_IN_PATTERN])}}}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def found(pattern: str) -> bool:
+        path = hadoop.Path(pattern)
+        return bool(path.getFileSystem(conf).globStatus(path))
+
+    return [p for p in patterns if found(p)]
+
+
 def _unescaped(name: Column) -> Column:
     """Percent-escapes decoded (a plus sign stays one); NULL if one is malformed."""
     return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
@@ -132,9 +172,9 @@ def scan_csv(
     if symbol_files is None:
         where = [path]
     else:
-        there = {p: path_exists(spark, p) for p in set(symbol_files.values())}
-        pairs = [(_uri_of(spark, p), s) for s, p in symbol_files.items() if there[p]]
-        where = [_literal(spark, u) for u in dict.fromkeys(u for u, _ in pairs)]
+        uris = _uris_of(spark, symbol_files.values())
+        pairs = [(uris[p], s) for s, p in symbol_files.items()]
+        where = _present(spark, dict.fromkeys(u for u, _ in pairs))
     if not where:
         return spark.createDataFrame([], ",".join(f"{c} string" for c in [*BAR_FIELDS, *["_file"] * keep_file]))
     files = spark.read.schema("value string").text(where, wholetext=True, recursiveFileLookup=symbol_files is None)
@@ -146,5 +186,6 @@ def scan_csv(
         bars = bars.withColumn("symbol", F.when((level != "") & (level != DEFAULT_PARTITION), name))
     else:
         table = spark.createDataFrame([(_plain(u), s) for u, s in pairs], "_path string, symbol string")
-        bars = bars.join(table, F.regexp_replace("_file", r"^file:/+", "/") == F.col("_path"))
+        # the map came from the driver's memory; the bars are not sorted for it
+        bars = bars.join(F.broadcast(table), F.regexp_replace("_file", r"^file:/+", "/") == F.col("_path"))
     return bars.select(*BAR_FIELDS, *["_file"] * keep_file)

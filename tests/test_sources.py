@@ -118,3 +118,30 @@ def test_csv_query_writes_both_header_variants(spark, raw_bars):
     root = scratch_path(spark, "csv-variants")
     write_price_csvs(raw_bars([(s, "2020-01-02", "1", "2", "1", "1", "5") for s in ("S00", "S01", "S09")]), root)
     assert {r["value"] for r in spark.read.text(root).collect() if "ate" in r["value"]} == {"Date,Open,High,Low,Close,Volume,OpenInt", "close,date,open,high,low,volume"}
+
+
+def test_csv_map_of_many_files_asks_for_them_in_groups(spark, monkeypatch):
+    from ohlcflow.sources import csv as C
+
+    asked = []
+    monkeypatch.setattr(C, "_uri_of", lambda s, p, own=C._uri_of: asked.append(p) or own(s, p))
+    monkeypatch.setattr(C, "FILES_IN_PATTERN", 4)
+    root = scratch_path(spark, "csv-many")
+    files = {f"S{k}": f"{root}/symbol=S{k}/a.csv" for k in range(10)}
+    for k in (0, 1, 2, 9):  # the names of the second group are all missing
+        _write(files[f"S{k}"], ["date,close", f"2020-01-0{k + 1},{k}"])
+    files |= {"again": f"file://{files['S1']}", "odd": f"{root}/./symbol=S2//a.csv"}
+    got = sorted((r.symbol, r.close) for r in scan_csv(spark, symbol_files=files).collect())
+    assert got == [("S0", "0"), ("S1", "1"), ("S2", "2"), ("S9", "9"), ("again", "1"), ("odd", "2")]
+    assert len(asked) == 2  # the root and the name that is not plain
+
+
+def test_csv_queries_write_one_file_per_symbol(spark, raw_bars):
+    from ohlcflow.queries import write_price_csvs
+
+    days = [f"2020-01-{d:02d}" for d in range(1, 29)]
+    bars = raw_bars([(s, d, "1", "2", "1", "1", "5") for s in ("S00", "S01", "S02") for d in days]).repartition(7, "date")
+    root = scratch_path(spark, "csv-files")
+    write_price_csvs(bars, root)
+    assert len([f for s in ("S00", "S01", "S02") for f in os.listdir(f"{root}/symbol={s}") if f.endswith(".csv")]) == 3
+    assert scan_csv(spark, root).count() == 3 * len(days)

@@ -49,18 +49,35 @@ def _write_observed(df: DataFrame, name: str, path: str, counts: dict, **kw) ->
     counts[name] = int(obs.get["rows"])
 
 
+#: Up to this many symbols get a folder each by default.
+MAX_SYMBOL_FOLDERS = 1000
+
+
+def folders_by_symbol(wanted: bool | None, bars: DataFrame) -> bool:
+    """Resolve ``partition_by_symbol``: None makes folders for up to ``MAX_SYMBOL_FOLDERS`` symbols of ``bars``.
+
+    A folder holds one small file or more, which every later scan lists and opens,
+    so with very many symbols the files cost more than their rows. One job over the
+    symbols; it counts up to the limit only.
+    """
+    if wanted is not None:
+        return wanted
+    return bars.select("symbol").distinct().limit(MAX_SYMBOL_FOLDERS + 1).count() <= MAX_SYMBOL_FOLDERS
+
+
 def write_silver(
     silver: DataFrame,
     path: str,
     fmt: str = "parquet",
     counts: dict | None = None,
-    partition_by_symbol: bool = True,
+    partition_by_symbol: bool | None = None,
 ):
     """Rows range-partitioned on (symbol, date), so each task writes few files
     and a hot symbol spans tasks; Hive-partitioned by symbol unless
-    ``partition_by_symbol`` is off (for millions of symbols: the files stay
+    ``partition_by_symbol`` is off (for many symbols: the files stay
     clustered by symbol, and Parquet min/max statistics still skip row groups
-    on a symbol filter)."""
+    on a symbol filter). None: by the number of symbols."""
+    partition_by_symbol = folders_by_symbol(partition_by_symbol, silver)
     _write_observed(
         silver, "silver", path, counts if counts is not None else {},
         partition_by=["symbol"] if partition_by_symbol else None, fmt=fmt,
@@ -86,9 +103,9 @@ def bronze_to_silver(
     max_spike: float = MAX_PRICE_SPIKE,
     fmt: str = "parquet",
     result: LayerResult | None = None,
-    partition_by_symbol: bool = True,
+    partition_by_symbol: bool | None = None,
 ) -> DataFrame:
-    """Write silver (symbol-partitioned by default) and return it read back."""
+    """Write silver (symbol-partitioned unless there are many) and return it read back."""
     res = result if result is not None else LayerResult({"silver": silver_path})
     silver = to_silver(bronze, max_spike)
     res.schemas["silver"] = silver.schema
@@ -104,7 +121,7 @@ def silver_to_gold(
     fmt: str = "parquet",
     result: LayerResult | None = None,
     segmented: bool | str = False,
-    partition_by_symbol: bool = True,
+    partition_by_symbol: bool | None = None,
 ) -> LayerResult:
     """Write the three gold tables from a silver DataFrame.
 
@@ -114,6 +131,7 @@ def silver_to_gold(
     res = result if result is not None else LayerResult(dict(paths))
     # "auto" is resolved once (one small job) for both per-symbol windows
     segmented = should_segment(segmented, silver)
+    partition_by_symbol = folders_by_symbol(partition_by_symbol, silver)
     gold = {
         # stock_summary comes out of the window hash-partitioned by symbol and
         # sorted by (symbol, date): the partitioned write adds no shuffle.
@@ -142,12 +160,17 @@ def run_layers(
     min_rows: int = MIN_ROWS_PER_SYMBOL,
     fmt: str = "parquet",
     segmented: bool | str = False,
-    partition_by_symbol: bool = True,
+    partition_by_symbol: bool | None = None,
 ) -> LayerResult:
     """Silver -> quality gate -> gold; raises ``QualityGateError`` (gold not
-    written) when a gate check fails."""
+    written) when a gate check fails.
+
+    ``partition_by_symbol`` lays silver and the summary out in a folder per symbol;
+    by default (None) as long as there are no more than ``MAX_SYMBOL_FOLDERS``.
+    """
     paths = layer_paths(out_root)
     res = LayerResult({k: v for k, v in paths.items() if k != "bronze"})
+    partition_by_symbol = folders_by_symbol(partition_by_symbol, bronze)
     silver = bronze_to_silver(spark, bronze, paths["silver"], max_spike, fmt, res, partition_by_symbol)
     res.quality = assert_quality(dq_report(silver, expected_symbols, min_rows), gate_checks)
     return silver_to_gold(silver, paths, windows, top_n, fmt, res, segmented, partition_by_symbol)

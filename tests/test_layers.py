@@ -179,3 +179,16 @@ def test_layers_without_symbol_partitions(spark):
     assert views["stock_summary"].count() == res.counts["silver"] == 5334
     plan = views["stock_summary"].filter(F.col("symbol") == "S07")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(symbol,S07)" in plan  # pushed to the Parquet scan (row-group skipping)
+
+
+def test_layers_have_no_folder_per_symbol_when_there_are_many(spark, sample_bars, monkeypatch):
+    from ohlcflow.plans import layers as Y
+
+    rows = {}
+    for most in (2, 1):  # the sample has two symbols
+        monkeypatch.setattr(Y, "MAX_SYMBOL_FOLDERS", most)
+        res = run_layers(spark, sample_bars, scratch_path(spark, "layers-many"), expected_symbols=["NORD"], min_rows=1)
+        for name in ("silver", "stock_summary"):
+            assert any(n.startswith("symbol=") for n in os.listdir(res.paths[name])) == (most == 2)
+        rows[most] = sorted(map(tuple, register_sql_layer(spark, res)["stock_summary"].drop("_processed_at").collect()))
+    assert rows[1] == rows[2] and len(rows[1]) == 7

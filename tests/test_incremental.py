@@ -129,3 +129,14 @@ def test_only_new_batches_are_read(spark, bronze_of):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in text and "_batch_number" in text.split("PartitionFilters: [")[1].split("]")[0]
     assert plan.count() == 1
+
+
+def test_batches_of_the_bronze_share_one_aggregation(spark, monkeypatch):
+    from scales import SF_SMALL
+    from ohlcflow import queries as Q
+
+    seen = []
+    monkeypatch.setattr(Q, "dirty_bars", lambda bars, own=Q.dirty_bars: seen.append(bars._jdf.queryExecution().optimizedPlan().toString()) or own(bars))
+    rows = Q.batched_bronze(spark, SF_SMALL)
+    assert len(seen) == 3 and not any("Aggregate" in plan for plan in seen)
+    assert {r[0] for r in rows.select("_batch_number").distinct().collect()} == {1, 2, 3}

@@ -9,6 +9,7 @@ from ohlcflow.operators.quality import (
     dq_low_rows,
     dq_report,
     missing_symbols,
+    quality_counts,
 )
 from ohlcflow.operators.clean import cast_schema
 from ohlcflow.plans.silver import to_silver
@@ -97,3 +98,21 @@ def test_missing_symbols_long_list(spark, raw_bars, monkeypatch):
     monkeypatch.setattr(Qm, "INLINE_EXPECTED_LIMIT", 1)
     long = sorted(str(r[0]) for r in missing_symbols(silver, expected).collect())
     assert short == long == sorted(["Z", "None"] + [f"X{i}" for i in range(5)])
+
+
+def test_report_holds_no_map_of_keys(spark):
+    """Deduplicated rows are met in key order: neither hashed per (symbol, date) nor sorted again."""
+    from ohlcflow.operators.clean import deduplicate
+
+    rows = spark.range(40).selectExpr(
+        "if(id % 9 = 0, null, concat('S', id % 4)) symbol", "if(id % 7 = 0, null, date_add(date'2020-01-01', int(id % 5))) date",
+        "double(id - 2) open", "double(id) high", "double(id % 3 * id) low", "double(id) close", "id volume",
+    )
+    for df in (rows, deduplicate(rows, ["symbol", "date"])):
+        counts = quality_counts(df, by_sort=True)
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" not in plan and plan.count("SortAggregate(") == 2
+        assert sorted(map(repr, counts.collect())) == sorted(map(repr, quality_counts(df).collect()))
+    assert plan.count("Sort [") == 2  # those of the deduplication, before and after its shuffle
+    assert "HashAggregate(keys=[symbol" in dq_report(rows)._jdf.queryExecution().executedPlan().toString()  # per symbol
+    assert "SortAggregate(key=[symbol" in dq_report(rows)._jdf.queryExecution().executedPlan().toString()  # per key

@@ -9,7 +9,7 @@ from ohlcflow.plans.storage import scratch_path
 from ohlcflow.schemas import BAR_FIELDS
 from ohlcflow.sources.messages import encode_messages
 from ohlcflow.streaming.ingest import message_stream
-from ohlcflow.streaming.silver import late_bars, run_silver_stream, silver_stream, valid_bars
+from ohlcflow.streaming.silver import HAS_KEY, late_bars, run_silver_stream, silver_stream, unkeyed_bars, valid_bars
 
 
 class Feed:
@@ -92,3 +92,20 @@ def test_the_operator_is_stateful_and_bounded(spark):
     stream = spark.readStream.format("rate").load().select(F.lit("{}").alias("value"))
     plan = silver_stream(stream, "3 days")._jdf.queryExecution().logical().toString()
     assert "DeduplicateWithinWatermark" in plan and "EventTimeWatermark" in plan
+
+
+def test_rows_without_a_key_are_picked_before_prices_are_typed(spark, raw_bars):
+    messages = encode_messages(
+        raw_bars(
+            [
+                bar("A", "2024-01-01"), bar(None, "2024-01-01"), bar("A", "2024-13-01"), bar("A", None), bar("", "2024-01-02"),
+                bar(None, "no date", close="n/a"), bar(None, None), bar(None, "2024-01-03", open="-1"),
+            ]
+        )
+    )
+    got = unkeyed_bars(messages)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, valid_bars(messages).filter(f"NOT ({HAS_KEY})").collect()))
+    assert got.count() == 4
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    condition = next(x for x in plan.splitlines() if "Filter" in x and "isnull(" in x)
+    assert "try_cast(" in condition and condition.index("isnull(") < condition.index("try_cast(")

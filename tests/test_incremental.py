@@ -140,3 +140,22 @@ def test_batches_of_the_bronze_share_one_aggregation(spark, monkeypatch):
     rows = Q.batched_bronze(spark, SF_SMALL)
     assert len(seen) == 3 and not any("Aggregate" in plan for plan in seen)
     assert {r[0] for r in rows.select("_batch_number").distinct().collect()} == {1, 2, 3}
+
+
+def test_months_are_merged_by_one_shuffle_and_moved_into_place(spark, bronze_of, monkeypatch):
+    from ohlcflow.plans import incremental
+
+    monkeypatch.setattr(incremental, "ROWS_PER_FILE", 5)  # several files a month
+    days = [f"2024-{m:02d}-{d:02d}" for m in (1, 2) for d in range(1, 10)]
+    bronze = bronze_of([(s, d, "9", "5", 1) for s in ("A", "B", "C", None) for d in days[::2]] + [("A", d, "8", "70", 2) for d in days])
+    layers, plans, own = layers_at(spark), [], IncrementalLayers._merged
+    monkeypatch.setattr(layers, "_merged", lambda *a: plans.append(own(layers, *a)) or plans[-1])
+    layers.apply(bronze.filter("_batch_number = 1"))
+    layers.apply(bronze)
+    check(layers, bronze)
+    text = plans[1]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Sort" not in text.split("Exchange")[1]
+    for name in ("silver", "stock_summary"):
+        assert path_exists(spark, f"{layers.path(name)}/_period=2024-02") and not path_exists(spark, f"{layers._staged(2, name)}/_period=2024-02")
+    layers._publish(2)  # repeated: nothing is left to move
+    check(layers, bronze)

@@ -130,15 +130,14 @@ SEGMENT_ROWS = 100
 
 
 def q_moving_average_segmented(spark, sf_dir):
-    return FE.add_moving_averages(
-        clean_bars(spark, sf_dir), [7, 30, 90], segmented=True, block_rows=SEGMENT_ROWS
-    ).select(*BAR_KEY, "close", "ma_7d", "ma_30d", "ma_90d")
+    # the numbered rows are stored, so columns not asked for are left out before
+    bars = clean_bars(spark, sf_dir).select(*BAR_KEY, "close")
+    return FE.add_moving_averages(bars, [7, 30, 90], segmented=True, block_rows=SEGMENT_ROWS).select(*BAR_KEY, "close", "ma_7d", "ma_30d", "ma_90d")
 
 
 def q_volume_spike_segmented(spark, sf_dir):
-    return FE.add_volume_spike_flag(
-        clean_bars(spark, sf_dir), segmented=True, block_rows=SEGMENT_ROWS
-    ).select(*BAR_KEY, "volume", "avg_30d_volume", "volume_spike")
+    bars = clean_bars(spark, sf_dir).select(*BAR_KEY, "volume")
+    return FE.add_volume_spike_flag(bars, segmented=True, block_rows=SEGMENT_ROWS).select(*BAR_KEY, "volume", "avg_30d_volume", "volume_spike")
 
 
 def q_moving_average_prefix(spark, sf_dir):

@@ -72,3 +72,14 @@ def test_marts_segmented_pass_through(spark):
     s = Q.clean_silver(spark, SF_SMALL)
     assert _same(stock_summary(s, segmented=True), stock_summary(s))
     assert _same(volume_analysis(s, segmented="auto"), volume_analysis(s))
+
+
+def test_segmented_queries_store_the_columns_they_need(spark, monkeypatch):
+    from ohlcflow.plans import skew
+
+    seen, own = [], skew.series_row_number
+    monkeypatch.setattr(skew, "series_row_number", lambda df, *a, **k: seen.append(df.columns) or own(df, *a, **k))
+    averages = Q.q_moving_average_segmented(spark, SF_SMALL)
+    volumes = Q.q_volume_spike_segmented(spark, SF_SMALL)
+    assert seen == [["symbol", "date", "close"], ["symbol", "date", "volume"]]
+    assert _same(averages, Q.q_moving_average(spark, SF_SMALL)) and _same(volumes, Q.q_volume_spike(spark, SF_SMALL))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, discard, labelled_sample, materialize, record_batch, words
+from ohlcflow.llm.common import chunks, discard, labelled_sample, map_batches, materialize, record_batch, words
 
 #: Symbols, counted over whole texts.
 SYMBOLS = "#*$%&|<>"
@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> LineField:
                 runs = [lines[k : k + RUN_LINES] for k in range(0, len(lines), RUN_LINES)]
                 yield record_batch(schema, [[doc] * len(runs), [y] * len(runs), list(range(len(runs))), runs])
 
-    runs = materialize(rows.mapInArrow(describe, "doc_id long, label int, run long, lines array<binary>"), "line-runs")
+    runs = materialize(map_batches(rows, describe, "doc_id long, label int, run long, lines array<binary>"), "line-runs")
     order = [F.xxhash64("doc_id", "run"), F.col("doc_id"), F.col("run"), F.col("lines")]
     drawn = [runs.where(F.col("label") == y).orderBy(*order).limit(SAMPLE_RUNS) for y in (0, 1)]
     got = drawn[0].unionAll(drawn[1]).orderBy("doc_id", "label", "run", "lines").collect()
@@ -231,7 +231,7 @@ def quality(docs: DataFrame, field: LineField) -> DataFrame:
         for (ids,), texts in chunks(batches):
             yield record_batch(schema, [ids, *zip(*[judge(t, field) for t in texts], strict=True)])
 
-    return docs.select("doc_id", "text").mapInArrow(look, _OUT)
+    return map_batches(docs.select("doc_id", "text"), look, _OUT)
 
 
 def keep(docs: DataFrame, field: LineField) -> DataFrame:
@@ -242,4 +242,4 @@ def keep(docs: DataFrame, field: LineField) -> DataFrame:
         for batch in batches:  # one text at a time leaves Arrow
             yield batch.filter(pa.array([judge(x.as_py() or "", field)[6] for x in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(pick, docs.schema)
+    return map_batches(docs, pick, docs.schema)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, connected_components, discard, free_name, materialize, record_batch
+from ohlcflow.llm.common import chunks, connected_components, discard, free_name, map_batches, materialize, record_batch
 
 #: Width of the table of hashed counts (one byte each when broadcast), and rows it travels in.
 WIDTH, BLOCKS = 1 << 22, 32
@@ -126,7 +126,7 @@ def rarity(docs: DataFrame, n: int) -> np.ndarray:
 
     schema = "block int, part int, counts binary"
     texts = docs.select("text")
-    parts, tasks = texts.mapInArrow(count, schema), texts.rdd.getNumPartitions()
+    parts, tasks = map_batches(texts, count, schema), texts.rdd.getNumPartitions()
     while True:  # sums of ``FAN_IN`` tables each, over and over
         tasks = -(-tasks // FAN_IN)
         parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("block", "part").applyInPandas(add, schema)
@@ -181,7 +181,7 @@ def signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 rows.append((doc, len(h), hashlib.sha256(b" ".join(parts)).digest()[:16], h[rare[:first]].astype(np.int64), bit_vector(h)))
             yield record_batch(schema, list(zip(*rows, strict=True)))
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, size long, key binary, prefix array<long>, bits binary")
+    return map_batches(docs.select("doc_id", "text"), sign, "doc_id long, size long, key binary, prefix array<long>, bits binary")
 
 
 def _near(a: str, b: str, percent: int):
@@ -228,7 +228,7 @@ def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
                 ok.append(100 * s >= percent * (na + nb - s))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(pick, "a long, b long")
+    return map_batches(both.select("a", "b", "na", "nb", "va", "vb"), pick, "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -249,7 +249,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
                 ok.append(100 * shared >= percent * (len(sets) + len(other) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    return map_batches(pairs.select("a", "b", "ta", "tb"), check, "a long, b long")
 
 
 def links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:

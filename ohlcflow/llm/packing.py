@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, materialize, record_batch
+from ohlcflow.llm.common import chunks, map_batches, materialize, record_batch
 from ohlcflow.llm.tokens import encoder, vocabulary
 
 #: Pieces dealt to a shard.
 PIECES = 16_384
+#: Words that the encoder remembers here: the worker keeps them when other steps of a job run in it (about 250 bytes each).
+MEMO_WORDS = 300_000
 
 
 class OpenWindows:
@@ -86,7 +88,7 @@ def cut(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end
     schema = pa.schema([(n, pa.int64()) for n in columns] + [("ids", pa.binary())] * with_ids)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(tokenizer)
+        codec = encoder(tokenizer, MEMO_WORDS)
         for (doc_ids,), texts in chunks(batches):
             rows = []
             for doc, ids in zip(doc_ids, codec.encode(texts, end_id), strict=True):
@@ -96,7 +98,7 @@ def cut(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end
                     rows.append((doc, start, len(part) // 4, zlib.crc32(part), len(ids), *[part] * with_ids))
             yield record_batch(schema, list(zip(*rows, strict=True)))
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, ", ".join(f"{c} long" for c in columns) + ", ids binary" * with_ids)
+    return map_batches(docs.select("doc_id", "text"), pieces, ", ".join(f"{c} long" for c in columns) + ", ids binary" * with_ids)
 
 
 def pack(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = False) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohlcflow.llm.common import chunks, of_kind, record_batch, span_digest
+from ohlcflow.llm.common import chunks, map_batches, of_kind, record_batch, span_digest
 
 #: Kinds; the first four are the base kinds.
 KINDS = ["email", "ip", "card", "phone", "local_phone", "national_id", "iban", "masked_email"]
@@ -231,7 +231,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             other = [[_described(t, *x) for x in o] for t, (_, o) in zip(texts, found, strict=True)]
             yield record_batch(schema, [ids, base, other])
 
-    return docs.select("doc_id", "text").mapInArrow(look, _FOUND)
+    return map_batches(docs.select("doc_id", "text"), look, _FOUND)
 
 
 def pattern_counts(found: DataFrame) -> dict[int, int]:
@@ -329,7 +329,7 @@ def detect(found: DataFrame, model: SpanClassifier) -> DataFrame:
             yield record_batch(schema, [ids, [bare(x) for x in base], more])
 
     span = "array<struct<kind: int, start: long, end: long>>"
-    decided = found.select("doc_id", "base", "other").mapInArrow(decide, f"doc_id long, base {span}, more {span}")
+    decided = map_batches(found.select("doc_id", "base", "other"), decide, f"doc_id long, base {span}, more {span}")
     return decided.select(
         "doc_id",
         *[of_kind("base", k).alias(f"n_{name}") for k, name in enumerate(BASE)],
@@ -374,4 +374,4 @@ def redact(docs: DataFrame, model: SpanClassifier) -> DataFrame:
                     columns[count] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(count).type)
                 yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(replace, docs.schema)
+    return map_batches(docs, replace, docs.schema)

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words remembered per Python worker, and the longest one remembered.
+#: Words remembered per Python worker unless a caller asks for fewer, and the longest one remembered.
 MEMO_WORDS, MEMO_CHARS = 700_000, 48
 #: ASCII symbols but the apostrophe (which starts contractions): behind letters they are one piece of their own.
 _SYMBOLS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -63,7 +63,7 @@ class _Pieces(dict):
 class WordEncoder:
     """Ids of texts under a tokenizer whose tokens never span a space or line feed."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int | None = None):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores already
@@ -78,6 +78,7 @@ class WordEncoder:
             self.bare = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.pieces = _Pieces(self.bare)
+        self.memo = memo or MEMO_WORDS
         self._forget()
 
     def _forget(self) -> None:
@@ -89,7 +90,7 @@ class WordEncoder:
 
     def _encoded(self, new: list[str]) -> list[bytes]:
         out, whole, pieces = [], [], self.pieces
-        if len(pieces) > MEMO_WORDS // 2:
+        if len(pieces) > self.memo // 2:
             pieces.clear()
         for w in new:
             letters = w.rstrip(_SYMBOLS) if self.bare else ""
@@ -131,7 +132,7 @@ class WordEncoder:
         split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False)
-        if len(self.index) + len(words) > MEMO_WORDS:
+        if len(self.index) + len(words) > self.memo:
             self._forget()
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0)
@@ -154,8 +155,9 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """The Python worker's encoder for ``path``; workers are reused between tasks."""
+def encoder(path: str, memo: int | None = None) -> WordEncoder:
+    """The Python worker's encoder for ``path``, remembering ``memo`` words; workers are reused between tasks, and by other operators."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    _ENCODERS[path].memo = memo or MEMO_WORDS
     return _ENCODERS[path]

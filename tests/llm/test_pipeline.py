@@ -66,3 +66,56 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
             out.count()
     left = C.near_duplicates(spark, odd_docs.select(COLUMNS), SF).collect()
     assert sorted(map(repr, (r.doc_id for r in left))) == sorted(map(repr, [1, 2, 4, 5, 6, 7, 8, 9, 10, None]))  # 3 has the text of 1
+
+
+def test_workers_get_whole_texts_in_small_batches(spark):
+    """A stage whose executor and workers held 10,000 texts at once; the setting is the session's until its result is read."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from ohlcflow.llm.common import BATCH_BYTES, BATCH_SETTING
+
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('some words ', 300)").alias("text"))
+    spark.conf.unset(BATCH_SETTING)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    try:
+        for stage in (lambda: Q.keep(docs, Q.train([], [])), lambda: P.candidates(docs), lambda: P.redact(docs, P.SpanClassifier(None)), lambda: pack(docs)):
+            spark.conf.unset(BATCH_SETTING)
+            stage()
+            got = docs.mapInArrow(sizes, "rows long, bytes long").collect()
+            assert sum(r.rows for r in got) == 4000
+            assert max(r.bytes for r in got) <= 2 * BATCH_BYTES
+        spark.conf.set(BATCH_SETTING, "8m")  # the user's own stays
+        P.candidates(docs)
+        assert spark.conf.get(BATCH_SETTING) == "8m"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
+def test_join_gets_whole_texts_in_small_batches(spark):
+    from pyspark.sql import functions as F
+
+    from ohlcflow.llm.common import BATCH_BYTES, BATCH_SETTING
+    from ohlcflow.llm.ngram_join import signatures
+
+    docs = spark.range(0, 20, 1, 1).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        signatures(docs, 5, 80)
+        assert spark.conf.get(BATCH_SETTING) == f"{BATCH_BYTES}b"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
+def test_packing_remembers_fewer_words():
+    from ohlcflow.llm import packing, tokens
+
+    codec = tokens.encoder(tokens.vocabulary(), 50)
+    for k in range(20):
+        codec.encode([" ".join(f"w{k}x{j}" for j in range(40))])
+        assert len(codec.index) <= 50
+    assert tokens.encoder(tokens.vocabulary()) is codec and codec.memo == tokens.MEMO_WORDS > packing.MEMO_WORDS

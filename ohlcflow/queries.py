@@ -18,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from .operators import clean as C
 from .operators import features as FE
@@ -396,8 +397,9 @@ def q_streaming_silver(spark, sf_dir):
     after the other, each slice's messages of one day in seven sent again after
     it, and the stream stopped and started again from its checkpoint in between."""
     bars = scratch_path(spark, "stream-bars")
-    raw_dirty_bars(spark, sf_dir).write.parquet(bars)
-    raw = spark.read.schema(RAW_BAR_SCHEMA).parquet(bars).withColumn("_day", F.try_to_date("date"))
+    # the day is parsed once; the bars are read again for each slice
+    raw_dirty_bars(spark, sf_dir).withColumn("_day", F.try_to_date("date")).write.parquet(bars)
+    raw = spark.read.schema(StructType([*RAW_BAR_SCHEMA.fields, StructField("_day", DateType())])).parquet(bars)
     first, last = raw.agg(F.min("_day"), F.max("_day")).first()
     days = (last - first).days // STREAM_SLICES + 1
     number = F.coalesce(F.floor(F.datediff("_day", F.lit(first)) / days), F.lit(0))

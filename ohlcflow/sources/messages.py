@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,6 +20,13 @@ _PARSED, _REJECT, _CORRUPT = "_msg", "_reject", "_corrupt"
 SPLIT, POSITION = ("_file", "_start"), "_position"
 #: Offsets of a topic partition that make one split.
 OFFSETS_PER_SPLIT = 1 << 16
+#: Text of a message as :func:`encode_messages` writes it, without escapes, with a symbol
+#: and a date of the calendar (no 29 February).
+_WRITTEN_WITH_KEY = (
+    r'^\{"symbol":"[^"\\]++","date":"(?:1[6-9]|[2-9]\d)\d\d-'
+    r'(?:(?:0[1-9]|1[0-2])-(?:0[1-9]|1\d|2[0-8])|(?:0[13-9]|1[0-2])-(?:29|30)|(?:0[13578]|1[02])-31)"'
+    r'(?:,"(?:open|high|low|close|volume)":(?:"[^"\\]*+"|null))*+\}$'
+)
 
 
 def encode_messages(bars: DataFrame) -> DataFrame:
@@ -28,6 +35,15 @@ def encode_messages(bars: DataFrame) -> DataFrame:
     return bars.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def written_with_key(value: str = "value") -> Column:
+    """True only of messages that decode to a bar with symbol and date, or are rejected.
+
+    Tells by the text, without a parse, for messages in the usual form; others are
+    false, whatever they hold.
+    """
+    return F.coalesce(F.col(value).cast("string").rlike(_WRITTEN_WITH_KEY), F.lit(False))
+
+
 def _parsed(df: DataFrame) -> DataFrame:
     """The input with one parsed struct column ``_msg`` and ``_reject``.
 
